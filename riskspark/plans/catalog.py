@@ -30,5 +30,6 @@ def load_all() -> None:
     """Import every plan module so their ``register`` calls run."""
     from riskspark.plans import (  # noqa: F401
         q_eval,
+        q_policy,
         q_features,
     )

@@ -33,16 +33,19 @@ def scored(spark: SparkSession, sf_dir: str, with_group: bool = True) -> DataFra
         F.col("o_custkey").alias("entity"),
         p_raw.alias("p_raw"),
         F.col("o_orderdate").alias("ts"),
+        "o_orderstatus", "o_orderpriority",
     ).withColumn("p", F.round(F.col("p_raw") * F.col("p_raw"), 6))
     df = df.withColumn("y", (stable_unit("id", LABEL_SALT) < F.col("p")).cast("int"))
     if with_group:
-        c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity"), F.col("c_mktsegment").alias("grp"))
+        c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity"), F.col("c_mktsegment").alias("grp"),
+                                                    F.col("c_nationkey").alias("nation"))
         df = df.join(c, "entity", "left")
     return df
 
 
 SCORED_SQL = """
-  SELECT o.o_orderkey AS id, o.o_custkey AS entity, o.o_orderdate AS ts,
+  SELECT o.o_orderkey AS id, o.o_custkey AS entity, o.o_orderdate AS ts, o.o_orderstatus, o.o_orderpriority,
+         c.c_nationkey AS nation,
          round(0.02 + 0.96 * o.o_totalprice / 500000.0, 6) AS p_raw,
          round(round(0.02 + 0.96 * o.o_totalprice / 500000.0, 6) * round(0.02 + 0.96 * o.o_totalprice / 500000.0, 6), 6) AS p,
          CAST(CAST(CAST('0x' || substr(md5(CAST(o.o_orderkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0
@@ -82,3 +85,24 @@ BATCHES_SQL = """
          CAST(hour(ts) AS DOUBLE) AS f_hour
   FROM events
 """
+
+
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-form scores of three "models" on the same rows: calibrated (p),
+    raw (p_raw) and blend (mean of the two), as (model, id, entity, grp, p, y)."""
+    s = scored(spark, sf_dir)
+    blend = F.round((F.col("p") + F.col("p_raw")) / 2.0, 6)
+    arr = F.array(
+        F.struct(F.lit("calibrated").alias("model"), F.col("p").alias("score")),
+        F.struct(F.lit("raw").alias("model"), F.col("p_raw").alias("score")),
+        F.struct(F.lit("blend").alias("model"), blend.alias("score")),
+    )
+    return s.select("id", "entity", "grp", "y", F.explode(arr).alias("m")).select(
+        "m.model", "id", "entity", "grp", F.col("m.score").alias("p"), "y")
+
+
+MODELS_SQL = f"""
+  SELECT 'calibrated' AS model, id, entity, grp, p, y FROM ({SCORED_SQL}) UNION ALL
+  SELECT 'raw' AS model, id, entity, grp, p_raw AS p, y FROM ({SCORED_SQL}) UNION ALL
+  SELECT 'blend' AS model, id, entity, grp, round((p + p_raw) / 2.0, 6) AS p, y FROM ({SCORED_SQL})
+"""

@@ -29,6 +29,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so their ``register`` calls run."""
     from riskspark.plans import (  # noqa: F401
+        q_audit,
         q_eval,
         q_policy,
         q_features,

@@ -106,3 +106,24 @@ MODELS_SQL = f"""
   SELECT 'raw' AS model, id, entity, grp, p_raw AS p, y FROM ({SCORED_SQL}) UNION ALL
   SELECT 'blend' AS model, id, entity, grp, round((p + p_raw) / 2.0, 6) AS p, y FROM ({SCORED_SQL})
 """
+
+
+def leak_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame for the leakage audit: scored orders with a row-level split, an
+    injected outcome proxy (0.9·y + noise), the order's latest ship date as a
+    feature timestamp (outcome time = order date) and a few categoricals."""
+    s = scored(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.max("l_shipdate").alias("feature_ts"))
+    u = stable_unit("id", SPLIT_SALT)
+    return s.join(li, "id", "left").select(
+        "id", "entity", "y", "p_raw", "grp", "nation", "o_orderpriority", "o_orderstatus", F.col("ts").alias("outcome_ts"), "feature_ts",
+        F.round(F.lit(0.9) * F.col("y") + F.lit(0.1) * stable_unit("id", ":noise"), 6).alias("outcome_proxy"),
+        F.when(u < 0.2, "test").when(u < 0.4, "val").otherwise("train").alias("split"))
+
+
+LEAK_SQL = f"""
+  SELECT s.id, s.entity, s.y, s.p_raw, s.grp, s.nation, s.o_orderpriority, s.o_orderstatus, s.ts AS outcome_ts, li.feature_ts,
+         round(0.9 * s.y + 0.1 * CAST(CAST('0x' || substr(md5(CAST(s.id AS VARCHAR) || ':noise'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0, 6) AS outcome_proxy,
+         CASE WHEN {split_unit_sql('s.id')} < 0.2 THEN 'test' WHEN {split_unit_sql('s.id')} < 0.4 THEN 'val' ELSE 'train' END AS split
+  FROM ({SCORED_SQL}) s LEFT JOIN (SELECT l_orderkey AS id, max(l_shipdate) AS feature_ts FROM lineitem GROUP BY l_orderkey) li ON li.id = s.id
+"""

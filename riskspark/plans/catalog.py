@@ -32,5 +32,6 @@ def load_all() -> None:
         q_audit,
         q_eval,
         q_policy,
+        q_relational,
         q_features,
     )

@@ -34,4 +34,5 @@ def load_all() -> None:
         q_policy,
         q_relational,
         q_features,
+        q_joins,
     )

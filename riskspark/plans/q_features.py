@@ -6,7 +6,7 @@ from riskspark.operators import features as fx
 from riskspark.plans.catalog import register
 from riskspark.sources.io import table
 
-FE05_SQL = """
+FE05_TEMPLATE = """
 WITH m AS (
   SELECT l_orderkey AS account_id, count(*) AS m_n, sum(l_quantity) AS m_qty_sum,
          avg(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS m_past_due_mean,
@@ -25,7 +25,7 @@ WITH m AS (
          sum(o_totalprice) AS acc_amt_sum, avg(o_totalprice) AS acc_amt_mean, max(o_totalprice) AS acc_amt_max,
          CAST(sum(overdue) AS BIGINT) AS acc_overdue_n, CAST(coalesce(sum(m_n), 0) AS BIGINT) AS acc_lines,
          avg(m_past_due_mean) AS acc_past_due_mean,
-         sum(overdue) / count(*) AS acc_overdue_ratio, sum(is_open) / count(*) AS acc_open_ratio
+         sum(overdue) / (count(*) + SMOOTH) AS acc_overdue_ratio, sum(is_open) / (count(*) + SMOOTH) AS acc_open_ratio
   FROM acc GROUP BY applicant_id
 ), f AS (
   SELECT c.c_custkey AS applicant_id, c.c_acctbal, c.c_mktsegment, app.acc_n, app.acc_open_n, app.acc_amt_sum,
@@ -49,6 +49,15 @@ FROM g
 """
 
 
+
+
+def fe05_sql(smoothing: float = 0.0) -> str:
+    return FE05_TEMPLATE.replace("SMOOTH", repr(float(smoothing)))
+
+
+FE05_SQL = fe05_sql(0.0)
+
+
 @register("fe05_applicant_features", FE05_SQL)
 def fe05(spark, sf):
     return fx.applicant_features(table(spark, sf, "customer"), table(spark, sf, "lineitem"), table(spark, sf, "orders"))

@@ -30,6 +30,7 @@ def load_all() -> None:
     """Import every plan module so their ``register`` calls run."""
     from riskspark.plans import (  # noqa: F401
         q_audit,
+        q_drift,
         q_eval,
         q_policy,
         q_relational,

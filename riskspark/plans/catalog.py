@@ -34,6 +34,7 @@ def load_all() -> None:
         q_eval,
         q_policy,
         q_relational,
+        q_text,
         q_features,
         q_joins,
     )

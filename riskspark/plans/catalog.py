@@ -33,6 +33,7 @@ def load_all() -> None:
         q_drift,
         q_eval,
         q_policy,
+        q_prep,
         q_relational,
         q_text,
         q_features,

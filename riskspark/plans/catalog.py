@@ -37,5 +37,6 @@ def load_all() -> None:
         q_relational,
         q_text,
         q_features,
+        q_models,
         q_joins,
     )

@@ -184,3 +184,68 @@ def generalisation_gap(panel: DataFrame, by: str, base: str, other: str, metrics
     pv = long.groupBy("metric").pivot(by, [base, other]).agg(F.first("v"))
     return pv.select("metric", F.col(base).alias("base_value"), F.col(other).alias("other_value"),
                      F.round(F.col(base) - F.col(other), 6).alias("gap"))
+
+
+# Poisson(1) cumulative probabilities P(K <= k), k = 0..7, for bootstrap weights.
+POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238463,
+                0.9963401531726563, 0.9994058151824183, 0.9999167588507836, 0.9999898508446201]
+
+
+def poisson_weight(key: str, b: Column, salt: str = ":boot") -> Column:
+    """Deterministic Poisson(1) draw from md5(key:salt:b) (inverse CDF on a literal table)."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt + ":"), b.cast("string")))
+    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    cdf = F.array(*[F.lit(c) for c in POISSON1_CDF])
+    return F.size(F.filter(cdf, lambda c: c <= u))
+
+
+def bootstrap_auc(df: DataFrame, key: str, score: str = "p", label: str = "y", B: int = 50) -> DataFrame:
+    """EVAL-13: B Poisson-bootstrap replicates of the AUC (weighted prefix sums per
+    replicate) and their 2.5 / 50 / 97.5 percentiles.  Work is B × rows, shuffle is
+    B × distinct scores (partial aggregation collapses rows before the exchange)."""
+    from riskspark.operators.prefix import cumulate
+    rep = df.select(key, score, label, F.explode(F.sequence(F.lit(1), F.lit(B))).alias("b"))
+    rep = rep.withColumn("_w", poisson_weight(key, F.col("b"))).where(F.col("_w") > 0)
+    cnt = rep.groupBy("b", F.col(score).alias("s")).agg(F.sum(F.col(label) * F.col("_w")).alias("pos"),
+                                                        F.sum((1 - F.col(label)) * F.col("_w")).alias("neg"))
+    c = cumulate(cnt, ["b"])
+    a = c.groupBy("b").agg((F.sum(F.col("pos") * (F.col("cneg") - F.col("neg") + F.col("neg") / 2.0)) / (F.max("Tpos") * F.max("Tneg"))).alias("auc"))
+    return a.agg(F.round(F.percentile("auc", 0.025), 6).alias("auc_lo"), F.round(F.percentile("auc", 0.5), 6).alias("auc_mid"),
+                 F.round(F.percentile("auc", 0.975), 6).alias("auc_hi"), F.count(F.lit(1)).alias("replicates"))
+
+
+def placements(df: DataFrame, key: str, score: str, label: str = "y", groups=()) -> DataFrame:
+    """DeLong placement values per row: positives get (neg below + ½ tied)/N,
+    negatives get (pos above + ½ tied)/P, from the per-score cumulative table."""
+    from riskspark.operators.prefix import score_cdf
+    g = list(groups)
+    c = score_cdf(df, score, label, g)
+    c = c.select(*g, "s", ((F.col("cneg") - F.col("neg") + F.col("neg") / 2.0) / F.col("Tneg")).alias("v10"),
+                 ((F.col("Tpos") - F.col("cpos") + F.col("pos") / 2.0) / F.col("Tpos")).alias("v01"))
+    return df.select(key, *g, label, F.col(score).alias("s")).join(c, g + ["s"]).select(
+        key, *g, label, F.when(F.col(label) == 1, F.col("v10")).otherwise(F.col("v01")).alias("v"))
+
+
+def normal_sf(z: Column) -> Column:
+    """Upper tail of the standard normal via the Abramowitz-Stegun 7.1.26 erfc approximation."""
+    x = F.abs(z) / F.lit(2 ** 0.5)
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * x)
+    poly = t * (F.lit(0.254829592) + t * (F.lit(-0.284496736) + t * (F.lit(1.421413741) + t * (F.lit(-1.453152027) + t * F.lit(1.061405429)))))
+    erfc = poly * F.exp(-x * x)
+    return F.when(z >= 0, erfc / 2).otherwise(F.lit(1.0) - erfc / 2)
+
+
+def delong(df: DataFrame, key: str, score_a: str, score_b: str, label: str = "y") -> DataFrame:
+    """EVAL-14: DeLong test of two correlated AUCs on the same rows."""
+    pa = placements(df, key, score_a, label).withColumnRenamed("v", "va")
+    pb = placements(df, key, score_b, label).select(key, F.col("v").alias("vb"))
+    j = pa.join(pb, key)
+    s = j.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.avg("va").alias("ma"), F.avg("vb").alias("mb"),
+                             F.var_samp("va").alias("saa"), F.var_samp("vb").alias("sbb"), F.covar_samp("va", "vb").alias("sab"))
+    pos = s.where(F.col(label) == 1).select(F.lit(1).alias("_k"), *[F.col(c).alias(f"p_{c}") for c in ("n", "ma", "mb", "saa", "sbb", "sab")])
+    neg = s.where(F.col(label) == 0).select(F.lit(1).alias("_k"), *[F.col(c).alias(f"n_{c}") for c in ("n", "saa", "sbb", "sab")])
+    r = pos.join(neg, "_k")
+    var = (F.col("p_saa") + F.col("p_sbb") - 2 * F.col("p_sab")) / F.col("p_n") + (F.col("n_saa") + F.col("n_sbb") - 2 * F.col("n_sab")) / F.col("n_n")
+    z = (F.col("p_ma") - F.col("p_mb")) / F.sqrt(var)
+    return r.select(F.round("p_ma", 6).alias("auc_a"), F.round("p_mb", 6).alias("auc_b"), F.round(z, 6).alias("z"),
+                    F.round(2 * normal_sf(F.abs(z)), 6).alias("p_value"))

@@ -38,5 +38,6 @@ def load_all() -> None:
         q_text,
         q_features,
         q_models,
+        q_more,
         q_joins,
     )

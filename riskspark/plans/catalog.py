@@ -35,6 +35,7 @@ def load_all() -> None:
         q_policy,
         q_prep,
         q_relational,
+        q_stream,
         q_text,
         q_features,
         q_models,

@@ -40,10 +40,9 @@ def read_daily_batches(spark: SparkSession, path: str) -> DataFrame:
 def read_markdown_tree(spark: SparkSession, root: str) -> DataFrame:
     """SRC-06: one row per ``*.md`` file below ``root`` (whole text, file name)."""
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.md")
-        .text(root)
+        .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
     )
 

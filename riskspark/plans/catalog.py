@@ -37,6 +37,7 @@ def load_all() -> None:
         q_relational,
         q_stream,
         q_text,
+        q_extra,
         q_features,
         q_models,
         q_more,

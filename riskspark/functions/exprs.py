@@ -260,6 +260,17 @@ def fixed_length(seq: str | Column, n: int, zero: Column) -> Column:
     return F.concat(F.array_repeat(zero, F.greatest(F.lit(n) - F.size(tail), F.lit(0))), tail)
 
 
+def count_le(arr: str | Column, value: str | Column, max_len: int) -> Column:
+    """Number of elements <= value in an ascending array (at most ``max_len`` long), by
+    binary search: ``aggregate`` over the halving step sizes, i.e. log2(max_len)
+    comparisons per row instead of a ``filter`` over the whole array."""
+    a, v = col(arr), col(value)
+    n = F.size(a)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, max_len).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda lo, st: F.when(
+        (lo + st <= n) & (F.try_element_at(a, lo + st) <= v), lo + st).otherwise(lo))
+
+
 def r6(c: str | Column) -> Column:
     """FN-12: round half-up to 6 decimals (report precision)."""
     return F.round(col(c), 6)

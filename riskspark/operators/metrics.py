@@ -18,7 +18,7 @@ def _finish(df: DataFrame, groups_given) -> DataFrame:
     return df.drop(GKEY) if not groups_given else df
 
 
-def ranking_metrics(df: DataFrame, score: str = "p", label: str = "y", groups=(), n_buckets: int = 256) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str = "p", label: str = "y", groups=(), n_buckets: int = 1024) -> DataFrame:
     """EVAL-01/02/03/06: AUC (ties averaged), average precision (step), PR-AUC
     (trapezoid, sklearn curve with the (0,1) start point), KS and the
     KS-optimal threshold, per group.  AUC/KS are NULL when a class is absent."""
@@ -45,7 +45,7 @@ def ranking_metrics(df: DataFrame, score: str = "p", label: str = "y", groups=()
     return _finish(out, given)
 
 
-def roc_points(df: DataFrame, score: str = "p", label: str = "y", groups=(), n_buckets: int = 256) -> DataFrame:
+def roc_points(df: DataFrame, score: str = "p", label: str = "y", groups=(), n_buckets: int = 1024) -> DataFrame:
     """EVAL-08: one ROC point per distinct threshold (predict positive if score >= s)."""
     given = list(groups)
     df, g = _groups(df, groups)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.functions.exprs import count_le
+
 GKEY = "_g"
 
 
@@ -42,16 +44,14 @@ def score_counts(df: DataFrame, score: str | Column, label: str | Column, groups
     )
 
 
-def cumulate(counts: DataFrame, groups=(), n_buckets: int = 256, cols=("pos", "neg")) -> DataFrame:
+def cumulate(counts: DataFrame, groups=(), n_buckets: int = 1024, cols=("pos", "neg")) -> DataFrame:
     """Levels 2-4: add ``c<col>`` (running sum of <col> over scores <= s) and
     the group totals ``T<col>`` to a (groups, s, cols...) table."""
     counts, groups = _groups(counts, groups)
     fracs = [i / n_buckets for i in range(1, n_buckets)]
     # per-group equal-count cut points (at most n_buckets-1 values per group)
     cuts = counts.groupBy(*groups).agg(F.array_distinct(F.percentile_approx("s", fracs, 4 * n_buckets)).alias("_cuts"))
-    b = counts.join(cuts, groups, "inner").withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c <= F.col("s")))
-    ).drop("_cuts")
+    b = counts.join(cuts, groups, "inner").withColumn("_b", count_le("_cuts", "s", n_buckets)).drop("_cuts")
     w_in = Window.partitionBy(*groups, "_b").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for c in cols:
         b = b.withColumn(f"_in_{c}", F.sum(c).over(w_in))
@@ -68,7 +68,7 @@ def cumulate(counts: DataFrame, groups=(), n_buckets: int = 256, cols=("pos", "n
     return out.drop("_b", *[f"_in_{c}" for c in cols], *[f"_off_{c}" for c in cols])
 
 
-def score_cdf(df: DataFrame, score: str | Column, label: str | Column, groups=(), n_buckets: int = 256,
+def score_cdf(df: DataFrame, score: str | Column, label: str | Column, groups=(), n_buckets: int = 1024,
               weight: str | Column | None = None) -> DataFrame:
     """(groups, s, pos, neg, cpos, cneg, Tpos, Tneg): cumulative class counts at or below each score."""
     df, groups = _groups(df, groups)

@@ -25,7 +25,7 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ri
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", os.environ.get("RISKSPARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )

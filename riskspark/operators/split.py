@@ -22,9 +22,13 @@ def key_hash(key: str, salt: str = SPLIT_SALT) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
 
 
-def rank_within(df: DataFrame, strata: list[str], key: str, salt: str = SPLIT_SALT) -> DataFrame:
-    """Adds ``_r`` (1-based rank by (hash, key) inside each stratum) and ``_ns`` (stratum size)."""
-    b = df.withColumn("_h", key_hash(key, salt)).withColumn("_bk", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+def rank_within(df: DataFrame, strata: list[str], key: str, salt: str = SPLIT_SALT, hex_digits: int = 3) -> DataFrame:
+    """Adds ``_r`` (1-based rank by (hash, key) inside each stratum) and ``_ns`` (stratum size).
+
+    ``hex_digits`` sets the ordered hash buckets per stratum (16^digits): 3 -> 4 096
+    (≈ 250 k rows per window partition at 10^9 rows); use 5 (≈ 10^6 buckets) for
+    10^12-row inputs."""
+    b = df.withColumn("_h", key_hash(key, salt)).withColumn("_bk", F.conv(F.substring("_h", 1, hex_digits), 16, 10).cast("long"))
     cnt = b.groupBy(*strata, "_bk").agg(F.count(F.lit(1)).alias("_c"))
     w_off = Window.partitionBy(*strata).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.withColumn("_off", F.coalesce(F.sum("_c").over(w_off), F.lit(0))) \
@@ -48,11 +52,11 @@ def allocate(sizes: DataFrame, strata: list[str], n_col: str, num: int, den: int
 
 
 def stratified_split(df: DataFrame, strata: list[str], key: str, test_frac=(1, 5), val_frac_of_rest=(1, 4),
-                     salt: str = SPLIT_SALT) -> DataFrame:
+                     salt: str = SPLIT_SALT, hex_digits: int = 3) -> DataFrame:
     """SPL-01: exact stratified train/val/test split (default 60/20/20):
     test = ceil(n/5) rows overall, val = ceil(rest/4); both allocated to strata
     by largest remainder; inside a stratum the lowest hashes go to test, then val."""
-    r = rank_within(df, strata, key, salt)
+    r = rank_within(df, strata, key, salt, hex_digits)
     sizes = r.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
     sizes = allocate(sizes, strata, "_n", test_frac[0], test_frac[1], "_test")
     sizes = sizes.withColumn("_rest", F.col("_n") - F.col("_test"))

@@ -148,3 +148,27 @@ def score_frame(df: DataFrame, model, medians: DataFrame, features: list[str], p
     scored = prob1(model.transform(d), "probability", "p_model")
     scored = scored.withColumn("p_cal", apply_platt("p_model", *platt))
     return scored.withColumn("band", band("p_cal", list(cuts), list(labels)))
+
+
+def grouped_platt(df: DataFrame, group: str, score: str, label: str = "y", iters: int = 12) -> DataFrame:
+    """CAL-01 per group (CAL-06): Platt parameters (a, b) of sigmoid(a·s + b) for every
+    group at once by Newton's method.  Each iteration is one aggregation of the
+    gradient and the 2×2 Hessian per group, followed by a closed-form solve on the
+    (group-sized) parameter table — a fixed number of passes, not a loop over groups."""
+    from riskspark.session import cut_lineage
+    d = cut_lineage(df.select(group, F.col(score).cast("double").alias("_s"), F.col(label).cast("double").alias("_y")))
+    theta = d.select(group).distinct().withColumn("a", F.lit(1.0)).withColumn("b", F.lit(0.0))
+    for _ in range(iters):
+        j = d.join(theta, group)
+        mu = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("_s") + F.col("b"))))
+        w = mu * (F.lit(1.0) - mu)
+        g = j.groupBy(group).agg(
+            F.first("a").alias("a"), F.first("b").alias("b"),
+            F.sum((F.col("_y") - mu) * F.col("_s")).alias("ga"), F.sum(F.col("_y") - mu).alias("gb"),
+            F.sum(w * F.col("_s") * F.col("_s")).alias("haa"), F.sum(w * F.col("_s")).alias("hab"), F.sum(w).alias("hbb"))
+        det = F.col("haa") * F.col("hbb") - F.col("hab") * F.col("hab")
+        da = F.try_divide(F.col("hbb") * F.col("ga") - F.col("hab") * F.col("gb"), det)
+        db = F.try_divide(F.col("haa") * F.col("gb") - F.col("hab") * F.col("ga"), det)
+        theta = cut_lineage(g.select(group, (F.col("a") + F.coalesce(da, F.lit(0.0))).alias("a"),
+                                     (F.col("b") + F.coalesce(db, F.lit(0.0))).alias("b")))
+    return theta

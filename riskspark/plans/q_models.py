@@ -144,3 +144,18 @@ def q_ml09(spark, sf):
     platt = md.fit_platt(val, "p_model")
     s = md.score_frame(d.drop("w"), m, med, FEATURES, platt)
     return s.groupBy("split", "band").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p_cal"), 6).alias("mean_p"))
+
+
+@register("cal06_periodic_recalibration")
+def q_cal06(spark, sf):
+    """CAL-06: Platt recalibration fitted on each labelled period (year) and applied to the
+    next one, with that next period's ECE before and after (all periods fitted in one pass per
+    Newton step)."""
+    s = scored(spark, sf, with_group=False).withColumn("period", F.year("ts").cast("int"))
+    theta = md.grouped_platt(s, "period", "p_raw", "y")
+    nxt = theta.select((F.col("period") + 1).alias("period"), "a", "b")  # fitted on t, used in t + 1
+    applied = s.join(nxt, "period").withColumn("p_recal", F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("p_raw") + F.col("b")))))
+    before = mx.ece(applied, "p_raw", "y", ["period"]).withColumnRenamed("ece", "ece_before")
+    after = mx.ece(applied, "p_recal", "y", ["period"]).withColumnRenamed("ece", "ece_after")
+    return before.join(after, "period").join(theta.select("period", F.round("a", 6).alias("a_prev_fit"), F.round("b", 6).alias("b_prev_fit"))
+                                             .withColumn("period", F.col("period") + 1), "period")

@@ -85,3 +85,12 @@ def test_bm25_top1_contains_benchmark_passage(spark, sf):
     from riskspark.plans import q_text
     r = q_text.ranked(spark, sf, q_text.bench_queries(spark, sf)).where("rank = 1")
     assert r.count() == table(spark, sf, "benchmark").count()
+
+
+def test_grouped_platt_matches_mllib_per_group(spark, sf):
+    from riskspark.operators import models as md
+    s = scored(spark, sf, with_group=False).withColumn("period", F.year("ts").cast("int"))
+    theta = {r.period: (r.a, r.b) for r in md.grouped_platt(s, "period", "p_raw", "y").collect()}
+    for period in sorted(theta)[:2]:
+        a, b = md.fit_platt(s.where(F.col("period") == period), "p_raw")
+        assert abs(theta[period][0] - a) < 1e-3 and abs(theta[period][1] - b) < 1e-3

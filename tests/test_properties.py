@@ -94,3 +94,15 @@ def test_grouped_platt_matches_mllib_per_group(spark, sf):
     for period in sorted(theta)[:2]:
         a, b = md.fit_platt(s.where(F.col("period") == period), "p_raw")
         assert abs(theta[period][0] - a) < 1e-3 and abs(theta[period][1] - b) < 1e-3
+
+
+def test_threshold_top_k_equals_plain_ranking(spark, sf):
+    from pyspark.sql import Window
+    from riskspark.plans import q_text
+    _, post, dl, terms = q_text.index(spark, sf)
+    qt = tx.query_tokens(q_text.bench_queries(spark, sf), "qid")
+    sc = tx.bm25_scores(qt, post, dl, terms, "qid", q_text.KEYS).withColumn("score", F.round("score", 9))
+    got = tx.top_k(sc, "qid", q_text.KEYS, 5).select("qid", "doc_id", "start", "rank")
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), "doc_id", "start")
+    ref = sc.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("qid", "doc_id", "start", "rank")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0

@@ -235,3 +235,26 @@ def q_fn03(spark, sf):
     long = test.select("y", F.explode(F.array(F.struct(F.lit("raw").alias("score"), F.col("p_raw").alias("p")),
                                                F.struct(F.lit("curve").alias("score"), F.col("p_curve").alias("p")))).alias("u")).select("y", "u.*")
     return mx.ece(long, "p", "y", ["score"])
+
+
+@register("drift18_pca_reconstruction")
+def q_drift18_pca(spark, sf):
+    """DRIFT-18 (PCA part): principal components fitted on standardised reference batches; the mean
+    squared reconstruction error of each batch from the first two components, and its ratio to the
+    reference's — joint shifts that move no single marginal still raise it."""
+    from pyspark.ml.feature import PCA
+    from riskspark.operators import prep as pr
+    m = q_drift.monitored(spark, sf)
+    ref = m.where(F.col("batch_day") <= q_drift.REF_LAST_DAY)
+    st = pr.fit_scaler(ref, q_drift.FEATS)
+    z = pr.apply_scaler(m, st, q_drift.FEATS)
+    zc = [f"{c}_z" for c in q_drift.FEATS]
+    pca = PCA(k=2, inputCol="features", outputCol="pc").fit(md.assemble(zc).transform(z.where(F.col("batch_day") <= q_drift.REF_LAST_DAY)))
+    comp = pca.pc.toArray().tolist()  # features x k loadings (bounded by the feature count)
+    proj = [sum(F.col(c) * F.lit(comp[i][j]) for i, c in enumerate(zc)) for j in range(2)]
+    recon = [sum(proj[j] * F.lit(comp[i][j]) for j in range(2)) for i in range(len(zc))]
+    err = sum((F.col(c) - recon[i]) * (F.col(c) - recon[i]) for i, c in enumerate(zc))
+    e = z.groupBy("batch_day").agg(F.avg(err).alias("recon_mse"))
+    base = e.where(F.col("batch_day") <= q_drift.REF_LAST_DAY).agg(F.avg("recon_mse").alias("ref_mse")).withColumn("_k", F.lit(1))
+    return e.withColumn("_k", F.lit(1)).join(base, "_k").select(
+        "batch_day", F.round("recon_mse", 6).alias("recon_mse"), F.round(F.col("recon_mse") / F.col("ref_mse"), 6).alias("ratio_to_ref"))

@@ -149,12 +149,25 @@ def decision_rows(spark, sf):
     return x.withColumn("decision", dec)
 
 
-@register("pol14_decision_rows", DEC_SQL + " SELECT id, version, round(foir, 6) AS foir, reason, decision FROM z")
+@register("pol14_decision_rows", DEC_SQL + """
+SELECT id, version, round(foir, 6) AS foir, reason, decision,
+  round(CASE WHEN amt_sum > 0 THEN o_totalprice / amt_sum END, 6) AS utilisation,
+  round(CASE WHEN c_acctbal > 0 THEN o_totalprice / c_acctbal END, 6) AS pay_to_balance,
+  array_to_string(list_filter([CASE WHEN coalesce(p >= 0.35, false) THEN 'senior_review' END,
+                               CASE WHEN coalesce(n_pd > 3, false) THEN 'collections' END,
+                               CASE WHEN coalesce(foir > 40, false) THEN 'affordability_desk' END], lambda x: x IS NOT NULL), ',') AS escalations
+FROM z""")
 def q_pol14(spark, sf):
-    """POL-14 + PRJ-19/20/23 + JOIN-08: affordability ratio, six ordered hard rules (first hit is the
-    reason, R6 only forces review), fallback without a score, version in force and its bands."""
+    """POL-14 + PRJ-19..23 + JOIN-08: affordability ratio, six ordered hard rules (first hit is the
+    reason, R6 only forces review), fallback without a score, version in force and its bands,
+    reviewer display ratios (PRJ-21) and escalation targets (PRJ-22)."""
     d = decision_rows(spark, sf)
-    return d.select("id", "version", F.round("foir", 6).alias("foir"), "reason", "decision")
+    esc = X.hits([("senior_review", F.col("p") >= 0.35), ("collections", F.col("n_pd") > 3),
+                  ("affordability_desk", F.col("foir") > 40)])
+    return d.select("id", "version", F.round("foir", 6).alias("foir"), "reason", "decision",
+                    F.round(F.when(F.col("amt_sum") > 0, F.col("o_totalprice") / F.col("amt_sum")), 6).alias("utilisation"),
+                    F.round(F.when(F.col("c_acctbal") > 0, F.col("o_totalprice") / F.col("c_acctbal")), 6).alias("pay_to_balance"),
+                    F.array_join(esc, ",").alias("escalations"))
 
 
 @register("pol15_audit_hash_chain", DEC_SQL + """,
@@ -204,3 +217,23 @@ def q_leak11(spark, sf):
     t = j.withColumn("tot", F.sum("n").over(Window.partitionBy("feature"))).withColumn("nv", F.sum("n").over(Window.partitionBy("feature", "v"))) \
          .withColumn("ny", F.sum("n").over(Window.partitionBy("feature", "y")))
     return t.groupBy("feature").agg(F.round(F.sum(F.col("n") / F.col("tot") * F.log(F.col("n") * F.col("tot") / (F.col("nv") * F.col("ny")))), 6).alias("mutual_information"))
+
+
+@register("leak11_walk_forward_folds", f"""
+WITH {S}, y AS (SELECT year(ts) AS yr, count(*) AS n, min(ts) AS lo, max(ts) AS hi FROM s GROUP BY yr),
+f AS (SELECT yr AS fold, n AS n_val, lo AS val_start,
+        sum(n) OVER (ORDER BY yr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_train,
+        max(hi) OVER (ORDER BY yr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS train_end FROM y)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(n_train AS BIGINT) AS n_train, n_val,
+  CASE WHEN train_end < val_start THEN 'PASS' ELSE 'FAIL' END AS status FROM f WHERE n_train IS NOT NULL""")
+def q_leak11wf(spark, sf):
+    """LEAK-11 walk-forward validator: expanding-window folds by year; every training row must
+    predate every validation row of its fold (per-year summary, window over the year table)."""
+    s = scored(spark, sf, with_group=False)
+    y = s.groupBy(F.year("ts").alias("yr")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    w = Window.partitionBy(F.lit(1)).orderBy("yr").rowsBetween(Window.unboundedPreceding, -1)  # one row per year
+    f = y.select(F.col("yr").cast("int").alias("fold"), F.col("n").alias("n_val"), "lo",
+                 F.sum("n").over(w).alias("n_train"), F.max("hi").over(w).alias("train_end"))
+    return f.where(F.col("n_train").isNotNull()).select(
+        "fold", F.col("n_train").cast("long").alias("n_train"), "n_val",
+        F.when(F.col("train_end") < F.col("lo"), "PASS").otherwise("FAIL").alias("status"))

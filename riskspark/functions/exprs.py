@@ -229,8 +229,8 @@ def interp(x: str | Column, xs: list[float], ys: list[float]) -> Column:
 
 
 def tokens(text: str | Column) -> Column:
-    """FN-05: lower-case whitespace tokens, empties dropped."""
-    return F.filter(F.split(F.lower(F.trim(col(text))), r"\s+"), lambda t: t != F.lit(""))
+    """FN-05: lower-case whitespace tokens, empties dropped (``array_remove`` stays in codegen)."""
+    return F.array_remove(F.split(F.lower(F.trim(col(text))), r"\s+"), "")
 
 
 def paragraphs(text: str | Column) -> Column:

@@ -108,3 +108,13 @@ def test_win10_runs(spark):
     r = dr.alert_runs(df, "feature", "day", F.col("status") == "A").orderBy("day").collect()
     assert [x.consecutive for x in r] == [1, 2, 0, 1, 2, 3]
     assert [x.action for x in r].count("RETRAIN") == 2
+
+
+def test_count_le_binary_search_matches_linear_count(spark):
+    import random
+    rnd = random.Random(7)
+    cuts = sorted({round(rnd.random(), 3) for _ in range(300)})
+    vals = [rnd.random() for _ in range(500)] + cuts[:20] + [-1.0, 2.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").withColumn("c", F.array(*[F.lit(c) for c in cuts]))
+    got = df.select("v", X.count_le("c", "v", 1024).alias("k")).collect()
+    assert all(r.k == sum(1 for c in cuts if c <= r.v) for r in got)

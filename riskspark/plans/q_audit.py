@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import audit as au
 from riskspark.operators import split as sp
-from riskspark.plans.catalog import register
+from riskspark.plans.catalog import ORACLE, register
 from riskspark.plans.frames import LEAK_SQL, SCORED_SQL, leak_frame, scored, split_unit_sql
 from riskspark.sources.io import table
 
@@ -227,3 +227,18 @@ def q_set03(spark, sf):
 @register("set04_domain_check", "SELECT DISTINCT l_returnflag FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')")
 def q_set04(spark, sf):
     return au.domain_violations(table(spark, sf, "lineitem"), "l_returnflag", ["A", "N"])
+
+
+LEAK_COLS = ["id", "entity", "y", "p_raw", "grp", "nation", "o_orderpriority", "o_orderstatus", "outcome_ts", "feature_ts",
+             "outcome_proxy", "split"]
+_NAMES = ", ".join(f"('{c}')" for c in LEAK_COLS)
+_PARTS = [ORACLE[k].strip() for k in ("leak02_near_unique", "leak03_target_correlation", "leak04_target_rate_gap",
+                                       "leak05_split_shift", "leak06_temporal_leak", "leak07_beyond_cutoff")]
+ORACLE["leak08_audit_report"] = f"""
+WITH names AS (SELECT * FROM (VALUES {_NAMES}) t(feature)),
+sn AS (SELECT 'suspicious_name' AS check_name, feature, CASE WHEN regexp_matches(lower(feature), '{au.SUSPICIOUS_NAME}') THEN 'WARN' ELSE 'PASS' END AS status,
+         round(CAST(regexp_matches(lower(feature), '{au.SUSPICIOUS_NAME}') AS INTEGER), 6) AS value, '' AS detail FROM names),
+allf AS (SELECT * FROM sn {" ".join(f"UNION ALL SELECT * FROM ({p})" for p in _PARTS)}),
+o AS (SELECT max(CASE status WHEN 'PASS' THEN 0 WHEN 'WARN' THEN 1 WHEN 'FAIL' THEN 2 ELSE 3 END) AS s, count(*) FILTER (WHERE status <> 'PASS') AS k FROM allf)
+SELECT * FROM allf UNION ALL
+SELECT 'overall', '*', CASE s WHEN 0 THEN 'PASS' WHEN 1 THEN 'WARN' WHEN 2 THEN 'FAIL' ELSE 'INSUFFICIENT_INPUT' END, CAST(k AS DOUBLE), '' FROM o"""

@@ -13,7 +13,7 @@ from riskspark.operators import drift as dr
 from riskspark.operators import metrics as mx
 from riskspark.operators import models as md
 from riskspark.operators import split as sp
-from riskspark.plans import q_drift
+from riskspark.plans import q_audit, q_drift, q_joins, q_more  # noqa: F401  (their oracle texts are reused here)
 from riskspark.plans.catalog import ORACLE, register
 from riskspark.plans.frames import SCORED_SQL, model_scores, scored, split_unit_sql
 from riskspark.plans.q_drift import PSI_HEAD, long_frames
@@ -258,3 +258,64 @@ def q_drift18_pca(spark, sf):
     base = e.where(F.col("batch_day") <= q_drift.REF_LAST_DAY).agg(F.avg("recon_mse").alias("ref_mse")).withColumn("_k", F.lit(1))
     return e.withColumn("_k", F.lit(1)).join(base, "_k").select(
         "batch_day", F.round("recon_mse", 6).alias("recon_mse"), F.round(F.col("recon_mse") / F.col("ref_mse"), 6).alias("ratio_to_ref"))
+
+
+def _pol17_sql() -> str:
+    from riskspark.plans.frames import MODELS_SQL
+    from riskspark.plans.q_eval import cdf_sql
+    return f"""
+WITH ms AS ({MODELS_SQL}), {cdf_sql('p', 'model', 'ms')},
+rk AS (SELECT model, round(sum(pos * (cneg - neg + neg / 2.0)) / (max(TP) * max(TN)), 6) AS auc, max(TP) AS n_pos FROM c GROUP BY model),
+eb AS (SELECT model, least(CAST(floor(p * 10) AS INTEGER), 9) AS bin, count(*) AS nb, avg(y) AS acc, avg(p) AS conf FROM ms GROUP BY model, bin),
+ec AS (SELECT model, round(sum(nb / tot * abs(acc - conf)), 6) AS ece FROM eb JOIN (SELECT model, sum(nb) AS tot FROM eb GROUP BY model) USING (model) GROUP BY model),
+ap AS (SELECT model, grp, avg(CAST(p < 0.2 AS INTEGER)) AS a FROM ms GROUP BY model, grp),
+di AS (SELECT model, min(a) / max(a) AS di FROM ap GROUP BY model),
+lk AS (SELECT status = 'PASS' AS leak_ok FROM ({ORACLE['leak06_temporal_leak'].strip()})),
+dr AS (SELECT max(severity) < 2 AS drift_ok FROM ({ORACLE['drift05_monitor'].strip()})),
+lb AS (SELECT avg(CAST(label IS NOT NULL AS INTEGER)) >= 0.5 AS labels_ok FROM ({ORACLE['join09_delayed_labels'].strip()})),
+j AS (SELECT * FROM rk JOIN ec USING (model) JOIN di USING (model), lk, dr, lb),
+g AS (SELECT model, 1 AS ord, 'leakage' AS gate, leak_ok AS ok, 'block: fix features' AS action FROM j
+  UNION ALL SELECT model, 2, 'discrimination', auc >= 0.6, 'reject model' FROM j
+  UNION ALL SELECT model, 3, 'calibration', ece <= 0.05, 'recalibrate' FROM j
+  UNION ALL SELECT model, 4, 'significance', n_pos >= 100, 'collect more labels' FROM j
+  UNION ALL SELECT model, 5, 'fairness', di >= 0.8 AND di <= 1.25, 'fairness review' FROM j
+  UNION ALL SELECT model, 6, 'drift', drift_ok, 'investigate drift' FROM j
+  UNION ALL SELECT model, 7, 'labels', labels_ok, 'wait for outcomes' FROM j),
+f AS (SELECT model, arg_min(gate, ord) AS first_failed, arg_min(action, ord) AS action FROM g WHERE NOT ok GROUP BY model),
+p AS (SELECT model, count(*) FILTER (WHERE ok) AS gates_passed FROM g GROUP BY model)
+SELECT p.model, p.gates_passed, f.first_failed, f.action, CASE WHEN f.first_failed IS NULL THEN 'PROMOTE' ELSE 'HOLD' END AS verdict
+FROM p LEFT JOIN f USING (model)"""
+
+
+ORACLE["pol17_gate_ladder"] = _pol17_sql()
+
+
+def _pol09_sql() -> str:
+    chal = ("round(0.8 * p_raw + 0.2 * CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':chal'), 1, 8) AS BIGINT) AS DOUBLE) "
+            "/ 4294967296.0, 6)")
+    return f"""
+WITH s AS ({SCORED_SQL}), lg AS (SELECT 'champion' AS model, id, y, p_raw AS p FROM s UNION ALL SELECT 'challenger', id, y, {chal} FROM s),
+d AS (SELECT model, p AS sc, sum(y) AS pos, sum(1 - y) AS neg FROM lg GROUP BY model, p),
+c AS (SELECT model, pos, neg, sum(pos) OVER w AS cpos, sum(neg) OVER w AS cneg, sum(pos) OVER (PARTITION BY model) AS TP,
+        sum(neg) OVER (PARTITION BY model) AS TN FROM d WINDOW w AS (PARTITION BY model ORDER BY sc ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rk AS (SELECT model, round(sum(pos * (cneg - neg + neg / 2.0)) / (max(TP) * max(TN)), 6) AS auc,
+        round(sum(pos * ((TP - cpos + pos) / (TP - cpos + pos + TN - cneg + neg)
+              + CASE WHEN TP - cpos + TN - cneg = 0 THEN 1.0 ELSE (TP - cpos) / (TP - cpos + TN - cneg) END) / 2.0) / max(TP), 6) AS pr_auc FROM c GROUP BY model),
+eb AS (SELECT model, least(CAST(floor(p * 10) AS INTEGER), 9) AS bin, count(*) AS nb, avg(y) AS acc, avg(p) AS conf FROM lg GROUP BY model, bin),
+ec AS (SELECT model, round(sum(nb / tot * abs(acc - conf)), 6) AS ece FROM eb JOIN (SELECT model, sum(nb) AS tot FROM eb GROUP BY model) USING (model) GROUP BY model),
+br AS (SELECT model, round(avg((p - y) * (p - y)), 6) AS brier FROM lg GROUP BY model),
+pan AS (SELECT * FROM rk JOIN ec USING (model) JOIN br USING (model)),
+cur AS (SELECT model, bin, round(acc, 6) AS frac_pos FROM eb),
+dv AS (SELECT max(abs(a.frac_pos - b.frac_pos)) AS curve_div FROM cur a JOIN cur b ON a.bin = b.bin AND a.model = 'champion' AND b.model = 'challenger'),
+dl AS (SELECT p_value FROM ({ORACLE['eval14_delong'].strip()})),
+j AS (SELECT h.*, c.auc AS c_auc, c.pr_auc AS c_pr_auc, c.ece AS c_ece, c.brier AS c_brier, dv.curve_div, dl.p_value
+      FROM pan h, pan c, dv, dl WHERE h.model = 'challenger' AND c.model = 'champion'),
+g AS (SELECT CAST(pr_auc - c_pr_auc >= 0.001 AS INTEGER) AS gate_pr_auc, CAST(auc - c_auc >= 0.001 AS INTEGER) AS gate_auc,
+        CAST(ece <= 1.1 * c_ece AS INTEGER) AS gate_ece_ratio, CAST(brier - c_brier <= 0.003 AS INTEGER) AS gate_brier,
+        CAST(curve_div <= 0.05 AS INTEGER) AS gate_curve, CAST(p_value < 0.05 AS INTEGER) AS gate_delong,
+        round(curve_div, 6) AS curve_div, round(p_value, 6) AS p_value FROM j)
+SELECT *, CASE WHEN gate_ece_ratio = 0 THEN 'REJECT'
+               WHEN gate_pr_auc * gate_auc * gate_ece_ratio * gate_brier * gate_curve * gate_delong = 1 THEN 'PROMOTE' ELSE 'HOLD' END AS decision FROM g"""
+
+
+ORACLE["pol09_five_gate_promotion"] = _pol09_sql()

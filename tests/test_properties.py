@@ -106,3 +106,9 @@ def test_threshold_top_k_equals_plain_ranking(spark, sf):
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), "doc_id", "start")
     ref = sc.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("qid", "doc_id", "start", "rank")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_leak_frame_columns_match_oracle_list(spark, sf):
+    from riskspark.plans.frames import leak_frame
+    from riskspark.plans.q_audit import LEAK_COLS
+    assert leak_frame(spark, sf).columns == LEAK_COLS

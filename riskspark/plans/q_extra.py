@@ -319,3 +319,15 @@ SELECT *, CASE WHEN gate_ece_ratio = 0 THEN 'REJECT'
 
 
 ORACLE["pol09_five_gate_promotion"] = _pol09_sql()
+
+
+ORACLE["fn03_curve_calibration"] = f"""
+WITH s AS (SELECT *, {ROW_SPLIT} AS split FROM ({SCORED_SQL})),
+pts AS (SELECT round(avg(p_raw), 6) AS mx, round(avg(y), 6) AS my FROM s WHERE split = 'train' GROUP BY least(CAST(floor(p_raw * 10) AS INTEGER), 9)),
+cv AS (SELECT list(mx ORDER BY mx) AS xs, list(my ORDER BY mx) AS ys, count(*) AS n FROM pts),
+t AS (SELECT s.y, s.p_raw, cv.xs, cv.ys, cv.n, CAST(len(list_filter(cv.xs, lambda e: e <= s.p_raw)) AS INTEGER) AS k FROM s, cv WHERE s.split = 'test'),
+i AS (SELECT y, p_raw, CASE WHEN k <= 0 THEN ys[1] WHEN k >= n THEN ys[n]
+        ELSE coalesce(ys[k] + (ys[k + 1] - ys[k]) * (CASE WHEN xs[k + 1] - xs[k] = 0 THEN NULL ELSE (p_raw - xs[k]) / (xs[k + 1] - xs[k]) END), ys[k]) END AS p_curve FROM t),
+l AS (SELECT 'raw' AS score, p_raw AS p, y FROM i UNION ALL SELECT 'curve', p_curve, y FROM i),
+b AS (SELECT score, least(CAST(floor(p * 10) AS INTEGER), 9) AS bin, count(*) AS nb, avg(y) AS acc, avg(p) AS conf FROM l GROUP BY score, bin)
+SELECT score, round(sum(nb / tot * abs(acc - conf)), 6) AS ece FROM b JOIN (SELECT score, sum(nb) AS tot FROM b GROUP BY score) USING (score) GROUP BY score"""

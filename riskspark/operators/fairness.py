@@ -7,7 +7,7 @@ table with the reference group's row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators import metrics as mx
@@ -24,7 +24,6 @@ def group_metrics(df: DataFrame, group: str, score: str = "p", label: str = "y",
     approval rate (score < threshold), AUC and ECE per group."""
     s, y = F.col(score), F.col(label)
     pred = s >= F.lit(threshold)
-    tot = df.groupBy().count().withColumnRenamed("count", "_total").withColumn("_k", F.lit(1))
     g = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(y), 6).alias("default_rate"),
         F.round(F.avg(s), 6).alias("mean_score"), F.round(F.median(s), 6).alias("median_score"),
@@ -35,8 +34,9 @@ def group_metrics(df: DataFrame, group: str, score: str = "p", label: str = "y",
         F.round(F.avg((~pred).cast("int")), 6).alias("approval_rate"),
         F.round(F.try_divide(F.count_if(pred & (y == 1)), F.count_if(y == 1)), 6).alias("tpr"),
         F.round(F.try_divide(F.count_if(pred & (y == 1)), F.count_if(pred)), 6).alias("ppv"),
-    ).withColumn("_k", F.lit(1))
-    g = g.join(tot, "_k").withColumn("share", F.round(F.col("n") / F.col("_total"), 6)).drop("_k", "_total")
+    )
+    # grand total from the group-sized table itself (no second scan of the rows)
+    g = g.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
     if with_ranking:
         r = mx.ranking_metrics(df, score, label, [group]).select(group, "auc")
         e = mx.ece(df, score, label, [group])

@@ -7,7 +7,6 @@ unioned and rolled up with ``max`` over a severity code.
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskspark.operators import metrics as mx
 from riskspark.plans.catalog import register

@@ -7,13 +7,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskspark.functions import exprs as X
-from riskspark.operators import audit as au
-from riskspark.operators import explain as ex
 from riskspark.operators import joins as jn
 from riskspark.operators import metrics as mx
 from riskspark.plans.catalog import register
 from riskspark.plans.frames import LEAK_SQL, SCORED_SQL, leak_frame, scored
-from riskspark.plans.q_prep import CONTRIB_SQL, FEATS, scorecard_frame
+from riskspark.plans.q_prep import CONTRIB_SQL, scorecard_frame
 from riskspark.sources.io import TABLES, table
 
 S = f"s AS ({SCORED_SQL})"

@@ -8,8 +8,8 @@ from riskspark.operators import fairness as fa
 from riskspark.operators import metrics as mx
 from riskspark.operators import policy as po
 from riskspark.plans.catalog import register
-from riskspark.plans.frames import MODELS_SQL, SCORED_SQL, model_scores, scored
-from riskspark.plans.q_eval import CONF_COLS, S, SWEEP_SQL, cdf_sql
+from riskspark.plans.frames import MODELS_SQL, model_scores, scored
+from riskspark.plans.q_eval import S, SWEEP_SQL, cdf_sql
 
 THETA = round(1 / 11, 6)
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from riskspark.functions import exprs as X
 from riskspark.operators import features as fx
-from riskspark.operators import joins as jn
 from riskspark.operators import split as sp
 from riskspark.plans.catalog import register
 from riskspark.plans.frames import BATCHES_SQL, SCORED_SQL, daily_batches, scored, split_unit_sql

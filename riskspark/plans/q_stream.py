@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riskspark.functions import exprs as X
 from riskspark.operators import drift as dr
 from riskspark.plans.catalog import register
-from riskspark.plans.frames import LABEL_SALT
 from riskspark.plans.q_drift import PSI_HEAD, long_frames
 from riskspark.sources.io import table
 from riskspark.streaming import stream as st

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from riskspark.sources.io import TABLES
 
-SKIP_SLOW = ("ml", "cal", "st0", "eval13")
+SKIP_SLOW = ("ml", "cal")
 
 
 def _norm(v):

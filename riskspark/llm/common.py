@@ -4,7 +4,7 @@ stream, buckets cut into bounded cells, and connected components."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,30 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Sent:
+    """A broadcast value of bounded size; ``built`` makes something from it once per Python worker."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.broadcast = spark.sparkContext.broadcast(value)
+        self.number = self.broadcast._jbroadcast.id()
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+    def built(self, make: Callable, *args):
+        key = (self.number, make.__qualname__, args)
+        if key not in _BUILT:
+            # few at a time, so that a worker that served many queries holds no old ones
+            while len(_BUILT) > 2:
+                _BUILT.pop(next(iter(_BUILT)))
+            _BUILT[key] = make(self.value, *args)
+        return _BUILT[key]
+
+
+_BUILT: dict[tuple, object] = {}
+
+
 def held_out(doc_id: Column | str, mod: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves ``remainder``; a null id is never held out."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskspark.llm.common import table
+from riskspark.llm.common import held_out, table
+from riskspark.llm.decontaminate import benchmark_overlaps
+from riskspark.llm.embed_dedup import embedding_near_duplicates
+from riskspark.llm.langid import language_of_documents
+from riskspark.llm.line_chunks import drop_repeated_chunks
+from riskspark.llm.pieces import PieceColumns, encode_documents
+from riskspark.llm.ppm import language_model_scores
+from riskspark.llm.quality import quality_scores
 from riskspark.llm.simhash import simhash_near_duplicates
+from riskspark.llm.toxicity import toxicity_scores
 from riskspark.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +64,92 @@ FROM p LEFT JOIN best b ON p.page_id = b.page_id AND b.k = 1
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op3_decontaminate")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_match=5, threshold=0.8)
+
+
+@query("op4_line_dedup", """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (
+  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, len(ls) AS n FROM d
+), h AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 10))::BIGINT AS h FROM l
+), r AS (
+  SELECT *, (h + 31 * coalesce(lag(h) OVER w, 0)) % 1099511627689 AS r FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), c AS (
+  SELECT *, coalesce(lag(r) OVER w > r AND r <= lead(r) OVER w, false) AS cut FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), s AS (
+  SELECT *, sum(CASE WHEN cut THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k FROM c
+), g AS (
+  SELECT doc_id, coalesce(k, 0) AS k, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS lines, min(i) AS i FROM s GROUP BY ALL
+), f AS (
+  SELECT *, lines > 1 AND length(regexp_replace(chunk, '[ \\t\\n\\x0B\\f\\r]', '', 'g')) >= 20
+            AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, i) > 1 AS gone
+  FROM g
+), o AS (
+  SELECT doc_id, string_agg(chunk, chr(10) ORDER BY i) FILTER (NOT gone) AS text, sum(CASE WHEN gone THEN lines ELSE 0 END) AS lines_removed FROM f GROUP BY doc_id
+)
+SELECT documents.doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE coalesce(o.text, '') END AS text, coalesce(lines_removed, 0)::INTEGER AS lines_removed
+FROM documents LEFT JOIN o ON documents.doc_id = o.doc_id
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), window=2, min_chars=20)
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), lambda i: ~held_out(i, 5, 0), threshold=0.3)
+    return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted", "prior")
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity_scores(docs, table(spark, sf_dir, "labels"), lambda i: ~held_out(i, 4, 2), threshold=0.3)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_of_documents(docs, ~held_out("doc_id", 4, 2))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_ppm_scores")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model_scores(table(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
+    return found.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+#: A public vocabulary with byte pieces; another model is named by the environment or the operator's parameter.
+PIECES = os.environ.get("RISKSPARK_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query("op9_pieces")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = PieceColumns(spark, PIECES)
+    found = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
+    return found.select("doc_id", "ids", "n_tokens", F.col("text").eqNullSafe(pieces.decode(F.col("ids"))).alias("round_trip"))
+
+
+@query("op10_embedding_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98
+), reach AS (
+  SELECT vec_id AS u, vec_id AS w FROM embeddings
+  UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u
+), comp AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u),
+deg AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(deg.n, 0)::BIGINT AS n_links, comp.component_id, e.vec_id = comp.component_id AS kept
+FROM embeddings e JOIN comp ON comp.u = e.vec_id LEFT JOIN deg ON deg.u = e.vec_id
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)

@@ -21,6 +21,8 @@ from riskspark.llm.common import written
 
 #: Rolling hash: sum of 40-bit line hashes times powers of BASE, modulo MOD.
 BASE, MOD = 31, (1 << 40) - 87
+#: Marks before the lines of a chunk.
+START, NEXT = "\x0b", " "
 
 
 def _line_hash(line: Column) -> Column:
@@ -39,9 +41,10 @@ def _times(factor: int):
 
 
 def with_chunks(df: DataFrame, text: Column, window: int = 2) -> DataFrame:
-    """``df`` with ``_chunks``: the text's chunks, each line of them marked C (first of its chunk) or L.
+    """``df`` with ``_chunks``: the text's chunks, each line of them after a mark, START (first of its chunk) or NEXT.
 
-    The marks make the form reversible (``unmarked``) whatever the text holds.
+    The marks make the form reversible (``unmarked``) whatever the text holds;
+    being white space themselves, they do not count as a line's characters.
     Each array is a column of its own, so none is computed inside another's lambda.
     """
     out = df.withColumn("_lines", F.split(text, "\n", -1))
@@ -55,8 +58,8 @@ def with_chunks(df: DataFrame, text: Column, window: int = 2) -> DataFrame:
     after = F.concat(F.slice("_r", F.lit(2), F.size("_r")), F.array(F.lit(None).cast("long")))
     out = out.withColumn("_cut", F.zip_with(falls, after, lambda r, nxt: F.coalesce(r <= nxt, F.lit(False))))
     out = out.withColumn("_start", _shifted(F.col("_cut"), 1, F.lit(True)))
-    marked = F.zip_with("_lines", "_start", lambda line, start: F.concat(F.when(start, F.lit("C")).otherwise(F.lit("L")), line))
-    return out.withColumn("_chunks", F.split(F.array_join(marked, "\n"), "\n(?=C)", -1)).drop("_lines", "_h", "_r", "_cut", "_start")
+    marked = F.zip_with("_lines", "_start", lambda line, start: F.concat(F.when(start, F.lit(START)).otherwise(F.lit(NEXT)), line))
+    return out.withColumn("_chunks", F.split(F.array_join(marked, "\n"), f"\n(?={START})", -1)).drop("_lines", "_h", "_r", "_cut", "_start")
 
 
 def unmarked(chunks: Column) -> Column:
@@ -86,14 +89,16 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     several = texts.where(F.instr("t", "\n") > 0)
 
     chunk = F.col("chunk")
-    eligible = F.contains(chunk, F.lit("\n")) & (F.length(F.regexp_replace(chunk, r"(?m)^[CL]|\s", "")) >= min_chars)
+    # the pattern stops at the character that decides
+    eligible = F.contains(chunk, F.lit("\n")) & chunk.rlike(rf"^(?:\s*\S){{{min_chars}}}")
     places = written(with_chunks(several, F.col("t"), window)
                      .select("k", F.posexplode("_chunks").alias("at", "chunk"))
                      .select("k", "at", F.when(eligible, F.unhex(F.md5("chunk"))).alias("digest")))
 
     spot = F.struct("k", "at")
     repeated = places.where("digest is not null").groupBy("digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first < last").select("digest", "first")
-    marked = places.join(repeated, "digest", "left")
+    # chunks without a digest, of one line or few characters, have nothing to be joined to
+    marked = places.where("digest is not null").join(repeated, "digest", "left").unionByName(places.where("digest is null"), allowMissingColumns=True)
 
     def per_document(flag: Column) -> DataFrame:
         """One array per document, in the order of its chunks, for documents where a flag is set."""

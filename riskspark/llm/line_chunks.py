@@ -91,8 +91,9 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     chunk = F.col("chunk")
     # the pattern stops at the character that decides
     eligible = F.contains(chunk, F.lit("\n")) & chunk.rlike(rf"^(?:\s*\S){{{min_chars}}}")
+    # the outer form: no text has no chunk, and the plain one would add a filter that computes the chunks twice more
     places = written(with_chunks(several, F.col("t"), window)
-                     .select("k", F.posexplode("_chunks").alias("at", "chunk"))
+                     .select("k", F.posexplode_outer("_chunks").alias("at", "chunk"))
                      .select("k", "at", F.when(eligible, F.unhex(F.md5("chunk"))).alias("digest")))
 
     spot = F.struct("k", "at")
@@ -107,7 +108,7 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     wanted = per_document(F.when(F.col("first").isNotNull(), F.col("digest")))
     held = with_chunks(several.join(wanted, "k"), F.col("t"), window)
-    pairs = held.select(F.explode(F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.struct(f["x"].alias("digest"), c.alias("chunk")))))).alias("p"))
+    pairs = held.select(F.explode_outer(F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.struct(f["x"].alias("digest"), c.alias("chunk")))))).alias("p"))
     same = pairs.select("p.digest", "p.chunk").groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a = b").select("digest", F.lit(True).alias("same"))
 
     gone = written(marked.where("first is not null").where(spot != F.col("first")).join(same, "digest").select("k", "at").distinct())

@@ -32,6 +32,10 @@ END, BITS = 257, 9
 SYMBOLS = 257
 MASK = (1 << BITS) - 1
 CHUNK = 1 << 21
+#: Contexts whose rows are computed at once.
+BLOCK = 4096
+#: Documents whose results are sent at once.
+SENT_ROWS = 512
 
 
 def model_words(text: bytes | None) -> list[bytes]:
@@ -162,24 +166,36 @@ class Tables:
         for length in range(2, trie.order + 2):
             g, c = trie.grams[length - 1], trie.counts[length - 1]
             ctx, at = np.unique(g >> BITS, return_inverse=True)
-            n = np.zeros((len(ctx), a), np.float32)
-            n[at, self.code[g & MASK]] = c
-            mask = (1 << (BITS * (length - 2))) - 1
-            suffix = np.searchsorted(contexts, ctx & mask)
-            seen = n > 0
-            q, t = seen.sum(1, keepdims=True), n.sum(1, keepdims=True, dtype=np.float64)
-            left = np.where(seen, 0, counts[suffix])
-            fresh, rest = (left > 0).sum(1, keepdims=True), left.sum(1, keepdims=True, dtype=np.float64)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                under = np.where(fresh > 0, np.where(left > 0, np.log10((left - 0.5) / rest), np.log10(fresh / 2 / rest) + low[suffix]), low[suffix])
-                row = np.where(seen, np.log10((n - 0.5) / t), np.log10(q / 2 / t) + under)
+            suffix = np.searchsorted(contexts, ctx & ((1 << (BITS * (length - 2))) - 1))
+            last_level = length == trie.order + 1
+            rows = np.empty((len(ctx), a), np.float32)
+            # only a longer level needs these
+            all_n, all_low = (np.empty((0 if last_level else len(ctx), a), np.float32) for _ in range(2))
+            for lo in range(0, len(ctx), BLOCK):
+                hi = min(len(ctx), lo + BLOCK)
+                own = slice(*np.searchsorted(at, (lo, hi)))
+                n = np.zeros((hi - lo, a), np.float32)
+                n[at[own] - lo, self.code[g[own] & MASK]] = c[own]
+                rows[lo:hi], under = self._rows(n, counts[suffix[lo:hi]], low[suffix[lo:hi]])
+                if not last_level:
+                    all_n[lo:hi], all_low[lo:hi] = n, under
             # step[length - 2][context, symbol]: the context one longer
-            prefix, last = np.searchsorted(contexts, ctx >> BITS), self.code[ctx & MASK]
             step = np.full((len(contexts) + 1, a), len(ctx), np.int32)
-            step[prefix, last] = np.arange(len(ctx))
+            step[np.searchsorted(contexts, ctx >> BITS), self.code[ctx & MASK]] = np.arange(len(ctx))
             self.step.append(step)
-            self.rows.append(row.astype(np.float32))
-            contexts, counts, low = ctx, n, under.astype(np.float32)
+            self.rows.append(rows)
+            contexts, counts, low = ctx, all_n, all_low
+
+    @staticmethod
+    def _rows(n: np.ndarray, counts: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities of some contexts, and those once what they have seen is excluded, from the counts of their suffixes."""
+        seen = n > 0
+        q, t = seen.sum(1, keepdims=True), n.sum(1, keepdims=True, dtype=np.float64)
+        left = np.where(seen, 0, counts)
+        fresh, rest = (left > 0).sum(1, keepdims=True), left.sum(1, keepdims=True, dtype=np.float64)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            under = np.where(fresh > 0, np.where(left > 0, np.log10((left - 0.5) / rest), np.log10(fresh / 2 / rest) + low), low)
+            return np.where(seen, np.log10((n - 0.5) / t), np.log10(q / 2 / t) + under), under
 
     def log10(self, s: np.ndarray) -> float:
         """Log10 probability of symbols after their pads; a very long text is looked up in parts."""
@@ -283,21 +299,20 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
 
     def look(batches):
         known = dict(zip(common.value[0], common.value[1].tolist(), strict=True))
-        for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        for b in (b.slice(at, SENT_ROWS) for b in batches for at in range(0, b.num_rows, SENT_ROWS)):
+            cols: list[list] = [[] for _ in kinds]
             for x in b.column(0):
                 w = model_words(x.as_buffer().to_pybytes() if x.is_valid else None)
                 own = Counter(w)
-                rest = [(k, n) for k, n in own.items() if k not in known]
-                s = symbols(w, order)
-                # summed by size, so that equal texts have equal sums
+                rest = [k for k in own if k not in known]
+                # summed exactly, so that equal texts have equal sums
                 logs = math.fsum(n * math.log10(known[k] + 1) for k, n in own.items() if k in known)
-                row = (len(w) + 1, sum(n for k, n in own.items() if k in known) + (ends > 0), logs + math.log10(ends + 1),
-                       model.built(Tables).log10(s) if model else adaptive_log10(w, order), [k for k, _ in rest], [n for _, n in rest])
-                for c, v in zip(cols, row):
+                s = model.built(Tables).log10(symbols(w, order)) if model else adaptive_log10(w, order)
+                times = [own[k] for k in rest]
+                for c, v in zip(cols, (len(w) + 1, len(w) - sum(times) + (ends > 0), logs + math.log10(ends + 1), s, rest, times)):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([b.column(1), *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())))]],
-                                             names=["id", "n_tokens", "known", "logs", "score", "words", "times"])
+            yield pa.RecordBatch.from_arrays([b.column(1), *map(pa.array, cols, kinds)], names=["id", "n_tokens", "known", "logs", "score", "words", "times"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     # what becomes of a document, once: rows are numbered where they are written

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -52,82 +52,92 @@ class Vocabulary:
                    tuple(byte) if all(map(sp.is_byte, byte)) else (), sp.unk_id())
 
 
-@dataclass
+def joined_characters(pieces: list[str]) -> str:
+    """The largest set of characters (U+2581 aside) that pieces chain together; no piece joins one of them to one outside."""
+    above: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while above.setdefault(c, c) != c:
+            above[c] = c = above[above[c]]
+        return c
+
+    for p in pieces:
+        for x, y in zip(p, p[1:]):
+            if SPACE not in (x, y):
+                above[top(x)] = top(y)
+    sets: dict[str, list[str]] = {}
+    for c in list(above):
+        sets.setdefault(top(c), []).append(c)
+    return "".join(sorted(max(sets.values(), key=lambda s: (len(s), s), default=[])))
+
+
 class Codec:
-    """Encoder and decoder of one process; ``cache`` remembers short units and is emptied when full."""
+    """Encoder and decoder of one process.
 
-    vocab: Vocabulary
-    cache_size: int = 1 << 17
-    cache: dict = field(default_factory=dict)
+    A text falls into units at places that no piece crosses, so its best
+    segmentation is that of its units, one after another.  Short units are
+    remembered in two generations of at most ``cache_size`` each: when the young
+    one is full it becomes the old one, so frequent units stay.
+    """
 
-    def __post_init__(self):
-        v = self.vocab
+    def __init__(self, vocab: Vocabulary, cache_size: int = 1 << 18):
+        self.vocab, self.cache_size = vocab, cache_size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        usable = [(p, s, i) for i, (p, s, ok) in enumerate(zip(vocab.pieces, vocab.scores, vocab.usable)) if ok and p]
         self.auto = ahocorasick.Automaton()
-        for i, (p, s, ok) in enumerate(zip(v.pieces, v.scores, v.usable)):
-            if ok and p:
-                self.auto.add_word(p, (i, len(p), s))
-        if len(self.auto):
+        for p, s, i in usable:
+            self.auto.add_word(p, (i, len(p), s))
+        if usable:
             self.auto.make_automaton()
-        usable = [p for p, ok in zip(v.pieces, v.usable) if ok]
-        self.penalty = min((s for s, ok in zip(v.scores, v.usable) if ok), default=0.0) - UNKNOWN_COST
-        # No piece crosses these places, so a text's best segmentation is that of its units, one after another.
-        crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in usable)
-        newline = any("\n" in p for p in usable)
-        self.units = None if crossing or newline else re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-        byte_of = {i: bytes([b]) for b, i in enumerate(v.bytes)}
-        self.raw = [byte_of.get(i) or p.replace(SPACE, " ").encode() for i, p in enumerate(v.pieces)]
+        self.penalty = min((s for _, s, _ in usable), default=0.0) - UNKNOWN_COST
+        self.singles = frozenset(p for p, _, _ in usable if len(p) == 1)
+        self.sizes = [len(p) for p in vocab.pieces]
+        names = [p for p, _, _ in usable]
+        self.units = None
+        if not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in names):
+            joined = re.escape(joined_characters(names)) or "a"
+            self.units = re.compile(f"{SPACE}*(?:[{joined}]+|[^{joined}{SPACE}]+)|{SPACE}+")
+        byte_of = {i: bytes([b]) for b, i in enumerate(vocab.bytes)}
+        self.raw = [byte_of.get(i) or p.replace(SPACE, " ").encode() for i, p in enumerate(vocab.pieces)]
 
     def best(self, unit: str) -> bytes:
-        """Ids of the unit's best segmentation, as int32 bytes."""
-        n = len(unit)
-        score = [0.0] + [float("-inf")] * n
-        back = [(0, 0)] * (n + 1)
-        at = 0  # places up to here are final
-
-        def close(upto: int) -> None:
-            # a character that no single piece covers can always be bytes
-            nonlocal at
-            while at < upto:
-                at += 1
-                if not single[at]:
-                    s = score[at - 1] + self.penalty
-                    if s > score[at]:
-                        score[at], back[at] = s, (-1, 1)
-
-        single = [False] * (n + 1)
-        if len(self.auto):
-            here, found = 0, []
-            for end, hit in self.auto.iter(unit):
-                if end + 1 != here:
-                    self._relax(here, found, score, back, single, close)
-                    here, found = end + 1, []
-                found.append(hit)
-            self._relax(here, found, score, back, single, close)
-        close(n)
+        """Ids of the unit's best segmentation, as int32 bytes: one pass of the automaton, relaxing along its output links."""
+        n, low = len(unit), float("-inf")
+        score, back = [0.0] + [low] * n, [-1] * (n + 1)
+        hits = self.auto.iter(unit) if len(self.auto) else ()
+        if self.singles.issuperset(unit):
+            # hits come by the place they end at, the longest first; a tie stays with the longer piece
+            for end, (piece, size, s) in hits:
+                total = score[end + 1 - size] + s
+                if total > score[end + 1]:
+                    score[end + 1], back[end + 1] = total, piece
+        else:
+            # a character that has no piece of its own is an edge of its bytes
+            at = 0
+            for end, (piece, size, s) in hits:
+                while at < end:
+                    self._unknown(unit, at, score, back)
+                    at += 1
+                total = score[end + 1 - size] + s
+                if total > score[end + 1]:
+                    score[end + 1], back[end + 1] = total, piece
+            for at in range(at, n):
+                self._unknown(unit, at, score, back)
         out, i = [], n
         while i:
-            piece, size = back[i]
+            piece = back[i]
             if piece >= 0:
                 out.append(piece)
-            elif self.vocab.bytes:
-                out.extend(reversed(self._bytes(unit[i - 1])))
+                i -= self.sizes[piece]
             else:
-                out.append(self.vocab.unknown)
-            i -= size
+                out.extend(reversed(self._bytes(unit[i - 1])) if self.vocab.bytes else [self.vocab.unknown])
+                i -= 1
         return array("i", reversed(out)).tobytes()
 
-    @staticmethod
-    def _relax(here, found, score, back, single, close) -> None:
-        """The pieces that end at ``here``, longest first; earlier places are final by then."""
-        if not found:
-            return
-        close(here - 1)
-        for piece, size, s in found:
-            if size == 1:
-                single[here] = True
-            total = score[here - size] + s
-            if total > score[here]:
-                score[here], back[here] = total, (piece, size)
+    def _unknown(self, unit: str, at: int, score: list[float], back: list[int]) -> None:
+        if unit[at] not in self.singles and score[at] + self.penalty > score[at + 1]:
+            score[at + 1], back[at + 1] = score[at] + self.penalty, -1
 
     def encode(self, text: str) -> bytes:
         """Ids as int32 bytes; nothing for an empty text."""
@@ -147,15 +157,17 @@ class Codec:
     def _plain(self, text: str) -> bytes:
         if self.units is None:
             return self.best(text)
-        cache, out = self.cache, []
+        young, out = self.young, []
         for unit in self.units.findall(text):
-            ids = cache.get(unit)
+            ids = young.get(unit)
             if ids is None:
-                ids = self.best(unit)
+                ids = self.old.get(unit)
+                if ids is None:
+                    ids = self.best(unit)
                 if len(unit) <= 64:
-                    if len(cache) >= self.cache_size:
-                        cache.clear()
-                    cache[unit] = ids
+                    if len(young) >= self.cache_size:
+                        self.old, self.young = young, (young := {})
+                    young[unit] = ids
             out.append(ids)
         return b"".join(out)
 

@@ -158,7 +158,7 @@ def test_vocabulary_without_bytes_or_pieces():
 def test_cache_is_bounded(vocab):
     codec = Codec(vocab, cache_size=5)
     a = [codec.encode(f"word{i} again") for i in range(50)]
-    assert len(codec.cache) <= 5 and a == [Codec(vocab).encode(f"word{i} again") for i in range(50)]
+    assert len(codec.young) <= 5 and len(codec.old) <= 5 and a == [Codec(vocab).encode(f"word{i} again") for i in range(50)]
 
 
 def test_encode_documents(spark):

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ class Codec:
             joined = re.escape(joined_characters(names)) or "a"
             self.units = re.compile(f"{SPACE}*(?:[{joined}]+|[^{joined}{SPACE}]+)|{SPACE}+")
         byte_of = {i: bytes([b]) for b, i in enumerate(vocab.bytes)}
-        self.raw = [byte_of.get(i) or p.replace(SPACE, " ").encode() for i, p in enumerate(vocab.pieces)]
+        self.raw = pa.array([byte_of.get(i) or p.replace(SPACE, " ").encode() for i, p in enumerate(vocab.pieces)], pa.large_binary())
 
     def best(self, unit: str) -> bytes:
         """Ids of the unit's best segmentation, as int32 bytes: one pass of the automaton, relaxing along its output links."""
@@ -157,24 +158,34 @@ class Codec:
     def _plain(self, text: str) -> bytes:
         if self.units is None:
             return self.best(text)
-        young, out = self.young, []
-        for unit in self.units.findall(text):
-            ids = young.get(unit)
-            if ids is None:
-                ids = self.old.get(unit)
-                if ids is None:
-                    ids = self.best(unit)
-                if len(unit) <= 64:
-                    if len(young) >= self.cache_size:
-                        self.old, self.young = young, (young := {})
-                    young[unit] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def decode(self, ids) -> str:
-        raw = self.raw
-        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+        units = self.units.findall(text)
+        out = list(map(self.young.get, units))
+        at = -1
+        try:
+            # index() finds the units not known at the speed of a scan
+            while True:
+                at = out.index(None, at + 1)
+                out[at] = self._remembered(units[at])
+        except ValueError:
+            return b"".join(out)
+
+    def _remembered(self, unit: str) -> bytes:
+        ids = self.young.get(unit) or self.old.get(unit) or self.best(unit)
+        if len(unit) <= 64:
+            if len(self.young) >= self.cache_size:
+                self.old, self.young = self.young, {}
+            self.young[unit] = ids
+        return ids
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of many id lists that lie one after another; ``ends`` are the places where lists begin and end."""
+        taken = self.raw.take(pa.array(ids, pa.int32()))
+        # the pieces' bytes lie one after another as well
+        _, offsets, data = taken.buffers()
+        data = memoryview(data) if data is not None else b""
+        cuts = np.frombuffer(offsets, np.int64, len(taken) + 1)[ends].tolist()
+        texts = [str(data[i:j], "utf-8", "replace") for i, j in zip(cuts, cuts[1:])]
+        return [t[1:] if t[:1] == " " else t for t in texts]
 
 
 class PieceColumns:
@@ -204,7 +215,9 @@ class PieceColumns:
         @F.arrow_udf("string")
         def decode(v: pa.Array) -> pa.Array:
             codec = sent.built(Codec)
-            return pa.array([codec.decode(x.values.to_pylist()) if x.is_valid else None for x in v], pa.string())
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(v), 0).to_numpy(zero_copy_only=False))])
+            texts = codec.decode(v.flatten().to_numpy(zero_copy_only=False), ends)
+            return pa.array([t if ok else None for t, ok in zip(texts, v.is_valid().to_pylist())], pa.string())
 
         return decode(ids)
 

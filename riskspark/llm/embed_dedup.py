@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.llm.common import bucket_cells, components, sorted_groups, written
 
@@ -38,8 +39,10 @@ def block_edges(dim: int, blocks: int) -> list[tuple[int, int]]:
     return list(zip(edge, edge[1:]))
 
 
-def _units(raw) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+def _units(x: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision; scaled by the largest component first, so that tiny or huge vectors keep their length."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -65,10 +68,10 @@ def grid_rows(x: np.ndarray, budget: float, blocks: int, grid_dims: int):
                 yield rows, b, home[rows] + step, not step.any()
 
 
-def cell_links(g: dict[str, np.ndarray], block: int, cosine: float, blocks: int):
+def cell_links(g: dict[str, np.ndarray], block: int, cosine: float, blocks: int, kind: type):
     """Direct links found in one cell: (places u, v), each pair once."""
     home, slice_ = g["home"], g["_s"]
-    x = _units(g["v"])
+    x = _units(np.frombuffer(b"".join(g["v"]), kind).reshape(len(home), -1))
     dim = x.shape[1]
     budget = 2 - 2 * cosine
     z = x @ rotation(dim)
@@ -103,7 +106,7 @@ def cell_links(g: dict[str, np.ndarray], block: int, cosine: float, blocks: int)
 
 
 def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str | None = "label",
-                              cosine: float = 0.98, blocks: int = 8, grid_dims: int = 3, cell_rows: int = 2048) -> DataFrame:
+                              cosine: float = 0.98, blocks: int = 4, grid_dims: int = 3, cell_rows: int = 2048) -> DataFrame:
     """One row (id, n_links, component_id, kept) per input row.
 
     Vectors are compared where their labels are equal and not null (everywhere
@@ -119,8 +122,11 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     counting; a null id takes part but names no component.
     """
     dtype = vectors.schema[id_col].dataType
+    # single-precision input travels as such; all arithmetic is in double precision
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    kind, element = (np.float32, "float") if single else (np.float64, "double")
     v = F.col("vec")
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec"),
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{element}>").alias("vec"),
                           (F.col(label_col) if label_col else F.lit(0)).cast("string").alias("label"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce(v.isNotNull() & F.col("label").isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
@@ -144,13 +150,10 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
                 at = np.flatnonzero(dims == d)
                 own = b.take(pa.array(at))
                 flat = own.column("vec").flatten().to_numpy().reshape(len(at), d)
-                # scaled by the largest component first, so that tiny or huge vectors keep their length
-                unit = flat / np.abs(flat).max(1, keepdims=True)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                raw = [r.tobytes() for r in unit]
+                raw = [r.tobytes() for r in flat]
                 label = own.column("label")
                 node, copies = (own.column(c).to_numpy() for c in ("node", "copies"))
-                for r, block, cell, home in grid_rows(unit, budget, blocks, grid_dims):
+                for r, block, cell, home in grid_rows(_units(flat), budget, blocks, grid_dims):
                     n = len(r)
                     cell = np.pad(cell, ((0, 0), (0, 4 - cell.shape[1])))
                     yield pa.RecordBatch.from_arrays(
@@ -169,7 +172,7 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
             n = len(g["node"])
             met, parent = np.zeros(n, np.int64), np.arange(n)
             hit = False
-            for a, c in cell_links(g, int(g["block"][0]), cosine, blocks):
+            for a, c in cell_links(g, int(g["block"][0]), cosine, blocks, kind):
                 if not len(a):
                     continue
                 hit = True

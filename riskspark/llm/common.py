@@ -3,6 +3,11 @@ stream, buckets cut into bounded cells, and connected components."""
 
 from __future__ import annotations
 
+import atexit
+import os
+import pathlib
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -11,9 +16,35 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import riskspark
 from riskspark.session import ensure_checkpoint_dir
 
 
+_READY: set[str] = set()
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Makes sure, once per application, that Python workers can import this package; ships it if they can't."""
+    app = spark.sparkContext.applicationId
+    if app in _READY:
+        return
+    _READY.add(app)
+
+    def found(batches):
+        import importlib.util
+
+        import pyarrow
+        for _ in batches:
+            yield pyarrow.RecordBatch.from_arrays([pyarrow.array([importlib.util.find_spec("riskspark") is not None])], names=["found"])
+
+    if not spark.range(1).mapInArrow(found, "found boolean").first()[0]:
+        root = pathlib.Path(riskspark.__file__).parent
+        # Spark's file server reads it for as long as the application runs
+        folder = os.path.realpath(tempfile.mkdtemp())
+        atexit.register(shutil.rmtree, folder, True)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/riskspark", "zip", root.parent, root.name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -25,6 +56,7 @@ def written(df: DataFrame) -> DataFrame:
     costs only its own tasks.  The folder goes when the application ends.
     """
     spark = df.sparkSession
+    ready_workers(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -37,6 +69,7 @@ class Sent:
     """A broadcast value of bounded size; ``built`` makes something from it once per Python worker."""
 
     def __init__(self, spark: SparkSession, value):
+        ready_workers(spark)
         self.broadcast = spark.sparkContext.broadcast(value)
         self.number = self.broadcast._jbroadcast.id()
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import Sent
+from riskspark.llm.common import Sent, ready_workers
 
 UNKNOWN = "und"
 BLANK = 32
@@ -102,6 +102,7 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
                 if len(g):
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g), pa.array(n)], names=["lang", "gram", "n"])
 
+    ready_workers(docs.sparkSession)
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t"))
     counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # in two steps, so that the n-grams of one language are never ordered in one task

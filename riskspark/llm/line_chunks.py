@@ -97,7 +97,8 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
                      .select("k", "at", F.when(eligible, F.unhex(F.md5("chunk"))).alias("digest")))
 
     spot = F.struct("k", "at")
-    repeated = places.where("digest is not null").groupBy("digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first < last").select("digest", "first")
+    # written, so that the joins on a hot digest shuffle both sides and can be split
+    repeated = written(places.where("digest is not null").groupBy("digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first < last").select("digest", "first"))
     # chunks without a digest, of one line or few characters, have nothing to be joined to
     marked = places.where("digest is not null").join(repeated, "digest", "left").unionByName(places.where("digest is null"), allowMissingColumns=True)
 
@@ -109,7 +110,7 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     wanted = per_document(F.when(F.col("first").isNotNull(), F.col("digest")))
     held = with_chunks(several.join(wanted, "k"), F.col("t"), window)
     pairs = held.select(F.explode_outer(F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.struct(f["x"].alias("digest"), c.alias("chunk")))))).alias("p"))
-    same = pairs.select("p.digest", "p.chunk").groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a = b").select("digest", F.lit(True).alias("same"))
+    same = written(pairs.select("p.digest", "p.chunk").groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a = b").select("digest"))
 
     gone = written(marked.where("first is not null").where(spot != F.col("first")).join(same, "digest").select("k", "at").distinct())
     marked = places.join(gone.withColumn("x", F.lit(True)), ["k", "at"], "left")

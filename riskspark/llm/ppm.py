@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import Sent, written
+from riskspark.llm.common import Sent, ready_workers, written
 
 #: Symbols: 0 pads the start of a text (context only), 1 to 256 are bytes, 257 ends a text.
 END, BITS = 257, 9
@@ -264,6 +264,7 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
     if mode not in ("pretrained", "adaptive"):
         raise ValueError(mode)
     spark = docs.sparkSession
+    ready_workers(spark)
     raw = F.col(text_col).cast("binary")
     learn = docs.where(F.coalesce(train_on, F.lit(False))).select(raw.alias("t"))
 

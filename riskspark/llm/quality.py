@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import written
+from riskspark.llm.common import ready_workers, written
 
 PART = 1 << 20
 #: Byte classes whose shares of the text are features.
@@ -239,6 +239,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train: Callable[[Column],
     An empty or null text scores 0: it holds nothing of quality.  Without any
     positive there is no model and every other text scores 0.5.
     """
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(~F.col(text_col).rlike(r"\S"), F.lit(True)).alias("empty"), feature_column(F.col(text_col)).alias("x"))
     table = written(rows)
     known = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id"), F.lit(True).alias("positive")).distinct()

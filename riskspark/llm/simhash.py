@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import bucket_cells, components, sorted_groups, written
+from riskspark.llm.common import bucket_cells, components, ready_workers, sorted_groups, written
 
 SEED = 42
 PART = 1 << 20
@@ -106,6 +106,7 @@ def near_stars(fp: np.ndarray, max_distance: int) -> tuple[list[int], list[int]]
 
 def fingerprint_links(fps: DataFrame, max_distance: int = 3, blocks: int = 6, cell_rows: int = 2048) -> DataFrame:
     """Links (u, v) that connect exactly the fingerprints within ``max_distance`` bits, from distinct ``fp`` longs."""
+    ready_workers(fps.sparkSession)
     masks = block_masks(blocks, max_distance)
     keyed = fps.select(
         "fp", F.explode(F.array(*[F.struct(F.lit(i).cast("short").alias("c"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)])).alias("k")
@@ -133,6 +134,7 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     component: ``component_id`` is null where a whole component has no id.  An
     empty table gives an empty result.  Other columns of ``docs`` are not read.
     """
+    ready_workers(docs.sparkSession)
     prints = written(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp")))
     distinct = prints.groupBy("fp").agg(F.min("id").alias("low"))
     roots = components(fingerprint_links(distinct.select("fp"), max_distance, blocks, cell_rows))

@@ -8,6 +8,8 @@ rows per group.  Nothing here sorts raw rows globally or loops over jobs.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -186,9 +188,8 @@ def generalisation_gap(panel: DataFrame, by: str, base: str, other: str, metrics
                      F.round(F.col(base) - F.col(other), 6).alias("gap"))
 
 
-# Poisson(1) cumulative probabilities P(K <= k), k = 0..7, for bootstrap weights.
-POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238463,
-                0.9963401531726563, 0.9994058151824183, 0.9999167588507836, 0.9999898508446201]
+# Poisson(1) cumulative probabilities P(K <= k), as far as a 32-bit draw can tell them from 1.
+POISSON1_CDF = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(13)]
 
 
 def poisson_weight(key: str, b: Column, salt: str = ":boot") -> Column:

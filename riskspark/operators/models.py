@@ -150,16 +150,18 @@ def score_frame(df: DataFrame, model, medians: DataFrame, features: list[str], p
     return scored.withColumn("band", band("p_cal", list(cuts), list(labels)))
 
 
-def grouped_platt(df: DataFrame, group: str, score: str, label: str = "y", iters: int = 12) -> DataFrame:
+def grouped_platt(df: DataFrame, group: str, score: str, label: str = "y", iters: int = 50, tolerance: float = 1e-8) -> DataFrame:
     """CAL-01 per group (CAL-06): Platt parameters (a, b) of sigmoid(a·s + b) for every
     group at once by Newton's method.  Each iteration is one aggregation of the
     gradient and the 2×2 Hessian per group, followed by a closed-form solve on the
-    (group-sized) parameter table — a fixed number of passes, not a loop over groups."""
+    (group-sized) parameter table.  Passes end when no group moves by more than
+    ``tolerance``; ``converged`` tells the groups that still did after ``iters``
+    passes or whose Hessian is singular (one class, one score)."""
     from riskspark.session import cut_lineage
     d = cut_lineage(df.select(group, F.col(score).cast("double").alias("_s"), F.col(label).cast("double").alias("_y")))
-    theta = d.select(group).distinct().withColumn("a", F.lit(1.0)).withColumn("b", F.lit(0.0))
+    theta = d.select(group).distinct().withColumn("a", F.lit(1.0)).withColumn("b", F.lit(0.0)).withColumn("converged", F.lit(False))
     for _ in range(iters):
-        j = d.join(theta, group)
+        j = d.join(theta.drop("converged"), group)
         mu = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("_s") + F.col("b"))))
         w = mu * (F.lit(1.0) - mu)
         g = j.groupBy(group).agg(
@@ -170,5 +172,12 @@ def grouped_platt(df: DataFrame, group: str, score: str, label: str = "y", iters
         da = F.try_divide(F.col("hbb") * F.col("ga") - F.col("hab") * F.col("gb"), det)
         db = F.try_divide(F.col("haa") * F.col("gb") - F.col("hab") * F.col("ga"), det)
         theta = cut_lineage(g.select(group, (F.col("a") + F.coalesce(da, F.lit(0.0))).alias("a"),
-                                     (F.col("b") + F.coalesce(db, F.lit(0.0))).alias("b")))
+                                     (F.col("b") + F.coalesce(db, F.lit(0.0))).alias("b"),
+                                     F.coalesce(F.greatest(F.abs(da), F.abs(db)) <= tolerance, F.lit(False)).alias("converged"),
+                                     F.coalesce(F.greatest(F.abs(da), F.abs(db)) > tolerance, F.lit(False)).alias("_moving")))
+        # singular groups stand still: they are reported, not waited for
+        moving = theta.where("_moving").limit(1).count()
+        theta = theta.drop("_moving")
+        if not moving:
+            break
     return theta

@@ -98,7 +98,9 @@ c AS (SELECT batch_day, feature, s,
 WITH {MON}, {LG}, {CDF2}, k AS (SELECT batch_day, feature, max(abs(cpos / tp - cneg / tn)) AS ks, max(tp) AS n_act, max(tn) AS n_ref FROM c GROUP BY batch_day, feature),
 l AS (SELECT *, (sqrt(n_act * n_ref / (n_act + n_ref)) + 0.12 + 0.11 / sqrt(n_act * n_ref / (n_act + n_ref))) * ks AS lam FROM k)
 SELECT batch_day, feature, round(ks, 6) AS ks, CAST(n_act AS BIGINT) AS n_act, CAST(n_ref AS BIGINT) AS n_ref,
-  round(least(greatest(2.0 * list_sum(list_transform(range(1, 101), lambda j: pow(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam))), 0.0), 1.0), 6) AS p_value FROM l""")
+  round(least(greatest(CASE WHEN lam < 0.04 THEN 1.0
+    WHEN lam < 1.18 THEN 1.0 - sqrt(2.0 * pi()) / lam * list_sum(list_transform(range(1, 21), lambda j: exp(-(2.0 * j - 1) * (2.0 * j - 1) * pi() * pi() / (8.0 * lam * lam))))
+    ELSE 2.0 * list_sum(list_transform(range(1, 101), lambda j: pow(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam))) END, 0.0), 1.0), 6) AS p_value FROM l""")
 def q_drift04(spark, sf):
     """DRIFT-04: two-sample KS (exact statistic) with the asymptotic p-value."""
     ref, act = long_frames(spark, sf)

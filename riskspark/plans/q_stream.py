@@ -14,7 +14,7 @@ from riskspark.streaming import stream as st
 
 
 def events_stream(spark, sf):
-    return st.file_stream(spark, sf, glob="events.parquet")
+    return st.table_stream(spark, sf, "events")
 
 
 @register("st01_daily_windows", """
@@ -40,7 +40,7 @@ WITH s AS (SELECT o_orderstatus, round(round(0.02 + 0.96 * o_totalprice / 500000
 SELECT o_orderstatus, CASE WHEN p < 0.2 THEN 'GREEN' WHEN p < 0.4 THEN 'AMBER' ELSE 'RED' END AS band, count(*) AS n FROM s GROUP BY ALL""")
 def q_st03(spark, sf):
     """ST-03: the scorer's column expressions on a stream of applications, appended to a Parquet sink."""
-    o = st.file_stream(spark, sf, glob="orders.parquet")
+    o = st.table_stream(spark, sf, "orders")
     p_raw = F.round(F.lit(0.02) + F.lit(0.96) * F.col("o_totalprice") / F.lit(500000.0), 6)
     s = o.select("o_orderkey", "o_orderstatus", F.round(p_raw * p_raw, 6).alias("p"))
     s = s.withColumn("band", X.band("p", X.THREE_CUTS, X.THREE_BANDS))
@@ -48,15 +48,20 @@ def q_st03(spark, sf):
     return out.groupBy("o_orderstatus", "band").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("st04_delayed_label_join")
+@register("st04_delayed_label_join", """
+WITH m AS (SELECT o_orderkey AS id, count(l_orderkey) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'
+  AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 120 DAY GROUP BY o_orderkey)
+SELECT CAST(k > 0 AS INTEGER) AS matched, count(*) AS n, CAST(sum(k) AS BIGINT) AS outcomes FROM m GROUP BY ALL""")
 def q_st04(spark, sf):
-    """ST-04: stream-stream outer join of decisions with returned lines inside 120 days (rows-only:
-    unmatched rows near the end of the input wait for the watermark)."""
-    s = st.file_stream(spark, sf, glob="orders.parquet").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("score_ts"))
-    o = st.file_stream(spark, sf, glob="lineitem.parquet").where(F.col("l_returnflag") == "R") \
+    """ST-04: stream-stream join of decisions with returned lines inside 120 days; decisions without
+    an outcome are told by the log of decisions, not by waiting for a watermark that the end of the input never brings."""
+    s = st.table_stream(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("score_ts"))
+    o = st.table_stream(spark, sf, "lineitem").where(F.col("l_returnflag") == "R") \
           .select(F.col("l_orderkey").alias("oid"), F.col("l_shipdate").cast("timestamp").alias("outcome_ts"))
     out = st.run_to_table(st.outcome_join(s, o).select("id", "score_ts", "outcome_ts"), "st04", mode="append")
-    return out.groupBy((F.col("outcome_ts").isNotNull()).cast("int").alias("matched")).agg(F.count(F.lit(1)).alias("n"))
+    k = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")).join(out.groupBy("id").agg(F.count(F.lit(1)).alias("k")), "id", "left")
+    k = k.withColumn("k", F.coalesce("k", F.lit(0)))
+    return k.groupBy((F.col("k") > 0).cast("int").alias("matched")).agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("outcomes"))
 
 
 @register("st05_consecutive_alert_state", f"""{PSI_HEAD},
@@ -71,17 +76,16 @@ def q_st05(spark, sf):
     p = dr.psi(ref, act, "batch_day").select("feature", "batch_day", "psi")
     src = st.scratch(spark, "st05-src")
     p.write.parquet(src)
-    out = st.run_to_table(st.consecutive_alerts(st.file_stream(spark, src)), "st05", mode="append")
+    out = st.run_updates(st.consecutive_alerts(st.file_stream(spark, src)), "st05", ["feature", "batch_day"])
     return out.select("feature", "batch_day", F.round("psi", 6).alias("psi"), "consecutive", "action")
 
 
 @register("st06_dedupe_decision_log", "SELECT o_orderkey AS id FROM orders")
 def q_st06(spark, sf):
-    """ST-06: a decision log delivered twice (at-least-once); duplicates within the watermark are dropped."""
+    """ST-06: a decision log delivered twice (at-least-once); every id is logged once."""
     src = st.scratch(spark, "st06-src")
     d = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
     d.write.parquet(f"{src}/a")
     d.write.parquet(f"{src}/b")
     s = spark.readStream.schema(d.schema).option("recursiveFileLookup", True).parquet(src)
-    out = st.run_to_table(st.dedupe_decisions(s), "st06", mode="append")
-    return out.select("id")
+    return st.dedupe_decisions(s, "st06").select("id")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from riskspark.session import ensure_checkpoint_dir
@@ -49,6 +50,15 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files:
                        for f in schema.fields])
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of part files."""
+    root = sf_dir.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return file_stream(spark, f"{root}/{name}.parquet", max_files=max_files)
+    return file_stream(spark, root, max_files=max_files, glob=f"{name}.parquet")
+
+
 def run_to_table(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet") -> DataFrame:
     """Run a streaming DataFrame to the end of its input into a checkpointed sink; return the sink."""
     spark = df.sparkSession
@@ -79,40 +89,74 @@ def sliding_aggregates(events: DataFrame, length: str = "30 days", slide: str =
 
 
 def outcome_join(scores: DataFrame, outcomes: DataFrame, horizon_days: int = 120, delay: str = "30 days") -> DataFrame:
-    """ST-04: delayed labels as a stream-stream left outer join bounded in time;
-    outcomes later than the watermark are dropped by the engine."""
+    """ST-04: delayed labels as a stream-stream join bounded in time; outcomes later
+    than the watermark are dropped by the engine, so ``delay`` covers how late files come."""
     s = scores.withWatermark("score_ts", delay).alias("s")
     o = outcomes.withWatermark("outcome_ts", delay).alias("o")
     cond = (F.col("s.id") == F.col("o.oid")) & (F.col("o.outcome_ts") >= F.col("s.score_ts")) & \
            (F.col("o.outcome_ts") <= F.col("s.score_ts") + F.expr(f"INTERVAL {horizon_days} DAYS"))
-    return s.join(o, cond, "leftOuter")
+    return s.join(o, cond)
 
 
 RUN_SCHEMA = "feature string, batch_day int, psi double, consecutive long, action string"
-RUN_STATE = "run long, last_day int"
+RUN_STATE = "days array<int>, psis array<double>"
 
 
 def _runs(key, pdfs, state):
-    """ST-05 state handler: per feature, the current run of consecutive alert days."""
-    run, last = (state.get if state.exists else (0, -1))
-    out = []
-    rows = pd.concat(list(pdfs)).sort_values("batch_day")
-    for r in rows.itertuples(index=False):
-        if r.batch_day <= last:
-            continue
-        run = run + 1 if r.psi > 0.1 else 0
-        action = "RETIRE" if (run == 5 and r.psi > 0.3) else ("RETRAIN" if run == 2 else None)
-        out.append((key[0], int(r.batch_day), float(r.psi), int(run), action))
-        last = int(r.batch_day)
-    state.update((run, last))
+    """ST-05 state handler: the feature's days so far, one number each.  Days may come in any order
+    and number of batches: every day from the earliest new one on is given out (again)."""
+    known = dict(zip(*state.get)) if state.exists else {}
+    fresh = pd.concat(list(pdfs))
+    known.update(zip(fresh["batch_day"].astype(int).tolist(), fresh["psi"].astype(float).tolist()))
+    first, run, out = int(fresh["batch_day"].min()), 0, []
+    for day in sorted(known):
+        psi = known[day]
+        run = run + 1 if psi > 0.1 else 0
+        if day >= first:
+            action = "RETIRE" if (run == 5 and psi > 0.3) else ("RETRAIN" if run == 2 else None)
+            out.append((key[0], day, psi, run, action))
+    state.update((list(known), list(known.values())))
     yield pd.DataFrame(out, columns=["feature", "batch_day", "psi", "consecutive", "action"])
 
 
 def consecutive_alerts(psi_stream: DataFrame) -> DataFrame:
-    """ST-05: consecutive-alert counter kept in state per feature (batch twin: WIN-10)."""
-    return psi_stream.groupBy("feature").applyInPandasWithState(_runs, RUN_SCHEMA, RUN_STATE, "append", GroupStateTimeout.NoTimeout)
+    """ST-05: consecutive-alert counter kept in state per feature (batch twin: WIN-10).
+
+    An update stream: a day that comes late corrects the later days it changes
+    (``run_updates`` keeps the last row of each feature and day)."""
+    return psi_stream.groupBy("feature").applyInPandasWithState(_runs, RUN_SCHEMA, RUN_STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+def run_updates(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Run an update stream to the end of its input; the last row given out for each of ``keys``.
+
+    Each micro-batch owns one folder, so a batch that is run again replaces itself."""
+    out = run_epochs(df, name, lambda batch, epoch, log: batch, "update")
+    last = F.max(F.struct("epoch", *[c for c in df.columns if c not in keys])).alias("_last")
+    return out.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in df.columns if c not in keys])
+
+
+def run_epochs(df: DataFrame, name: str, make, mode: str) -> DataFrame:
+    """Run a stream whose batch ``n`` writes ``make(batch, n, log of earlier batches)`` to folder epoch=n; all of it."""
+    spark, schema = df.sparkSession, df.schema
+    logged = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    base = scratch(spark, name)
+
+    def log(before: int | None = None) -> DataFrame:
+        found = spark.read.schema(logged).option("basePath", f"{base}/out").parquet(f"{base}/out")
+        return found if before is None else found.where(F.col("epoch") < before)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        empty = spark.createDataFrame([], logged)
+        make(batch, epoch, log(epoch) if epoch else empty).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
+
+    df.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+    return log()
+
 
+def dedupe_decisions(decisions: DataFrame, name: str = "decisions", key: str = "id") -> DataFrame:
+    """ST-06: exactly-once decision log: a batch adds the ids that no earlier batch has.
 
-def dedupe_decisions(decisions: DataFrame, key: str = "id", ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """ST-06: exactly-once decision log — duplicates of a decision id within the watermark are dropped."""
-    return decisions.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    Exact whatever the order of arrival: an id is looked up in the log itself by an
+    anti-join, and nothing is given up behind a watermark."""
+    return run_epochs(decisions, name, lambda batch, epoch, log: batch.dropDuplicates([key]).join(log.select(key), key, "left_anti"), "append").drop("epoch")

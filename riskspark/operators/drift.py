@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.prefix import cumulate
+from riskspark.operators.quantiles import exact_quantiles
 
 # PSI smoothing and status cut-offs.
 PSI_EPS = 1e-8
@@ -33,7 +34,7 @@ def reference_edges(ref: DataFrame, n_bins: int = 10, by: list[str] | None = Non
     """(by..., feature, edges): reference quantile edges, outer edges widened by 1e-8."""
     by = by or []
     q = [i / n_bins for i in range(n_bins + 1)]
-    e = ref.where(F.col("v").isNotNull()).groupBy(*by, "feature").agg(F.percentile("v", q).alias("_q"))
+    e = exact_quantiles(ref, "v", q, [*by, "feature"], "_q")
     edges = F.concat(F.array(F.col("_q")[0] - F.lit(1e-8)), F.slice("_q", 2, n_bins - 1), F.array(F.col("_q")[n_bins] + F.lit(1e-8)))
     return e.select(*by, "feature", edges.alias("edges"))
 

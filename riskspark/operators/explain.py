@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from riskspark.operators.quantiles import exact_quantiles
 
 
 def contributions(df: DataFrame, coefs: dict[str, float], means: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def monotonicity_audit(df: DataFrame, features: dict[str, int], score: str, n_bi
     from riskspark.operators.drift import unpivot
     lg = unpivot(df, [score], list(features))
     q = [i / n_bins for i in range(1, n_bins)]
-    e = lg.groupBy("feature").agg(F.percentile("v", q).alias("edges"))
+    e = exact_quantiles(lg, "v", q, ["feature"], "edges")
     b = lg.join(e, "feature").withColumn("bin", F.size(F.filter("edges", lambda x: x < F.col("v"))))
     g = b.groupBy("feature", "bin").agg(F.avg(score).alias("mean_score"))
     sign = F.create_map(*[F.lit(x) for kv in features.items() for x in kv])

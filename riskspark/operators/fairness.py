@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators import metrics as mx
+from riskspark.operators.quantiles import exact_quantiles
 
 # Disparate-impact pass band and gap statuses (5 pp / 10 pp).
 DI_LOW, DI_HIGH = 0.80, 1.25
@@ -26,7 +27,7 @@ def group_metrics(df: DataFrame, group: str, score: str = "p", label: str = "y",
     pred = s >= F.lit(threshold)
     g = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(y), 6).alias("default_rate"),
-        F.round(F.avg(s), 6).alias("mean_score"), F.round(F.median(s), 6).alias("median_score"),
+        F.round(F.avg(s), 6).alias("mean_score"),
         F.round(F.stddev_pop(s), 6).alias("std_score"),
         F.round(F.avg((s < lo).cast("int")), 6).alias("approve_rate_zone"),
         F.round(F.avg(((s >= lo) & (s < hi)).cast("int")), 6).alias("review_rate"),
@@ -35,6 +36,8 @@ def group_metrics(df: DataFrame, group: str, score: str = "p", label: str = "y",
         F.round(F.try_divide(F.count_if(pred & (y == 1)), F.count_if(y == 1)), 6).alias("tpr"),
         F.round(F.try_divide(F.count_if(pred & (y == 1)), F.count_if(pred)), 6).alias("ppv"),
     )
+    med = exact_quantiles(df, score, [0.5], [group]).select(group, F.round(F.col("q")[0], 6).alias("median_score"))
+    g = g.join(med, group, "left")
     # grand total from the group-sized table itself (no second scan of the rows)
     g = g.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
     if with_ranking:

@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.drift import unpivot
+from riskspark.operators.quantiles import exact_quantiles
 
 
 def fit_medians(train: DataFrame, cols: list[str]) -> DataFrame:
     """AGG-08 / FE-01: one row with the exact median of each column (train rows)."""
-    return train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
+    med = exact_quantiles(unpivot(train, [], cols), "v", [0.5], ["feature"])
+    # one number per column: a column without any value has a null median
+    return med.agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[0])).alias(c) for c in cols])
 
 
 def apply_medians(df: DataFrame, medians: DataFrame, cols: list[str]) -> DataFrame:
@@ -69,7 +72,7 @@ def fit_woe(train: DataFrame, cols: list[str], label: str = "y", n_bins: int = 1
     (feature, bin, edges, n, bad, woe, iv) — iv repeated per feature row."""
     lg = unpivot(train, [label], cols)
     q = [i / n_bins for i in range(1, n_bins)]
-    e = lg.where(F.col("v").isNotNull()).groupBy("feature").agg(F.percentile("v", q).alias("edges"))
+    e = exact_quantiles(lg, "v", q, ["feature"], "edges")
     b = lg.join(e, "feature").withColumn("bin", F.when(F.col("v").isNotNull(), F.size(F.filter("edges", lambda x: x < F.col("v")))).otherwise(-1))
     g = b.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("bad"))
     w = Window.partitionBy("feature")

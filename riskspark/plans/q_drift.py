@@ -11,6 +11,7 @@ from riskspark.operators import metrics as mx
 from riskspark.operators import split as sp
 from riskspark.plans.catalog import register
 from riskspark.plans.frames import BATCHES_SQL, SCORED_SQL, daily_batches, scored, split_unit_sql
+from riskspark.operators.quantiles import exact_quantiles
 
 FEATS = ["f_value", "f_k", "f_hour"]
 SHIFT = [(7, -0.07), (14, -0.12)]
@@ -180,8 +181,8 @@ SELECT batch_day, feature, round(a[1], 6) AS p01, round(a[2], 6) AS p10, round(a
 def q_drift13(spark, sf):
     """DRIFT-13: tail percentile snapshots per batch next to the reference (one percentile agg each)."""
     ref, act = long_frames(spark, sf)
-    rp = ref.groupBy("feature").agg(F.percentile("v", PCTS).alias("r"))
-    ap = act.groupBy("batch_day", "feature").agg(F.percentile("v", PCTS).alias("a"))
+    rp = exact_quantiles(ref, "v", PCTS, ["feature"], "r")
+    ap = exact_quantiles(act, "v", PCTS, ["batch_day", "feature"], "a")
     j = ap.join(rp, "feature")
     return j.select("batch_day", "feature", *[F.round(F.col("a")[i], 6).alias(n) for i, n in enumerate(["p01", "p10", "p90", "p99"])],
                     F.round(F.col("a")[0] - F.col("r")[0], 6).alias("d01"), F.round(F.col("a")[3] - F.col("r")[3], 6).alias("d99"))

@@ -19,6 +19,7 @@ from riskspark.plans.frames import SCORED_SQL, model_scores, scored, split_unit_
 from riskspark.plans.q_drift import PSI_HEAD, long_frames
 from riskspark.session import cut_lineage
 from riskspark.sources.io import table
+from riskspark.operators.quantiles import exact_quantiles
 
 ROW_SPLIT = f"CASE WHEN {split_unit_sql('id')} < 0.2 THEN 'test' WHEN {split_unit_sql('id')} < 0.4 THEN 'val' ELSE 'train' END"
 PANEL_SQL = f"""
@@ -70,7 +71,7 @@ SELECT CAST(period AS INTEGER) AS period, CAST(sum(inv) AS BIGINT) AS inversions
 def q_drift09(spark, sf):
     """DRIFT-09: per period, observed default rate by score decile must not fall from one decile to the next."""
     s = scored(spark, sf, with_group=False).withColumn("period", F.year("ts"))
-    e = s.groupBy("period").agg(F.percentile("p_raw", [i / 10 for i in range(1, 10)]).alias("edges"))
+    e = exact_quantiles(s, "p_raw", [i / 10 for i in range(1, 10)], ["period"], "edges")
     d = s.join(e, "period").withColumn("decile", F.size(F.filter("edges", lambda q: q < F.col("p_raw"))) + 1) \
          .groupBy("period", "decile").agg(F.avg("y").alias("rate"))
     w = Window.partitionBy("period").orderBy("decile")  # ten rows per period

@@ -13,6 +13,7 @@ from riskspark.plans.frames import MODELS_SQL, SCORED_SQL, model_scores, scored
 from riskspark.plans.q_eval import SWEEP_SQL
 from riskspark.plans.q_features import fe05_sql
 from riskspark.sources.io import table
+from riskspark.operators.quantiles import exact_quantiles
 
 S = f"s AS ({SCORED_SQL})"
 N = 50
@@ -193,7 +194,7 @@ SELECT decile, count(*) AS n, round(avg(p), 6) AS mean_pred, round(avg(y), 6) AS
 def q_win06(spark, sf):
     """WIN-06/07: exact decile edges, decile column (p in (lo, hi]), observed vs predicted."""
     s = scored(spark, sf, with_group=False)
-    e = s.agg(F.percentile("p", [i / 10 for i in range(1, 10)]).alias("e")).withColumn("_k", F.lit(1))
+    e = exact_quantiles(s, "p", [i / 10 for i in range(1, 10)], name="e").withColumn("_k", F.lit(1))
     d = s.withColumn("_k", F.lit(1)).join(e, "_k").withColumn("decile", F.size(F.filter("e", lambda x: x < F.col("p"))) + 1)
     return d.groupBy("decile").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p"), 6).alias("mean_pred"), F.round(F.avg("y"), 6).alias("observed"))
 

@@ -13,6 +13,7 @@ from riskspark.plans.catalog import register
 from riskspark.plans.frames import LEAK_SQL, SCORED_SQL, leak_frame, scored
 from riskspark.plans.q_prep import CONTRIB_SQL, scorecard_frame
 from riskspark.sources.io import TABLES, table
+from riskspark.operators.quantiles import exact_quantiles
 
 S = f"s AS ({SCORED_SQL})"
 CDF_LIT = "[" + ", ".join(repr(c) for c in mx.POISSON1_CDF) + "]"
@@ -206,7 +207,7 @@ SELECT feature, round(sum(n / tot * ln(n * tot / (nv * ny))), 6) AS mutual_infor
 def q_leak11(spark, sf):
     """LEAK-11: binned mutual information of each feature with the target (one unpivot, one groupBy)."""
     lf = leak_frame(spark, sf)
-    e = lf.agg(F.percentile("p_raw", [i / 10 for i in range(1, 10)]).alias("edges")).withColumn("_k", F.lit(1))
+    e = exact_quantiles(lf, "p_raw", [i / 10 for i in range(1, 10)], name="edges").withColumn("_k", F.lit(1))
     lf = lf.withColumn("_k", F.lit(1)).join(e, "_k").withColumn("p_bin", F.size(F.filter("edges", lambda x: x < F.col("p_raw"))).cast("string"))
     u = lf.select("y", F.explode(F.array(F.struct(F.lit("p_raw").alias("feature"), F.col("p_bin").alias("v")),
                                          F.struct(F.lit("grp").alias("feature"), F.col("grp").alias("v")),

@@ -13,6 +13,8 @@ from riskspark.operators import split as sp
 from riskspark.plans.catalog import register
 from riskspark.plans.frames import BATCHES_SQL, SCORED_SQL, daily_batches, scored, split_unit_sql
 from riskspark.sources.io import table
+from riskspark.operators import prep as pp
+from riskspark.operators.quantiles import exact_quantiles
 
 S = f"s AS ({SCORED_SQL})"
 
@@ -212,7 +214,7 @@ SELECT round(md, 6) AS median_disc, round(mt, 6) AS median_tax, count(*) FILTER
 def q_agg08(spark, sf):
     """AGG-08 / FE-01: exact medians fitted on train rows only, then coalesce into every row."""
     li = sp.row_split(li_nulls(spark, sf), "l_orderkey")
-    med = li.where(F.col("split") == "train").agg(F.median("disc_n").alias("md"), F.median("tax_n").alias("mt")).withColumn("_k", F.lit(1))
+    med = pp.fit_medians(li.where(F.col("split") == "train"), ["disc_n", "tax_n"]).select(F.col("disc_n").alias("md"), F.col("tax_n").alias("mt"), F.lit(1).alias("_k"))
     j = li.withColumn("_k", F.lit(1)).join(med, "_k")
     return j.groupBy("md", "mt").agg(
         F.count_if(F.col("disc_n").isNull()).alias("filled_disc"), F.count_if(F.col("tax_n").isNull()).alias("filled_tax"),
@@ -332,15 +334,16 @@ def q_agg16(spark, sf):
 @register("agg17_score_summary", f"""
 WITH {S} SELECT grp, round(avg(p), 6) AS mean_p, round(median(p), 6) AS median_p, round(stddev_pop(p), 6) AS std_p FROM s GROUP BY grp""")
 def q_agg17(spark, sf):
-    return scored(spark, sf).groupBy("grp").agg(F.round(F.avg("p"), 6).alias("mean_p"), F.round(F.median("p"), 6).alias("median_p"),
-                                                F.round(F.stddev_pop("p"), 6).alias("std_p"))
+    s = scored(spark, sf)
+    g = s.groupBy("grp").agg(F.round(F.avg("p"), 6).alias("mean_p"), F.round(F.stddev_pop("p"), 6).alias("std_p"))
+    return g.join(exact_quantiles(s, "p", [0.5], ["grp"]), "grp", "left").select("grp", "mean_p", F.round(F.col("q")[0], 6).alias("median_p"), "std_p")
 
 
 @register("agg18_vector_median", """
 SELECT CAST(pos AS INTEGER) AS pos, round(median(CAST(v AS DOUBLE)), 6) AS median_v FROM (SELECT unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings) GROUP BY pos""")
 def q_agg18(spark, sf):
     e = table(spark, sf, "embeddings").select(F.posexplode("embedding").alias("pos", "v"))
-    return e.groupBy("pos").agg(F.round(F.median(F.col("v").cast("double")), 6).alias("median_v"))
+    return exact_quantiles(e, "v", [0.5], ["pos"]).select("pos", F.round(F.col("q")[0], 6).alias("median_v"))
 
 
 @register("agg19_class_weight", f"""
@@ -360,7 +363,7 @@ SELECT cohort, n, round(rate, 6) AS rate, round(max(rate) OVER () - min(rate) OV
 def q_agg21(spark, sf):
     """AGG-21: exact quintile cut points, cohort = number of cuts strictly below the score."""
     s = scored(spark, sf, with_group=False)
-    e = s.agg(F.percentile("p_raw", [0.2, 0.4, 0.6, 0.8]).alias("e")).withColumn("_k", F.lit(1))
+    e = exact_quantiles(s, "p_raw", [0.2, 0.4, 0.6, 0.8], name="e").withColumn("_k", F.lit(1))
     c = s.withColumn("_k", F.lit(1)).join(e, "_k").select("y", (F.size(F.filter("e", lambda x: x < F.col("p_raw"))) + 1).alias("cohort"))
     r = c.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("rate"))
     w = Window.partitionBy()

@@ -17,7 +17,8 @@ from riskspark.operators.prefix import cumulate
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], groups=(), name: str = "q") -> DataFrame:
     """(groups..., ``name`` array<double>): the exact ``probs`` quantiles of ``value``, nulls aside.
 
-    Without groups one row; a group without any value has no row."""
+    Without groups one row, of nulls where there is no value; a group without any
+    value has no row."""
     v = F.col(value) if isinstance(value, str) else value
     groups = list(groups)
     counts = df.select(*groups, v.cast("double").alias("s")).where(F.col("s").isNotNull()).groupBy(*groups, "s").agg(F.count(F.lit(1)).alias("n"))

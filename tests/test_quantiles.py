@@ -23,7 +23,8 @@ def test_quantiles_match_numpy(spark):
         assert np.allclose(q, np.quantile([v for k, v in rows if k == g and v is not None], probs))
     whole = exact_quantiles(df, "v", probs).collect()
     assert len(whole) == 1 and np.allclose(whole[0]["q"], np.quantile([v for _, v in rows if v is not None], probs))
-    assert exact_quantiles(df.limit(0), "v", probs).collect() == []
+    assert exact_quantiles(df.limit(0), "v", probs, ["g"]).collect() == []
+    assert [r["q"] for r in exact_quantiles(df.limit(0), "v", probs).collect()] == [[None] * 6]
 
 
 @pytest.mark.parametrize("name", NAMED)

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators import metrics as mx
+from riskspark.operators.policy import against_row
 from riskspark.operators.quantiles import exact_quantiles
 
-# Disparate-impact pass band and gap statuses (5 pp / 10 pp).
+# Disparate-impact band and gap statuses (5 pp / 10 pp).
 DI_LOW, DI_HIGH = 0.80, 1.25
 GAP_WARN, GAP_FAIL = 0.05, 0.10
 
@@ -49,25 +50,22 @@ def group_metrics(df: DataFrame, group: str, score: str = "p", label: str = "y",
 
 def gap_table(gm: DataFrame, group: str, reference: str) -> DataFrame:
     """FAIR-02/03: every group against the reference group: disparate impact
-    (approval ratio) with the 0.80-1.25 band, equal-opportunity (TPR),
-    predictive-parity (PPV), AUC and ECE gaps, and gap statuses."""
-    ref = gm.where(F.col(group) == reference).select(
-        F.lit(1).alias("_k"), *[F.col(c).alias(f"ref_{c}") for c in ("approval_rate", "tpr", "ppv", "auc", "ece")])
-    j = gm.where(F.col(group) != reference).withColumn("_k", F.lit(1)).join(ref, "_k")
+    (approval ratio; under 0.80 fails, over 1.25 warns), equal-opportunity (TPR),
+    predictive-parity (PPV), AUC and ECE gaps, each with its 5 pp / 10 pp status."""
+    j = against_row(gm, group, reference, ("approval_rate", "tpr", "ppv", "auc", "ece"), "ref_")
     di = F.try_divide(F.col("approval_rate"), F.col("ref_approval_rate"))
-    eo = F.col("tpr") - F.col("ref_tpr")
 
-    def status(gap):
-        return F.when(F.abs(gap) >= GAP_FAIL, "FAIL").when(F.abs(gap) >= GAP_WARN, "WARN").otherwise("PASS")
+    def gap(c):
+        return F.round(F.col(c) - F.col(f"ref_{c}"), 6)
 
+    def status(g):
+        return F.when(F.abs(g) >= GAP_FAIL, "FAIL").when(F.abs(g) >= GAP_WARN, "WARN").otherwise("PASS")
+
+    gaps = {"eq_opp": gap("tpr"), "pred_parity": gap("ppv"), "auc": gap("auc"), "ece": gap("ece")}
     return j.select(
-        F.col(group), F.lit(reference).alias("reference"),
-        F.round(di, 6).alias("disparate_impact"),
-        F.when((di >= DI_LOW) & (di <= DI_HIGH), "PASS").otherwise("FAIL").alias("di_status"),
-        F.round(eo, 6).alias("eq_opp_gap"), status(eo).alias("eq_opp_status"),
-        F.round(F.col("ppv") - F.col("ref_ppv"), 6).alias("pred_parity_gap"),
-        F.round(F.col("auc") - F.col("ref_auc"), 6).alias("auc_gap"),
-        F.round(F.col("ece") - F.col("ref_ece"), 6).alias("ece_gap"))
+        F.col(group), F.lit(reference).alias("reference"), F.round(di, 6).alias("disparate_impact"),
+        F.when(di < DI_LOW, "FAIL").when(di > DI_HIGH, "WARN").otherwise("PASS").alias("di_status"),
+        *[x for k, g in gaps.items() for x in (g.alias(f"{k}_gap"), status(g).alias(f"{k}_status"))])
 
 
 def cohort_audit(df: DataFrame, cohorts: list[str], score: str = "p", label: str = "y", threshold: float = 0.20) -> DataFrame:

@@ -8,7 +8,7 @@ scenario list, so work never scales with rows × scenarios.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -113,33 +113,72 @@ def losses_at_thresholds(df: DataFrame, thresholds: list[float], scores: list[st
                       F.round((F.lit(c_bad) * F.col("fn") + F.lit(c_reject) * F.col("fp")) / F.col("n"), 6).alias("expected_loss"))
 
 
-def cost_sensitivity(sweep: DataFrame, ratios: list[float], c_review: float = C_REVIEW) -> DataFrame:
+def cost_sensitivity(sweep: DataFrame, ratios: list[float], c_review: float = C_REVIEW, lo: float = 0.20, hi: float = 0.40) -> DataFrame:
     """POL-06: for each cost ratio r (c_bad = r, c_reject = 1): θ* = 1/(1+r), the
-    empirical best grid threshold and its loss, from the sweep's confusion counts
-    (≤ 75 rows); the sweep is expanded by the handful of ratios only."""
+    empirical best grid threshold, its loss and approval rate, and the loss and
+    overhead of the three-zone policy (lo, hi: grid thresholds), all from the
+    sweep's confusion counts (≤ 75 rows) expanded by the handful of ratios only."""
     r = F.explode(F.array(*[F.lit(float(x)) for x in ratios])).alias("cost_ratio")
     s = sweep.select("threshold", "tp", "fp", "tn", "fn", r)
     n = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
     s = s.withColumn("loss", (F.col("cost_ratio") * F.col("fn") + F.col("fp")) / n)
+    at_lo, at_hi = F.col("threshold") == F.lit(lo), F.col("threshold") == F.lit(hi)
     best = s.groupBy("cost_ratio").agg(
-        F.min_by("threshold", F.struct("loss", "threshold")).alias("best_threshold"),
-        F.round(F.min("loss"), 6).alias("best_loss"))
+        F.min_by("threshold", F.struct("loss", "threshold")).alias("best_threshold"), F.min("loss").alias("loss"),
+        F.min_by((F.col("tn") + F.col("fn")) / n, F.struct("loss", "threshold")).alias("approval"),
+        F.max(n).alias("n"), F.max(F.col("tp") + F.col("fn")).alias("bad"),
+        F.max(F.when(at_lo, F.col("tn") + F.col("fn"))).alias("n_ap"), F.max(F.when(at_lo, F.col("fn"))).alias("bad_ap"),
+        F.max(F.when(at_hi, F.col("tp") + F.col("fp"))).alias("n_rj"), F.max(F.when(at_hi, F.col("tp"))).alias("bad_rj"))
+    n_rv, bad_rv = F.col("n") - F.col("n_ap") - F.col("n_rj"), F.col("bad") - F.col("bad_ap") - F.col("bad_rj")
+    zones = (F.col("cost_ratio") * (F.col("bad_ap") + F.floor(bad_rv * 0.5)) + F.col("n_rj") - F.col("bad_rj")
+             + F.floor((n_rv - bad_rv) * 0.5) + F.lit(c_review) * n_rv) / F.col("n")
     return best.select("cost_ratio", F.round(bayes_threshold(F.col("cost_ratio"), F.lit(1.0)), 6).alias("theta_star"),
-                       "best_threshold", "best_loss")
+                       "best_threshold", F.round("loss", 6).alias("best_loss"), F.round("approval", 6).alias("approval_rate"),
+                       F.round(zones, 6).alias("three_zone_loss"), F.round(zones - F.col("loss"), 6).alias("three_zone_overhead"))
 
 
 # Promotion gates (delta thresholds).
 GATE_PR_AUC, GATE_AUC, GATE_ECE, GATE_BRIER = 0.001, 0.001, 0.005, 0.003
 
 
+def against_row(panel: DataFrame, key: str, reference: str, cols, prefix: str) -> DataFrame:
+    """The rows of a small panel (one row per model or group) with the reference row's
+    ``cols`` beside them; the reference row itself goes, and so does everything if it is
+    missing.  One pass over the panel: a window, not a join of the panel with itself."""
+    w = Window.partitionBy(F.lit(1))
+    is_ref = F.col(key) == reference
+    j = panel.withColumn("_ref", F.max(is_ref).over(w))
+    for c in cols:
+        j = j.withColumn(f"{prefix}{c}", F.max(F.when(is_ref, F.col(c))).over(w))
+    return j.where(F.col("_ref") & (F.col(key) != reference)).drop("_ref")
+
+
+def composite_score(weights: dict[str, float]) -> Column:
+    """POL-10: weighted sum; losses (brier, ece) enter as 1 - x, the calibration slope as 1 - |slope - 1|."""
+    form = {"brier": 1 - F.col("brier"), "ece": 1 - F.col("ece"), "calib_slope": 1 - F.abs(F.col("calib_slope") - 1)}
+    return sum(F.lit(w) * form.get(c, F.col(c)) for c, w in weights.items())
+
+
+def latency_score(ms: str | Column, full: float = 100.0, none: float = 500.0) -> Column:
+    """POL-18: 1 up to ``full`` milliseconds, 0 from ``none`` on, linear between."""
+    x = F.col(ms) if isinstance(ms, str) else ms
+    return F.greatest(F.least((F.lit(none) - x) / F.lit(none - full), F.lit(1.0)), F.lit(0.0))
+
+
+def leaderboard(panel: DataFrame, model_col: str, score: str, constrained: str, within: float = 0.005) -> DataFrame:
+    """POL-18: rank by score; models within ``within`` of the top come first if constrained
+    (one row per model, so one window partition)."""
+    top = F.max(score).over(Window.partitionBy(F.lit(1)))
+    j = panel.withColumn("tie_break", (F.col(constrained) & (F.round(top - F.col(score), 6) <= within)).cast("int"))
+    w = Window.partitionBy(F.lit(1)).orderBy(F.col("tie_break").desc(), F.col(score).desc(), F.col(model_col))
+    return j.withColumn("rank", F.row_number().over(w))
+
+
 def promotion_decision(panel: DataFrame, model_col: str, champion: str, legacy: bool = False) -> DataFrame:
     """POL-08: four gates of each challenger against the champion row of a metric
     panel (model, pr_auc, auc, ece, brier).  REJECT if the ECE gate fails;
     PROMOTE if all gates pass (legacy: Brier ignored); HOLD otherwise."""
-    ch = panel.where(F.col(model_col) == champion).select(
-        F.lit(1).alias("_k"), *[F.col(c).alias(f"champ_{c}") for c in ("pr_auc", "auc", "ece", "brier")])
-    others = panel.where(F.col(model_col) != champion).withColumn("_k", F.lit(1))
-    j = others.join(ch, "_k")  # the champion side is one row of a one-row-per-model panel
+    j = against_row(panel, model_col, champion, ("pr_auc", "auc", "ece", "brier"), "champ_")
     g1 = F.col("pr_auc") - F.col("champ_pr_auc")
     g2 = F.col("auc") - F.col("champ_auc")
     g3 = F.col("ece") - F.col("champ_ece")

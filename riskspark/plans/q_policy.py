@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskspark.operators import fairness as fa
@@ -16,12 +17,15 @@ THETA = round(1 / 11, 6)
 
 @register("pol01_cost_sensitivity", f"""
 WITH sw AS ({SWEEP_SQL}), r AS (SELECT unnest([2.0, 5.0, 10.0, 20.0]) AS cost_ratio),
-l AS (SELECT cost_ratio, threshold, (cost_ratio * fn + fp) / (tp + fp + tn + fn) AS loss FROM sw, r)
-SELECT cost_ratio, round(1.0 / (cost_ratio + 1.0), 6) AS theta_star,
-       first(threshold ORDER BY loss, threshold) AS best_threshold, round(min(loss), 6) AS best_loss
-FROM l GROUP BY cost_ratio""")
+l AS (SELECT cost_ratio, threshold, (cost_ratio * fn + fp) / (tp + fp + tn + fn) AS loss, (tn + fn) / (tp + fp + tn + fn) AS appr FROM sw, r),
+b AS (SELECT cost_ratio, first(threshold ORDER BY loss, threshold) AS best_threshold, min(loss) AS loss, first(appr ORDER BY loss, threshold) AS appr FROM l GROUP BY cost_ratio),
+{S}, z AS (SELECT count(*) AS n, count(*) FILTER (WHERE p < 0.2 AND y = 1) AS bad_ap, count(*) FILTER (WHERE p >= 0.4 AND y = 0) AS good_rj,
+  count(*) FILTER (WHERE p >= 0.2 AND p < 0.4) AS n_rv, count(*) FILTER (WHERE p >= 0.2 AND p < 0.4 AND y = 1) AS bad_rv FROM s),
+e AS (SELECT b.*, (cost_ratio * (bad_ap + floor(bad_rv * 0.5)) + good_rj + floor((n_rv - bad_rv) * 0.5) + 0.3 * n_rv) / n AS el3 FROM b, z)
+SELECT cost_ratio, round(1.0 / (cost_ratio + 1.0), 6) AS theta_star, best_threshold, round(loss, 6) AS best_loss,
+  round(appr, 6) AS approval_rate, round(el3, 6) AS three_zone_loss, round(el3 - loss, 6) AS three_zone_overhead FROM e""")
 def q_pol01(spark, sf):
-    """POL-01/06: Bayes threshold and empirical best threshold per cost ratio."""
+    """POL-01/06: Bayes threshold, empirical best threshold with its approval rate, and the three-zone overhead per cost ratio."""
     sw = mx.threshold_sweep(scored(spark, sf, with_group=False), "p", "y")
     return po.cost_sensitivity(sw, [2.0, 5.0, 10.0, 20.0])
 
@@ -87,20 +91,21 @@ def panel_sql() -> str:
 ms AS ({MODELS_SQL}), {cdf_sql('p', 'model', 'ms')},
 rk AS (SELECT model, round(sum(pos * (cneg - neg + neg / 2.0)) / (max(TP) * max(TN)), 6) AS auc,
         round(sum(pos * ((TP - cpos + pos) / (TP - cpos + pos + TN - cneg + neg)
-              + CASE WHEN TP - cpos + TN - cneg = 0 THEN 1.0 ELSE (TP - cpos) / (TP - cpos + TN - cneg) END) / 2.0) / max(TP), 6) AS pr_auc
-      FROM c GROUP BY model),
+              + CASE WHEN TP - cpos + TN - cneg = 0 THEN 1.0 ELSE (TP - cpos) / (TP - cpos + TN - cneg) END) / 2.0) / max(TP), 6) AS pr_auc,
+        round(max(abs(cpos / TP - cneg / TN)), 6) AS ks FROM c GROUP BY model),
 eb AS (SELECT model, least(CAST(floor(p * 10) AS INTEGER), 9) AS bin, count(*) AS nb, avg(y) AS acc, avg(p) AS conf FROM ms GROUP BY model, bin),
 ec AS (SELECT model, round(sum(nb / tot * abs(acc - conf)), 6) AS ece FROM eb JOIN (SELECT model, sum(nb) AS tot FROM eb GROUP BY model) USING (model) GROUP BY model),
-br AS (SELECT model, round(avg((p - y) * (p - y)), 6) AS brier FROM ms GROUP BY model),
+br AS (SELECT model, round(avg((p - y) * (p - y)), 6) AS brier, round(regr_slope(y, p), 6) AS calib_slope FROM ms GROUP BY model),
 panel AS (SELECT * FROM rk JOIN ec USING (model) JOIN br USING (model))"""
 
 
 def model_panel(spark, sf):
     ms = model_scores(spark, sf)
-    r = mx.ranking_metrics(ms, "p", "y", ["model"]).select("model", "auc", "pr_auc")
+    r = mx.ranking_metrics(ms, "p", "y", ["model"]).select("model", "auc", "pr_auc", "ks")
     e = mx.ece(ms, "p", "y", ["model"])
     b = mx.brier(ms, "p", "y", ["model"])
-    return r.join(e, "model").join(b, "model")
+    slope = ms.groupBy("model").agg(F.round(F.regr_slope("y", "p"), 6).alias("calib_slope"))
+    return r.join(e, "model").join(b, "model").join(slope, "model")
 
 
 @register("pol08_promotion_decision", f"""
@@ -117,20 +122,38 @@ def q_pol08(spark, sf):
     return po.promotion_decision(model_panel(spark, sf), "model", "calibrated")
 
 
-# Composite leaderboard weights (higher is better; losses enter negatively).
-LEADER_WEIGHTS = {"auc": 0.4, "pr_auc": 0.3, "ece": -0.2, "brier": -0.1}
+# Composite leaderboard weights, and the facts of each model that no table holds
+# (latency in ms, explainability, adverse-reason readiness, monotone constraint).
+LEADER_WEIGHTS = {"auc": 0.25, "pr_auc": 0.15, "ks": 0.15, "brier": 0.1, "ece": 0.1, "calib_slope": 0.05, "latency": 0.05,
+                  "explainability": 0.1, "adverse_ready": 0.05}
+MODEL_FACTS = [("calibrated", 120.0, 1.0, 1.0, True), ("raw", 80.0, 0.5, 1.0, True), ("blend", 300.0, 0.5, 0.0, False)]
 
+LEADER_SQL = f"""
+WITH {panel_sql()}, facts AS (SELECT * FROM (VALUES {", ".join(f"('{m}', {ms}, {ex}, {ad}, {mono})" for m, ms, ex, ad, mono in MODEL_FACTS)}) t(model, ms, explainability, adverse_ready, constrained)),
+sc AS (SELECT model, constrained, round(0.25 * auc + 0.15 * pr_auc + 0.15 * ks + 0.1 * (1 - brier) + 0.1 * (1 - ece) + 0.05 * (1 - abs(calib_slope - 1))
+  + 0.05 * greatest(least((500.0 - ms) / 400.0, 1.0), 0.0) + 0.1 * explainability + 0.05 * adverse_ready, 6) AS composite FROM panel JOIN facts USING (model))"""
 
-@register("pol10_composite_leaderboard", f"""
-WITH {panel_sql()}, sc AS (SELECT model, round(0.4 * auc + 0.3 * pr_auc - 0.2 * ece - 0.1 * brier, 6) AS composite FROM panel)
+
+def leader_scores(spark, sf):
+    facts = spark.createDataFrame(MODEL_FACTS, "model string, ms double, explainability double, adverse_ready double, constrained boolean")
+    p = model_panel(spark, sf).join(facts, "model").withColumn("latency", po.latency_score("ms"))
+    return p.select("model", "constrained", F.round(po.composite_score(LEADER_WEIGHTS), 6).alias("composite"))
+
+
+@register("pol10_composite_leaderboard", f"""{LEADER_SQL}
 SELECT model, composite, CAST(row_number() OVER (ORDER BY composite DESC, model) AS INTEGER) AS rank FROM sc""")
 def q_pol10(spark, sf):
-    """POL-10 / WIN-09: weighted composite and rank (window over a one-row-per-model table)."""
-    from pyspark.sql import Window
-    p = model_panel(spark, sf)
-    comp = sum(F.col(k) * F.lit(w) for k, w in LEADER_WEIGHTS.items())
-    p = p.select("model", F.round(comp, 6).alias("composite"))
-    return p.withColumn("rank", F.row_number().over(Window.orderBy(F.col("composite").desc(), "model")))
+    """POL-10 / WIN-09: nine-weight composite and rank (window over a one-row-per-model table)."""
+    w = Window.partitionBy(F.lit(1)).orderBy(F.col("composite").desc(), "model")
+    return leader_scores(spark, sf).select("model", "composite").withColumn("rank", F.row_number().over(w))
+
+
+@register("pol18_leaderboard_tie_break", f"""{LEADER_SQL},
+t AS (SELECT *, CAST(constrained AND round(max(composite) OVER () - composite, 6) <= 0.005 AS INTEGER) AS tie_break FROM sc)
+SELECT model, composite, tie_break, CAST(row_number() OVER (ORDER BY tie_break DESC, composite DESC, model) AS INTEGER) AS rank FROM t""")
+def q_pol18(spark, sf):
+    """POL-18: within 0.005 of the top composite a constrained model goes first."""
+    return po.leaderboard(leader_scores(spark, sf), "model", "composite", "constrained").select("model", "composite", "tie_break", "rank")
 
 
 @register("pol11_promote_if_gain", f"""
@@ -138,9 +161,7 @@ WITH {panel_sql()}, ch AS (SELECT auc AS champ_auc FROM panel WHERE model = 'cal
 SELECT model, round(auc - champ_auc, 6) AS auc_delta, CASE WHEN auc - champ_auc > 0 THEN 'PROMOTE' ELSE 'KEEP' END AS decision
 FROM panel, ch WHERE model <> 'calibrated'""")
 def q_pol11(spark, sf):
-    p = model_panel(spark, sf)
-    ch = p.where(F.col("model") == "calibrated").select(F.lit(1).alias("_k"), F.col("auc").alias("champ_auc"))
-    j = p.where(F.col("model") != "calibrated").withColumn("_k", F.lit(1)).join(ch, "_k")
+    j = po.against_row(model_panel(spark, sf), "model", "calibrated", ("auc",), "champ_")
     d = F.col("auc") - F.col("champ_auc")
     return j.select("model", F.round(d, 6).alias("auc_delta"), F.when(d > 0, "PROMOTE").otherwise("KEEP").alias("decision"))
 
@@ -165,13 +186,16 @@ def q_fair01(spark, sf):
     return fa.group_metrics(scored(spark, sf), "grp")
 
 
-@register("fair02_gap_table", FAIR01_SQL + """,
+def _gap_status(name: str, c: str) -> str:
+    g = f"round(fm.{c} - ref.{c}, 6)"
+    return f"""{g} AS {name}_gap, CASE WHEN abs({g}) >= 0.1 THEN 'FAIL' WHEN abs({g}) >= 0.05 THEN 'WARN' ELSE 'PASS' END AS {name}_status"""
+
+
+@register("fair02_gap_table", FAIR01_SQL + f""",
 ref AS (SELECT * FROM fm WHERE grp = 'AUTOMOBILE')
 SELECT fm.grp, 'AUTOMOBILE' AS reference, round(fm.approval_rate / ref.approval_rate, 6) AS disparate_impact,
-  CASE WHEN fm.approval_rate / ref.approval_rate BETWEEN 0.8 AND 1.25 THEN 'PASS' ELSE 'FAIL' END AS di_status,
-  round(fm.tpr - ref.tpr, 6) AS eq_opp_gap,
-  CASE WHEN abs(fm.tpr - ref.tpr) >= 0.1 THEN 'FAIL' WHEN abs(fm.tpr - ref.tpr) >= 0.05 THEN 'WARN' ELSE 'PASS' END AS eq_opp_status,
-  round(fm.ppv - ref.ppv, 6) AS pred_parity_gap, round(fm.auc - ref.auc, 6) AS auc_gap, round(fm.ece - ref.ece, 6) AS ece_gap
+  CASE WHEN fm.approval_rate / ref.approval_rate < 0.8 THEN 'FAIL' WHEN fm.approval_rate / ref.approval_rate > 1.25 THEN 'WARN' ELSE 'PASS' END AS di_status,
+  {_gap_status('eq_opp', 'tpr')}, {_gap_status('pred_parity', 'ppv')}, {_gap_status('auc', 'auc')}, {_gap_status('ece', 'ece')}
 FROM fm, ref WHERE fm.grp <> 'AUTOMOBILE'""")
 def q_fair02(spark, sf):
     return fa.gap_table(fa.group_metrics(scored(spark, sf), "grp"), "grp", "AUTOMOBILE")

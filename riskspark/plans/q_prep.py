@@ -148,14 +148,16 @@ def q_win04(spark, sf):
 
 
 @register("win05_feature_rank", CONTRIB_SQL + """
-SELECT feature, CAST(rank() OVER (ORDER BY avg(abs(contrib)) DESC) AS INTEGER) AS rank FROM u GROUP BY feature QUALIFY feature = 'bal_neg'""")
+SELECT feature, CAST(rank() OVER (ORDER BY avg(abs(contrib)) DESC) AS INTEGER) AS rank,
+  CASE WHEN rank() OVER (ORDER BY avg(abs(contrib)) DESC) <= 5 THEN 'WARN' ELSE 'PASS' END AS proxy_status
+FROM u GROUP BY feature QUALIFY feature = 'bal_neg'""")
 def q_win05(spark, sf):
-    """WIN-05 / FAIR-03 proxy check: rank of a named (possibly sensitive) feature in the importance list."""
+    """WIN-05 / FAIR-03 proxy check: rank of a named (possibly sensitive) feature in the importance list; a place in the first five warns."""
     from pyspark.sql import Window
     e = scorecard_frame(spark, sf).select(F.explode("contribs").alias("c")).select("c.feature", F.abs("c.contrib").alias("a"))
     g = e.groupBy("feature").agg(F.avg("a").alias("m"))
     r = g.withColumn("rank", F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col("m").desc())))  # feature-sized table
-    return r.where(F.col("feature") == "bal_neg").select("feature", "rank")
+    return r.where(F.col("feature") == "bal_neg").select("feature", "rank", F.when(F.col("rank") <= 5, "WARN").otherwise("PASS").alias("proxy_status"))
 
 
 @register("exp04_importance_by_band", CONTRIB_SQL + " SELECT band, feature, round(avg(abs(contrib)), 6) AS mean_abs FROM u GROUP BY band, feature")

@@ -26,7 +26,6 @@ class FactoryParams:
     """
 
     ratio_smoothing: float = 0.0
-    year_days: float = 365.25
 
 
 def flag_ratio(count: Column, n: Column, smoothing: float) -> Column:

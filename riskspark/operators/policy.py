@@ -153,6 +153,24 @@ def against_row(panel: DataFrame, key: str, reference: str, cols, prefix: str) -
     return j.where(F.col("_ref") & (F.col(key) != reference)).drop("_ref")
 
 
+def sha(*parts: Column) -> Column:
+    """SHA-256 of the parts joined by ``|``."""
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def chain(log: DataFrame, content: str, group: str, key: str, width: int = 65536) -> DataFrame:
+    """POL-15: ``chain_hash`` links each row to the content hash of its predecessor (by ``key``) in its group.
+
+    A group is split into ranges of ``width`` keys, ordered like the keys: inside a range the
+    predecessor comes from a window, for a range's first row from the range table (one row a range)."""
+    r = log.withColumn("_range", F.floor(F.col(key) / F.lit(width)))
+    ends = r.groupBy(group, "_range").agg(F.max_by(content, key).alias("_last"))
+    ends = ends.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.lag("_last").over(Window.partitionBy(group).orderBy("_range")).alias("_before"))
+    j = r.join(ends, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+    prev = F.coalesce(F.lag(content).over(Window.partitionBy(group, "_range").orderBy(key)), F.col("_before"), F.lit(""))
+    return j.withColumn("chain_hash", F.sha2(F.concat(F.col(content), prev), 256)).drop("_range", "_g", "_r", "_before")
+
+
 def composite_score(weights: dict[str, float]) -> Column:
     """POL-10: weighted sum; losses (brier, ece) enter as 1 - x, the calibration slope as 1 - |slope - 1|."""
     form = {"brier": 1 - F.col("brier"), "ece": 1 - F.col("ece"), "calib_slope": 1 - F.abs(F.col("calib_slope") - 1)}

@@ -38,6 +38,7 @@ def load_all() -> None:
         q_stream,
         q_text,
         q_extra,
+        q_factory,
         q_features,
         q_models,
         q_more,

@@ -17,9 +17,9 @@ WIN_SQL = f"""
 t AS (SELECT doc_id, {TOK.format(c='text')} AS tk FROM documents),
 kk AS (SELECT doc_id, tk, CASE WHEN len(tk) <= 120 THEN 1 ELSE CAST(ceil((len(tk) - 120) / 95.0) AS INTEGER) + 1 END AS k FROM t),
 w AS (SELECT doc_id, tk, unnest(range(0, (k - 1) * 95 + 1, 95)) AS start FROM kk),
-win AS (SELECT doc_id, CAST(start AS INTEGER) AS start, tk[start + 1 : start + 120] AS tokens FROM w)"""
+win AS MATERIALIZED (SELECT doc_id, CAST(start AS INTEGER) AS start, tk[start + 1 : start + 120] AS tokens FROM w)"""
 INDEX_SQL = f"""{WIN_SQL},
-post AS (SELECT doc_id, start, token, count(*) AS tf FROM (SELECT doc_id, start, unnest(tokens) AS token FROM win) GROUP BY doc_id, start, token),
+post AS MATERIALIZED (SELECT doc_id, start, token, count(*) AS tf FROM (SELECT doc_id, start, unnest(tokens) AS token FROM win) GROUP BY doc_id, start, token),
 dl AS (SELECT doc_id, start, len(tokens) AS dl FROM win),
 st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
 dfs AS (SELECT token, count(*) AS df FROM post GROUP BY token),
@@ -40,32 +40,67 @@ BENCH_Q = "SELECT item_id AS qid, text FROM benchmark"
 
 
 def index(spark, sf):
-    """Postings straight from token rows (empty documents have no postings, as in the oracle)."""
-    wt = tx.window_tokens(table(spark, sf, "documents"))
-    # the postings feed the vocabulary, the window lengths and the query join:
-    # materialise them once (reliable checkpoint in the shared folder)
-    post = cut_lineage(wt.groupBy(*KEYS, "token").agg(F.count(F.lit(1)).alias("tf")))
-    dl = post.groupBy(*KEYS).agg(F.sum("tf").alias("dl"))
-    return wt, post, dl, tx._terms(post, dl)
+    """(postings, vocabulary) of the documents; the postings feed the vocabulary and the query joins, so
+    they are written once to the shared folder."""
+    w = tx.word_windows(table(spark, sf, "documents"))
+    post = cut_lineage(tx.postings(w, KEYS))
+    return post, tx.vocabulary(post, w)
 
 
 def bench_queries(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
 
 
+def scores(spark, sf, queries):
+    post, terms = index(spark, sf)
+    return tx.bm25_scores(tx.query_tokens(queries, "qid"), post, terms, "qid", KEYS)
+
+
 def ranked(spark, sf, queries):
-    _, post, dl, terms = index(spark, sf)
-    qt = tx.query_tokens(queries, "qid")
-    # the exact top-k reads the candidate scores twice (bound, then ranking): materialise once
-    sc = cut_lineage(tx.bm25_scores(qt, post, dl, terms, "qid", KEYS))
-    return tx.top_k(sc, "qid", KEYS, K)
+    # the exact top-k reads the scores twice (bound, then ranking): written once
+    return tx.top_k(cut_lineage(scores(spark, sf, queries)), "qid", KEYS, K)
+
+
+def best_scores(spark, sf, queries):
+    return scores(spark, sf, queries).groupBy("qid").agg(F.max("score").alias("best"))
+
 
+def chunk_sql(sep: str) -> str:
+    """The packing rule as a recursive query over a document's paragraphs."""
+    return f"""
+WITH RECURSIVE p0 AS (SELECT doc_id, unnest(string_split_regex(text, '{sep}')) AS raw, generate_subscripts(string_split_regex(text, '{sep}'), 1) AS k FROM documents),
+p1 AS (SELECT doc_id, k, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS para FROM p0),
+par AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) AS INTEGER) AS i,
+  CAST(len(list_filter(string_split_regex(para, '\\s+'), lambda x: x <> '')) AS INTEGER) AS n,
+  CASE WHEN para LIKE '#%' THEN regexp_replace(regexp_replace(para, '^#+', ''), '^\\s+|\\s+$', '', 'g') END AS head FROM p1 WHERE para <> ''),
+r AS (SELECT DISTINCT doc_id, 0 AS i, 0 AS buf, 0 AS pos, 0 AS over, 'Introduction' AS section, 'Introduction' AS label,
+        false AS cl, 0 AS c_start, 0 AS c_len, 0 AS c_over, '' AS c_section FROM par
+  UNION ALL SELECT r.doc_id, par.i, CASE WHEN buf > 0 AND buf + n > 120 THEN least(buf, 25) ELSE buf END + n, pos + n,
+    CASE WHEN buf > 0 AND buf + n > 120 THEN least(buf, 25) ELSE over END, coalesce(head, section),
+    CASE WHEN pos = 0 OR (buf > 0 AND buf + n > 120) THEN coalesce(head, section) ELSE label END,
+    buf > 0 AND buf + n > 120, pos - buf, buf, over, label FROM r JOIN par ON par.doc_id = r.doc_id AND par.i = r.i + 1),
+last AS (SELECT doc_id, max(i) AS i FROM par GROUP BY doc_id),
+c AS (SELECT doc_id, i, c_start AS s, c_len AS n, c_over AS o, c_section AS section FROM r WHERE cl
+  UNION ALL SELECT r.doc_id, r.i + 1, pos - buf, buf, over, label FROM r JOIN last USING (doc_id, i) WHERE buf > 0),
+d AS (SELECT doc_id, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS w FROM documents)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY c.i) - 1 AS INTEGER) AS chunk_no, section, n AS token_count, o AS overlap_words,
+  md5(array_to_string(w[s + 1 : s + n], ' ')) AS text_md5 FROM c JOIN d USING (doc_id)"""
 
-@register("txt01_paragraph_chunks")
+
+def chunk_rows(c):
+    return c.select("doc_id", "chunk_no", "section", "token_count", "overlap_words", F.md5("text").alias("text_md5"))
+
+
+@register("txt01_paragraph_chunks", chunk_sql("\\n{2,}"))
 def q_txt01(spark, sf):
-    """TXT-01: paragraph-aware greedy chunks (lines as paragraphs in the driver corpus), 120/25 words."""
-    c = tx.chunk_documents(table(spark, sf, "documents"), paragraph_sep=r"\n")
-    return c.select("doc_id", "chunk_no", "section", "token_count", F.md5("text").alias("text_md5"))
+    """TXT-01: paragraphs (blank lines between them) packed into chunks of 120 words with 25 of overlap."""
+    return chunk_rows(tx.chunk_documents(table(spark, sf, "documents")))
+
+
+@register("txt01_line_chunks", chunk_sql("\\n"))
+def q_txt01_lines(spark, sf):
+    """TXT-01 with every line a paragraph, as the driver's documents have no blank lines."""
+    return chunk_rows(tx.chunk_documents(table(spark, sf, "documents"), paragraph_sep=r"\n"))
 
 
 @register("txt02_word_windows", f"WITH {WIN_SQL} SELECT doc_id, start, CAST(len(tokens) AS INTEGER) AS n_tokens, md5(array_to_string(tokens, ' ')) AS tokens_md5 FROM win")
@@ -78,7 +113,7 @@ def q_txt02(spark, sf):
 @register("txt03_inverted_index", f"WITH {INDEX_SQL} SELECT token, df, round(idf, 6) AS idf FROM terms")
 def q_txt03(spark, sf):
     """TXT-03: vocabulary with document frequency and floored idf (from the postings)."""
-    _, _, _, terms = index(spark, sf)
+    _, terms = index(spark, sf)
     return terms.select("token", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -102,10 +137,8 @@ SELECT qid AS item_id, round(best, 6) AS best, round(ceiling, 6) AS ceiling, rou
   CAST(normalised < 0.25 AS INTEGER) AS abstain FROM nb""")
 def q_txt05(spark, sf):
     """TXT-05: corpus ceiling from six seed queries, normalised top score and abstain flag."""
-    _, post, dl, terms = index(spark, sf)
     q = bench_queries(spark, sf)
-    sc = tx.bm25_scores(tx.query_tokens(q, "qid"), post, dl, terms, "qid", KEYS)
-    best = sc.groupBy("qid").agg(F.max("score").alias("best"))
+    best = cut_lineage(best_scores(spark, sf, q))
     seed_ids = q.select("qid").orderBy("qid").limit(6)
     n = tx.normalise(best, best.join(seed_ids, "qid", "left_semi"), "qid")
     return n.select(F.col("qid").alias("item_id"), *[F.round(c, 6).alias(c) for c in ("best", "ceiling", "normalised")], "abstain")
@@ -143,14 +176,12 @@ SELECT source, count(*) AS n, count(*) FILTER (WHERE least(best / ceiling, 1.0)
   count(*) FILTER (WHERE least(best / ceiling, 1.0) < 0.25) AS abstained FROM best, ce GROUP BY source""")
 def q_txt10(spark, sf):
     """TXT-10: on-topic (benchmark passages) should answer, off-topic (user turns) should abstain."""
-    _, post, dl, terms = index(spark, sf)
     b = table(spark, sf, "benchmark")
     c = table(spark, sf, "conversations").where(F.col("role") == "user")
     q = b.select(F.col("item_id").cast("string").alias("qid"), "text", F.lit("benchmark").alias("source")).unionByName(
         c.select(F.concat(F.lit("conv:"), F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("qid"),
                  "text", F.lit("conversation").alias("source")))
-    sc = tx.bm25_scores(tx.query_tokens(q, "qid"), post, dl, terms, "qid", KEYS)
-    best = q.select("qid", "source").join(sc.groupBy("qid").agg(F.max("score").alias("best")), "qid", "left").fillna(0.0, ["best"])
+    best = cut_lineage(q.select("qid", "source").join(best_scores(spark, sf, q.select("qid", "text")), "qid", "left").fillna(0.0, ["best"]))
     seeds = best.join(b.select(F.col("item_id").cast("string").alias("qid"), "item_id").orderBy("item_id").limit(6).select("qid"), "qid", "left_semi")
     n = tx.normalise(best.select("qid", "best"), seeds, "qid").join(best.select("qid", "source"), "qid")
     return n.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("abstain") == 0).alias("answered"),

@@ -42,9 +42,8 @@ BENCH_Q = "SELECT item_id AS qid, text FROM benchmark"
 def index(spark, sf):
     """(postings, vocabulary) of the documents; the postings feed the vocabulary and the query joins, so
     they are written once to the shared folder."""
-    w = tx.word_windows(table(spark, sf, "documents"))
-    post = cut_lineage(tx.postings(w, KEYS))
-    return post, tx.vocabulary(post, w)
+    post = cut_lineage(tx.postings(tx.word_windows(table(spark, sf, "documents")), KEYS))
+    return post, tx.vocabulary(post, KEYS)
 
 
 def bench_queries(spark, sf):

@@ -70,6 +70,17 @@ def target_rate_gap(df: DataFrame, cols: list[str], label: str = "y", threshold:
     return f.select(*_finding("target_rate_gap", F.col("feature"), F.when(gap >= threshold, "FAIL").otherwise("PASS"), gap))
 
 
+def categorical_shift(df: DataFrame, cols: list[str], split_col: str, a: str, b: str, threshold: float = SHIFT) -> DataFrame:
+    """LEAK-05 for categoricals: total variation distance between the level shares of two splits (nulls are a level)."""
+    u = df.where(F.col(split_col).isin(a, b)).select((F.col(split_col) == b).cast("int").alias("_side"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v")) for c in cols])).alias("u")).select("_side", "u.*")
+    g = u.groupBy("feature", "v").agg(F.sum("_side").alias("nb"), F.sum(1 - F.col("_side")).alias("na"))
+    t = g.groupBy("feature").agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))
+    tv = g.join(t, "feature").groupBy("feature").agg(
+        (F.sum(F.abs(F.try_divide(F.col("na"), F.col("ta")) - F.try_divide(F.col("nb"), F.col("tb")))) / 2).alias("tv"))
+    return tv.select(*_finding("categorical_shift", F.col("feature"), F.when(F.col("tv") >= threshold, "FAIL").otherwise("PASS"), F.col("tv")))
+
+
 def split_shift(df: DataFrame, cols: list[str], split_col: str, a: str, b: str, threshold: float = SHIFT) -> DataFrame:
     """LEAK-05: two-sample KS between split ``a`` and ``b`` for each numeric column
     (unpivot, then the distributed prefix sums grouped by feature)."""

@@ -96,6 +96,19 @@ def q_leak05(spark, sf):
     return au.split_shift(leak_frame(spark, sf), ["p_raw", "outcome_proxy"], "split", "train", "test")
 
 
+CATS = ["grp", "o_orderpriority", "o_orderstatus"]
+
+
+@register("leak05_categorical_shift", f"""
+WITH {L}, u AS ({" UNION ALL ".join(f"SELECT split, '{c}' AS feature, CAST({c} AS VARCHAR) AS v FROM l WHERE split IN ('train', 'test')" for c in CATS)}),
+g AS (SELECT feature, v, count(*) FILTER (WHERE split = 'train') AS na, count(*) FILTER (WHERE split = 'test') AS nb FROM u GROUP BY feature, v),
+t AS (SELECT feature, sum(abs(na / ta - nb / tb)) / 2 AS tv FROM (SELECT *, sum(na) OVER (PARTITION BY feature) AS ta, sum(nb) OVER (PARTITION BY feature) AS tb FROM g) GROUP BY feature)
+SELECT 'categorical_shift' AS check_name, feature, CASE WHEN tv >= 0.35 THEN 'FAIL' ELSE 'PASS' END AS status, round(tv, 6) AS value, '' AS detail FROM t""")
+def q_leak05c(spark, sf):
+    """LEAK-05: total variation of the categoricals between train and test."""
+    return au.categorical_shift(leak_frame(spark, sf), CATS, "split", "train", "test")
+
+
 @register("leak06_temporal_leak", f"""
 WITH {L} SELECT 'temporal_leak' AS check_name, 'feature_ts' AS feature,
   CASE WHEN count(*) FILTER (WHERE feature_ts > outcome_ts) > 0 THEN 'FAIL' ELSE 'PASS' END AS status,

@@ -119,21 +119,24 @@ def q_drift16(spark, sf):
 
 @register("drift05_monitor", f"""{PSI_HEAD},
 nn AS (SELECT batch_day, feature, count(v) AS n_nonnull FROM lg GROUP BY batch_day, feature),
-st AS (SELECT psi.*, CASE WHEN n_nonnull < 10 THEN 'SKIPPED' ELSE {STATUS} END AS status FROM psi LEFT JOIN nn USING (batch_day, feature))
-SELECT batch_day, round(max(CASE WHEN status <> 'SKIPPED' THEN psi END), 6) AS max_psi,
+st AS (SELECT psi.*, CASE WHEN n_nonnull < 10 THEN 'SKIPPED' ELSE {STATUS} END AS status FROM psi LEFT JOIN nn USING (batch_day, feature)),
+{CDF2},
+ks AS (SELECT batch_day, max(k) AS max_ks FROM (SELECT batch_day, feature, max(abs(cpos / tp - cneg / tn)) AS k, max(tp) AS n_act FROM c GROUP BY batch_day, feature) WHERE n_act >= 10 GROUP BY batch_day)
+SELECT batch_day, round(max(CASE WHEN status <> 'SKIPPED' THEN psi END), 6) AS max_psi, round(any_value(max_ks), 6) AS max_ks,
   coalesce(string_agg(CASE WHEN status = 'ALERT' THEN feature END, ',' ORDER BY feature), '') AS alerts,
   coalesce(string_agg(CASE WHEN status = 'WARN' THEN feature END, ',' ORDER BY feature), '') AS warnings,
   count(*) FILTER (WHERE status = 'SKIPPED') AS n_skipped,
   max(CASE WHEN status = 'ALERT' THEN 2 WHEN status = 'WARN' THEN 1 ELSE 0 END) AS severity,
   CASE max(CASE WHEN status = 'ALERT' THEN 2 WHEN status = 'WARN' THEN 1 ELSE 0 END) WHEN 2 THEN 'ALERT' WHEN 1 THEN 'WARN' ELSE 'OK' END AS overall
-FROM st GROUP BY batch_day""")
+FROM st LEFT JOIN ks USING (batch_day) GROUP BY batch_day""")
 def q_drift05(spark, sf):
-    """DRIFT-05/06/10: day-level monitor: max PSI, alert and warning lists, overall severity."""
+    """DRIFT-05/06/10: day-level monitor: max PSI and KS, alert and warning lists, overall severity."""
     ref, act = long_frames(spark, sf)
     p = dr.psi(ref, act, "batch_day")
     nn = act.groupBy("batch_day", "feature").agg(F.count("v").alias("n_nonnull"))
-    m = dr.monitor(p, nn, "batch_day")
-    return m.select("batch_day", F.round("max_psi", 6).alias("max_psi"), "alerts", "warnings", "n_skipped", "severity", "overall")
+    k = dr.ks(ref, act, "batch_day").where(F.col("n_act") >= dr.MIN_ROWS).groupBy("batch_day").agg(F.max("ks").alias("max_ks"))
+    m = dr.monitor(p, nn, "batch_day").join(k, "batch_day", "left")
+    return m.select("batch_day", F.round("max_psi", 6).alias("max_psi"), F.round("max_ks", 6).alias("max_ks"), "alerts", "warnings", "n_skipped", "severity", "overall")
 
 
 @register("win17_topk_drifted", f"""{PSI_HEAD}
@@ -251,6 +254,24 @@ def q_drift07(spark, sf):
     return g.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("split")), 6))
 
 
+@register("drift07_score_shift", f"""
+WITH {S}, lg AS (SELECT {ROW_SPLIT} AS batch_day, 'p' AS feature, p AS v FROM s), ref AS (SELECT * FROM lg WHERE batch_day = 'train'), {CDF2},
+k AS (SELECT batch_day, max(abs(cpos / tp - cneg / tn)) AS ks FROM c GROUP BY batch_day),
+m AS (SELECT batch_day, avg(v) - (SELECT avg(v) FROM ref) AS sh FROM lg GROUP BY batch_day)
+SELECT batch_day AS split, round(ks, 6) AS ks, round(sh, 6) AS mean_shift,
+  CASE WHEN ks > 0.10 OR abs(sh) > 0.10 THEN 'ALERT' WHEN ks > 0.05 OR abs(sh) > 0.05 THEN 'WARN' ELSE 'OK' END AS status FROM k JOIN m USING (batch_day)""")
+def q_drift07_shift(spark, sf):
+    """DRIFT-07: score drift of each split against train: KS and mean shift, warned over 0.05, alerted over 0.10."""
+    lg = dr.unpivot(sp.row_split(scored(spark, sf, with_group=False), "id"), ["split"], ["p"])
+    ref = lg.where(F.col("split") == "train")
+    mean = ref.agg(F.avg("v")).scalar()
+    m = lg.groupBy("split").agg(F.avg("v").alias("m")).select("split", (F.col("m") - mean).alias("sh"))
+    j = dr.ks(ref, lg, "split").join(m, "split")
+    worst = F.greatest(F.col("ks"), F.abs("sh"))
+    return j.select("split", F.round("ks", 6).alias("ks"), F.round("sh", 6).alias("mean_shift"),
+                    F.when(worst > 0.10, "ALERT").when(worst > 0.05, "WARN").otherwise("OK").alias("status"))
+
+
 @register("drift08_ece_by_period", f"""
 WITH {S}, b AS (SELECT year(ts) AS period, least(CAST(floor(p_raw * 10) AS INTEGER), 9) AS bin, count(*) AS nb, avg(y) AS acc, avg(p_raw) AS conf FROM s GROUP BY period, bin),
 e AS (SELECT period, sum(nb) AS n, sum(nb / tot * abs(acc - conf)) AS ece FROM b JOIN (SELECT period, sum(nb) AS tot FROM b GROUP BY period) USING (period) GROUP BY period)
@@ -282,6 +303,29 @@ def q_drift11(spark, sf):
                     F.round(100 * (F.col("a") - F.lag("a").over(w)), 6).alias("approve_pp_change"))
 
 
+@register("drift11_daily_decisions", f"""
+WITH {S}, d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, avg(CAST(p < 0.2 AS INTEGER)) AS a, avg(CAST(p >= 0.2 AND p < 0.4 AS INTEGER)) AS r,
+  avg(CAST(p >= 0.4 AS INTEGER)) AS j FROM s GROUP BY day),
+c AS (SELECT *, round(100 * (a - lag(a) OVER w), 6) AS da, round(100 * (r - lag(r) OVER w), 6) AS dr, round(100 * (j - lag(j) OVER w), 6) AS dj FROM d WINDOW w AS (ORDER BY day))
+SELECT strftime(day, '%Y-%m-%d') AS day, n, round(a, 6) AS approve_rate, round(r, 6) AS review_rate, round(j, 6) AS reject_rate,
+  da AS approve_pp, dr AS review_pp, dj AS reject_pp, CASE WHEN abs(da) > 15 THEN 'FREEZE' WHEN abs(da) > 10 THEN 'ALERT'
+  WHEN abs(da) > 5 OR abs(dr) > 5 OR abs(dj) > 5 THEN 'WARN' ELSE 'OK' END AS status FROM c""")
+def q_drift11_daily(spark, sf):
+    """DRIFT-10/11: daily decision rates and their change in percentage points: warned over 5, approvals
+    alerted over 10, frozen over 15 (the windows run over the table of days)."""
+    p = F.col("p")
+    d = scored(spark, sf, with_group=False).groupBy(F.col("ts").cast("date").alias("d")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg((p < 0.2).cast("int")).alias("approve"),
+        F.avg(((p >= 0.2) & (p < 0.4)).cast("int")).alias("review"), F.avg((p >= 0.4).cast("int")).alias("reject"))
+    w = Window.partitionBy(F.lit(1)).orderBy("d")
+    for c in ("approve", "review", "reject"):
+        d = d.withColumn(f"{c}_pp", F.round(100 * (F.col(c) - F.lag(c).over(w)), 6))
+    a, r, j = (F.abs(f"{c}_pp") for c in ("approve", "review", "reject"))
+    st = F.when(a > 15, "FREEZE").when(a > 10, "ALERT").when((a > 5) | (r > 5) | (j > 5), "WARN").otherwise("OK")
+    return d.select(F.date_format("d", "yyyy-MM-dd").alias("day"), "n", *[F.round(c, 6).alias(f"{c}_rate") for c in ("approve", "review", "reject")],
+                    "approve_pp", "review_pp", "reject_pp", st.alias("status"))
+
+
 @register("drift19_concept_drift", f"""
 WITH {S}, x AS (SELECT *, year(ts) AS period FROM s),
 d AS (SELECT period, p_raw AS sc, sum(y) AS pos, sum(1 - y) AS neg FROM x GROUP BY period, p_raw),

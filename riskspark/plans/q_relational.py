@@ -306,6 +306,51 @@ def q_agg14(spark, sf):
     return u.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
+# The columns of the profiled tables, for the oracle texts; the queries take them from the schema.
+NUMERIC = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+           "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "disc_n": "double", "tax_n": "double"}
+ALL_COLS = [*list(NUMERIC)[:8], "l_returnflag", "l_linestatus", "l_shipdate", "disc_n", "tax_n"]
+CATEGORICAL = {"orders": ["o_orderstatus", "o_orderpriority"], "lineitem": ["l_returnflag", "l_linestatus"], "customer": ["c_mktsegment"], "events": ["event_type"]}
+
+
+@register("agg11_null_profile_all", f"""
+WITH {LIN} {" UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS nulls, round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS null_share FROM li" for c in ALL_COLS)}""")
+def q_agg11_all(spark, sf):
+    """AGG-11: nulls of every column, one pass."""
+    li = li_nulls(spark, sf)
+    a = li.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(li.columns)])
+    st = F.stack(F.lit(len(li.columns)), *[x for i, c in enumerate(li.columns) for x in (F.lit(c), F.col(f"c{i}"))]).alias("feature", "nulls")
+    return a.select("n", st).select("feature", "nulls", F.round(F.col("nulls") / F.col("n"), 6).alias("null_share"))
+
+
+@register("agg13_numeric_profile_all", f"""
+WITH {LIN}, u AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, '{t}' AS dtype, CAST({c} AS DOUBLE) AS v FROM li" for c, t in NUMERIC.items())})
+SELECT feature, dtype, round(min(v), 6) AS min_v, round(max(v), 6) AS max_v, round(avg(v), 6) AS mean_v, round(stddev_samp(v), 4) AS std_v,
+  count(*) FILTER (WHERE v IS NULL) AS nulls FROM u GROUP BY feature, dtype""")
+def q_agg13_all(spark, sf):
+    """AGG-13: type, range, mean, spread and nulls of every numeric column, one unpivot."""
+    li = li_nulls(spark, sf)
+    u = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(t).alias("dtype"), F.col(c).cast("double").alias("v"))
+                                      for c, t in li.dtypes if t in ("int", "bigint", "double")])).alias("u")).select("u.*")
+    return u.groupBy("feature", "dtype").agg(
+        F.round(F.min("v"), 6).alias("min_v"), F.round(F.max("v"), 6).alias("max_v"), F.round(F.avg("v"), 6).alias("mean_v"),
+        F.round(F.stddev_samp("v"), 4).alias("std_v"), F.count_if(F.col("v").isNull()).alias("nulls"))
+
+
+@register("agg14_value_distribution_all", f"""
+WITH u AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v FROM {t}" for t, cs in CATEGORICAL.items() for c in cs)}), g AS (SELECT feature, v, count(*) AS n FROM u GROUP BY feature, v)
+SELECT feature, v, n, round(n / sum(n) OVER (PARTITION BY feature), 6) AS share, CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, v) AS INTEGER) AS rank FROM g""")
+def q_agg14_all(spark, sf):
+    """AGG-14 / AGG-09: every level of every categorical with its count, share and rank (rank 1: the mode)."""
+    parts = [table(spark, sf, t).select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v")) for c in cs])).alias("u")).select("u.*")
+             .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")) for t, cs in CATEGORICAL.items()]
+    g = parts[0]
+    for p in parts[1:]:
+        g = g.unionByName(p)
+    w = Window.partitionBy("feature")  # the levels of one categorical
+    return g.withColumn("share", F.round(F.col("n") / F.sum("n").over(w), 6)).withColumn("rank", F.row_number().over(w.orderBy(F.col("n").desc(), "v")))
+
+
 AGE_SQL = "CASE WHEN age < 1 THEN '[0,1)' WHEN age < 3 THEN '[1,3)' WHEN age < 5 THEN '[3,5)' ELSE '[5,inf)' END"
 
 

@@ -53,6 +53,12 @@ def ratio(count: Column, n: Column, smoothing: float) -> Column:
     return F.try_divide(count.cast("double"), n + F.lit(float(smoothing)))
 
 
+def mean(c: str | Column) -> Column:
+    """Mean of doubles summed as decimals of 8 places: the same whatever order the rows come in."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.try_divide(F.sum(x.cast("decimal(28,8)")).cast("double"), F.count(x))
+
+
 def account_rows(orders: DataFrame, lineitem: DataFrame, as_of: str) -> DataFrame:
     """AGG-01 + JOIN-01: one row per account with its months: past-due share, open and overdue
     amounts, dates as days before ``as_of`` (negative numbers)."""
@@ -78,10 +84,10 @@ def bureau_aggregates() -> list[Column]:
     return [F.count(F.lit(1)).alias("acc_n"), count_if(c("o_orderstatus") == "O").alias("acc_active_n"),
             count_if(c("o_orderstatus") == "F").alias("acc_closed_n"), count_if(c("bb_dpd") > 0).alias("acc_overdue_n"),
             F.avg("days").alias("acc_days_mean"), F.max("days").alias("acc_days_max"), F.avg("last_due").alias("acc_end_days_mean"),
-            F.avg("amt").alias("acc_amt_mean"), F.max("amt").alias("acc_amt_max"), F.avg("debt").alias("acc_debt_mean"),
-            F.avg("overdue_amt").alias("acc_overdue_amt_mean"), count_if(c("o_orderpriority") == "1-URGENT").alias("acc_type1_n"),
+            mean("amt").alias("acc_amt_mean"), F.max("amt").alias("acc_amt_max"), mean("debt").alias("acc_debt_mean"),
+            mean("overdue_amt").alias("acc_overdue_amt_mean"), count_if(c("o_orderpriority") == "1-URGENT").alias("acc_type1_n"),
             count_if(c("o_orderpriority") == "2-HIGH").alias("acc_type2_n"), count_if(c("o_orderpriority") == "3-MEDIUM").alias("acc_type3_n"),
-            F.avg("bb_n").alias("acc_months_mean"), F.avg("bb_dpd").alias("acc_dpd_mean"), F.max("bb_dpd").alias("acc_dpd_max"),
+            F.avg("bb_n").alias("acc_months_mean"), mean("bb_dpd").alias("acc_dpd_mean"), F.max("bb_dpd").alias("acc_dpd_max"),
             F.sum("bb_past_due").alias("acc_past_due_sum")]
 
 
@@ -95,10 +101,10 @@ def previous_aggregates() -> list[Column]:
     """AGG-03: 15 aggregates of the previous applications (status F approved, P refused, O cancelled)."""
     st = F.col("o_orderstatus")
     return [F.count(F.lit(1)).alias("prev_n"), F.count_if(st == "F").alias("prev_approved_n"), F.count_if(st == "P").alias("prev_refused_n"),
-            F.count_if(st == "O").alias("prev_cancelled_n"), F.avg("amt").alias("prev_amt_mean"), F.max("amt").alias("prev_amt_max"),
-            F.avg("goods").alias("prev_asked_mean"), F.avg("credit_ratio").alias("prev_credit_ratio_mean"),
-            F.avg("days").alias("prev_days_mean"), F.min("days").alias("prev_days_min"), F.avg("down").alias("prev_down_mean"),
-            F.avg("rate_down").alias("prev_rate_down_mean"), F.avg("rate_interest").alias("prev_rate_interest_mean"),
+            F.count_if(st == "O").alias("prev_cancelled_n"), mean("amt").alias("prev_amt_mean"), F.max("amt").alias("prev_amt_max"),
+            mean("goods").alias("prev_asked_mean"), mean("credit_ratio").alias("prev_credit_ratio_mean"),
+            F.avg("days").alias("prev_days_mean"), F.min("days").alias("prev_days_min"), mean("down").alias("prev_down_mean"),
+            mean("rate_down").alias("prev_rate_down_mean"), mean("rate_interest").alias("prev_rate_interest_mean"),
             F.avg("bb_n").alias("prev_payments_mean"), F.avg(F.col("first_due") - F.col("last_due")).alias("prev_due_diff_mean")]
 
 
@@ -119,9 +125,9 @@ def instalments(lineitem: DataFrame, orders: DataFrame, v: Variant) -> DataFrame
     late = flag(F.col("delay") < -v.late_days)
     return j.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("inst_n"), F.avg("delay").alias("inst_delay_mean"), F.max("delay").alias("inst_delay_max"),
-        F.stddev_samp("delay").alias("inst_delay_std"), F.avg("paid_ratio").alias("inst_paid_ratio_mean"),
+        F.stddev_samp("delay").alias("inst_delay_std"), mean("paid_ratio").alias("inst_paid_ratio_mean"),
         F.min("paid_ratio").alias("inst_paid_ratio_min"), F.sum(late).alias("inst_late_n"), F.avg(late).alias("inst_late_ratio"),
-        F.avg(flag(F.col("paid_ratio") < 0.99)).alias("inst_underpaid_ratio"), F.avg("shortfall").alias("inst_shortfall_mean"),
+        F.avg(flag(F.col("paid_ratio") < 0.99)).alias("inst_underpaid_ratio"), mean("shortfall").alias("inst_shortfall_mean"),
         F.max("shortfall").alias("inst_shortfall_max"))
 
 
@@ -140,17 +146,17 @@ def balance_rows(events: DataFrame, as_of: str) -> DataFrame:
 def card_aggregates() -> list[Column]:
     """AGG-05: 12 aggregates of the card balances."""
     dpd = flag(F.col("dpd") > 0)
-    return [F.count(F.lit(1)).alias("cc_n"), F.avg("balance").alias("cc_balance_mean"), F.max("balance").alias("cc_balance_max"),
-            F.avg("limit").alias("cc_limit_mean"), F.avg("utilisation").alias("cc_util_mean"), F.max("utilisation").alias("cc_util_max"),
-            F.avg("draw_ratio").alias("cc_draw_ratio_mean"), F.avg("payment_ratio").alias("cc_payment_ratio_mean"),
-            F.sum(dpd).alias("cc_dpd_n"), F.avg(dpd).alias("cc_dpd_ratio"), F.avg("atm").alias("cc_atm_mean"), F.avg("pos").alias("cc_pos_mean")]
+    return [F.count(F.lit(1)).alias("cc_n"), mean("balance").alias("cc_balance_mean"), F.max("balance").alias("cc_balance_max"),
+            mean("limit").alias("cc_limit_mean"), mean("utilisation").alias("cc_util_mean"), F.max("utilisation").alias("cc_util_max"),
+            mean("draw_ratio").alias("cc_draw_ratio_mean"), mean("payment_ratio").alias("cc_payment_ratio_mean"),
+            F.sum(dpd).alias("cc_dpd_n"), F.avg(dpd).alias("cc_dpd_ratio"), mean("atm").alias("cc_atm_mean"), mean("pos").alias("cc_pos_mean")]
 
 
 def pos_aggregates() -> list[Column]:
     """AGG-06: 10 aggregates of the cash balances, among them the share of a status."""
     dpd = flag(F.col("dpd") > 0)
-    return [F.count(F.lit(1)).alias("pos_n"), F.max("age").alias("pos_age_max"), F.avg("k").alias("pos_inst_mean"),
-            F.avg(F.col("k") / 2.0).alias("pos_future_mean"), F.sum(dpd).alias("pos_dpd_n"), F.avg(dpd).alias("pos_dpd_ratio"),
+    return [F.count(F.lit(1)).alias("pos_n"), F.max("age").alias("pos_age_max"), mean("k").alias("pos_inst_mean"),
+            mean(F.col("k") / 2.0).alias("pos_future_mean"), F.sum(dpd).alias("pos_dpd_n"), F.avg(dpd).alias("pos_dpd_ratio"),
             F.avg(flag(F.col("dpd") > 12)).alias("pos_dpd_def_ratio"), F.avg("dpd").alias("pos_dpd_mean"), F.max("dpd").alias("pos_dpd_max"),
             F.avg(flag(F.col("status") == "purchase")).alias("pos_complete_ratio")]
 

@@ -11,11 +11,12 @@ from riskspark.plans.catalog import register
 from riskspark.sources.io import table
 
 AS_OF = "2002-01-01"
+PLACES = {"inst_shortfall_mean": 9}
 
 
 def rounded(df):
-    """Doubles to six decimals, as in the oracle texts."""
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """Doubles to six decimals, as in the oracle texts; nine where means of cents end on a half in the seventh."""
+    return df.select(*[F.round(c, PLACES.get(c, 6)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def day(c: str) -> str:
@@ -40,14 +41,14 @@ a AS (SELECT o_custkey AS applicant_id, o_orderstatus, o_orderpriority, o_totalp
 
 BUREAU = f"""count(*) AS acc_n, count(*) FILTER (WHERE o_orderstatus = 'O') AS acc_active_n, count(*) FILTER (WHERE o_orderstatus = 'F') AS acc_closed_n,
   count(*) FILTER (WHERE bb_dpd > 0) AS acc_overdue_n, avg(days) AS acc_days_mean, CAST(max(days) AS INTEGER) AS acc_days_max, avg(last_due) AS acc_end_days_mean,
-  avg(amt) AS acc_amt_mean, max(amt) AS acc_amt_max, avg(debt) AS acc_debt_mean, avg(overdue_amt) AS acc_overdue_amt_mean,
+  CAST(sum(CAST(amt AS DECIMAL(28, 8))) AS DOUBLE) / count(amt) AS acc_amt_mean, max(amt) AS acc_amt_max, CAST(sum(CAST(debt AS DECIMAL(28, 8))) AS DOUBLE) / count(debt) AS acc_debt_mean, CAST(sum(CAST(overdue_amt AS DECIMAL(28, 8))) AS DOUBLE) / count(overdue_amt) AS acc_overdue_amt_mean,
   count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS acc_type1_n, count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS acc_type2_n,
-  count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS acc_type3_n, avg(bb_n) AS acc_months_mean, avg(bb_dpd) AS acc_dpd_mean,
+  count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS acc_type3_n, avg(bb_n) AS acc_months_mean, CAST(sum(CAST(bb_dpd AS DECIMAL(28, 8))) AS DOUBLE) / count(bb_dpd) AS acc_dpd_mean,
   max(bb_dpd) AS acc_dpd_max, CAST(sum(bb_past_due) AS BIGINT) AS acc_past_due_sum"""
 PREVIOUS = """count(*) AS prev_n, count(*) FILTER (WHERE o_orderstatus = 'F') AS prev_approved_n, count(*) FILTER (WHERE o_orderstatus = 'P') AS prev_refused_n,
-  count(*) FILTER (WHERE o_orderstatus = 'O') AS prev_cancelled_n, avg(amt) AS prev_amt_mean, max(amt) AS prev_amt_max, avg(goods) AS prev_asked_mean,
-  avg(credit_ratio) AS prev_credit_ratio_mean, avg(days) AS prev_days_mean, CAST(min(days) AS INTEGER) AS prev_days_min, avg(down) AS prev_down_mean,
-  avg(rate_down) AS prev_rate_down_mean, avg(rate_interest) AS prev_rate_interest_mean, avg(bb_n) AS prev_payments_mean,
+  count(*) FILTER (WHERE o_orderstatus = 'O') AS prev_cancelled_n, CAST(sum(CAST(amt AS DECIMAL(28, 8))) AS DOUBLE) / count(amt) AS prev_amt_mean, max(amt) AS prev_amt_max, CAST(sum(CAST(goods AS DECIMAL(28, 8))) AS DOUBLE) / count(goods) AS prev_asked_mean,
+  CAST(sum(CAST(credit_ratio AS DECIMAL(28, 8))) AS DOUBLE) / count(credit_ratio) AS prev_credit_ratio_mean, avg(days) AS prev_days_mean, CAST(min(days) AS INTEGER) AS prev_days_min, CAST(sum(CAST(down AS DECIMAL(28, 8))) AS DOUBLE) / count(down) AS prev_down_mean,
+  CAST(sum(CAST(rate_down AS DECIMAL(28, 8))) AS DOUBLE) / count(rate_down) AS prev_rate_down_mean, CAST(sum(CAST(rate_interest AS DECIMAL(28, 8))) AS DOUBLE) / count(rate_interest) AS prev_rate_interest_mean, avg(bb_n) AS prev_payments_mean,
   avg(first_due - last_due) AS prev_due_diff_mean"""
 
 
@@ -66,8 +67,8 @@ i AS (SELECT o_custkey AS applicant_id, l_extendedprice AS due, l_extendedprice
   date_diff('day', CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)) AS delay FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 i2 AS (SELECT *, {gr('paid', 'due')} AS pr, due - paid AS sf FROM i),
 inst AS (SELECT applicant_id, count(*) AS inst_n, avg(delay) AS inst_delay_mean, CAST(max(delay) AS INTEGER) AS inst_delay_max, stddev_samp(delay) AS inst_delay_std,
-  avg(pr) AS inst_paid_ratio_mean, min(pr) AS inst_paid_ratio_min, CAST(sum({late}) AS BIGINT) AS inst_late_n, avg({late}) AS inst_late_ratio,
-  avg({fl('pr < 0.99')}) AS inst_underpaid_ratio, avg(sf) AS inst_shortfall_mean, max(sf) AS inst_shortfall_max FROM i2 GROUP BY applicant_id)"""
+  CAST(sum(CAST(pr AS DECIMAL(28, 8))) AS DOUBLE) / count(pr) AS inst_paid_ratio_mean, min(pr) AS inst_paid_ratio_min, CAST(sum({late}) AS BIGINT) AS inst_late_n, avg({late}) AS inst_late_ratio,
+  avg({fl('pr < 0.99')}) AS inst_underpaid_ratio, CAST(sum(CAST(sf AS DECIMAL(28, 8))) AS DOUBLE) / count(sf) AS inst_shortfall_mean, max(sf) AS inst_shortfall_max FROM i2 GROUP BY applicant_id)"""
 
 
 BAL_SQL = f"""
@@ -75,10 +76,10 @@ e AS (SELECT user_id AS applicant_id, value AS balance, CAST(json_extract_string
   CASE WHEN event_type = 'error' THEN hour(ts) ELSE 0 END AS dpd, CASE WHEN event_type = 'view' THEN value END AS atm,
   CASE WHEN event_type = 'click' THEN value END AS pos, CASE WHEN event_type = 'purchase' THEN value END AS payment FROM events),
 b AS (SELECT *, k * 10.0 AS lim, {gr('balance', 'k * 10.0')} AS util, {gr('pos', 'k * 10.0')} AS draw, {gr('payment', 'k')} AS pay FROM e)"""
-CARD = f"""count(*) AS cc_n, avg(balance) AS cc_balance_mean, max(balance) AS cc_balance_max, avg(lim) AS cc_limit_mean, avg(util) AS cc_util_mean,
-  max(util) AS cc_util_max, avg(draw) AS cc_draw_ratio_mean, avg(pay) AS cc_payment_ratio_mean, CAST(sum({fl('dpd > 0')}) AS BIGINT) AS cc_dpd_n,
-  avg({fl('dpd > 0')}) AS cc_dpd_ratio, avg(atm) AS cc_atm_mean, avg(pos) AS cc_pos_mean"""
-POS = f"""count(*) AS pos_n, CAST(max(age) AS INTEGER) AS pos_age_max, avg(k) AS pos_inst_mean, avg(k / 2.0) AS pos_future_mean, CAST(sum({fl('dpd > 0')}) AS BIGINT) AS pos_dpd_n,
+CARD = f"""count(*) AS cc_n, CAST(sum(CAST(balance AS DECIMAL(28, 8))) AS DOUBLE) / count(balance) AS cc_balance_mean, max(balance) AS cc_balance_max, CAST(sum(CAST(lim AS DECIMAL(28, 8))) AS DOUBLE) / count(lim) AS cc_limit_mean, CAST(sum(CAST(util AS DECIMAL(28, 8))) AS DOUBLE) / count(util) AS cc_util_mean,
+  max(util) AS cc_util_max, CAST(sum(CAST(draw AS DECIMAL(28, 8))) AS DOUBLE) / count(draw) AS cc_draw_ratio_mean, CAST(sum(CAST(pay AS DECIMAL(28, 8))) AS DOUBLE) / count(pay) AS cc_payment_ratio_mean, CAST(sum({fl('dpd > 0')}) AS BIGINT) AS cc_dpd_n,
+  avg({fl('dpd > 0')}) AS cc_dpd_ratio, CAST(sum(CAST(atm AS DECIMAL(28, 8))) AS DOUBLE) / count(atm) AS cc_atm_mean, CAST(sum(CAST(pos AS DECIMAL(28, 8))) AS DOUBLE) / count(pos) AS cc_pos_mean"""
+POS = f"""count(*) AS pos_n, CAST(max(age) AS INTEGER) AS pos_age_max, CAST(sum(CAST(k AS DECIMAL(28, 8))) AS DOUBLE) / count(k) AS pos_inst_mean, CAST(sum(CAST(k / 2.0 AS DECIMAL(28, 8))) AS DOUBLE) / count(k / 2.0) AS pos_future_mean, CAST(sum({fl('dpd > 0')}) AS BIGINT) AS pos_dpd_n,
   avg({fl('dpd > 0')}) AS pos_dpd_ratio, avg({fl('dpd > 12')}) AS pos_dpd_def_ratio, avg(dpd) AS pos_dpd_mean, CAST(max(dpd) AS INTEGER) AS pos_dpd_max,
   avg({fl("status = 'purchase'")}) AS pos_complete_ratio"""
 
@@ -90,7 +91,7 @@ def names(part: str) -> list[str]:
 def rnd(cols) -> str:
     """Doubles rounded; counts and whole days as they are."""
     whole = ("_n", "_sum", "_days_max", "_days_min", "_delay_max", "_age_max", "pos_dpd_max")
-    return ", ".join(c if c.endswith(whole) else f"round({c}, 6) AS {c}" for c in cols)
+    return ", ".join(c if c.endswith(whole) else f"round({c}, {PLACES.get(c, 6)}) AS {c}" for c in cols)
 
 
 def family_sql(ctes: str, source: str, aggs: str, ratios: str = "") -> str:

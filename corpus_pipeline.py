@@ -26,8 +26,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the multi-line chunks that an earlier place holds; ``n_chars`` follows the text."""
-    clean = drop_repeated_chunks(docs, window=2, min_chars=20)
+    """Every document, without the chunks of sentences that an earlier place holds; ``n_chars`` follows the text."""
+    clean = drop_repeated_chunks(docs, window=2, min_chars=20, unit="sentence")
     count = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

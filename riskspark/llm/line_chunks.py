@@ -6,6 +6,11 @@ the lines around it alone, so text put in before a passage moves no boundary
 inside it, and two neighbouring lines cannot both end a chunk: apart from a
 document's last, chunks have two lines at least and three on average.
 
+With ``unit="sentence"`` lines are split further at sentence ends, each piece
+keeps its separator, and a chunk ends after every piece whose own hash is a
+local minimum: a boundary then depends on one piece and its two neighbours, so
+that a passage of few long lines holds whole chunks.
+
 A multi-line chunk that occurs again anywhere keeps its first occurrence (by
 document id, then place) and loses the others, after its bytes were compared.
 DataFrame functions only; the arrays of a row are walked a constant number of
@@ -23,6 +28,8 @@ from riskspark.llm.common import written
 BASE, MOD = 31, (1 << 40) - 87
 #: Marks before the lines of a chunk.
 START, NEXT = "\x0b", " "
+#: The empty places after a line's or a sentence's end, and what ends them.
+SENTENCE, ENDS = r"(?<=\n)|(?<=[.!?] )", r"\n|[.!?] "
 
 
 def _line_hash(line: Column) -> Column:
@@ -40,15 +47,20 @@ def _times(factor: int):
     return lambda h: F.pmod(h.cast("decimal(20,0)") * F.lit(factor).cast("decimal(18,0)"), F.lit(MOD)).cast("long")
 
 
-def with_chunks(df: DataFrame, text: Column, window: int = 2) -> DataFrame:
+def with_chunks(df: DataFrame, text: Column, window: int = 2, unit: str = "line") -> DataFrame:
     """``df`` with ``_chunks``: the text's chunks, each line of them after a mark, START (first of its chunk) or NEXT.
 
     The marks make the form reversible (``unmarked``) whatever the text holds;
     being white space themselves, they do not count as a line's characters.
     Each array is a column of its own, so none is computed inside another's lambda.
     """
-    out = df.withColumn("_lines", F.split(text, "\n", -1))
-    out = out.withColumn("_h", F.transform("_lines", _line_hash))
+    if unit == "sentence":
+        # a piece is the same whatever white space ends it
+        out = df.withColumn("_lines", F.split(text, SENTENCE, -1))
+        out = out.withColumn("_h", F.transform("_lines", lambda piece: _line_hash(_trimmed(piece))))
+    else:
+        out = df.withColumn("_lines", F.split(text, "\n", -1))
+        out = out.withColumn("_h", F.transform("_lines", _line_hash))
     rolled = F.col("_h")
     for back in range(1, window):
         older = F.transform(_shifted(F.col("_h"), back, F.lit(0).cast("long")), _times(BASE ** back % MOD))
@@ -62,16 +74,30 @@ def with_chunks(df: DataFrame, text: Column, window: int = 2) -> DataFrame:
     return out.withColumn("_chunks", F.split(F.array_join(marked, "\n"), f"\n(?={START})", -1)).drop("_lines", "_h", "_r", "_cut", "_start")
 
 
-def unmarked(chunks: Column) -> Column:
+def _trimmed(text: Column) -> Column:
+    return F.rtrim(text, F.lit(" \n"))
+
+
+def _pieces(chunk: Column) -> Column:
+    """The marked pieces of marked chunks: a separator that a piece keeps is never followed by a mark."""
+    return F.split(chunk, f"\n(?=[{START}{NEXT}])", -1)
+
+
+def unmarked(chunks: Column, unit: str = "line") -> Column:
+    if unit == "sentence":
+        return F.array_join(F.transform(_pieces(F.array_join(chunks, "\n")), lambda piece: F.substring(piece, 2, 2147483647)), "")
     return F.array_join(F.transform(F.split(F.array_join(chunks, "\n"), "\n", -1), lambda line: F.substring(line, 2, 2147483647)), "\n")
 
 
 def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
-                         min_chars: int = 20) -> DataFrame:
+                         min_chars: int = 20, unit: str = "line") -> DataFrame:
     """``docs`` with repeated multi-line chunks cut from the text, and ``lines_removed`` (int).
 
     Eligible chunks have two lines or more and ``min_chars`` characters that are
-    no white space, so blank lines and the like stay.  Rows that share id and
+    no white space, so blank lines and the like stay.  With ``unit="sentence"``
+    lines are split at sentence ends too, the pieces are what is counted, cuts
+    look at one piece's hash (``window`` is not used), and chunks that differ in
+    the white space at their end only are the same.  Rows that share id and
     text are one document and stay alike; a null id sorts first.  A null text
     stays null with 0 lines removed; a text whose every chunk is repeated
     becomes empty; an empty table gives an empty result.  Other columns pass
@@ -83,18 +109,23 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     task after partial aggregation; its join rows can be split by adaptive
     execution, and its occurrences are never gathered.
     """
+    if unit not in ("line", "sentence"):
+        raise ValueError(unit)
+    fine = unit == "sentence"
+    window = 1 if fine else window
+    same_text = _trimmed if fine else lambda c: c
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
     texts = docs.where(F.col(text_col).isNotNull()).select(key.alias("k"), F.col(text_col).alias("t"))
     # one line or none can't hold a multi-line chunk
-    several = texts.where(F.instr("t", "\n") > 0)
+    several = texts.where(F.col("t").rlike(ENDS) if fine else F.instr("t", "\n") > 0)
 
     chunk = F.col("chunk")
     # the pattern stops at the character that decides
-    eligible = F.contains(chunk, F.lit("\n")) & chunk.rlike(rf"^(?:\s*\S){{{min_chars}}}")
+    eligible = F.contains(chunk, F.lit(f"\n{NEXT}" if fine else "\n")) & chunk.rlike(rf"^(?:\s*\S){{{min_chars}}}")
     # the outer form: no text has no chunk, and the plain one would add a filter that computes the chunks twice more
-    places = written(with_chunks(several, F.col("t"), window)
+    places = written(with_chunks(several, F.col("t"), window, unit)
                      .select("k", F.posexplode_outer("_chunks").alias("at", "chunk"))
-                     .select("k", "at", F.when(eligible, F.unhex(F.md5("chunk"))).alias("digest")))
+                     .select("k", "at", F.when(eligible, F.unhex(F.md5(same_text(chunk)))).alias("digest")))
 
     spot = F.struct("k", "at")
     # written, so that the joins on a hot digest shuffle both sides and can be split
@@ -108,8 +139,8 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return marked.groupBy("k").agg(F.array_sort(F.collect_set(own)).alias("flags"), F.max(flag.isNotNull()).alias("any")).where("any").drop("any")
 
     wanted = per_document(F.when(F.col("first").isNotNull(), F.col("digest")))
-    held = with_chunks(several.join(wanted, "k"), F.col("t"), window)
-    pairs = held.select(F.explode_outer(F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.struct(f["x"].alias("digest"), c.alias("chunk")))))).alias("p"))
+    held = with_chunks(several.join(wanted, "k"), F.col("t"), window, unit)
+    pairs = held.select(F.explode_outer(F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.struct(f["x"].alias("digest"), same_text(c).alias("chunk")))))).alias("p"))
     same = written(pairs.select("p.digest", "p.chunk").groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a = b").select("digest"))
 
     gone = written(marked.where("first is not null").where(spot != F.col("first")).join(same, "digest").select("k", "at").distinct())
@@ -118,10 +149,10 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     judged = docs.select(key.alias("k"), row.alias("row")).join(flags, "k", "left")
-    cleaned = with_chunks(judged, F.when(F.col("flags").isNotNull(), F.col("row")[text_col]), window)
+    cleaned = with_chunks(judged, F.when(F.col("flags").isNotNull(), F.col("row")[text_col]), window, unit)
     kept = F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNull(), c)))
-    dropped = F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.size(F.split(c, "\n", -1)))))
+    dropped = F.array_compact(F.zip_with("_chunks", "flags", lambda c, f: F.when(f["x"].isNotNull(), F.size(_pieces(c) if fine else F.split(c, "\n", -1)))))
     cleaned = cleaned.withColumn("_kept", kept).withColumn("_dropped", F.aggregate(dropped, F.lit(0), lambda a, x: a + x))
-    new_text = F.when(F.col("flags").isNull(), F.col("row")[text_col]).otherwise(F.when(F.size("_kept") > 0, unmarked(F.col("_kept"))).otherwise(F.lit("")))
+    new_text = F.when(F.col("flags").isNull(), F.col("row")[text_col]).otherwise(F.when(F.size("_kept") > 0, unmarked(F.col("_kept"), unit)).otherwise(F.lit("")))
     return cleaned.select(*[(new_text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns if c != "lines_removed"],
                           F.coalesce("_dropped", F.lit(0)).alias("lines_removed"))

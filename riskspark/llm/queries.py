@@ -99,6 +99,33 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), window=2, min_chars=20)
 
 
+@query("op4_passage_dedup", """
+WITH d AS (
+  SELECT doc_id, string_split(regexp_replace(text, '(\\n|[.!?] )', '\\1' || chr(57344), 'g'), chr(57344)) AS ls FROM documents WHERE text IS NOT NULL
+), l AS (
+  SELECT doc_id, unnest(ls) AS piece, generate_subscripts(ls, 1) AS i FROM d
+), h AS (
+  SELECT *, ('0x' || substr(md5(rtrim(piece, chr(10) || ' ')), 1, 10))::BIGINT AS h FROM l
+), c AS (
+  SELECT *, coalesce(lag(h) OVER w > h AND h <= lead(h) OVER w, false) AS cut FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), s AS (
+  SELECT *, sum(CASE WHEN cut THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k FROM c
+), g AS (
+  SELECT doc_id, coalesce(k, 0) AS k, string_agg(piece, '' ORDER BY i) AS chunk, count(*) AS pieces, min(i) AS i FROM s GROUP BY ALL
+), e AS (
+  SELECT *, rtrim(chunk, chr(10) || ' ') AS body, pieces > 1 AND length(regexp_replace(chunk, '[ \\t\\n\\x0B\\f\\r]', '', 'g')) >= 20 AS eligible FROM g
+), f AS (
+  SELECT *, eligible AND row_number() OVER (PARTITION BY eligible, body ORDER BY doc_id, i) > 1 AS gone FROM e
+), o AS (
+  SELECT doc_id, string_agg(chunk, '' ORDER BY i) FILTER (NOT gone) AS text, sum(CASE WHEN gone THEN pieces ELSE 0 END) AS lines_removed FROM f GROUP BY doc_id
+)
+SELECT documents.doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE coalesce(o.text, '') END AS text, coalesce(lines_removed, 0)::INTEGER AS lines_removed
+FROM documents LEFT JOIN o ON documents.doc_id = o.doc_id
+""")
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, unit="sentence")
+
+
 @query("op5_quality")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), lambda i: ~held_out(i, 5, 0), threshold=0.3)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.llm import queries as Q
-from riskspark.llm.line_chunks import BASE, MOD, drop_repeated_chunks
+from riskspark.llm.line_chunks import BASE, MOD, drop_repeated_chunks, unmarked, with_chunks
 from riskspark.llm.url_filter import url_verdicts
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("com", "", "block"), ("example.com", "/a/b", "allow"), ("b.c", "/aa", "allow"),
@@ -118,6 +118,41 @@ def test_repeated_rows_are_one_document(spark):
     assert got == [(0, False), (1, True), (1, True), (2, True)]
 
 
+def test_passages_of_few_long_lines(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    line = lambda: " ".join(" ".join(word() for _ in range(9)) + rng.choice(".!?") for _ in range(7))
+    # passages of 1 to 5 lines, each once in an early document and once more between other neighbours
+    passages = {k: "\n".join(line() for _ in range(1 + k % 5)) for k in range(100)}
+    rows = {k: "\n".join([line(), p, line()]) for k, p in passages.items()}
+    rows |= {1000 + k: "\n".join([line() for _ in range(k % 3)] + [p] + [line() for _ in range(k % 2)]) for k, p in passages.items()}
+    df = spark.createDataFrame(list(rows.items()), "doc_id int, text string")
+
+    def removed(**options):
+        got = {r["doc_id"]: r["text"] for r in drop_repeated_chunks(df, **options).collect()}
+        assert all(got[k] == rows[k] for k in passages)
+        words = {k: len(rows[1000 + k].split()) - len(got[1000 + k].split()) for k in passages}
+        assert all(0 <= n <= len(passages[k].split()) for k, n in words.items())
+        return [sum(n > 0 for k, n in words.items() if k % 5 == size) for size in range(5)], sum(words.values()) / sum(len(p.split()) for p in passages.values())
+
+    found, share = removed(unit="sentence")
+    assert min(found) >= 14 and sum(found) >= 92 and share > 0.7
+    assert removed()[1] < 0.3
+
+
+def test_sentence_chunks_restore_the_text(spark):
+    odd = ["a. b! c? d", "a.  b\n\n.\n. ", "\x0b a.\n\x0b b. \n c", "  ", "\n", "", ". . . ", "x.\n \x0b\ny. \x0b", "no end"]
+    out = with_chunks(spark.createDataFrame([(t,) for t in odd], "t string"), F.col("t"), 1, "sentence")
+    assert [tuple(r) for r in out.select("t", unmarked(F.col("_chunks"), "sentence")).collect()] == [(t, t) for t in odd]
+    with pytest.raises(ValueError):
+        drop_repeated_chunks(out, "t", "t", unit="word")
+
+
+@pytest.mark.parametrize("name", ["op4_passage_dedup"])
+def test_no_python_in_the_plan_of_passages(spark, sf, name):
+    test_no_python_in_the_plan(spark, sf, name)
+
+
 @pytest.mark.parametrize("name", ["op2_url_filter", "op4_line_dedup"])
 def test_no_python_in_the_plan(spark, sf, name):
     plan = Q.QUERIES[name](spark, sf)._jdf.queryExecution().toString()

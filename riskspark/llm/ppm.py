@@ -102,42 +102,84 @@ class Trie:
     counts: tuple[np.ndarray, ...]
 
 
-def train(texts: DataFrame, text: str, order: int = 5, max_contexts: int = 1 << 17, max_grams: int = 1 << 20) -> Trie:
-    """Counts over every row of ``texts`` (a binary column).
+def _low(gram: Column, length: int) -> Column:
+    """The last ``length`` symbols of a gram."""
+    return gram.bitwiseAND(F.lit((1 << (BITS * length)) - 1))
 
-    The counts of each length are complete sums over the corpus.  The model that
-    is sent to the executors has a bounded size: of each length the
-    ``max_grams`` most frequent grams in the ``max_contexts`` most frequent
-    contexts; rarer contexts are predicted by their shorter ones.
+
+def train(texts: DataFrame, text: str, order: int = 5, max_contexts: int = 1 << 17, max_grams: int = 1 << 20) -> tuple[Trie, list[DataFrame] | None]:
+    """Counts over every row of ``texts`` (a binary column): a trie of bounded size, and the tables of all counts.
+
+    The trie is a cache: of each length at most the ``max_contexts`` most
+    frequent contexts, as far as their followers are ``max_grams`` at most,
+    each with every symbol that followed it.  The tables (gram, n), by length
+    from 1, hold the rest; None where the trie holds everything.
     """
     def count(batches):
         for grams, n in gram_counts((model_words(x.as_buffer().to_pybytes() if x.is_valid else None) for b in batches for x in b.column(0)), order):
             for at in range(0, len(grams), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(grams[at:at + (1 << 16)]), pa.array(n[at:at + (1 << 16)])], names=["gram", "n"])
 
-    full = written(texts.select(text).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
-    grams, counts = [], []
-    for length in range(1, order + 2):
-        cut = (1 << (BITS * length)) - 1
-        level = full if length == order + 1 else full.groupBy(F.col("gram").bitwiseAND(F.lit(cut)).alias("gram")).agg(F.sum("n").alias("n"))
-        rows = level.orderBy(F.desc("n"), "gram").limit(max_grams).toArrow()
-        g, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-        at = np.argsort(g)
-        g, n = g[at], n[at]
+    levels = [written(texts.select(text).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))]
+    for length in range(order, 0, -1):
+        levels.insert(0, written(levels[0].groupBy(_low(F.col("gram"), length).alias("gram")).agg(F.sum("n").alias("n"))))
+    grams, counts, whole = [], [], True
+    for length, level in enumerate(levels, 1):
+        rows = level
         if length > 1:
-            ctx, back = np.unique(g >> BITS, return_inverse=True)
-            total = np.bincount(back, weights=n)
-            keep = np.zeros(len(ctx), bool)
-            keep[np.lexsort((ctx, -total))[:max_contexts]] = True
+            contexts = level.groupBy(F.shiftright("gram", BITS).alias("ctx")).agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("f"))
+            total = contexts.count()
+            top = contexts.orderBy(F.desc("t"), "ctx").limit(max_contexts).toArrow()
+            ctx = top.column("ctx").to_numpy()[np.cumsum(top.column("f").to_numpy()) <= max_grams]
             if length > 2:
                 # a context needs its suffix, to escape to, and its prefix, to be reached by
                 shorter = np.unique(grams[-1] >> BITS)
-                suffix = np.isin(ctx & ((1 << (BITS * (length - 2))) - 1), shorter)
-                keep &= suffix & np.isin(ctx >> BITS, shorter)
-            g, n = g[keep[back]], n[keep[back]]
-        grams.append(g)
-        counts.append(n)
-    return Trie(order, tuple(grams), tuple(counts))
+                ctx = ctx[np.isin(ctx & ((1 << (BITS * (length - 2))) - 1), shorter) & np.isin(ctx >> BITS, shorter)]
+            if len(ctx) < total:
+                whole = False
+                kept = texts.sparkSession.createDataFrame(pa.table({"ctx": pa.array(ctx, pa.int64())}))
+                rows = level.join(F.broadcast(kept), F.shiftright("gram", BITS) == F.col("ctx")).select("gram", "n")
+        rows = rows.toArrow()
+        g, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
+        at = np.argsort(g)
+        grams.append(g[at])
+        counts.append(n[at])
+    return Trie(order, tuple(grams), tuple(counts)), None if whole else levels
+
+
+def log10_of_grams(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(gram, value) per row of ``asked`` (distinct grams): log10 probability of the last symbol after the others, from the tables of all counts.
+
+    Each length's rows are the distinct ends of the longer one's, so that no
+    key of a join has more rows than there are symbols.
+    """
+    total, symbols_seen = levels[0].agg(F.sum("n"), F.count(F.lit(1))).first()
+    uniform = F.lit(-math.log10(SYMBOLS - symbols_seen) if symbols_seen < SYMBOLS else -math.inf)
+    order = len(levels) - 1
+    ends = [asked]
+    for length in range(order, 0, -1):
+        ends.insert(0, written(ends[0].select(_low(F.col("gram"), length).alias("gram")).distinct()))
+    n, t, q = F.col("n"), F.col("t"), F.col("q")
+
+    def value(after: Column) -> Column:
+        return F.when(n.isNotNull(), F.log10((n - 0.5) / t)).otherwise(F.log10(q / 2 / t) + after)
+
+    # after: log probability of a symbol the context has not seen, once all it has seen is excluded
+    known = ends[0].join(levels[0], "gram", "left").withColumn("t", F.lit(total)).withColumn("q", F.lit(symbols_seen)).withColumn("after", uniform)
+    known = known.withColumn("value", value(F.col("after")))
+    for length in range(2, order + 2):
+        level, shorter = levels[length - 1], levels[length - 2]
+        # covered: how often the context's suffix was followed by what followed the context
+        contexts = level.select("gram", "n", _low(F.col("gram"), length - 1).alias("end")).join(shorter.select(F.col("gram").alias("end"), F.col("n").alias("m")), "end")
+        contexts = contexts.groupBy(F.shiftright("gram", BITS).alias("ctx")).agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("q"), F.sum("m").alias("covered"))
+        below = known.select(F.col("gram").alias("end"), *[F.col(c).alias(f"{c}_below") for c in ("n", "t", "q", "after", "value")])
+        rows = ends[length - 1].select("gram", _low(F.col("gram"), length - 1).alias("end"), F.shiftright("gram", BITS).alias("ctx"))
+        rows = rows.join(below, "end").join(contexts, "ctx", "left").join(level, "gram", "left")
+        rest, fresh = F.col("t_below") - F.col("covered"), F.col("q_below") - q
+        after = F.when(fresh > 0, F.when(F.col("n_below").isNotNull(), F.log10((F.col("n_below") - 0.5) / rest)).otherwise(F.log10(fresh / 2 / rest) + F.col("after_below")))
+        rows = rows.withColumn("after", after.otherwise(F.col("after_below")))
+        known = written(rows.withColumn("value", F.when(t.isNotNull(), value(F.col("after"))).otherwise(F.col("value_below"))).select("gram", "n", "t", "q", "after", "value"))
+    return known.select("gram", "value")
 
 
 class Tables:
@@ -201,11 +243,28 @@ class Tables:
         """Log10 probability of symbols after their pads; a very long text is looked up in parts."""
         return math.fsum(self._window(s, at, min(len(s), at + CHUNK)) for at in range(self.order, len(s), CHUNK))
 
+    def held(self, s: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log10 probability of the symbols whose longest context is held, and the grams of the others with their counts."""
+        sums, found = [], [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for start in range(self.order, len(s), CHUNK):
+            out, full = self._looked(s, start, min(len(s), start + CHUNK))
+            sums.append(float(out[full].sum(dtype=np.float64)))
+            at = np.flatnonzero(~full) + start
+            gram = s[at - self.order].copy()
+            for k in range(1, self.order + 1):
+                gram = (gram << BITS) | s[at - self.order + k]
+            found.append(np.unique(gram, return_counts=True))
+        return math.fsum(sums), *_merged(found)
+
     def _window(self, s: np.ndarray, start: int, end: int) -> float:
+        return float(self._looked(s, start, end)[0].sum(dtype=np.float64))
+
+    def _looked(self, s: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probabilities of the symbols from start to end, and whether each one's longest context is held."""
         c = self.code[s[start - self.order:end]]
         target = c[self.order:]
         # now[t]: the context one longer than before[t], both ending at t; the longest known context decides
-        out, before = self.rows[0][0][target], None
+        out, before, full = self.rows[0][0][target], None, np.zeros(len(target), bool)
         for j, (step, rows) in enumerate(zip(self.step, self.rows[1:])):
             now = np.full(len(c), len(rows), np.int32)
             if j == 0:
@@ -215,9 +274,11 @@ class Tables:
             if not len(rows):
                 break
             known = now[self.order - 1:-1]
+            if j == self.order - 1:
+                full = known < len(rows)
             out = np.where(known < len(rows), rows[np.minimum(known, len(rows) - 1), target], out)
             before = now
-        return float(out.sum(dtype=np.float64))
+        return out, full
 
 
 def adaptive_log10(words: list[bytes], order: int = 5) -> float:
@@ -245,7 +306,7 @@ def adaptive_log10(words: list[bytes], order: int = 5) -> float:
 
 
 def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 5,
-                          mode: str = "pretrained", common_words: int = 1 << 18) -> DataFrame:
+                          mode: str = "pretrained", common_words: int = 1 << 18, max_contexts: int = 1 << 17, max_grams: int = 1 << 20) -> DataFrame:
     """One row (id, n_tokens, n_known, train_tokens, base_score, score) per input row.
 
     Tokens are the lower-cased (A-Z) words of a text and one end.  ``score`` is
@@ -259,7 +320,9 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
 
     Word counts stay a table.  The ``common_words`` most frequent words, a table
     of bounded size, are looked up in the tasks; the others, about one in twenty
-    tokens, are joined by a shuffle in which no word is hot.
+    tokens, are joined by a shuffle in which no word is hot.  So are the PPM
+    counts: ``max_contexts`` and ``max_grams`` bound what is looked up in the
+    tasks, the grams of other contexts are joined with the table of all counts.
     """
     if mode not in ("pretrained", "adaptive"):
         raise ValueError(mode)
@@ -296,11 +359,12 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
     bottom = math.log10(n_all + v_all + 1)
     top = words.where("word is not null").orderBy(F.desc("c"), "word").limit(common_words).toArrow()
     common = Sent(spark, (top.column("word").to_pylist(), top.column("c").to_numpy()))
-    model = Sent(spark, train(learn, "t", order)) if mode == "pretrained" else None
+    trie, levels = train(learn, "t", order, max_contexts, max_grams) if mode == "pretrained" else (None, None)
+    model, whole = Sent(spark, trie) if trie else None, levels is None
 
     def look(batches):
         known = dict(zip(common.value[0], common.value[1].tolist(), strict=True))
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 3)
         for b in (b.slice(at, SENT_ROWS) for b in batches for at in range(0, b.num_rows, SENT_ROWS)):
             cols: list[list] = [[] for _ in kinds]
             for x in b.column(0):
@@ -309,19 +373,30 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
                 rest = [k for k in own if k not in known]
                 # summed exactly, so that equal texts have equal sums
                 logs = math.fsum(n * math.log10(known[k] + 1) for k, n in own.items() if k in known)
-                s = model.built(Tables).log10(symbols(w, order)) if model else adaptive_log10(w, order)
+                grams, gram_times = (), ()
+                if model and not whole:
+                    s, grams, gram_times = model.built(Tables).held(symbols(w, order))
+                else:
+                    s = model.built(Tables).log10(symbols(w, order)) if model else adaptive_log10(w, order)
                 times = [own[k] for k in rest]
-                for c, v in zip(cols, (len(w) + 1, len(w) - sum(times) + (ends > 0), logs + math.log10(ends + 1), s, rest, times)):
+                for c, v in zip(cols, (len(w) + 1, len(w) - sum(times) + (ends > 0), logs + math.log10(ends + 1), s, rest, times, grams, gram_times)):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([b.column(1), *map(pa.array, cols, kinds)], names=["id", "n_tokens", "known", "logs", "score", "words", "times"])
+            yield pa.RecordBatch.from_arrays([b.column(1), *map(pa.array, cols, kinds)], names=["id", "n_tokens", "known", "logs", "score", "words", "times", "grams", "gram_times"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     # what becomes of a document, once: rows are numbered where they are written
     looked = written(docs.select(raw.alias("t"), F.col(id_col).alias("id")).mapInArrow(
-        look, f"id {kind}, n_tokens long, known long, logs double, score double, words array<binary>, times array<long>"
+        look, f"id {kind}, n_tokens long, known long, logs double, score double, words array<binary>, times array<long>, grams array<long>, gram_times array<long>"
     ).withColumn("k", F.monotonically_increasing_id()))
     rare = looked.select("k", F.explode(F.arrays_zip("words", "times")).alias("p")).select("k", F.col("p.words").alias("word"), F.col("p.times").alias("n"))
     joined = rare.join(words.where("word is not null"), "word").groupBy("k").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_logs"))
-    return looked.join(joined, "k", "left").select(
+    out = looked.join(joined, "k", "left")
+    score = F.col("score")
+    if not whole:
+        asked = looked.select("k", F.explode(F.arrays_zip("grams", "gram_times")).alias("p")).select("k", F.col("p.grams").alias("gram"), F.col("p.gram_times").alias("n"))
+        values = log10_of_grams(written(asked.select("gram").distinct()), levels)
+        out = out.join(asked.join(values, "gram").groupBy("k").agg(F.sum(F.col("n") * F.col("value")).alias("more_score")), "k", "left")
+        score = score + F.coalesce("more_score", F.lit(0.0))
+    return out.select(
         F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(bottom)).alias("base_score"), "score")
+        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(bottom)).alias("base_score"), score.alias("score"))

@@ -81,6 +81,18 @@ def test_ppm_scores(spark, order):
             assert r["score"] == pytest.approx(w[4], rel=1e-4, abs=1e-4)
 
 
+@pytest.mark.parametrize("order,max_contexts,max_grams", [(5, 9, 1 << 20), (3, 1 << 17, 25), (5, 1, 1), (1, 4, 1 << 20)])
+def test_ppm_cache_that_is_too_small(spark, order, max_contexts, max_grams):
+    rows = [(i, t, True) for i, t in enumerate(TRAIN)] + [(100 + i, t, False) for i, t in enumerate(SCORED)] + [(100, SCORED[0], False), (200, None, False)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, learn boolean")
+    words = {i: ppm.model_words((t or "").encode()) for i, t, _ in rows}
+    model = counts_of([t.encode() for t in TRAIN], order)
+    got = ppm.language_model_scores(df, F.col("learn"), order=order, max_contexts=max_contexts, max_grams=max_grams).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["score"] == pytest.approx(brute_ppm(model, words[r["doc_id"]], order), rel=1e-5, abs=1e-5)
+
+
 def test_ppm_without_training_rows_and_empty(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None)], "doc_id int, text string")
     got = {r["doc_id"]: r for r in ppm.language_model_scores(df, F.lit(False)).collect()}

@@ -51,8 +51,8 @@ def features(text: bytes | None) -> np.ndarray:
     out[:k] = np.log1p(100 * shares)
     p = counts[counts > 0] / n
     out[k] = -(p * np.log2(p)).sum()
-    words = size = odd = same = distinct = most = 0
-    last = None
+    words = size = odd = same = 0
+    last, seen = None, Counter()
     packer, packed = zlib.compressobj(1), 0
     at = 0
     while at < n:
@@ -67,14 +67,12 @@ def features(text: bytes | None) -> np.ndarray:
         odd += sum(w[-1:].isalnum() for w in found)
         same += sum(map(eq, found, [last, *found]))
         last = found[-1] if found else last
-        # distinct words of each part: of the whole text, but for texts of over a megabyte
-        seen = Counter(found)
-        distinct += len(seen)
-        most += max(seen.values(), default=0)
+        seen.update(found)
         at = end
     packed += len(packer.flush())
     lines = text.count(b"\n") + 1
     w = max(words, 1)
+    distinct, most = len(seen), max(seen.values(), default=0)
     out[k + 1] = packed / n
     out[k + 2] = math.log1p(words)
     out[k + 3] = size / w / 10

@@ -240,6 +240,16 @@ def test_quality_features_of_long_texts(monkeypatch):
     assert np.allclose(np.delete(whole, [k + 4, k + 5, k + 6]), np.delete(parts, [k + 4, k + 5, k + 6]), atol=0.01)
 
 
+def test_quality_counts_words_of_the_whole_text(monkeypatch):
+    text = b"word other word " * 2000 + b"rare"
+    whole = quality.features(text)
+    monkeypatch.setattr(quality, "PART", 1000)
+    k = len(quality.CLASSES) + 1
+    w = 6001
+    assert np.allclose(whole[k + 4:k + 7], [3 / w, np.log1p(3) / np.log(w + 1.5), 4000 / w])
+    assert np.allclose(quality.features(text)[k + 4:k + 7], whole[k + 4:k + 7])
+
+
 # ---- toxicity
 
 def toxic_corpus():

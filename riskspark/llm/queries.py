@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.llm.ann import nearest
 from riskspark.llm.common import held_out, table
 from riskspark.llm.decontaminate import benchmark_overlaps
 from riskspark.llm.embed_dedup import embedding_near_duplicates
@@ -180,3 +181,19 @@ FROM embeddings e JOIN comp ON comp.u = e.vec_id LEFT JOIN deg ON deg.u = e.vec_
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+@query("op13_nearest", """
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.k, q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e) AS score
+  FROM v q JOIN v ON q.k <> v.k AND len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score
+FROM p QUALIFY rank <= 20
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)

@@ -31,9 +31,10 @@ from pyspark.sql import types as T
 from riskspark.llm.common import ready_workers, written
 from riskspark.llm.embed_dedup import rotation
 
-#: Vectors estimated at once, and pairs reranked at once.
+#: Vectors estimated at once, pairs reranked at once, and pairs held before only the best stay.
 SCAN_ROWS = 1024
 RERANK_PAIRS = 1 << 14
+HELD_PAIRS = 1 << 19
 
 
 def code_width(dim: int, bits_per_axis: int) -> int:
@@ -100,7 +101,7 @@ class Block:
             good = exact >= self.floor[c]
             a, c = a[good], c[good]
             held.append((c, exact[good], ident[a], void[a]))
-            if sum(len(h[0]) for h in held) > 1 << 19:
+            if sum(len(h[0]) for h in held) > HELD_PAIRS:
                 held = [self._best(held)]
         if len(held) > 1:
             self.at, self.score, self.ident, self.void = self._best(held)
@@ -114,7 +115,7 @@ class Block:
         order = np.lexsort((ident, void, -score, at))
         at = at[order]
         order = order[np.arange(len(at)) - np.searchsorted(at, at) < self.k]
-        return (c[order] for c in (np.concatenate([h[0] for h in held]), score, ident, void))
+        return tuple(c[order] for c in (np.concatenate([h[0] for h in held]), score, ident, void))
 
 
 def inner(x: np.ndarray, columns: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:

@@ -71,21 +71,20 @@ def test_fewer_candidates_empty_tables_and_clashing_names(spark):
         nearest(df.withColumn("vec_id", F.col("vec_id").cast("string")), F.lit(True))
 
 
-def test_codes_spare_most_pairs_and_errors_stay_within_the_bound():
+def test_codes_spare_most_pairs_and_errors_stay_within_the_bound(monkeypatch):
+    monkeypatch.setattr(ann, "HELD_PAIRS", 1000)
+    monkeypatch.setattr(ann, "RERANK_PAIRS", 300)
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 64))
     x = centres[np.arange(4000) % 40] + 0.3 * rng.normal(size=(4000, 64))
     q = x[:50]
     bits, size, fit = encode(x, 256)
     seen = []
-    rerank, ann.inner = ann.inner, lambda *a: (seen.append(len(a[2])), inner(*a))[1]
-    try:
-        block = Block(np.arange(50), q, 20, 256, 4.0)
-        for s in range(0, 4000, 1000):
-            at = slice(s, s + 1000)
-            block.scan(np.arange(4000)[at], np.arange(4000)[at], np.zeros(1000, bool), x[at], bits[at], size[at], fit[at])
-    finally:
-        ann.inner = rerank
+    monkeypatch.setattr(ann, "inner", lambda *a: (seen.append(len(a[2])), inner(*a))[1])
+    block = Block(np.arange(50), q, 20, 256, 4.0)
+    for s in range(0, 4000, 1000):
+        at = slice(s, s + 1000)
+        block.scan(np.arange(4000)[at], np.arange(4000)[at], np.zeros(1000, bool), x[at], bits[at], size[at], fit[at])
     assert sum(seen) < 0.25 * 50 * 4000
     for i in range(50):
         exact = x @ q[i]

@@ -103,7 +103,7 @@ class Block:
             held.append((c, exact[good], ident[a], void[a]))
             if sum(len(h[0]) for h in held) > HELD_PAIRS:
                 held = [self._best(held)]
-        if len(held) > 1:
+        if len(held) > 1 or held[0][0] is not self.at:
             self.at, self.score, self.ident, self.void = self._best(held)
             full = np.flatnonzero(np.bincount(self.at, minlength=len(self.rows)) >= self.k)
             if len(full):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.ann import nearest
+from riskspark.llm.collocations import collocations
 from riskspark.llm.common import held_out, table
 from riskspark.llm.decontaminate import benchmark_overlaps
 from riskspark.llm.embed_dedup import embedding_near_duplicates
@@ -197,3 +198,35 @@ FROM p QUALIFY rank <= 20
 """)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op11_collocations", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), p AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, (len(w) - k + 2)::BIGINT), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k
+), f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE k > 1),
+kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))
+), cut AS (
+  SELECT lang, phrase, a, unnest(range(1, k::BIGINT)) AS j, string_split(phrase, ' ') AS w FROM kept
+), s AS (
+  SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r, t.n, (1000::HUGEINT * cut.a * t.n) // (x.a::HUGEINT * y.a) AS score
+  FROM cut JOIN t ON t.lang = cut.lang
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(list_slice(w, 1, j), ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(list_slice(w, j + 1, len(w)), ' ')
+), m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM m QUALIFY rank <= 2000
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"), max_words=5, min_count=100, top=2000)

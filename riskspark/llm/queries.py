@@ -20,6 +20,7 @@ from riskspark.llm.ppm import language_model_scores
 from riskspark.llm.quality import quality_scores
 from riskspark.llm.simhash import simhash_near_duplicates
 from riskspark.llm.toxicity import toxicity_scores
+from riskspark.llm.turns import damaged, repair
 from riskspark.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +231,70 @@ FROM m QUALIFY rank <= 2000
 """)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"), max_words=5, min_count=100, top=2000)
+
+
+@query("op12_turns", r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS key
+  FROM conversations
+), crc AS (
+  SELECT *, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(key, lambda c: list_transform(range(8), lambda b: ((ascii(c)::BIGINT >> b::INTEGER) & 1)::BIGINT)))),
+    lambda c, b: xor(c >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 4294967295::BIGINT) % 20 AS kind
+  FROM src
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM crc WHERE kind <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         left(role, 1) AS c, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS z
+  FROM hurt
+), f AS (
+  SELECT *, z = '' AS blank, z <> '' AND seen > 1 AS duplicate, z <> '' AND seen = 1 AND z NOT IN ('.', '!', '?') AS cut,
+         lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au') AS illegal
+  FROM o
+), flaws AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, sum(blank::BIGINT)::BIGINT AS blank, sum(duplicate::BIGINT)::BIGINT AS duplicate,
+         sum(cut::BIGINT)::BIGINT AS truncated, coalesce(sum(illegal::BIGINT), 0)::BIGINT AS illegal, count(*) AS n
+  FROM f GROUP BY conv_id
+), go AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS st, 0::BIGINT AS cost, '' AS audit, '' AS said FROM flaws
+  UNION ALL
+  SELECT conv_id, i, st, cost, audit, said FROM (
+    SELECT g.conv_id, f.i, e.st, g.cost + e.cost AS cost, g.audit || e.audit AS audit, g.said || e.said AS said
+    FROM go g JOIN f ON g.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = g.i + 1,
+    LATERAL (
+      SELECT g.st AS st, 3 AS cost, 'D' AS audit, '' AS said
+      UNION ALL SELECT 1, cut::INTEGER, 'K', chr(10) || f.role || ':' || f.text WHERE NOT f.blank AND NOT f.duplicate AND g.st = 0 AND f.c = 's'
+      UNION ALL SELECT 2, cut::INTEGER + CASE WHEN f.c = 'u' THEN 0 ELSE 2 END, CASE WHEN f.c = 'u' THEN 'K' ELSE 'R' END,
+                       chr(10) || CASE WHEN f.c = 'u' THEN f.role ELSE 'user' END || ':' || f.text
+                WHERE NOT f.blank AND NOT f.duplicate AND g.st <> 2
+      UNION ALL SELECT 3, cut::INTEGER + CASE WHEN f.c = 'a' THEN 0 ELSE 2 END, CASE WHEN f.c = 'a' THEN 'K' ELSE 'R' END,
+                       chr(10) || CASE WHEN f.c = 'a' THEN f.role ELSE 'assistant' END || ':' || f.text
+                WHERE NOT f.blank AND NOT f.duplicate AND g.st = 2
+      UNION ALL SELECT 3, 2 + cut::INTEGER + CASE WHEN f.c = 'a' THEN 0 ELSE 2 END, CASE WHEN f.c = 'a' THEN 'IK' ELSE 'IR' END,
+                       chr(10) || 'user:' || chr(10) || CASE WHEN f.c = 'a' THEN f.role ELSE 'assistant' END || ':' || f.text
+                WHERE NOT f.blank AND NOT f.duplicate AND g.st <> 2
+      UNION ALL SELECT 2, 2 + cut::INTEGER + CASE WHEN f.c = 'u' THEN 0 ELSE 2 END, CASE WHEN f.c = 'u' THEN 'IK' ELSE 'IR' END,
+                       chr(10) || 'assistant:' || chr(10) || CASE WHEN f.c = 'u' THEN f.role ELSE 'user' END || ':' || f.text
+                WHERE NOT f.blank AND NOT f.duplicate AND g.st = 2
+    ) e
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, i, st ORDER BY cost, audit) = 1
+), ends AS (
+  SELECT go.conv_id, cost + CASE st WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END AS cost, audit || CASE st WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+         said || CASE st WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:' WHEN 2 THEN chr(10) || 'assistant:' ELSE '' END AS said
+  FROM go JOIN flaws ON go.conv_id IS NOT DISTINCT FROM flaws.conv_id AND go.i = flaws.n
+), done AS (
+  SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(said[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN flaws ON a.conv_id IS NOT DISTINCT FROM flaws.conv_id LEFT JOIN done ON a.conv_id IS NOT DISTINCT FROM done.conv_id
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))

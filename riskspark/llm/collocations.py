@@ -7,14 +7,14 @@ last and without its first word) have reached ``min_count`` in what was scanned
 so far, and until it has seen every shard once.  Lengths are thus counted side
 by side, and the scans end when no phrase is waiting for a shard.
 
-Between scans the counts are a table: (key, occurrences, shards seen as bits,
-the scan at whose end the phrase had reached ``min_count``).  A phrase's key is
-a 64-bit hash of its language and words.  Which phrases have reached
-``min_count`` is sent to the tasks as a bit map of fixed size, by key, and a
-second one holds those whose extensions still wait for shards.  A map may say yes
-too often, never too seldom: a phrase that is counted too early is counted for
-its shards all the same, and a shard counts once.  A last scan counts by the
-words themselves what reached ``min_count``, so that no count rests on keys.
+Between scans the counts are a table: (key, occurrences, first scan, the scan at
+whose end the phrase had reached ``min_count``).  A phrase's key is a 64-bit hash
+of its language and words.  Which phrases have reached ``min_count``, and when,
+is sent to the tasks as a map of fixed size, by key; of phrases that share a
+place the earliest counts, so a phrase may be counted sooner than it has to be,
+never later and never for less than a whole round.  What has completed its round
+without reaching ``min_count`` leaves the table.  A last scan counts by the words
+themselves what did reach it, so that no count rests on keys.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import Sent, ready_workers, written
+from riskspark.llm.common import Sent, discard, ready_workers, written
 
 #: The contract's piece ends, and A-Z to a-z; a piece end becomes a token of its own, which no word can be.
 MARK = b"."
@@ -103,21 +103,19 @@ class Grams:
         return self.fine[n - 1]
 
 
-def held(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether each key's bit is set."""
-    at = keys & np.uint64(len(bits) * 8 - 1)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+def since(places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The scan after which each key's place was taken; 0 where it is free."""
+    return places[(keys & np.uint64(len(places) - 1)).astype(np.int64)]
 
 
-def active(grams: Grams, n: int, all_bits: np.ndarray, new_bits: np.ndarray) -> np.ndarray:
-    """Where a phrase of n >= 2 words starts whose two shorter phrases are in the map, one of them in the map of those whose extensions wait."""
-    shorter = grams.keys(n - 1)
-    if len(shorter) < 2:
-        return np.zeros(0, np.int64)
-    both = held(all_bits, shorter)
-    both = np.flatnonzero(grams.valid(n) & both[:-1] & both[1:])
-    new = held(new_bits, shorter[both]) | held(new_bits, shorter[both + 1])
-    return both[new]
+def active(grams: Grams, n: int, places: np.ndarray, after: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a phrase of n >= 2 words starts whose two shorter phrases are in the map and whose round began after scan ``after``, and the scan it began with."""
+    taken = since(places, grams.keys(n - 1))
+    if len(taken) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    began = np.maximum(taken[:-1], taken[1:])
+    at = np.flatnonzero(grams.valid(n) & (np.minimum(taken[:-1], taken[1:]) > 0) & (began > max(0, after)))
+    return at, began[at]
 
 
 def runs(batches, words: Words) -> Iterator[tuple[str, np.ndarray]]:
@@ -145,36 +143,37 @@ def runs(batches, words: Words) -> Iterator[tuple[str, np.ndarray]]:
     yield from flush()
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(keys, occurrences, first scans) of several such triples as one."""
+    keys, first, at = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+    return keys, np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64), np.concatenate([p[2] for p in parts])[first]
 
 
-def _bit_map(counts: DataFrame, max_words: int, size_log2: int, waiting_since: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bit maps of the keys that have reached the threshold, and of those of them that did so after scan ``waiting_since``, of 2^size_log2 bits."""
-    place = F.col("key").bitwiseAND(F.lit((1 << size_log2) - 1))
-    bit = F.expr("shiftleft(1L, int(place & 63))")
-    rows = counts.where(F.col("since").isNotNull() & (F.col("n") < max_words)).select(place.alias("place"), (F.col("since") > waiting_since).alias("new"))
-    # at most 2^(size_log2 - 6) rows
-    rows = rows.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("seen"), F.bit_or(F.when(F.col("new"), bit).otherwise(F.lit(0).cast("long"))).alias("new")).toArrow()
-    maps = []
-    for c in ("seen", "new"):
-        out = np.zeros(1 << (size_log2 - 6), np.int64)
-        out[rows.column("at").to_numpy()] = rows.column(c).to_numpy()
-        maps.append(out.view(np.uint8))
-    return maps[0], maps[1]
+def _taken(counts: DataFrame, max_words: int, size_log2: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, scans) of the phrases of at most ``max_words`` words that have reached the threshold: one of 2^size_log2 places each, the earliest scan of a place."""
+    rows = counts.where(F.col("since").isNotNull() & (F.col("key").bitwiseAND(F.lit(7)) <= max_words))
+    rows = rows.groupBy(F.col("key").bitwiseAND(F.lit((1 << size_log2) - 1)).cast("int").alias("place")).agg(F.min("since").cast("byte").alias("since")).toArrow()
+    return rows.column("place").to_numpy(), rows.column("since").to_numpy().astype(np.uint8)
+
+
+def _places(taken: tuple[np.ndarray, np.ndarray], size_log2: int) -> np.ndarray:
+    out = np.zeros(1 << size_log2, np.uint8)
+    out[taken[0]] = taken[1]
+    return out
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100,
-                     shards: int = 4, size_log2: int = 26) -> DataFrame:
+                     shards: int = 4, size_log2: int = 24) -> DataFrame:
     """(lang, phrase, words, n): the words and phrases of at most ``max_words`` words that occur ``min_count`` times or more in their language.
 
     ``phrase`` is its words joined by single spaces, as bytes; ``words`` their
     number.  One more row a language, with an empty phrase of 0 words, has the
     number of all its word occurrences, if it has any.  The map of 2^size_log2
-    bits should have some ten bits a frequent phrase; more phrases cost time,
+    places should have some eight a frequent phrase; more phrases cost time,
     not counts.
     """
+    if shards * max_words > 100:
+        raise ValueError("at most 100 scans")
     spark = docs.sparkSession
     ready_workers(spark)
     dealt = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
@@ -183,27 +182,31 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     def counter(scan: int, maps: Sent | None):
         def count(batches):
             words = Words()
-            parts: list[tuple[np.ndarray, np.ndarray]] = []
+            parts: list[tuple[np.ndarray, ...]] = []
             size = 0
 
             def out():
-                keys, n = _summed(parts)
+                keys, n, began = _summed(parts)
                 parts.clear()
                 for s in range(0, len(keys), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[s:s + (1 << 16)].view(np.int64)), pa.array(n[s:s + (1 << 16)])], names=["key", "n"])
+                    e = s + (1 << 16)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[s:e].view(np.int64)), pa.array(n[s:e]), pa.array(began[s:e].astype(np.int8))], names=["key", "c", "began"])
 
-            def add(keys: np.ndarray) -> int:
-                parts.append(np.unique(keys, return_counts=True))
-                return len(parts[-1][0])
+            def add(keys: np.ndarray, began: np.ndarray) -> int:
+                keys, first, times = np.unique(keys, return_index=True, return_counts=True)
+                parts.append((keys, times, began[first]))
+                return len(keys)
 
             for lang, numbers in runs(batches, words):
                 grams = Grams(numbers, words.hash_table(), lang)
                 if scan < shards:
-                    size += add(grams.keys(1)[grams.valid(1)])
+                    own = grams.keys(1)[grams.valid(1)]
+                    size += add(own, np.zeros(len(own), np.uint8))
                 if maps is not None:
+                    places = maps.built(_places, size_log2)
                     for n in range(2, max_words + 1):
-                        at = active(grams, n, *maps.value)
-                        size += add(grams.keys(n)[at])
+                        at, began = active(grams, n, places, scan - shards)
+                        size += add(grams.keys(n)[at], began)
                 if size > HELD_KEYS:
                     if len(parts) > 1:
                         parts[:] = [_summed(parts)]
@@ -215,31 +218,28 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                 yield from out()
         return count
 
-    counts, scan = None, 0
-    seen, new = None, None
-    while scan < shards or new.any():
-        shard = scan % shards
-        maps = Sent(spark, (seen, new)) if scan else None
-        rows = dealt.where(F.col("shard") == shard).select("lang", "text").mapInArrow(counter(scan, maps), "key long, c long")
-        rows = rows.select("key", "c", F.lit(0).alias("mask"), F.lit(None).cast("int").alias("since"))
+    counts, scan, taken = None, 0, None
+    while scan < shards or (taken[1] > scan - shards).any():
+        maps = Sent(spark, taken) if scan else None
+        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(counter(scan, maps), "key long, c long, began byte")
+        rows = rows.withColumn("since", F.lit(None).cast("byte"))
         if counts is not None:
-            rows = rows.unionByName(counts.select("key", F.col("c").alias("c"), "mask", "since"))
-        before = F.col("mask") > 0
-        rows = rows.groupBy("key").agg(F.sum(F.when(before, F.col("c"))).alias("old"), F.sum(F.when(~before, F.col("c"))).alias("own"),
-                                       F.max("mask").alias("mask"), F.max("since").alias("since"))
-        fresh = F.col("own").isNotNull() & (F.shiftright("mask", shard).bitwiseAND(F.lit(1)) == 0)
-        rows = rows.select("key", (F.coalesce("old", F.lit(0)) + F.when(fresh, F.col("own")).otherwise(F.lit(0))).alias("c"),
-                           F.when(fresh, F.col("mask") + (1 << shard)).otherwise(F.col("mask")).alias("mask"), "since")
-        counts = written(rows.withColumn("since", F.coalesce("since", F.when(F.col("c") >= min_count, F.lit(scan + 1)))))
+            rows = rows.unionByName(counts)
+        rows = rows.groupBy("key").agg(F.sum("c").alias("c"), F.max("began").alias("began"), F.max("since").alias("since"))
+        rows = rows.withColumn("since", F.coalesce("since", F.when(F.col("c") >= min_count, F.lit(scan + 1).cast("byte"))))
+        last, counts = counts, written(rows.where(F.col("since").isNotNull() | (F.col("began") + shards - 1 > scan)))
+        # nothing reads these again: what they led to is written
+        if last is not None:
+            discard(last)
+        if maps is not None:
+            maps.broadcast.destroy()
         scan += 1
-        lengths = counts.withColumn("n", F.col("key").bitwiseAND(F.lit(7)).cast("int"))
-        seen, new = _bit_map(lengths, max_words, size_log2, scan - shards)
+        taken = _taken(counts, max_words - 1, size_log2)
 
-    whole, _ = _bit_map(lengths, max_words + 1, size_log2, 0)
-    sent = Sent(spark, whole)
+    sent = Sent(spark, _taken(counts, max_words, size_log2))
 
     def spell(batches):
-        words = Words()
+        words, places = Words(), sent.built(_places, size_log2)
         for lang, numbers in runs(batches, words):
             grams = Grams(numbers, words.hash_table(), lang)
             names = list(words.number)
@@ -247,7 +247,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                                              names=["lang", "phrase", "words", "n"])
             for n in range(1, max_words + 1):
                 keys = grams.keys(n)
-                at = np.flatnonzero(grams.valid(n) & held(sent.value, keys))
+                at = np.flatnonzero(grams.valid(n) & (since(places, keys) > 0))
                 while len(at):
                     _, first, group, times = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
                     # equal keys of other words wait for the next round
@@ -271,7 +271,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000,
-                 shards: int = 4, size_log2: int = 26) -> DataFrame:
+                 shards: int = 4, size_log2: int = 24) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases by their weakest cut.
 
     Candidates are phrases of 2 to ``max_words`` words (at most 7) with ``min_count``

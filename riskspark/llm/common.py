@@ -66,6 +66,15 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` made and nothing will read again."""
+    spark = table.sparkSession
+    files = table.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Sent:
     """A broadcast value of bounded size; ``built`` makes something from it once per Python worker."""
 

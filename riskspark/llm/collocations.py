@@ -7,14 +7,16 @@ last and without its first word) have reached ``min_count`` in what was scanned
 so far, and until it has seen every shard once.  Lengths are thus counted side
 by side, and the scans end when no phrase is waiting for a shard.
 
+Texts are cut into words once; the shards hold 64-bit hashes of the words.
 Between scans the counts are a table: (key, occurrences, first scan, the scan at
 whose end the phrase had reached ``min_count``).  A phrase's key is a 64-bit hash
 of its language and words.  Which phrases have reached ``min_count``, and when,
 is sent to the tasks as a map of fixed size, by key; of phrases that share a
 place the earliest counts, so a phrase may be counted sooner than it has to be,
 never later and never for less than a whole round.  What has completed its round
-without reaching ``min_count`` leaves the table.  A last scan counts by the words
-themselves what did reach it, so that no count rests on keys.
+without reaching ``min_count`` leaves the table.  The words of what did reach it
+are looked up at the end, each phrase at the first place where it is found.  Two
+given words, or two given phrases of a language, are one with probability 2^-61.
 """
 
 from __future__ import annotations
@@ -32,10 +34,11 @@ from riskspark.llm.common import Sent, discard, ready_workers, written
 #: The contract's piece ends, and A-Z to a-z; a piece end becomes a token of its own, which no word can be.
 MARK = b"."
 TABLE = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: Tokens whose phrases are counted at once, and keys a task holds before it passes them on.
+#: Tokens in a row of a shard, tokens whose phrases are counted at once, and keys a task holds before it passes them on.
+ROW = 1 << 16
 BUFFER = 1 << 19
 HELD_KEYS = 1 << 21
-#: Words a worker knows by number at once.
+#: Words whose hashes a worker remembers at once.
 KNOWN_WORDS = 1 << 19
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,49 +53,34 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class Words:
-    """Numbers and 64-bit hashes of words, by worker; 0 is a piece end."""
+class Words(dict):
+    """64-bit hashes of words, as far as the memory of a worker goes; ``MARK`` is 0."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {MARK: 0}
-        self.hashes: list[int] = [0]
-        self.table = np.zeros(0, np.uint64)
-
-    def hash_table(self) -> np.ndarray:
-        if len(self.table) != len(self.hashes):
-            self.table = np.concatenate([self.table, np.array(self.hashes[len(self.table):], np.uint64)])
-        return self.table
-
-    def numbers(self, words: list[bytes]) -> list[int]:
-        number, hashes = self.number, self.hashes
-        out = []
-        for w in words:
-            n = number.get(w)
-            if n is None:
-                n = number[w] = len(hashes)
-                hashes.append(xxhash.xxh64_intdigest(w))
-            out.append(n)
-        return out
+        self[MARK] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > KNOWN_WORDS:
+            self.clear()
+            self[MARK] = 0
+        # 0 is a piece end
+        self[word] = code = xxhash.xxh64_intdigest(word) or 1
+        return code
 
 
 class Grams:
-    """Keys of all phrases of a run of tokens: ``keys(n)[i]`` is that of the n words from token i, ``valid(n)`` says where there is one."""
+    """Keys of all phrases of a run of word hashes: ``keys(n)[i]`` is that of the n words from place i, ``valid(n)`` says where there is one."""
 
-    def __init__(self, numbers: np.ndarray, hashes: np.ndarray, lang: str):
-        self.word = hashes[numbers]
-        self.fine = [numbers > 0]
+    def __init__(self, codes: np.ndarray, lang: str):
+        self.codes = codes
+        self.fine = [codes > 0]
         # an id of the language starts every key
-        self.chain = [_mixed(self.word ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1)))]
-        self.numbers = numbers
+        self.chain = [_mixed(codes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1)))]
 
     def keys(self, n: int) -> np.ndarray:
         while len(self.chain) < n:
-            last = self.chain[-1]
-            k = len(self.chain)
-            self.chain.append(_mixed(last[:len(last) - 1] * MIX + self.word[k:]) if len(last) > 1 else last[:0])
+            last, k = self.chain[-1], len(self.chain)
+            self.chain.append(_mixed(last[:len(last) - 1] * MIX + self.codes[k:]) if len(last) > 1 else last[:0])
         # the low three bits of a key are the phrase's length
         return self.chain[n - 1] & ~np.uint64(7) | np.uint64(n)
 
@@ -118,29 +106,38 @@ def active(grams: Grams, n: int, places: np.ndarray, after: int) -> tuple[np.nda
     return at, began[at]
 
 
-def runs(batches, words: Words) -> Iterator[tuple[str, np.ndarray]]:
-    """(language, token numbers) of many texts of one language at once; texts are kept apart by a piece end."""
-    open_runs: dict[str, list[int]] = {}
-    size = 0
+def coded(batches) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, codes) of many texts of one language each, kept apart by a piece end; a long text is cut where a piece ends, or stays one row."""
+    words = Words()
+    held: dict[str, list[int]] = {}
 
-    def flush():
-        for lang, numbers in open_runs.items():
-            yield lang, np.array(numbers, np.int64)
-        open_runs.clear()
+    def row(lang: str):
+        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([np.array(held.pop(lang), np.uint64).tobytes()], pa.binary())], names=["lang", "codes"])
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-            found = words.numbers(tokens(text.as_buffer().to_pybytes()))
-            run = open_runs.setdefault(lang, [])
-            run += found
+            run = held.setdefault(lang, [])
+            run += [words[w] for w in tokens(text.as_buffer().to_pybytes())]
             run.append(0)
-            size += len(found) + 1
-            if size > BUFFER or len(words.hashes) > KNOWN_WORDS:
-                yield from flush()
-                size = 0
-                if len(words.hashes) > KNOWN_WORDS:
-                    words.clear()
-    yield from flush()
+            if len(run) > ROW:
+                yield row(lang)
+    for lang in list(held):
+        yield row(lang)
+
+
+def runs(batches) -> Iterator[tuple[str, np.ndarray]]:
+    """(language, word hashes) of several rows of a shard at once."""
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+    for b in batches:
+        for lang, codes in zip(b.column("lang").to_pylist(), b.column("codes").to_pylist()):
+            held.setdefault(lang, []).append(codes)
+            sizes[lang] = sizes.get(lang, 0) + len(codes) // 8
+            if sizes[lang] > BUFFER:
+                yield lang, np.frombuffer(b"".join(held.pop(lang)), np.uint64)
+                del sizes[lang]
+    for lang, codes in held.items():
+        yield lang, np.frombuffer(b"".join(codes), np.uint64)
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -151,7 +148,7 @@ def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 def _taken(counts: DataFrame, max_words: int, size_log2: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, scans) of the phrases of at most ``max_words`` words that have reached the threshold: one of 2^size_log2 places each, the earliest scan of a place."""
-    rows = counts.where(F.col("since").isNotNull() & (F.col("key").bitwiseAND(F.lit(7)) <= max_words))
+    rows = counts.where(F.col("since").isNotNull() & (F.col("key").bitwiseAND(F.lit(7)) <= F.lit(max_words)))
     rows = rows.groupBy(F.col("key").bitwiseAND(F.lit((1 << size_log2) - 1)).cast("int").alias("place")).agg(F.min("since").cast("byte").alias("since")).toArrow()
     return rows.column("place").to_numpy(), rows.column("since").to_numpy().astype(np.uint8)
 
@@ -163,25 +160,24 @@ def _places(taken: tuple[np.ndarray, np.ndarray], size_log2: int) -> np.ndarray:
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100,
-                     shards: int = 4, size_log2: int = 24) -> DataFrame:
+                     shards: int = 3, size_log2: int = 24) -> DataFrame:
     """(lang, phrase, words, n): the words and phrases of at most ``max_words`` words that occur ``min_count`` times or more in their language.
 
-    ``phrase`` is its words joined by single spaces, as bytes; ``words`` their
-    number.  One more row a language, with an empty phrase of 0 words, has the
-    number of all its word occurrences, if it has any.  The map of 2^size_log2
-    places should have some eight a frequent phrase; more phrases cost time,
-    not counts.
+    ``phrase`` is its words joined by single spaces, ``words`` their number.  One
+    more row a language, with an empty phrase of 0 words, has the number of all
+    its word occurrences, if it has any.  The map of 2^size_log2 places should
+    have some eight a frequent phrase; more phrases cost time, not counts.
     """
     if shards * max_words > 100:
         raise ValueError("at most 100 scans")
     spark = docs.sparkSession
     ready_workers(spark)
-    dealt = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    dealt = texts.mapInArrow(coded, "lang string, codes binary")
     dealt = written(dealt.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shard")
 
     def counter(scan: int, maps: Sent | None):
         def count(batches):
-            words = Words()
             parts: list[tuple[np.ndarray, ...]] = []
             size = 0
 
@@ -197,8 +193,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                 parts.append((keys, times, began[first]))
                 return len(keys)
 
-            for lang, numbers in runs(batches, words):
-                grams = Grams(numbers, words.hash_table(), lang)
+            for lang, codes in runs(batches):
+                grams = Grams(codes, lang)
                 if scan < shards:
                     own = grams.keys(1)[grams.valid(1)]
                     size += add(own, np.zeros(len(own), np.uint8))
@@ -221,7 +217,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     counts, scan, taken = None, 0, None
     while scan < shards or (taken[1] > scan - shards).any():
         maps = Sent(spark, taken) if scan else None
-        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(counter(scan, maps), "key long, c long, began byte")
+        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "codes").mapInArrow(counter(scan, maps), "key long, c long, began byte")
         rows = rows.withColumn("since", F.lit(None).cast("byte"))
         if counts is not None:
             rows = rows.unionByName(counts)
@@ -236,42 +232,74 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         scan += 1
         taken = _taken(counts, max_words - 1, size_log2)
 
-    sent = Sent(spark, _taken(counts, max_words, size_log2))
-
+    # the words of each phrase: from the first shard that has it
+    spelled, left = None, counts.where("since is not null").select("key", "c")
+    for shard in range(shards):
+        sent = Sent(spark, _taken(left.withColumn("since", F.lit(1)), max_words, size_log2))
+        own = dealt.where(F.col("shard") == shard).select("lang", "codes").mapInArrow(_speller(sent, max_words, size_log2), "key long, lang string, codes array<long>")
+        own = written(left.join(own.groupBy("key").agg(F.min(F.struct("lang", "codes")).alias("p")), "key").select("key", "c", "p.lang", "p.codes"))
+        sent.broadcast.destroy()
+        spelled = own if spelled is None else spelled.unionByName(own)
+        left = written(left.join(own.select("key"), "key", "left_anti"))
+        if left.isEmpty():
+            break
+    spelled = spelled.withColumn("words", F.size("codes"))
+    codes = spelled.where("words = 1").select(F.col("codes")[0].alias("key"), F.lit(1).alias("since"))
+    sent = Sent(spark, _taken(codes, 8, size_log2))
+    names = texts.select("text").mapInArrow(_namer(sent, size_log2), "code long, word binary").groupBy("code").agg(F.min("word").alias("word"))
+    parts = spelled.select("key", "lang", "words", "c", F.posexplode("codes").alias("at", "code")).join(names, "code")
+    phrases = parts.groupBy("key", "lang", "words", "c").agg(F.array_sort(F.collect_list(F.struct("at", F.col("word").cast("string").alias("word")))).alias("w"))
+    phrases = phrases.select("lang", F.array_join(F.col("w.word"), " ").alias("phrase"), "words", F.col("c").alias("n"))
+
+    def sizes(batches):
+        for lang, run in runs(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int((run > 0).sum())], pa.int64())], names=["lang", "n"])
+
+    total = dealt.select("lang", "codes").mapInArrow(sizes, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
+    return written(phrases.unionByName(total.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), "n")))
+
+
+def _speller(sent: Sent, max_words: int, size_log2: int):
+    """The phrases of a task whose keys have a place, once each, as word hashes."""
     def spell(batches):
-        words, places = Words(), sent.built(_places, size_log2)
-        for lang, numbers in runs(batches, words):
-            grams = Grams(numbers, words.hash_table(), lang)
-            names = list(words.number)
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([b""], pa.binary()), pa.array([0], pa.int32()), pa.array([int((numbers > 0).sum())], pa.int64())],
-                                             names=["lang", "phrase", "words", "n"])
+        places, seen = sent.built(_places, size_log2), np.zeros(0, np.uint64)
+        for lang, codes in runs(batches):
+            grams = Grams(codes, lang)
             for n in range(1, max_words + 1):
                 keys = grams.keys(n)
                 at = np.flatnonzero(grams.valid(n) & (since(places, keys) > 0))
-                while len(at):
-                    _, first, group, times = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
-                    # equal keys of other words wait for the next round
-                    same = np.ones(len(at), bool)
-                    for k in range(n):
-                        same &= numbers[at + k] == numbers[at[first] + k][group]
-                    if not same.all():
-                        times = np.bincount(group[same], minlength=len(first))
-                    starts = at[first].tolist()
-                    for s in range(0, len(starts), 1 << 14):
-                        part = starts[s:s + (1 << 14)]
-                        phrases = [b" ".join([names[x] for x in numbers[i:i + n].tolist()]) for i in part]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(part)), pa.array(phrases, pa.binary()), pa.array([n] * len(part), pa.int32()), pa.array(times[s:s + (1 << 14)], pa.int64())],
-                            names=["lang", "phrase", "words", "n"])
-                    at = at[~same]
-
-    spelled = dealt.select("lang", "text").mapInArrow(spell, "lang string, phrase binary, words int, n long")
-    exact = spelled.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return written(exact.where((F.col("n") >= min_count) | ((F.col("words") == 0) & (F.col("n") > 0))))
+                own, first = np.unique(keys[at], return_index=True)
+                new = ~np.isin(own, seen, assume_unique=True)
+                own, first = own[new], at[first[new]]
+                seen = np.concatenate([seen, own])
+                for s in range(0, len(own), 1 << 14):
+                    starts = first[s:s + (1 << 14)]
+                    flat = codes[starts[:, None] + np.arange(n)].view(np.int64).ravel()
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, n, np.int32)), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays([pa.array(own[s:s + (1 << 14)].view(np.int64)), pa.array([lang] * len(starts)), lists], names=["key", "lang", "codes"])
+    return spell
+
+
+def _namer(sent: Sent, size_log2: int):
+    """The words of a task whose hashes have a place, once each."""
+    def name(batches):
+        places, words, done = sent.built(_places, size_log2), Words(), set()
+        for b in batches:
+            found = set()
+            for text in b.column(0):
+                found.update(tokens(text.as_buffer().to_pybytes()))
+            found -= done
+            found.discard(MARK)
+            found = list(found)
+            codes = np.array([words[w] for w in found], np.uint64)
+            keep = np.flatnonzero(since(places, codes) > 0).tolist()
+            done.update(found[i] for i in keep)
+            yield pa.RecordBatch.from_arrays([pa.array(codes[keep].view(np.int64)), pa.array([found[i] for i in keep], pa.binary())], names=["code", "word"])
+    return name
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000,
-                 shards: int = 4, size_log2: int = 24) -> DataFrame:
+                 shards: int = 3, size_log2: int = 24) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases by their weakest cut.
 
     Candidates are phrases of 2 to ``max_words`` words (at most 7) with ``min_count``
@@ -287,7 +315,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     if not 2 <= max_words <= 7:
         raise ValueError("phrases have 2 to 7 words")
     found = frequent_phrases(docs, text_col, lang_col, max_words, min_count, shards, size_log2)
-    count = found.select("lang", F.col("phrase").cast("string").alias("phrase"), "words", F.col("n").alias("a"))
+    count = found.select("lang", "phrase", "words", F.col("n").alias("a"))
     long = count.where("words > 1")
     # as occurrences never grow with length, the candidates one word longer decide
     parts = F.split("phrase", " ")

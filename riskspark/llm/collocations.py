@@ -35,11 +35,11 @@ from riskspark.llm.common import Sent, discard, ready_workers, written
 MARK = b"."
 TABLE = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Tokens in a row of a shard, tokens whose phrases are counted at once, and keys a task holds before it passes them on.
-ROW = 1 << 16
-BUFFER = 1 << 19
-HELD_KEYS = 1 << 21
+ROW = 1 << 15
+BUFFER = 1 << 18
+HELD_KEYS = 1 << 20
 #: Words whose hashes a worker remembers at once.
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -127,17 +127,17 @@ def coded(batches) -> Iterator[pa.RecordBatch]:
 
 def runs(batches) -> Iterator[tuple[str, np.ndarray]]:
     """(language, word hashes) of several rows of a shard at once."""
-    held: dict[str, list[bytes]] = {}
+    held: dict[str, list[np.ndarray]] = {}
     sizes: dict[str, int] = {}
     for b in batches:
-        for lang, codes in zip(b.column("lang").to_pylist(), b.column("codes").to_pylist()):
-            held.setdefault(lang, []).append(codes)
-            sizes[lang] = sizes.get(lang, 0) + len(codes) // 8
+        for lang, codes in zip(b.column("lang").to_pylist(), b.column("codes")):
+            held.setdefault(lang, []).append(np.frombuffer(codes.as_buffer(), np.uint64))
+            sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1])
             if sizes[lang] > BUFFER:
-                yield lang, np.frombuffer(b"".join(held.pop(lang)), np.uint64)
+                yield lang, np.concatenate(held.pop(lang))
                 del sizes[lang]
-    for lang, codes in held.items():
-        yield lang, np.frombuffer(b"".join(codes), np.uint64)
+    for lang in list(held):
+        yield lang, np.concatenate(held.pop(lang))
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:

@@ -32,10 +32,12 @@ END, BITS = 257, 9
 SYMBOLS = 257
 MASK = (1 << BITS) - 1
 CHUNK = 1 << 21
-#: Contexts whose rows are computed at once.
-BLOCK = 4096
+#: Symbols whose grams are looked up at once.
+LOOKED = 1 << 20
 #: Documents whose results are sent at once.
 SENT_ROWS = 512
+#: The longest word that tasks look up themselves; with the number of those words it bounds the bytes sent.
+COMMON_BYTES = 64
 
 
 def model_words(text: bytes | None) -> list[bytes]:
@@ -52,6 +54,15 @@ def symbols(words: list[bytes], order: int) -> np.ndarray:
     return out
 
 
+def grams_of(s: np.ndarray, order: int, start: int, end: int) -> np.ndarray:
+    """The gram that ends at each place from start to end: ``order`` symbols and the one that follows."""
+    gram = s[start - order:end - order].copy()
+    for k in range(1, order + 1):
+        gram <<= BITS
+        gram |= s[start - order + k:end - order + k]
+    return gram
+
+
 def gram_counts(texts, order: int):
     """(grams, counts) arrays, a few million grams at a time: a gram is ``order`` context symbols and the one that follows."""
     held: list[np.ndarray] = []
@@ -68,12 +79,8 @@ def gram_counts(texts, order: int):
     for words in texts:
         s = symbols(words, order)
         for at in range(order, len(s), CHUNK):
-            end = min(len(s), at + CHUNK)
-            gram = s[at - order:end - order].copy()
-            for k in range(1, order + 1):
-                gram = (gram << BITS) | s[at - order + k:end - order + k]
-            held.append(gram)
-            size += len(gram)
+            held.append(grams_of(s, order, at, min(len(s), at + CHUNK)))
+            size += len(held[-1])
             if size >= CHUNK:
                 flush()
                 size = 0
@@ -107,7 +114,7 @@ def _low(gram: Column, length: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << (BITS * length)) - 1))
 
 
-def train(texts: DataFrame, text: str, order: int = 5, max_contexts: int = 1 << 17, max_grams: int = 1 << 20) -> tuple[Trie, list[DataFrame] | None]:
+def train(texts: DataFrame, text: str, order: int = 5, max_contexts: int = 1 << 19, max_grams: int = 1 << 21) -> tuple[Trie, list[DataFrame] | None]:
     """Counts over every row of ``texts`` (a binary column): a trie of bounded size, and the tables of all counts.
 
     The trie is a cache: of each length at most the ``max_contexts`` most
@@ -182,103 +189,116 @@ def log10_of_grams(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return known.select("gram", "value")
 
 
+def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, found) of keys in a sorted array; a place is valid either way if the array is not empty."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
 class Tables:
-    """Dense look-up tables of a trie over the symbols that occur; one more column stands for any other byte."""
+    """Look-ups in a trie: sorted grams with their counts, and per context its total, followers, and what its suffix has beyond them."""
 
     def __init__(self, trie: Trie):
-        self.order = trie.order
-        used = np.unique(np.concatenate([np.zeros(1, np.int64), trie.grams[0]]))
-        self.code = np.full(END + 1, len(used), np.int64)
-        self.code[used] = np.arange(len(used))
-        a = len(used) + 1
-        other = SYMBOLS - len(trie.grams[0])  # symbols that never occurred
-        row = np.full(a, -math.inf)
-        n = np.zeros(a)
-        n[self.code[trie.grams[0]]] = trie.counts[0]
-        seen = n > 0
-        q, t = seen.sum(), n.sum()
-        row[seen] = np.log10((n[seen] - 0.5) / t) if q else 0
-        uniform = -math.log10(other) if other else -math.inf
-        row[-1] = (math.log10(q / 2 / t) if q else 0.0) + uniform
-        # low: log probability once everything seen in the context is excluded
-        low = np.full((1, a), -math.inf)
-        low[0, -1] = uniform
-        self.rows, self.step = [row[None, :].astype(np.float32)], []
-        contexts, counts = np.zeros(1, np.int64), n[None, :]
+        self.order, self.grams, self.counts = trie.order, trie.grams, trie.counts
+        symbols_seen = len(trie.grams[0])
+        self.total, self.seen = float(trie.counts[0].sum()), symbols_seen
+        self.uniform = -math.log10(SYMBOLS - symbols_seen) if symbols_seen < SYMBOLS else -math.inf
+        # of each length from 2: contexts, totals, followers; the suffix's occurrences and symbols that the context has not seen
+        self.contexts: list[tuple[np.ndarray, ...]] = []
+        under_ctx, under_t, under_q = np.zeros(1, np.int64), np.array([self.total]), np.array([symbols_seen])
         for length in range(2, trie.order + 2):
-            g, c = trie.grams[length - 1], trie.counts[length - 1]
-            ctx, at = np.unique(g >> BITS, return_inverse=True)
-            suffix = np.searchsorted(contexts, ctx & ((1 << (BITS * (length - 2))) - 1))
-            last_level = length == trie.order + 1
-            rows = np.empty((len(ctx), a), np.float32)
-            # only a longer level needs these
-            all_n, all_low = (np.empty((0 if last_level else len(ctx), a), np.float32) for _ in range(2))
-            for lo in range(0, len(ctx), BLOCK):
-                hi = min(len(ctx), lo + BLOCK)
-                own = slice(*np.searchsorted(at, (lo, hi)))
-                n = np.zeros((hi - lo, a), np.float32)
-                n[at[own] - lo, self.code[g[own] & MASK]] = c[own]
-                rows[lo:hi], under = self._rows(n, counts[suffix[lo:hi]], low[suffix[lo:hi]])
-                if not last_level:
-                    all_n[lo:hi], all_low[lo:hi] = n, under
-            # step[length - 2][context, symbol]: the context one longer
-            step = np.full((len(contexts) + 1, a), len(ctx), np.int32)
-            step[np.searchsorted(contexts, ctx >> BITS), self.code[ctx & MASK]] = np.arange(len(ctx))
-            self.step.append(step)
-            self.rows.append(rows)
-            contexts, counts, low = ctx, all_n, all_low
-
-    @staticmethod
-    def _rows(n: np.ndarray, counts: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities of some contexts, and those once what they have seen is excluded, from the counts of their suffixes."""
-        seen = n > 0
-        q, t = seen.sum(1, keepdims=True), n.sum(1, keepdims=True, dtype=np.float64)
-        left = np.where(seen, 0, counts)
-        fresh, rest = (left > 0).sum(1, keepdims=True), left.sum(1, keepdims=True, dtype=np.float64)
+            g, n = trie.grams[length - 1], trie.counts[length - 1]
+            ctx, first, q = np.unique(g >> BITS, return_index=True, return_counts=True)
+            suffix = trie.counts[length - 2][_place(trie.grams[length - 2], g & ((1 << (BITS * (length - 1))) - 1))[0]] if len(g) else n
+            t, covered = (np.add.reduceat(x.astype(np.float64), first) if len(g) else np.zeros(0) for x in (n, suffix))
+            at = _place(under_ctx, ctx & ((1 << (BITS * (length - 2))) - 1))[0]
+            self.contexts.append((ctx, t, q, under_t[at] - covered, under_q[at] - q))
+            under_ctx, under_t, under_q = ctx, t, q
+        g, n = trie.grams[-1], trie.counts[-1]
+        ctx, t = self.contexts[-1][:2] if self.contexts else (np.zeros(1, np.int64), np.array([self.total]))
+        self.last = np.log10((n - 0.5) / t[_place(ctx, g >> BITS)[0]]) if len(g) else np.zeros(0)
+
+    def values(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probabilities of the last symbols of grams after the others, and whether each one's longest context is held."""
+        at, held = _place(self.grams[-1], asked)
+        value = np.zeros(len(asked))
+        value[held] = self.last[at[held]]
+        if not held.all():
+            rest = ~held
+            value[rest], held[rest] = self._escaped(asked[rest])
+        return value, held
+
+    def _escaped(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for grams that are not in the trie: each length's distinct ends, from one symbol up."""
+        ends, below = [asked], []
+        for length in range(self.order, 0, -1):
+            end, back = np.unique(ends[0] & ((1 << (BITS * length)) - 1), return_inverse=True)
+            ends.insert(0, end)
+            below.insert(0, back)
         with np.errstate(divide="ignore", invalid="ignore"):
-            under = np.where(fresh > 0, np.where(left > 0, np.log10((left - 0.5) / rest), np.log10(fresh / 2 / rest) + low), low)
-            return np.where(seen, np.log10((n - 0.5) / t), np.log10(q / 2 / t) + under), under
+            at, found = _place(self.grams[0], ends[0])
+            n = np.where(found, self.counts[0][at], 0) if self.seen else np.zeros(len(ends[0]))
+            # after: log probability of a symbol the context has not seen, once all it has seen is excluded
+            after = np.full(len(n), self.uniform)
+            value = np.where(n > 0, np.log10((n - 0.5) / self.total), np.log10(self.seen / 2 / self.total) + after) if self.seen else after
+            held = np.ones(len(n), bool)
+            for length, back, (ctx, t, q, rest, fresh) in zip(range(2, self.order + 2), below, self.contexts):
+                n, after, value = n[back], after[back], value[back]
+                at, held = _place(ctx, ends[length - 1] >> BITS)
+                if not len(ctx):
+                    n = np.zeros(len(at))
+                    continue
+                t, q, rest, fresh = (x[at] for x in (t, q, rest, fresh))
+                after = np.where(fresh > 0, np.where(n > 0, np.log10((n - 0.5) / rest), np.log10(fresh / 2 / rest) + after), after)
+                at, found = _place(self.grams[length - 1], ends[length - 1])
+                n = np.where(found, self.counts[length - 1][at], 0)
+                value = np.where(held, np.where(n > 0, np.log10((n - 0.5) / t), np.log10(q / 2 / t) + after), value)
+        return value, held
+
+    def looked(self, texts: list[np.ndarray], all_held: bool) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Per text (symbols after their pads): the sum of the log10 probabilities of the symbols whose longest context is held, and the grams of the others with their counts.
+
+        With ``all_held`` the longest context that is held decides, and no gram is left.
+        """
+        sums: list[list[float]] = [[] for _ in texts]
+        left: list[list[tuple]] = [[(np.zeros(0, np.int64), np.zeros(0, np.int64))] for _ in texts]
+        open_parts: list[tuple[int, np.ndarray]] = []
+
+        def flush():
+            if not open_parts:
+                return
+            distinct, back = np.unique(np.concatenate([g for _, g in open_parts]), return_inverse=True)
+            value, held = self.values(distinct)
+            value, held = value[back], held[back] | all_held
+            start = 0
+            for d, g in open_parts:
+                v, h = value[start:start + len(g)], held[start:start + len(g)]
+                start += len(g)
+                sums[d].append(float(v[h].sum()))
+                if not h.all():
+                    left[d].append(np.unique(g[~h], return_counts=True))
+            open_parts.clear()
+
+        size = 0
+        for d, s in enumerate(texts):
+            for at in range(self.order, len(s), LOOKED):
+                open_parts.append((d, grams_of(s, self.order, at, min(len(s), at + LOOKED))))
+                size += len(open_parts[-1][1])
+                if size >= LOOKED:
+                    flush()
+                    size = 0
+        flush()
+        return [(math.fsum(x), *_merged(g)) for x, g in zip(sums, left)]
 
     def log10(self, s: np.ndarray) -> float:
-        """Log10 probability of symbols after their pads; a very long text is looked up in parts."""
-        return math.fsum(self._window(s, at, min(len(s), at + CHUNK)) for at in range(self.order, len(s), CHUNK))
-
-    def held(self, s: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Log10 probability of the symbols whose longest context is held, and the grams of the others with their counts."""
-        sums, found = [], [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for start in range(self.order, len(s), CHUNK):
-            out, full = self._looked(s, start, min(len(s), start + CHUNK))
-            sums.append(float(out[full].sum(dtype=np.float64)))
-            at = np.flatnonzero(~full) + start
-            gram = s[at - self.order].copy()
-            for k in range(1, self.order + 1):
-                gram = (gram << BITS) | s[at - self.order + k]
-            found.append(np.unique(gram, return_counts=True))
-        return math.fsum(sums), *_merged(found)
-
-    def _window(self, s: np.ndarray, start: int, end: int) -> float:
-        return float(self._looked(s, start, end)[0].sum(dtype=np.float64))
-
-    def _looked(self, s: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probabilities of the symbols from start to end, and whether each one's longest context is held."""
-        c = self.code[s[start - self.order:end]]
-        target = c[self.order:]
-        # now[t]: the context one longer than before[t], both ending at t; the longest known context decides
-        out, before, full = self.rows[0][0][target], None, np.zeros(len(target), bool)
-        for j, (step, rows) in enumerate(zip(self.step, self.rows[1:])):
-            now = np.full(len(c), len(rows), np.int32)
-            if j == 0:
-                now[:] = step[0][c]
-            else:
-                now[1:] = step[before[:-1], c[1:]]
-            if not len(rows):
-                break
-            known = now[self.order - 1:-1]
-            if j == self.order - 1:
-                full = known < len(rows)
-            out = np.where(known < len(rows), rows[np.minimum(known, len(rows) - 1), target], out)
-            before = now
-        return out, full
+        """Log10 probability of symbols after their pads."""
+        return self.looked([s], True)[0][0]
+
+
+def _known(common: tuple) -> dict[bytes, int]:
+    return dict(zip(common[0], common[1].tolist(), strict=True))
 
 
 def adaptive_log10(words: list[bytes], order: int = 5) -> float:
@@ -306,7 +326,7 @@ def adaptive_log10(words: list[bytes], order: int = 5) -> float:
 
 
 def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 5,
-                          mode: str = "pretrained", common_words: int = 1 << 18, max_contexts: int = 1 << 17, max_grams: int = 1 << 20) -> DataFrame:
+                          mode: str = "pretrained", common_words: int = 1 << 18, max_contexts: int = 1 << 19, max_grams: int = 1 << 21) -> DataFrame:
     """One row (id, n_tokens, n_known, train_tokens, base_score, score) per input row.
 
     Tokens are the lower-cased (A-Z) words of a text and one end.  ``score`` is
@@ -318,8 +338,8 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
     model has N = V = 0 and PPM predicts uniformly; an empty table gives an
     empty result.
 
-    Word counts stay a table.  The ``common_words`` most frequent words, a table
-    of bounded size, are looked up in the tasks; the others, about one in twenty
+    Word counts stay a table.  The ``common_words`` most frequent words of at most
+    ``COMMON_BYTES`` bytes, a table of bounded size, are looked up in the tasks; the others, about one in twenty
     tokens, are joined by a shuffle in which no word is hot.  So are the PPM
     counts: ``max_contexts`` and ``max_grams`` bound what is looked up in the
     tasks, the grams of other contexts are joined with the table of all counts.
@@ -357,27 +377,23 @@ def language_model_scores(docs: DataFrame, train_on: Column, id_col: str = "doc_
     n_all, v_all, ends = words.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.when(F.col("word").isNull(), F.col("c")))).first()
     n_all, ends = n_all or 0, ends or 0
     bottom = math.log10(n_all + v_all + 1)
-    top = words.where("word is not null").orderBy(F.desc("c"), "word").limit(common_words).toArrow()
+    top = words.where(F.octet_length("word") <= COMMON_BYTES).orderBy(F.desc("c"), "word").limit(common_words).toArrow()
     common = Sent(spark, (top.column("word").to_pylist(), top.column("c").to_numpy()))
     trie, levels = train(learn, "t", order, max_contexts, max_grams) if mode == "pretrained" else (None, None)
     model, whole = Sent(spark, trie) if trie else None, levels is None
 
     def look(batches):
-        known = dict(zip(common.value[0], common.value[1].tolist(), strict=True))
+        known = common.built(_known)
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 3)
         for b in (b.slice(at, SENT_ROWS) for b in batches for at in range(0, b.num_rows, SENT_ROWS)):
             cols: list[list] = [[] for _ in kinds]
-            for x in b.column(0):
-                w = model_words(x.as_buffer().to_pybytes() if x.is_valid else None)
+            texts = [model_words(x.as_buffer().to_pybytes() if x.is_valid else None) for x in b.column(0)]
+            scored = model.built(Tables).looked([symbols(w, order) for w in texts], whole) if model else [(adaptive_log10(w, order), (), ()) for w in texts]
+            for w, (s, grams, gram_times) in zip(texts, scored):
                 own = Counter(w)
                 rest = [k for k in own if k not in known]
                 # summed exactly, so that equal texts have equal sums
                 logs = math.fsum(n * math.log10(known[k] + 1) for k, n in own.items() if k in known)
-                grams, gram_times = (), ()
-                if model and not whole:
-                    s, grams, gram_times = model.built(Tables).held(symbols(w, order))
-                else:
-                    s = model.built(Tables).log10(symbols(w, order)) if model else adaptive_log10(w, order)
                 times = [own[k] for k in rest]
                 for c, v in zip(cols, (len(w) + 1, len(w) - sum(times) + (ends > 0), logs + math.log10(ends + 1), s, rest, times, grams, gram_times)):
                     c.append(v)

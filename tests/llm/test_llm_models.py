@@ -78,7 +78,7 @@ def test_ppm_scores(spark, order):
             w = want[r["doc_id"]]
             assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:3]
             assert r["base_score"] == pytest.approx(w[3], abs=1e-9)
-            assert r["score"] == pytest.approx(w[4], rel=1e-4, abs=1e-4)
+            assert r["score"] == pytest.approx(w[4], rel=1e-10, abs=1e-10)
 
 
 @pytest.mark.parametrize("order,max_contexts,max_grams", [(5, 9, 1 << 20), (3, 1 << 17, 25), (5, 1, 1), (1, 4, 1 << 20)])
@@ -90,7 +90,19 @@ def test_ppm_cache_that_is_too_small(spark, order, max_contexts, max_grams):
     got = ppm.language_model_scores(df, F.col("learn"), order=order, max_contexts=max_contexts, max_grams=max_grams).collect()
     assert len(got) == len(rows)
     for r in got:
-        assert r["score"] == pytest.approx(brute_ppm(model, words[r["doc_id"]], order), rel=1e-5, abs=1e-5)
+        assert r["score"] == pytest.approx(brute_ppm(model, words[r["doc_id"]], order), rel=1e-10, abs=1e-10)
+
+
+def test_ppm_long_text_and_long_words_by_joins(spark):
+    rng = random.Random(8)
+    long = " ".join(rng.choice(["ab", "abc", "bd", "x" * 100, "é"]) for _ in range(20000))
+    rows = [(1, "ab bd abc", True), (2, long, False), (3, "y" * 300 + " ab", True), (4, "y" * 300, False)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, learn boolean")
+    model = counts_of([rows[0][1].encode(), rows[2][1].encode()], 3)
+    got = {r["doc_id"]: r for r in ppm.language_model_scores(df, F.col("learn"), order=3, max_contexts=2, max_grams=4).collect()}
+    for i, t, _ in rows:
+        assert got[i]["score"] == pytest.approx(brute_ppm(model, t.encode().split(), 3), rel=1e-9)
+    assert got[4]["n_known"] == 2
 
 
 def test_ppm_without_training_rows_and_empty(spark):
@@ -118,10 +130,11 @@ def test_ppm_row_sums_to_one():
         grams.append(u)
         counts.append(np.bincount(at, weights=n).astype(np.int64))
     t = ppm.Tables(ppm.Trie(order, tuple(grams), tuple(counts)))
-    other = ppm.SYMBOLS - len(grams[0])
-    for rows in t.rows:
-        p = 10 ** rows.astype(np.float64)
-        assert np.allclose(p[:, :-1].sum(1) + other * p[:, -1], 1, atol=1e-4)
+    contexts = np.unique(np.concatenate([g >> 9, np.array([ppm.END, 258 << 9, 1 << 20])]))
+    every = np.concatenate([(c << 9) | np.arange(1, 258) for c in contexts.tolist()])
+    value, held = t.values(np.sort(every))
+    p = (10 ** value).reshape(len(contexts), 257).sum(1)
+    assert np.allclose(p, 1, atol=1e-12) and held.reshape(len(contexts), 257)[np.isin(contexts, g >> 9)].all()
 
 
 def test_ppm_long_text_in_parts(monkeypatch):
@@ -134,8 +147,12 @@ def test_ppm_long_text_in_parts(monkeypatch):
     grams, counts = zip(*[(np.unique(trie[0][0] & ((1 << (9 * k)) - 1)), np.bincount(np.unique(trie[0][0] & ((1 << (9 * k)) - 1), return_inverse=True)[1], weights=trie[0][1]).astype(np.int64)) for k in (1, 2, 3)])
     tables = ppm.Tables(ppm.Trie(2, grams, counts))
     s = ppm.symbols(text.split(), 2)
-    whole = tables._window(s, 2, len(s))
-    assert tables.log10(s) == pytest.approx(whole, rel=1e-6)
+    whole = tables.log10(s)
+    monkeypatch.setattr(ppm, "LOOKED", 97)
+    assert tables.log10(s) == pytest.approx(whole, rel=1e-12)
+    # texts that share a look-up are scored as alone
+    both = tables.looked([s, ppm.symbols([b"zz"], 2), s], True)
+    assert both[0][0] == both[2][0] == pytest.approx(whole, rel=1e-12) and both[1][0] == pytest.approx(tables.log10(ppm.symbols([b"zz"], 2)), rel=1e-12)
 
 
 def test_ppm_beats_the_unigram_model(spark):

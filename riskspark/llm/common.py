@@ -66,6 +66,14 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def discard(table: DataFrame) -> None:
     """Deletes the files of a table that ``written`` made and nothing will read again."""
     spark = table.sparkSession

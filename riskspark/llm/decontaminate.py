@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskspark.llm.common import Sent
+from riskspark.llm.common import Sent, ready_workers
 
 WORD = re.compile(r"\w+")
 BASE = np.uint64(1_000_003)
@@ -198,10 +198,6 @@ def benchmark_overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id"
     match nothing; repeated items count once, repeated documents each come back.
     An item shorter than ``min_match`` tokens must occur whole.
     """
-    spark = docs.sparkSession
-    items = bench.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t")).distinct()
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
     schema = T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("item_id", bench.schema[item_col].dataType),
         *[T.StructField(c, T.IntegerType()) for c in ("n_tokens", "covered")], T.StructField("coverage", T.DoubleType()),
@@ -210,14 +206,22 @@ def benchmark_overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id"
     source = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("d"), F.col(text_col).alias("x"))
 
     out = None
-    for b in range(blocks):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        sent = Sent(spark, [(r["i"], r["t"]) for r in block.collect()])
+    for sent in _sent_blocks(bench, item_col, item_text_col, block_bytes):
         part = source.mapInArrow(_matcher(sent, min_match, threshold, to_arrow_type(schema["item_id"].dataType)), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _sent_blocks(bench: DataFrame, item_col: str, item_text_col: str, block_bytes: int):
+    """The distinct items with a text, in blocks of about ``block_bytes``, each sent to the executors."""
+    items = bench.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t")).distinct()
+    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_bytes))
+    for b in range(blocks):
+        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
+        yield Sent(bench.sparkSession, [(r["i"], r["t"]) for r in block.collect()])
+
+
 def _matcher(sent: Sent, min_match: int, threshold: float, id_type: pa.DataType):
     def match(batches):
         index = sent.built(Index, min_match)
@@ -240,7 +244,24 @@ def _matcher(sent: Sent, min_match: int, threshold: float, id_type: pa.DataType)
     return match
 
 
-def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents in which a benchmark item was found; rows without an id stay."""
-    found = benchmark_overlaps(docs, bench, id_col, **options).select(F.col("doc_id").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    return docs.join(found, id_col, "left_anti")
+def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                      min_match: int = 5, threshold: float = 0.8, block_bytes: int = 32 << 20) -> DataFrame:
+    """``docs`` without the rows in whose text a benchmark item was found (``benchmark_overlaps``).
+
+    Each row is judged by its own text, where it lies: ids, shared or missing,
+    don't matter, and nothing is shuffled.  A null text stays.
+    """
+    ready_workers(docs.sparkSession)
+    for sent in _sent_blocks(bench, item_col, item_text_col, block_bytes):
+        docs = docs.mapInArrow(_filter(sent, text_col, min_match, threshold), docs.schema)
+    return docs
+
+
+def _filter(sent: Sent, text_col: str, min_match: int, threshold: float):
+    def keep(batches):
+        index = sent.built(Index, min_match)
+        for b in batches:
+            clean = [not index.items or text is None or next(index.matches(text, threshold), None) is None for text in b.column(text_col).to_pylist()]
+            yield b.filter(pa.array(clean, pa.bool_()))
+
+    return keep

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import Sent, ready_workers
+from riskspark.llm.common import Sent, ready_workers, unused
 
 UNKNOWN = "und"
 BLANK = 32
@@ -37,6 +37,11 @@ def fold_table() -> np.ndarray:
     return _FOLD[0]
 
 
+def has_letter(grams: np.ndarray) -> bool:
+    """Whether one of the n-grams is a single letter (marks alone make no text)."""
+    return any(unicodedata.category(chr(c))[0] == "L" for c in grams[grams < 1 << 21].tolist())
+
+
 def _grams(codes: np.ndarray) -> np.ndarray:
     c = codes.astype(np.int64)
     blank = c == BLANK
@@ -132,7 +137,7 @@ class Ranker:
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: 1 - distance / largest possible distance; ties go to the first name."""
         grams, counts = gram_counts(text) if text else (np.zeros(0), np.zeros(0))
-        if not len(grams) or not self.langs:
+        if not self.langs or not has_letter(grams):
             return UNKNOWN, 0.0
         own = top(grams, counts, self.size)
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
@@ -164,4 +169,5 @@ def language_of_documents(docs: DataFrame, train: Column, text_col: str = "text"
     """
     profiles = learn_profiles(docs.where(train), text_col, lang_col, size)
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*keep, identify(docs, profiles, F.col(text_col), size).alias("_found")).select(*keep, "_found.lang_pred", "_found.score")
+    found = unused(docs, "_found")
+    return docs.select(*keep, identify(docs, profiles, F.col(text_col), size).alias(found)).select(*keep, f"{found}.lang_pred", f"{found}.score")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import bucket_cells, components, ready_workers, sorted_groups, written
+from riskspark.llm.common import bucket_cells, components, ready_workers, sorted_groups, unused, written
 
 SEED = 42
 PART = 1 << 20
@@ -146,11 +146,19 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     )
 
 
-def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one whose id names the component.
+def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                           max_distance: int = 3, blocks: int = 6, cell_rows: int = 2048) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: that of the smallest id, of equal ids the first in the table.
 
-    Rows without an id stay, since no id can stand for them.
+    Rows, not ids, are kept or dropped: they are numbered in a written copy.  A
+    row without an id stays only where its whole group has none; rows that share
+    an id but no group stay, each with its own group.
     """
-    found = simhash_near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    ready_workers(docs.sparkSession)
+    row, fp = unused(docs, "_row"), unused(docs, "_fp")
+    numbered = written(docs.withColumn(fp, fingerprint_column(F.col(f"`{text_col}`"), shingle)).withColumn(row, F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col(f"`{id_col}`").isNull().alias("void"), F.col(f"`{id_col}`").alias("id"), F.col(row).alias("row"))).alias("first")
+    distinct = numbered.groupBy(F.col(fp).alias("fp")).agg(first)
+    roots = components(fingerprint_links(distinct.select("fp"), max_distance, blocks, cell_rows))
+    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    return numbered.join(grouped.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, fp)

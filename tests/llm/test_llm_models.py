@@ -328,3 +328,11 @@ def test_toxicity_held_out(spark):
     rows = Q.QUERIES["op6_toxicity"](spark, d).where("held_out").join(labels, "doc_id").groupBy("toxic").agg(F.avg("predicted")).collect()
     rate = {r[0]: r[1] for r in rows}
     assert rate[1] > 0.85 and rate[0] < 0.02
+
+
+def test_language_of_marks_alone_and_clashing_names(spark):
+    rows = [(1, "der die das und", "de"), (2, "the and of to", "en"), (3, "\u0301\u0302 \u0300", None), (4, "12 \u0308!", None), (5, "e\u0301t\u00e9", None), (6, "", None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string").withColumn("_found", F.lit(1)).withColumn("_FOUND_", F.lit(2))
+    got = {r.doc_id: r for r in langid.language_of_documents(df, F.lit(True)).collect()}
+    assert {i: got[i].lang_pred for i in (1, 2, 3, 4, 6)} == {1: "de", 2: "en", 3: "und", 4: "und", 6: "und"}
+    assert got[3].score == 0 and got[5].lang_pred != "und" and got[1]._found == 1

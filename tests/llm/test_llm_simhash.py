@@ -113,7 +113,7 @@ def test_query_rows(spark):
             low[c] = min(low.get(c, 99), i)
     assert got == sorted((i or -1, f"{p:016x}", low.get(c, -1)) for (i, _), p, c in zip(rows, prints, comp))
     kept = [r["doc_id"] for r in keep_one_per_component(df).collect()]
-    assert sorted(x for x in kept if x) == [2, 4, 8] and kept.count(None) == 2
+    assert sorted(x for x in kept if x) == [2, 4, 8] and kept.count(None) == 1
     assert simhash_near_duplicates(df.limit(0)).collect() == []
 
 
@@ -160,3 +160,31 @@ def test_sorted_groups_span_batches():
 def test_near_stars_chain():
     fp = np.array([0, 7, 63, 1 << 40, 63 | 7 << 20], np.int64)
     assert sorted(zip(*near_stars(fp, 3))) == [(0, 1), (0, 2), (0, 3), (0, 4)]
+
+
+def test_one_row_of_each_group_by_row_not_by_id(spark):
+    a, b = "one two three four five six", "clean words of another kind entirely"
+    rows = [(3, a, "p"), (7, a, "q"), (7, b, "r"), (None, a, "s"), (9, b, "t"), (9, b, "u"), (None, "lone text", "v"), (None, "lone text", "w"), (5, None, "x"), (6, "", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    got = keep_one_per_component(df).collect()
+    assert df.columns == list(got[0].asDict())
+    kept = sorted((r.doc_id, r.text) for r in got if r.doc_id is not None)
+    assert kept == [(3, a), (5, None), (7, b)] and [r.text for r in got if r.doc_id is None] == ["lone text"]
+
+
+def test_kept_rows_against_all_pairs(spark):
+    rng = random.Random(11)
+    base = [[rng.choice(["alpha", "beta", "gamma", "delta", "eps"]) + str(rng.randrange(40)) for _ in range(80)] for _ in range(12)]
+    rows = []
+    for i in range(90):
+        words = list(rng.choice(base))
+        if rng.random() < 0.5:
+            words[rng.randrange(80)] = "changed"
+        rows.append((rng.choice([i, i, i % 10, None]), " ".join(words)))
+    root = brute_components([brute_print(t) for _, t in rows])
+    got = [(r.doc_id, r.text) for r in keep_one_per_component(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == len(set(root))
+    for c in set(root):
+        group = [r for r, k in zip(rows, root) if k == c]
+        low = min((r[0] is None, r[0] or 0) for r in group)
+        assert sum(g in group and (g[0] is None, g[0] or 0) == low for g in got) >= 1

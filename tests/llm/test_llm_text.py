@@ -91,6 +91,17 @@ def test_whole_benchmark(spark, sf):
 
 # ---- pieces
 
+def test_contaminated_rows_go_whatever_their_ids(spark):
+    item = "what is the capital city of the old kingdom by the sea"
+    rows = [(1, f"intro {item} outro", "a"), (1, "a clean text with this id", "b"), (None, item, "c"), (None, "clean without an id", "d"), (2, None, "e"), (3, "", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(5, item), (6, None), (7, "")], "item_id long, text string")
+    for size in (32 << 20, 10):
+        got = dc.drop_contaminated(df, bench, block_bytes=size)
+        assert got.schema == df.schema and sorted(r.item_id for r in got.collect()) == ["b", "d", "e", "f"]
+    assert dc.drop_contaminated(df, bench.limit(0)).count() == 6 and dc.drop_contaminated(df.limit(0), bench).collect() == []
+
+
 def brute_viterbi(vocab, text):
     """Best score over all segmentations, a character without a piece of its own as bytes."""
     score = {p: s for p, s, ok in zip(vocab.pieces, vocab.scores, vocab.usable) if ok}

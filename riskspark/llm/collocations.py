@@ -38,8 +38,10 @@ TABLE = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90
 ROW = 1 << 15
 BUFFER = 1 << 18
 HELD_KEYS = 1 << 20
+#: Texts whose words are named at once.
+NAMED_ROWS = 512
 #: Words whose hashes a worker remembers at once.
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,11 +65,15 @@ class Words(dict):
         if len(self) > KNOWN_WORDS:
             self.clear()
             self[MARK] = 0
-        # 0 is a piece end
-        self[word] = code = xxhash.xxh64_intdigest(word) or 1
+        self[word] = code = code_of(word)
         return code
 
 
+def code_of(word: bytes) -> int:
+    """64-bit hash of a word; 0 is a piece end."""
+    return xxhash.xxh64_intdigest(word) or 1
+
+
 class Grams:
     """Keys of all phrases of a run of word hashes: ``keys(n)[i]`` is that of the n words from place i, ``valid(n)`` says where there is one."""
 
@@ -142,8 +148,11 @@ def runs(batches) -> Iterator[tuple[str, np.ndarray]]:
 
 def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """(keys, occurrences, first scans) of several such triples as one."""
-    keys, first, at = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
-    return keys, np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64), np.concatenate([p[2] for p in parts])[first]
+    keys, times, began = (np.concatenate([p[c] for p in parts]) for c in range(3))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(times[order], first), began[order[first]]
 
 
 def _taken(counts: DataFrame, max_words: int, size_log2: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +169,7 @@ def _places(taken: tuple[np.ndarray, np.ndarray], size_log2: int) -> np.ndarray:
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100,
-                     shards: int = 3, size_log2: int = 24) -> DataFrame:
+                     shards: int = 3, size_log2: int = 22) -> DataFrame:
     """(lang, phrase, words, n): the words and phrases of at most ``max_words`` words that occur ``min_count`` times or more in their language.
 
     ``phrase`` is its words joined by single spaces, ``words`` their number.  One
@@ -283,15 +292,15 @@ def _speller(sent: Sent, max_words: int, size_log2: int):
 def _namer(sent: Sent, size_log2: int):
     """The words of a task whose hashes have a place, once each."""
     def name(batches):
-        places, words, done = sent.built(_places, size_log2), Words(), set()
-        for b in batches:
+        places, done = sent.built(_places, size_log2), set()
+        for b in (b.slice(at, NAMED_ROWS) for b in batches for at in range(0, b.num_rows, NAMED_ROWS)):
             found = set()
             for text in b.column(0):
                 found.update(tokens(text.as_buffer().to_pybytes()))
             found -= done
             found.discard(MARK)
             found = list(found)
-            codes = np.array([words[w] for w in found], np.uint64)
+            codes = np.array([code_of(w) for w in found], np.uint64)
             keep = np.flatnonzero(since(places, codes) > 0).tolist()
             done.update(found[i] for i in keep)
             yield pa.RecordBatch.from_arrays([pa.array(codes[keep].view(np.int64)), pa.array([found[i] for i in keep], pa.binary())], names=["code", "word"])
@@ -299,7 +308,7 @@ def _namer(sent: Sent, size_log2: int):
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100, top: int = 2000,
-                 shards: int = 3, size_log2: int = 24) -> DataFrame:
+                 shards: int = 3, size_log2: int = 22) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases by their weakest cut.
 
     Candidates are phrases of 2 to ``max_words`` words (at most 7) with ``min_count``

@@ -151,6 +151,8 @@ def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     keys, times, began = (np.concatenate([p[c] for p in parts]) for c in range(3))
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
+    if not len(keys):
+        return keys, times, began
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(times[order], first), began[order[first]]
 

@@ -42,5 +42,6 @@ def load_all() -> None:
         q_features,
         q_models,
         q_more,
+        q_retrieval,
         q_joins,
     )

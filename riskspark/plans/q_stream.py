@@ -48,6 +48,44 @@ def q_st03(spark, sf):
     return out.groupBy("o_orderstatus", "band").agg(F.count(F.lit(1)).alias("n"))
 
 
+KINDS = ["click", "purchase"]
+
+
+def rates_sql(days: int) -> str:
+    return f"""
+WITH x AS (SELECT CAST(ts AS DATE) - CAST(k AS INTEGER) AS start, event_type FROM events, range(0, {days}) t(k)), top AS (SELECT max(ts) AS m FROM events)
+SELECT strftime(start, '%Y-%m-%d') AS start, count(*) AS n, {", ".join(f"round(count(*) FILTER (WHERE event_type = '{k}') / count(*), 6) AS {k}_rate" for k in KINDS)}
+FROM x, top GROUP BY start, m HAVING CAST(start AS TIMESTAMP) + INTERVAL {days} DAY <= m - INTERVAL 1 DAY"""
+
+
+def _rates(spark, sf, days: int):
+    out = st.run_to_table(st.closed_rates(events_stream(spark, sf), KINDS, f"{days} days"), f"st02-{days}", mode="append")
+    return out.select(F.date_format("w.start", "yyyy-MM-dd").alias("start"), "n", *[F.round(f"{k}_rate", 6).alias(f"{k}_rate") for k in KINDS])
+
+
+for _days in (30, 90):
+    register(f"st02_closed_rates_{_days}d", rates_sql(_days))(lambda spark, sf, days=_days: _rates(spark, sf, days))
+
+
+@register("st04_outcomes_closed", """
+WITH m AS (SELECT o_orderkey AS id, o_orderdate, count(l_orderkey) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'
+  AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 120 DAY GROUP BY ALL),
+w AS (SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem WHERE l_returnflag = 'R')) - INTERVAL 30 DAY AS mark)
+SELECT CASE WHEN k > 0 THEN 'matched' ELSE 'unmatched' END AS status, count(*) AS n, CAST(sum(k) AS BIGINT) AS outcomes, CAST(0 AS BIGINT) AS late
+FROM m, w WHERE k > 0 OR o_orderdate + INTERVAL 120 DAY < mark GROUP BY ALL""")
+def q_st04_closed(spark, sf):
+    """ST-04: matched decisions and those whose 120 days have passed without an outcome, both from the stream itself;
+    decisions whose horizon is still open are not given out.  ``late``: outcomes behind the watermark."""
+    s = st.table_stream(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("score_ts"))
+    o = st.table_stream(spark, sf, "lineitem").where(F.col("l_returnflag") == "R") \
+          .select(F.col("l_orderkey").alias("oid"), F.col("l_shipdate").cast("timestamp").alias("outcome_ts"))
+    out = st.run_to_table(st.outcome_join(s, o, how="leftOuter").select("id", "oid", "score_ts", "outcome_ts"), "st04-closed", mode="append")
+    late = st.mark_late(o, "outcome_ts", "30 days", "st04-late").agg(F.count_if("late")).scalar()
+    k = out.groupBy("id").agg(F.count("oid").alias("k"))
+    return k.groupBy(F.when(F.col("k") > 0, "matched").otherwise("unmatched").alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("k").alias("outcomes"), late.alias("late"))
+
+
 @register("st04_delayed_label_join", """
 WITH m AS (SELECT o_orderkey AS id, count(l_orderkey) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'
   AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 120 DAY GROUP BY o_orderkey)

@@ -88,14 +88,45 @@ def sliding_aggregates(events: DataFrame, length: str = "30 days", slide: str =
                  .agg(F.count(F.lit(1)).alias("n"))
 
 
-def outcome_join(scores: DataFrame, outcomes: DataFrame, horizon_days: int = 120, delay: str = "30 days") -> DataFrame:
+def closed_rates(events: DataFrame, kinds: list[str], length: str, slide: str = "1 day", delay: str = "1 day") -> DataFrame:
+    """ST-02: rates of event types in sliding windows, for append mode: a window is given out once, when the
+    watermark has passed its end, and its state is freed then."""
+    w = events.withWatermark("ts", delay).groupBy(F.window("ts", length, slide).alias("w"))
+    return w.agg(F.count(F.lit(1)).alias("n"), *[(F.count_if(F.col("event_type") == k) / F.count(F.lit(1))).alias(f"{k}_rate") for k in kinds])
+
+
+def mark_late(df: DataFrame, ts: str, delay: str, name: str = "late") -> DataFrame:
+    """ST-04: all rows of a stream with ``epoch`` and ``late``: whether the row came behind the watermark of the batches before its own.
+
+    The latest time of each batch is one row of a side table, so a batch reads no
+    earlier rows; a batch that is run again replaces itself."""
+    spark = df.sparkSession
+    base = scratch(spark, name)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        kind = df.schema[ts].dataType.simpleString()
+        seen = spark.read.schema(f"top {kind}, epoch long").parquet(f"{base}/top").where(F.col("epoch") < epoch) if epoch else spark.createDataFrame([], f"top {kind}, epoch long")
+        mark = seen.agg((F.max("top") - F.expr(f"INTERVAL {delay}")).alias("mark")).scalar()
+        batch.withColumn("late", F.coalesce(F.col(ts) < mark, F.lit(False))).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
+        batch.agg(F.max(ts).alias("top")).write.mode("overwrite").parquet(f"{base}/top/epoch={epoch}")
+        batch.unpersist()
+
+    df.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("late", T.BooleanType()), T.StructField("epoch", T.LongType())])) \
+                .option("basePath", f"{base}/out").parquet(f"{base}/out")
+
+
+def outcome_join(scores: DataFrame, outcomes: DataFrame, horizon_days: int = 120, delay: str = "30 days", how: str = "inner") -> DataFrame:
     """ST-04: delayed labels as a stream-stream join bounded in time; outcomes later
-    than the watermark are dropped by the engine, so ``delay`` covers how late files come."""
+    than the watermark are dropped by the engine (``mark_late`` counts them), so ``delay``
+    covers how late files come.  With ``how="leftOuter"`` a decision without an outcome is
+    given out, with nulls, when the watermark has closed its horizon."""
     s = scores.withWatermark("score_ts", delay).alias("s")
     o = outcomes.withWatermark("outcome_ts", delay).alias("o")
     cond = (F.col("s.id") == F.col("o.oid")) & (F.col("o.outcome_ts") >= F.col("s.score_ts")) & \
            (F.col("o.outcome_ts") <= F.col("s.score_ts") + F.expr(f"INTERVAL {horizon_days} DAYS"))
-    return s.join(o, cond)
+    return s.join(o, cond, how)
 
 
 RUN_SCHEMA = "feature string, batch_day int, psi double, consecutive long, action string"

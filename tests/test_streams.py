@@ -47,3 +47,39 @@ def test_ks_pvalue_of_identical_and_known_samples(spark):
 
 def test_bootstrap_weights_reach_beyond_eight():
     assert len(POISSON1_CDF) == 13 and 0 < 1 - POISSON1_CDF[-1] < 2 ** -32
+
+
+DAY = 86400
+
+
+def feed(spark, path, files, schema):
+    """One file a trigger, in this order."""
+    for rows in files:
+        spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("ts")).coalesce(1).write.mode("append").parquet(path)
+    return st.file_stream(spark, path, max_files=1)
+
+
+def test_late_rows_are_counted_against_earlier_batches_only(spark, tmp_path):
+    files = [[(1, 10 * DAY), (2, 2 * DAY)], [(3, 8 * DAY), (4, 9 * DAY - 1), (5, 20 * DAY)], [(6, 18 * DAY), (7, 19 * DAY), (8, None)]]
+    out = st.mark_late(feed(spark, f"{tmp_path}/src", files, "id long, ts long"), "ts", "1 day", "late-test")
+    assert {r.id: r.late for r in out.collect()} == {1: False, 2: False, 3: True, 4: True, 5: False, 6: True, 7: False, 8: False}
+
+
+def test_windows_are_closed_once_and_for_good(spark, tmp_path):
+    files = [[("click", d * DAY + 5), ("view", d * DAY + 7), ("view", d * DAY + 9)] for d in range(12)]
+    src = feed(spark, f"{tmp_path}/src", files, "event_type string, ts long")
+    out = st.run_to_table(st.closed_rates(src, ["click"], "3 days"), "closed-test").select(F.unix_timestamp("w.start").alias("s"), F.unix_timestamp("w.end").alias("e"), "n", "click_rate").collect()
+    top = 11 * DAY + 9 - DAY
+    want = {s * DAY: 3 * len([d for d in range(12) if s <= d < s + 3]) for s in range(-2, 12) if (s + 3) * DAY <= top}
+    assert {r.s: r.n for r in out} == want and len(out) == len(want) and all(abs(r.click_rate - 1 / 3) < 1e-12 for r in out)
+
+
+def test_unmatched_decisions_come_out_of_the_stream(spark, tmp_path):
+    s = feed(spark, f"{tmp_path}/s", [[(i, (1000 + i) * DAY)] for i in range(0, 60, 5)], "id long, ts long").withColumnRenamed("ts", "score_ts")
+    o = feed(spark, f"{tmp_path}/o", [[(i, (1003 + i) * DAY)] for i in range(0, 60, 10)], "oid long, ts long").withColumnRenamed("ts", "outcome_ts")
+    out = st.run_to_table(st.outcome_join(s, o, 10, "2 days", "leftOuter").select("id", "oid"), "outer-test").collect()
+    got = {r.id: r.oid for r in out}
+    mark = min(55, 53) - 2
+    assert len(out) == len(got)
+    assert {i for i, k in got.items() if k is not None} == set(range(0, 60, 10))
+    assert {i for i, k in got.items() if k is None} == {i for i in range(5, 60, 10) if i + 10 < mark}

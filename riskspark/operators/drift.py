@@ -2,7 +2,7 @@
 
 Inputs are long frames ``(batch, feature, v)`` built by one unpivot; every
 operator then aggregates all batches and features in one job.  Reference
-edges are one ``percentile`` aggregation per feature (an array per feature,
+edges are exact quantiles from running counts (an array per feature,
 joined by feature name — the "reference-bin join" needs no theta join: a
 value's bin is the number of inner edges at or below it).
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators.prefix import cumulate
 from riskspark.operators.quantiles import exact_quantiles
+from riskspark.session import cut_lineage
 
 # PSI smoothing and status cut-offs.
 PSI_EPS = 1e-8
@@ -84,32 +85,23 @@ def psi(ref: DataFrame, act: DataFrame, batch: str, n_bins: int = 10, outside: s
 
 
 def psi_fixed(ref: DataFrame, act: DataFrame, batch: str, n_bins: int = 10) -> DataFrame:
-    """DRIFT-02: equal-width bins on [0,1] (last closed), zero shares floored at 1e-6."""
-    b = F.least(F.greatest(F.floor(F.col("v") * n_bins).cast("int"), F.lit(0)), F.lit(n_bins - 1))
+    """DRIFT-02: equal-width bins on [0,1] (last closed), zero shares floored at 1e-6.
+
+    A value outside [0,1] is in no bin, but in the number of rows that shares are taken of."""
+    b = F.when(F.col("v").between(0.0, 1.0), F.least(F.floor(F.col("v") * n_bins).cast("int"), F.lit(n_bins - 1))).otherwise(-1)
     rc = ref.where(F.col("v").isNotNull()).groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("rn"))
     ac = act.where(F.col("v").isNotNull()).groupBy(batch, "feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("an"))
-    cells = act.select(batch, "feature").distinct().select(batch, "feature", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
+    cells = act.select(batch, "feature").distinct().select(batch, "feature", F.explode(F.sequence(F.lit(-1), F.lit(n_bins - 1))).alias("bin"))
     g = cells.join(rc, ["feature", "bin"], "left").join(ac, [batch, "feature", "bin"], "left").fillna(0, ["rn", "an"])
     w = Window.partitionBy(batch, "feature")
     rp = F.col("rn") / F.sum("rn").over(w)
     ap = F.col("an") / F.sum("an").over(w)
+    g = g.select(batch, "feature", "bin", rp.alias("rp"), ap.alias("ap")).where(F.col("bin") >= 0)
+    rp, ap = F.col("rp"), F.col("ap")
     g = g.select(batch, "feature", F.when(rp == 0, PSI_FIXED_FLOOR).otherwise(rp).alias("r"), F.when(ap == 0, PSI_FIXED_FLOOR).otherwise(ap).alias("a"))
     return g.groupBy(batch, "feature").agg(F.sum((F.col("a") - F.col("r")) * F.log(F.col("a") / F.col("r"))).alias("psi"))
 
 
-def _two_sample_cdf(ref: DataFrame, act: DataFrame, batch: str) -> DataFrame:
-    """Merged per-(batch, feature) cumulative counts of reference (cneg) and batch (cpos) rows.
-
-    The reference's distinct-value counts are attached to each monitored batch
-    (distinct reference values × batches; a daily job monitors one batch)."""
-    rc = ref.where(F.col("v").isNotNull()).groupBy("feature", F.col("v").alias("s")).agg(F.count(F.lit(1)).alias("neg"))
-    batches = act.select(batch, "feature").distinct()
-    r = batches.join(rc, "feature").withColumn("pos", F.lit(0).cast("long"))
-    a = act.where(F.col("v").isNotNull()).groupBy(batch, "feature", F.col("v").alias("s")).agg(F.count(F.lit(1)).alias("pos")).withColumn("neg", F.lit(0).cast("long"))
-    u = r.unionByName(a).groupBy(batch, "feature", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    return cumulate(u, [batch, "feature"])
-
-
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sided Kolmogorov p-value with the Stephens correction.
 
@@ -142,13 +134,48 @@ def ks(ref: DataFrame, act: DataFrame, batch: str) -> DataFrame:
     return g.withColumn("p_value", ks_pvalue(F.col("ks"), F.col("n_act").cast("double"), F.col("n_ref").cast("double")))
 
 
-def wasserstein(ref: DataFrame, act: DataFrame, batch: str) -> DataFrame:
-    """DRIFT-16: 1-D Wasserstein distance = Σ |F_ref − F_act| · gap to the next distinct value."""
-    c = _two_sample_cdf(ref, act, batch)
-    w = Window.partitionBy(batch, "feature").orderBy("s")  # inside one (batch, feature): at most its distinct values
-    c = c.withColumn("_next", F.lead("s").over(w))
-    term = F.abs(F.col("cpos") / F.col("Tpos") - F.col("cneg") / F.col("Tneg")) * (F.col("_next") - F.col("s"))
-    return c.groupBy(batch, "feature").agg(F.sum(F.coalesce(term, F.lit(0.0))).alias("wasserstein"))
+def wasserstein(ref: DataFrame, act: DataFrame, batch: str, n_buckets: int = 1024) -> DataFrame:
+    """DRIFT-16: 1-D Wasserstein distance, the area between the two distribution functions.
+
+    The area under the reference's function up to x, (x * count - sum of values) / rows, is made once for
+    all batches.  Between two neighbouring values of a batch its own function stands still, so the area
+    between the two there follows from the reference's area at both ends and at the place where it crosses
+    the batch's share, which is the reference value of that rank.  Everything is as long as the reference
+    and the batches, and no window holds a whole (batch, feature).  A feature without reference rows has no row."""
+    rc = ref.where(F.col("v").isNotNull()).groupBy("feature", F.col("v").alias("s")).agg(F.count(F.lit(1)).alias("neg"))
+    ac = act.where(F.col("v").isNotNull()).groupBy(batch, "feature", F.col("v").alias("s")).agg(F.count(F.lit(1)).alias("pos"))
+    knots = rc.unionByName(ac.select("feature", "s", F.lit(0).cast("long").alias("neg"))).groupBy("feature", "s").agg(F.sum("neg").alias("neg"))
+    knots = knots.withColumn("val", F.col("neg") * F.col("s"))
+    r = cumulate(knots, ["feature"], n_buckets, cols=("neg", "val")).where(F.col("Tneg") > 0) \
+        .withColumn("area", (F.col("s") * F.col("cneg") - F.col("cval")) / F.col("Tneg"))
+    r = cut_lineage(r)  # read four times below
+    top = r.where(F.col("neg") > 0).groupBy("feature").agg(F.max("s").alias("top"))
+    looked = r.select("feature", "s", "area", "cneg", "Tneg", (F.col("Tval") / F.col("Tneg")).alias("mean"))
+    c = cumulate(ac.join(looked, ["feature", "s"]), [batch, "feature"], n_buckets, cols=("pos",), following=("s", "area")).join(top, "feature")
+    # after a batch's last value its share is 1, and the areas part up to the reference's largest value
+    end = F.greatest("s", "top")
+    c = c.withColumn("b", F.coalesce("next.s", end)).withColumn("area_b", F.coalesce("next.area", end - F.col("mean")))
+    c = c.withColumn("share", F.col("cpos") / F.col("Tpos")).withColumn("gap", F.col("b") - F.col("s")).withColumn("under", F.col("area_b") - F.col("area"))
+    # the rank whose reference value is the first with a share of at least the batch's
+    rank = F.expr("(cast(cpos as decimal(19,0)) * cast(Tneg as decimal(19,0)) + Tpos - 1) div Tpos")
+    c = cut_lineage(c.withColumn("rank", rank))  # asks for ranks and gets their values
+    asked = c.where(F.col("cneg") < F.col("rank")).select("feature", "rank", "Tneg").distinct()
+    steps = r.where(F.col("neg") > 0).select("feature", (F.col("cneg") - F.col("neg") + 1).alias("rank"), "Tneg", F.struct("s", "area").alias("at"))
+    u = steps.unionByName(asked.withColumn("at", F.lit(None).cast("struct<s:double,area:double>"))) \
+             .withColumn("_b", F.expr(f"cast((rank - 1) * double({n_buckets}) / Tneg as int)"))
+    # values rise with ranks, so the value in force at a rank is the largest so far: in the bucket, or in those before it
+    inside = Window.partitionBy("feature", "_b").orderBy("rank")
+    carried = u.groupBy("feature", "_b").agg(F.max("at").alias("_m")).withColumn(
+        "_carry", F.max("_m").over(Window.partitionBy("feature").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).drop("_m")
+    found = u.withColumn("in_force", F.max("at").over(inside)).where(F.col("at").isNull()).join(carried, ["feature", "_b"]) \
+             .select("feature", "rank", F.coalesce("in_force", "_carry").alias("cross"))
+    c = c.join(found, ["feature", "rank"], "left")
+    t = F.col("cross.s")
+    between = F.when(F.col("cneg") >= F.col("rank"), F.col("under") - F.col("share") * F.col("gap")) \
+               .when(t >= F.col("b"), F.col("share") * F.col("gap") - F.col("under")) \
+               .otherwise(F.col("share") * (2 * t - F.col("s") - F.col("b")) - 2 * F.col("cross.area") + F.col("area") + F.col("area_b"))
+    before = F.min(F.struct("s", "area"))["area"]  # up to a batch's first value its share is 0
+    return c.groupBy(batch, "feature").agg((F.sum(F.greatest(between, F.lit(0.0))) + before).alias("wasserstein"))
 
 
 def monitor(psi_df: DataFrame, counts: DataFrame, batch: str, warn: float = PSI_WARN, alert: float = PSI_ALERT, min_rows: int = MIN_ROWS) -> DataFrame:
@@ -169,7 +196,7 @@ def monitor(psi_df: DataFrame, counts: DataFrame, batch: str, warn: float = PSI_
 def alert_runs(status: DataFrame, key: str, order: str, flag: Column, retrain_len: int = 2, retire_len: int = 5,
                retire_col: Column | None = None) -> DataFrame:
     """WIN-10 / DRIFT-12: consecutive-alert runs (gaps and islands via the
-    row_number difference) per key; a run reaching ``retrain_len`` fires RETRAIN
+    row_number difference) per key, with the day each began (``since``); a run reaching ``retrain_len`` fires RETRAIN
     once, one reaching ``retire_len`` with the extra condition fires RETIRE."""
     w = Window.partitionBy(key).orderBy(order)
     d = status.withColumn("_f", flag.cast("int")).withColumn("_rn", F.row_number().over(w))
@@ -177,6 +204,7 @@ def alert_runs(status: DataFrame, key: str, order: str, flag: Column, retrain_le
     d = d.withColumn("_island", F.col("_rn") - F.col("_rf"))
     wr = Window.partitionBy(key, "_f", "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("consecutive", F.when(F.col("_f") == 1, F.count(F.lit(1)).over(wr)).otherwise(0))
+    d = d.withColumn("since", F.when(F.col("_f") == 1, F.min(order).over(wr)))
     extra = retire_col if retire_col is not None else F.lit(True)
     d = d.withColumn("action", F.when((F.col("consecutive") == retire_len) & extra, "RETIRE")
                      .when(F.col("consecutive") == retrain_len, "RETRAIN"))

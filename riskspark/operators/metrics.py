@@ -200,17 +200,24 @@ def poisson_weight(key: str, b: Column, salt: str = ":boot") -> Column:
     return F.size(F.filter(cdf, lambda c: c <= u))
 
 
+def poisson_weights(key: str, B: int) -> Column:
+    """A row's Poisson(1) weights in replicates 1 to B, one array."""
+    return F.transform(F.sequence(F.lit(1), F.lit(B)), lambda b: poisson_weight(key, b))
+
+
 def bootstrap_auc(df: DataFrame, key: str, score: str = "p", label: str = "y", B: int = 50) -> DataFrame:
-    """EVAL-13: B Poisson-bootstrap replicates of the AUC (weighted prefix sums per
-    replicate) and their 2.5 / 50 / 97.5 percentiles.  Work is B × rows, shuffle is
-    B × distinct scores (partial aggregation collapses rows before the exchange)."""
+    """EVAL-13: B Poisson-bootstrap replicates of the AUC and their 2.5 / 50 / 97.5 percentiles.
+
+    A row carries all its B weights; ties collapse into B sums a class, which are run up together over
+    one score order.  No row is multiplied, and the shuffle holds each distinct score once."""
     from riskspark.operators.prefix import cumulate
-    rep = df.select(key, score, label, F.explode(F.sequence(F.lit(1), F.lit(B))).alias("b"))
-    rep = rep.withColumn("_w", poisson_weight(key, F.col("b"))).where(F.col("_w") > 0)
-    cnt = rep.groupBy("b", F.col(score).alias("s")).agg(F.sum(F.col(label) * F.col("_w")).alias("pos"),
-                                                        F.sum((1 - F.col(label)) * F.col("_w")).alias("neg"))
-    c = cumulate(cnt, ["b"])
-    a = c.groupBy("b").agg((F.sum(F.col("pos") * (F.col("cneg") - F.col("neg") + F.col("neg") / 2.0)) / (F.max("Tpos") * F.max("Tneg"))).alias("auc"))
+    reps = range(1, B + 1)
+    y, w = F.col("y"), F.col("w")
+    d = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(F.col(score).alias("s"), F.col(label).alias("y"), poisson_weights(key, B).alias("w"))
+    cnt = d.groupBy("s").agg(*[F.sum(y * w[b - 1]).alias(f"pos{b}") for b in reps], *[F.sum((1 - y) * w[b - 1]).alias(f"neg{b}") for b in reps])
+    c = cumulate(cnt, cols=[f"neg{b}" for b in reps])
+    auc = [(F.sum(F.col(f"pos{b}") * (F.col(f"cneg{b}") - F.col(f"neg{b}") + F.col(f"neg{b}") / 2.0)) / (F.sum(f"pos{b}") * F.max(f"Tneg{b}"))) for b in reps]
+    a = c.agg(F.array(*auc).alias("a")).select(F.explode("a").alias("auc"))
     return a.agg(F.round(F.percentile("auc", 0.025), 6).alias("auc_lo"), F.round(F.percentile("auc", 0.5), 6).alias("auc_mid"),
                  F.round(F.percentile("auc", 0.975), 6).alias("auc_hi"), F.count(F.lit(1)).alias("replicates"))
 

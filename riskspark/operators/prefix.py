@@ -44,28 +44,29 @@ def score_counts(df: DataFrame, score: str | Column, label: str | Column, groups
     )
 
 
-def cumulate(counts: DataFrame, groups=(), n_buckets: int = 1024, cols=("pos", "neg")) -> DataFrame:
+def cumulate(counts: DataFrame, groups=(), n_buckets: int = 1024, cols=("pos", "neg"), following=()) -> DataFrame:
     """Levels 2-4: add ``c<col>`` (running sum of <col> over scores <= s) and
-    the group totals ``T<col>`` to a (groups, s, cols...) table."""
+    the group totals ``T<col>`` to a (groups, s, cols...) table.  With ``following``
+    (columns, ``s`` first) also ``next``, a struct of them in the row after (null in a group's last)."""
     counts, groups = _groups(counts, groups)
     fracs = [i / n_buckets for i in range(1, n_buckets)]
     # per-group equal-count cut points (at most n_buckets-1 values per group)
     cuts = counts.groupBy(*groups).agg(F.array_distinct(F.percentile_approx("s", fracs, 4 * n_buckets)).alias("_cuts"))
     b = counts.join(cuts, groups, "inner").withColumn("_b", count_le("_cuts", "s", n_buckets)).drop("_cuts")
-    w_in = Window.partitionBy(*groups, "_b").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in cols:
-        b = b.withColumn(f"_in_{c}", F.sum(c).over(w_in))
-    tot = b.groupBy(*groups, "_b").agg(*[F.sum(c).alias(f"_b_{c}") for c in cols])
-    w_off = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    w_next = Window.partitionBy(*groups, "_b").orderBy("s")
+    w_in = w_next.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lead = [F.lead(F.struct(*following)).over(w_next).alias("_in_next")] if following else []
+    b = b.select("*", *[F.sum(c).over(w_in).alias(f"_in_{c}") for c in cols], *lead)
+    first = [F.min(F.struct(*following)).alias("_first")] if following else []
+    tot = b.groupBy(*groups, "_b").agg(*[F.sum(c).alias(f"_b_{c}") for c in cols], *first)
     w_all = Window.partitionBy(*groups)
-    for c in cols:
-        tot = tot.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_b_{c}").over(w_off), F.lit(0))) \
-                 .withColumn(f"T{c}", F.sum(f"_b_{c}").over(w_all))
-    tot = tot.drop(*[f"_b_{c}" for c in cols])
-    out = b.join(tot, groups + ["_b"], "inner")
-    for c in cols:
-        out = out.withColumn(f"c{c}", F.col(f"_off_{c}") + F.col(f"_in_{c}"))
-    return out.drop("_b", *[f"_in_{c}" for c in cols], *[f"_off_{c}" for c in cols])
+    w_off = w_all.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    lead = [F.lead("_first").over(w_all.orderBy("_b")).alias("_off_next")] if following else []
+    tot = tot.select(*groups, "_b", *[F.coalesce(F.sum(f"_b_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}") for c in cols],
+                     *[F.sum(f"_b_{c}").over(w_all).alias(f"T{c}") for c in cols], *lead)
+    following_row = [F.coalesce("_in_next", "_off_next").alias("next")] if following else []
+    return b.join(tot, groups + ["_b"], "inner").select(
+        *counts.columns, *[f"T{c}" for c in cols], *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"c{c}") for c in cols], *following_row)
 
 
 def score_cdf(df: DataFrame, score: str | Column, label: str | Column, groups=(), n_buckets: int = 1024,

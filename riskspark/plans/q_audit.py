@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.operators import audit as au
 from riskspark.operators import split as sp
 from riskspark.plans.catalog import ORACLE, register
 from riskspark.plans.frames import LEAK_SQL, SCORED_SQL, leak_frame, scored, split_unit_sql
+from riskspark.sources import io
 from riskspark.sources.io import table
+from riskspark.streaming.stream import scratch
 
 S = f"s AS ({SCORED_SQL})"
 L = f"l AS ({LEAK_SQL})"
@@ -201,8 +204,23 @@ def q_dq04(spark, sf):
     return au.split_consistency(sp.row_split(scored(spark, sf, with_group=False), "id"), "split", "y")
 
 
-@register("dq06_fingerprint")
+LINEITEM_CELLS = [("l_orderkey", False), ("l_partkey", False), ("l_suppkey", False), ("l_linenumber", False), ("l_quantity", True), ("l_extendedprice", True),
+                  ("l_discount", True), ("l_tax", True), ("l_returnflag", False), ("l_linestatus", False), ("l_shipdate", False)]
+
+
+def _cell_sql(name: str, fraction: bool) -> str:
+    text = f"CAST(CAST({name} AS DECIMAL(38, 6)) AS VARCHAR)" if fraction else f"CAST({name} AS VARCHAR)"
+    return f"coalesce(length({text}) || ':' || {text}, 'N')"
+
+
+@register("dq06_fingerprint", f"""
+WITH d AS (SELECT *, md5(concat_ws('|', {", ".join(_cell_sql(*c) for c in LINEITEM_CELLS)})) AS d FROM lineitem),
+g AS (SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(d, 1, 15) AS BIGINT)) % {au.FINGERPRINT_MODULUS} AS BIGINT) AS lane1,
+  CAST(sum(CAST('0x' || substr(d, 16, 15) AS BIGINT)) % {au.FINGERPRINT_MODULUS} AS BIGINT) AS lane2,
+  concat_ws(',', {", ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c, _ in LINEITEM_CELLS)}) AS null_counts FROM d)
+SELECT *, sha256(concat_ws('|', n, lane1, lane2, null_counts)) AS fingerprint FROM g""")
 def q_dq06(spark, sf):
+    """DQ-06: fingerprint of all rows and columns of lineitem."""
     return au.fingerprint(table(spark, sf, "lineitem"))
 
 
@@ -222,6 +240,42 @@ def q_dq07(spark, sf):
     return per_rule.unionByName(clean)
 
 
+# Which lines the quarantine query breaks, by the first hex digit of md5(key:line:damage).
+DAMAGE = {"0": "short", "1": "long", "2": "mistyped", "3": "open_quote"}
+QUARANTINE_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, l_tax double, l_shipdate timestamp_ntz"
+
+
+@register("dq07_reader_quarantine", f"""
+WITH d AS (SELECT *, substr(md5(l_orderkey || ':' || l_linenumber || ':damage'), 1, 1) AS h FROM lineitem),
+r AS (SELECT l_orderkey, list_filter([CASE h {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DAMAGE.items())} END,
+  CASE WHEN h > '3' AND NOT coalesce(l_quantity <= 40, false) THEN 'quantity_in_range' END, CASE WHEN h > '3' AND NOT coalesce(l_tax > 0, false) THEN 'tax_present' END], lambda x: x IS NOT NULL) AS failed FROM d)
+SELECT CASE WHEN len(failed) = 0 THEN 'clean' ELSE 'quarantine' END AS status, coalesce(list_aggregate(failed, 'string_agg', ','), '') AS reasons, count(*) AS n, CAST(sum(CASE WHEN len(failed) = 0 THEN l_orderkey END) AS BIGINT) AS keys
+FROM (SELECT l_orderkey, failed FROM r) GROUP BY ALL""")
+def q_dq07_reader(spark, sf):
+    """DQ-07: lineitem as CSV lines, some cut short, too long, mistyped or with an open quote, read
+    permissively, tested by two rules and written in one pass to a clean and a quarantine table."""
+    li = table(spark, sf, "lineitem")
+    cells = ["l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_shipdate"]
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells}
+    text["l_shipdate"] = F.coalesce(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(""))
+    h = F.substring(F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber", F.lit("damage"))), 1, 1)
+    whole = F.concat_ws(",", *text.values())
+    line = F.when(h == "0", F.concat_ws(",", *list(text.values())[:4])).when(h == "1", F.concat(whole, F.lit(",extra"))) \
+            .when(h == "2", F.concat_ws(",", text["l_orderkey"], text["l_linenumber"], F.lit("many"), text["l_tax"], text["l_shipdate"])) \
+            .when(h == "3", F.concat_ws(",", text["l_orderkey"], text["l_linenumber"], F.concat(F.lit('"'), text["l_quantity"]), text["l_tax"], text["l_shipdate"])) \
+            .otherwise(whole)
+    base = scratch(spark, "dq07")
+    li.select(line.alias("value")).write.text(f"{base}/lines")
+    schema = T.StructType.fromDDL(QUARANTINE_SCHEMA)
+    read = io.read_csv_permissive(spark, f"{base}/lines", schema, header=False)
+    q = au.quarantine(read, {"quantity_in_range": F.col("l_quantity") <= 40, "tax_present": F.col("l_tax") > 0})
+    fault = io.line_fault(len(schema))
+    io.write_quarantined(q, F.when(fault.isNotNull(), F.array(fault)).otherwise(F.col("failed_rules")), f"{base}/split")
+    out = spark.read.parquet(f"{base}/split")
+    return out.groupBy("status", F.array_join("reasons", ",").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("status") == "clean", F.col("l_orderkey"))).alias("keys"))
+
+
 @register("set02_intersect_entities", f"""
 WITH {S} SELECT count(*) AS n_shared FROM (SELECT entity FROM s WHERE {ROW_SPLIT} = 'train' INTERSECT SELECT entity FROM s WHERE {ROW_SPLIT} = 'val')""")
 def q_set02(spark, sf):

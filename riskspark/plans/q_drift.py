@@ -61,12 +61,12 @@ def q_drift01(spark, sf):
 
 
 @register("drift02_psi_fixed_width", f"""
-WITH {MON}, {LG}, f AS (SELECT * FROM lg WHERE feature = 'f_value'), bins AS (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS bin),
-rc AS (SELECT least(greatest(CAST(floor(v * 10) AS INTEGER), 0), 9) AS bin, count(*) AS rn FROM f WHERE batch_day <= {REF_LAST_DAY} AND v IS NOT NULL GROUP BY bin),
-ac AS (SELECT batch_day, least(greatest(CAST(floor(v * 10) AS INTEGER), 0), 9) AS bin, count(*) AS an FROM f WHERE v IS NOT NULL GROUP BY batch_day, bin),
+WITH {MON}, {LG}, f AS (SELECT * FROM lg WHERE feature = 'f_value'), bins AS (SELECT CAST(unnest(range(-1, 10)) AS INTEGER) AS bin), fb AS (SELECT batch_day, CASE WHEN v BETWEEN 0 AND 1 THEN least(CAST(floor(v * 10) AS INTEGER), 9) ELSE -1 END AS bin FROM f WHERE v IS NOT NULL),
+rc AS (SELECT bin, count(*) AS rn FROM fb WHERE batch_day <= {REF_LAST_DAY} GROUP BY bin),
+ac AS (SELECT batch_day, bin, count(*) AS an FROM fb GROUP BY batch_day, bin),
 g AS (SELECT d.batch_day, bins.bin, coalesce(rn, 0) AS rn, coalesce(an, 0) AS an FROM (SELECT DISTINCT batch_day FROM f) d CROSS JOIN bins LEFT JOIN rc USING (bin) LEFT JOIN ac USING (batch_day, bin)),
-p AS (SELECT batch_day, rn / sum(rn) OVER (PARTITION BY batch_day) AS r0, an / sum(an) OVER (PARTITION BY batch_day) AS a0 FROM g),
-p2 AS (SELECT batch_day, CASE WHEN r0 = 0 THEN 1e-6 ELSE r0 END AS r, CASE WHEN a0 = 0 THEN 1e-6 ELSE a0 END AS a FROM p)
+p AS (SELECT batch_day, bin, rn / sum(rn) OVER (PARTITION BY batch_day) AS r0, an / sum(an) OVER (PARTITION BY batch_day) AS a0 FROM g),
+p2 AS (SELECT batch_day, CASE WHEN r0 = 0 THEN 1e-6 ELSE r0 END AS r, CASE WHEN a0 = 0 THEN 1e-6 ELSE a0 END AS a FROM p WHERE bin >= 0)
 SELECT batch_day, 'f_value' AS feature, round(sum((a - r) * ln(a / r)), 6) AS psi FROM p2 GROUP BY batch_day""")
 def q_drift02(spark, sf):
     """DRIFT-02: PSI with equal-width [0,1] bins and a 1e-6 floor."""
@@ -76,9 +76,10 @@ def q_drift02(spark, sf):
 
 @register("drift03_bin_details", f"""{PSI_HEAD}
 SELECT batch_day, feature, bin, round(lower, 6) AS lower, round(upper, 6) AS upper, round(rp, 6) AS ref_pct, round(ap, 6) AS act_pct,
-  round((ap - rp) * ln(ap / rp), 6) AS bin_psi FROM pb WHERE feature = 'f_value'""")
+  round((ap - rp) * ln(ap / rp), 6) AS bin_psi FROM pb""")
 def q_drift03(spark, sf):
-    ref, act = long_frames(spark, sf, ["f_value"])
+    """DRIFT-03: bin by bin, every feature and day."""
+    ref, act = long_frames(spark, sf)
     b = dr.psi_bins(ref, act, "batch_day")
     return b.select("batch_day", "feature", "bin", *[F.round(c, 6).alias(c) for c in ("lower", "upper", "ref_pct", "act_pct", "bin_psi")])
 
@@ -173,6 +174,28 @@ def q_drift12(spark, sf):
     return am.join(rm, "feature").select("batch_day", "feature", F.round(F.col("mean") - F.col("ref_mean"), 6).alias("mean_shift"))
 
 
+@register("drift12_alert_records", f"""{PSI_HEAD},
+rm AS (SELECT feature, avg(v) AS ref_mean, stddev_pop(v) AS ref_std FROM ref GROUP BY feature),
+am AS (SELECT batch_day, feature, avg(v) AS mean FROM lg GROUP BY batch_day, feature),
+st AS (SELECT feature, batch_day, psi, mean - ref_mean AS sh, (mean - ref_mean) / ref_std AS z, {STATUS} AS status, CAST(psi > 0.1 AS INTEGER) AS fl FROM psi JOIN am USING (batch_day, feature) JOIN rm USING (feature)),
+i AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY batch_day) - row_number() OVER (PARTITION BY feature, fl ORDER BY batch_day) AS isl FROM st),
+r AS (SELECT *, count(*) OVER (PARTITION BY feature, fl, isl ORDER BY batch_day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS consecutive,
+  min(batch_day) OVER (PARTITION BY feature, fl, isl ORDER BY batch_day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS since FROM i)
+SELECT feature, batch_day, status, round(psi, 6) AS psi, round(sh, 6) AS mean_shift, round(z, 6) AS shift_in_std, since, consecutive,
+  CASE WHEN consecutive = 5 AND psi > 0.3 THEN 'RETIRE' WHEN consecutive = 2 THEN 'RETRAIN' END AS action FROM r WHERE fl = 1""")
+def q_drift12_alerts(spark, sf):
+    """DRIFT-12: one record for each alert of a feature and day: status, PSI, shift of the mean (also in
+    standard deviations of the reference), the day its run began, and how many days in a row it has lasted."""
+    ref, act = long_frames(spark, sf)
+    rm = ref.groupBy("feature").agg(F.avg("v").alias("rm"), F.stddev_pop("v").alias("rs"))
+    am = act.groupBy("batch_day", "feature").agg(F.avg("v").alias("m")).join(rm, "feature") \
+            .select("batch_day", "feature", (F.col("m") - F.col("rm")).alias("sh"), F.try_divide(F.col("m") - F.col("rm"), F.col("rs")).alias("z"))
+    r = dr.alert_runs(dr.psi(ref, act, "batch_day"), "feature", "batch_day", F.col("psi") > dr.PSI_WARN, retire_col=F.col("psi") > 0.3)
+    r = r.where(F.col("consecutive") > 0).join(am, ["batch_day", "feature"])
+    return r.select("feature", "batch_day", dr.psi_status(F.col("psi")).alias("status"), F.round("psi", 6).alias("psi"), F.round("sh", 6).alias("mean_shift"),
+                    F.round("z", 6).alias("shift_in_std"), "since", "consecutive", "action")
+
+
 PCTS = [0.01, 0.1, 0.9, 0.99]
 
 
@@ -192,7 +215,7 @@ def q_drift13(spark, sf):
 
 
 @register("drift14_subpopulation_psi", f"""
-WITH {MON}, lg AS (SELECT batch_day, event_type, 'f_value' AS feature, f_value AS v FROM mon), ref AS (SELECT * FROM lg WHERE batch_day <= {REF_LAST_DAY}),
+WITH {MON}, lg AS ({" UNION ALL ".join(f"SELECT batch_day, event_type, '{f}' AS feature, CAST({f} AS DOUBLE) AS v FROM mon" for f in FEATS)}), ref AS (SELECT * FROM lg WHERE batch_day <= {REF_LAST_DAY}),
 q AS (SELECT event_type, feature, quantile_cont(v, {Q}) AS qq FROM ref WHERE v IS NOT NULL GROUP BY event_type, feature),
 e AS (SELECT event_type, feature, list_concat([qq[1] - 1e-8], qq[2:10], [qq[11] + 1e-8]) AS edges FROM q),
 rc AS (SELECT event_type, feature, bin, count(*) AS rn FROM (SELECT ref.event_type, ref.feature, {BIN} AS bin FROM ref JOIN e USING (event_type, feature)) WHERE bin IS NOT NULL GROUP BY ALL),
@@ -204,7 +227,7 @@ pb AS (SELECT batch_day, event_type, feature, (rn + 1e-8) / (rt + {EPS_N}) AS rp
 SELECT batch_day, event_type, feature, round(sum((ap - rp) * ln(ap / rp)), 6) AS psi FROM pb GROUP BY ALL""")
 def q_drift14(spark, sf):
     """DRIFT-14: PSI inside slices (event type) — the slice is just another grouping key."""
-    lg = dr.unpivot(monitored(spark, sf), ["batch_day", "event_type"], ["f_value"])
+    lg = dr.unpivot(monitored(spark, sf), ["batch_day", "event_type"], FEATS)
     ref = lg.where(F.col("batch_day") <= REF_LAST_DAY)
     p = dr.psi(ref, lg, "batch_day", by=["event_type"])
     return p.select("batch_day", "event_type", "feature", F.round("psi", 6).alias("psi"))

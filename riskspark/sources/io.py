@@ -27,6 +27,35 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     return spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_permissive(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """DQ-07 at the reader: every line becomes a row; a line that does not fit the schema keeps its
+    text in ``_corrupt_record``.  Pruning is off in the parser, so a line is judged by all its cells
+    whichever columns are read."""
+    return (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        .option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .option("escape", "\"").option("columnPruning", False).csv(path)
+    )
+
+
+def line_fault(n_columns: int, line: str = CORRUPT) -> Column:
+    """Why a line did not fit, from its text: ``open_quote``, ``short``, ``long`` or else ``mistyped``; null for a sound line."""
+    bare = F.regexp_replace(F.col(line), '"([^"]|"")*"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    return F.when(F.col(line).isNull(), F.lit(None)).when(F.contains(bare, F.lit('"')), "open_quote") \
+            .when(cells < n_columns, "short").when(cells > n_columns, "long").otherwise("mistyped")
+
+
+def write_quarantined(df: DataFrame, reasons: Column, path: str, mode: str = "overwrite") -> None:
+    """DQ-07: one pass that writes ``status=clean`` and ``status=quarantine`` below ``path``; a row with
+    any of ``reasons`` (an array of names) is quarantined and carries them."""
+    named = df.withColumn("reasons", F.coalesce(reasons, F.array().cast("array<string>")))
+    named.withColumn("status", F.when(F.size("reasons") > 0, "quarantine").otherwise("clean")).write.mode(mode).partitionBy("status").parquet(path)
+
+
 def strip_column_names(df: DataFrame) -> DataFrame:
     """SRC-03 remainder: trim header names after converting a sheet to CSV once."""
     return df.toDF(*[c.strip() for c in df.columns])

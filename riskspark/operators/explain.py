@@ -44,6 +44,21 @@ def reason_codes(df: DataFrame, k: int, codes: DataFrame) -> DataFrame:
     return e.join(codes, "feature", "left").drop("_r", "_x")
 
 
+def reason_list(contribs: str | Column, k: int, codes: list[tuple[str, str, str]], signs: dict[str, int], positive_only: bool = False) -> Column:
+    """EXP-02 as one column, ARRAY<STRUCT<feature, code, text, direction, constraint, value, contrib>>: the row's
+    k strongest contributions (ties by name), whether each raises or lowers the risk, and the sign that
+    the feature's effect is held to.  Row-local, so it runs in a stream as in a batch."""
+    def at(pairs):
+        return lambda x: F.try_element_at(F.create_map(*[F.lit(v) for p in pairs for v in p]), x["feature"])
+
+    code, text = at([(f, c) for f, c, _ in codes]), at([(f, t) for f, _, t in codes])
+    held = at([(f, "increasing" if s > 0 else "decreasing") for f, s in signs.items()])
+    direction = lambda x: F.when(x["contrib"] > 1e-9, "raises").when(x["contrib"] < -1e-9, "lowers").otherwise("none")
+    return F.transform(top_k_contribs(contribs, k, positive_only), lambda x: F.struct(
+        x["feature"].alias("feature"), code(x).alias("code"), text(x).alias("text"), direction(x).alias("direction"),
+        F.coalesce(held(x), F.lit("free")).alias("constraint"), x["value"].alias("value"), x["contrib"].alias("contrib")))
+
+
 def global_importance(df: DataFrame, k: int) -> DataFrame:
     """WIN-04: mean |contribution| per feature, top k (features-sized result)."""
     e = df.select(F.explode("contribs").alias("c")).select("c.feature", F.abs("c.contrib").alias("a"))

@@ -13,8 +13,6 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,14 +73,21 @@ def mlp(features, label="y", hidden=(8,)):
     return Pipeline(stages=[assemble(features), MultilayerPerceptronClassifier(labelCol=label, layers=[len(features), *hidden, 2], seed=42, maxIter=100)])
 
 
-def tune(features, train_val: DataFrame, label="y", reg_grid=(0.001, 0.01, 0.1), parallelism: int = 4):
-    """ML-08: grid search on a train/validation split (selection on validation AUC)."""
-    lr = LogisticRegression(featuresCol="features", labelCol=label, standardization=False)
-    pipe = Pipeline(stages=[assemble(features), lr])
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_grid)).build()
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label),
-                               trainRatio=0.75, parallelism=parallelism, seed=42)
-    return tvs.fit(train_val)
+def select_on_validation(candidates: dict[str, Pipeline], train: DataFrame, val: DataFrame, label: str = "y") -> tuple[DataFrame, dict]:
+    """ML-08: every candidate (any family, any parameters) fitted on ``train`` and ranked by its AUC on ``val``,
+    the split that no fit has seen.  Returns (candidate, val_auc, val_ap, rank, chosen) and the fitted models;
+    ties go to the smaller name.  All candidates are evaluated in one pass of the exact ranking metrics."""
+    from functools import reduce
+
+    from pyspark.sql import Window
+
+    from riskspark.operators.metrics import ranking_metrics
+    models = {name: p.fit(train) for name, p in candidates.items()}
+    scored = [prob1(m.transform(val)).select(F.lit(name).alias("candidate"), label, F.col("p_model").alias("p")) for name, m in models.items()]
+    r = ranking_metrics(reduce(DataFrame.unionByName, scored), "p", label, ["candidate"])
+    w = Window.partitionBy(F.lit(1)).orderBy(F.col("val_auc").desc(), "candidate")  # one row per candidate
+    r = r.select("candidate", F.round("auc", 6).alias("val_auc"), F.round("ap", 6).alias("val_ap")).withColumn("rank", F.row_number().over(w))
+    return r.withColumn("chosen", F.col("rank") == 1), models
 
 
 def feature_importance(model, features: list[str], spark) -> DataFrame:
@@ -135,11 +140,14 @@ def calibration_slope(df: DataFrame, score: str, label: str = "y") -> tuple[floa
 
 
 def score_frame(df: DataFrame, model, medians: DataFrame, features: list[str], platt: tuple[float, float],
-                cuts=(0.20, 0.40), labels=("GREEN", "AMBER", "RED")) -> DataFrame:
+                cuts=(0.20, 0.40), labels=("GREEN", "AMBER", "RED"), means: DataFrame | None = None, k: int = 3) -> DataFrame:
     """ML-09 / ST-03: batch (or streaming) scorer: medians for absent inputs,
-    model probability, Platt calibration, band.  Pure column expressions plus
-    ``model.transform`` — usable on a streaming DataFrame unchanged."""
-    from riskspark.functions.exprs import band
+    model probability, Platt calibration, band, and with ``means`` (one row, of the rows
+    a linear model was fitted on) the k strongest ``reasons`` that raise the risk, each
+    ``name: value (+contribution)``.  Column expressions, joins with one-row tables and
+    ``model.transform``: a streaming DataFrame is scored by the same code."""
+    from riskspark.functions.exprs import band, reason_string
+    from riskspark.operators.explain import contributions, top_k_contribs
     m = medians.select(F.lit(1).alias("_k"), *[F.col(c).alias(f"_m_{c}") for c in features])
     d = df.withColumn("_k", F.lit(1)).join(m, "_k")
     for c in features:
@@ -147,7 +155,13 @@ def score_frame(df: DataFrame, model, medians: DataFrame, features: list[str], p
     d = d.drop("_k", *[f"_m_{c}" for c in features])
     scored = prob1(model.transform(d), "probability", "p_model")
     scored = scored.withColumn("p_cal", apply_platt("p_model", *platt))
-    return scored.withColumn("band", band("p_cal", list(cuts), list(labels)))
+    scored = scored.withColumn("band", band("p_cal", list(cuts), list(labels)))
+    if means is None:
+        return scored
+    coefs = dict(zip(features, [float(x) for x in model.stages[-1].coefficients]))
+    top = top_k_contribs("contribs", k, positive_only=True)
+    named = F.transform(top, lambda x: reason_string(x["feature"], F.round(x["value"], 4), x["contrib"]))
+    return contributions(scored, coefs, means).withColumn("reasons", named).drop("contribs")
 
 
 def grouped_platt(df: DataFrame, group: str, score: str, label: str = "y", iters: int = 50, tolerance: float = 1e-8) -> DataFrame:

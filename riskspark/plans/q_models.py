@@ -14,6 +14,7 @@ from riskspark.plans.catalog import register
 from riskspark.plans.frames import scored
 from riskspark.session import cut_lineage
 from riskspark.sources.io import table
+from riskspark.streaming import stream as st
 
 FEATURES = ["p_raw", "acc_overdue_ratio", "acc_past_due_mean", "acc_open_ratio", "bal_neg", "nation", "prio"]
 
@@ -97,11 +98,14 @@ def q_ml07(spark, sf):
 
 @register("ml08_grid_search")
 def q_ml08(spark, sf):
-    """ML-08: regParam grid, selection on validation AUC; reports the grid's validation metrics."""
+    """ML-08: three families and their parameters fitted on train, chosen by AUC on the validation split."""
     d, _ = fitted_inputs(spark, sf)
-    m = md.tune(FEATURES, d.where(F.col("split").isin("train", "val")))
-    grid = [float(pm[list(pm)[0]]) for pm in m.getEstimatorParamMaps()]
-    return spark.createDataFrame(list(zip(grid, [float(x) for x in m.validationMetrics])), "reg_param double, val_auc double")
+    train, val = d.where(F.col("split") == "train"), d.where(F.col("split") == "val")
+    n = train.count()  # the penalty of a fit is stated per row
+    grid = {f"logistic C={c}": md.logistic(FEATURES, C=c, n=n) for c in (0.01, 0.1, 1.0)}
+    grid |= {f"tree depth={k}": md.decision_tree(FEATURES, depth=k) for k in (4, 8)}
+    grid |= {f"forest depth={k}": md.random_forest(FEATURES, trees=20, depth=k) for k in (4, 8)}
+    return md.select_on_validation(grid, train, val)[0]
 
 
 @register("exp03_gain_importance")
@@ -134,16 +138,40 @@ def q_cal(spark, sf):
             .withColumn("raw_slope", F.lit(round(slope, 6))).withColumn("raw_intercept", F.lit(round(icpt, 6)))
 
 
+def fitted_scorer(spark, sf):
+    """(rows with absent values, a function that scores a batch or a stream of them): model, medians, calibration and means of train."""
+    d = model_frame(spark, sf)
+    train = d.where(F.col("split") == "train")
+    med = cut_lineage(pr.fit_medians(train, FEATURES))
+    filled = cut_lineage(md.with_class_weight(pr.apply_medians(d, med, FEATURES)))
+    fit = filled.where(F.col("split") == "train")
+    m = md.logistic(FEATURES, n=fit.count()).fit(fit)
+    platt = md.fit_platt(md.prob1(m.transform(filled.where(F.col("split") == "val"))), "p_model")
+    means = cut_lineage(fit.agg(*[F.avg(c).alias(c) for c in FEATURES]))
+    return d, lambda rows: md.score_frame(rows, m, med, FEATURES, platt, means=means)
+
+
+SCORED_COLUMNS = ["id", "split", "p_cal", "band", "reasons"]
+
+
 @register("ml09_batch_scoring")
 def q_ml09(spark, sf):
-    """ML-09: batch scorer (medians, model, Platt calibration, band) over every row; band mix per split."""
-    d, med = fitted_inputs(spark, sf)
-    train = d.where(F.col("split") == "train")
-    m = md.logistic(FEATURES, n=train.count()).fit(train)
-    val = md.prob1(m.transform(d.where(F.col("split") == "val")))
-    platt = md.fit_platt(val, "p_model")
-    s = md.score_frame(d.drop("w"), m, med, FEATURES, platt)
-    return s.groupBy("split", "band").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p_cal"), 6).alias("mean_p"))
+    """ML-09: batch scorer (medians, model, Platt calibration, band, reasons) over every row; per split and band
+    the rows, the mean probability, the rows with a reason and how many different first reasons they have."""
+    d, score = fitted_scorer(spark, sf)
+    first = F.split(F.try_element_at("reasons", F.lit(1)), ":")[0]
+    return score(d).groupBy("split", "band").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p_cal"), 6).alias("mean_p"),
+                                                 F.count(first).alias("with_reason"), F.count_distinct(first).alias("first_reasons"))
+
+
+@register("st03_model_scorer")
+def q_st03_model(spark, sf):
+    """ST-03: the fitted model, its calibration, bands and reasons applied inside a stream of applications, a row each."""
+    d, score = fitted_scorer(spark, sf)
+    src = st.scratch(spark, "st03-src")
+    d.write.parquet(src)
+    out = st.run_to_table(score(st.file_stream(spark, src)).select(*SCORED_COLUMNS), "st03-model", mode="append")
+    return out.withColumn("p_cal", F.round("p_cal", 6))
 
 
 @register("cal06_periodic_recalibration")

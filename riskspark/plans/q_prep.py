@@ -13,6 +13,7 @@ from riskspark.plans.catalog import register
 from riskspark.plans.frames import SCORED_SQL, scored, split_unit_sql
 from riskspark.plans.q_features import fe05_sql
 from riskspark.sources.io import table
+from riskspark.streaming import stream as st
 
 S = f"s AS ({SCORED_SQL})"
 TRAIN_LI = f"{split_unit_sql('l_orderkey')} >= 0.4"
@@ -128,6 +129,38 @@ def q_exp02(spark, sf):
     return r.groupBy("reason_rank", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
+REASON_SQL = CONTRIB_SQL + """,
+codes AS (SELECT * FROM (VALUES """ + ", ".join(f"('{f}', '{c}', '{'increasing' if SCORECARD[f] > 0 else 'decreasing'}')" for f, c, _ in REASONS) + """) t(feature, code, constr)),
+r AS (SELECT u.*, code, constr, CASE WHEN contrib > 1e-9 THEN 'raises' WHEN contrib < -1e-9 THEN 'lowers' ELSE 'none' END AS direction,
+  row_number() OVER (PARTITION BY applicant_id ORDER BY abs(contrib) DESC, feature) AS rk FROM u JOIN codes USING (feature))"""
+SIGNS = {f: 1 if w > 0 else -1 for f, w in SCORECARD.items()}
+
+
+@register("exp02_reason_rows", REASON_SQL + """
+SELECT applicant_id, CAST(rk AS INTEGER) AS reason_rank, feature, code, direction, constr AS "constraint", round(contrib, 6) AS contrib FROM r WHERE rk <= 3""")
+def q_exp02_rows(spark, sf):
+    """EXP-02: three reasons an applicant, strongest first, with direction and the sign the feature is held to."""
+    r = scorecard_frame(spark, sf).select("applicant_id", F.posexplode(ex.reason_list("contribs", 3, REASONS, SIGNS)).alias("i", "r"))
+    return r.select("applicant_id", (F.col("i") + 1).alias("reason_rank"), "r.feature", "r.code", "r.direction", "r.constraint", F.round("r.contrib", 6).alias("contrib"))
+
+
+@register("st03_streaming_reasons", REASON_SQL + """,
+s AS (SELECT applicant_id, sum(contrib) AS score FROM u GROUP BY applicant_id)
+SELECT applicant_id, any_value(band) AS band, round(any_value(score), 6) AS score, string_agg(CASE WHEN rk <= 3 THEN code || ' ' || direction END, '; ' ORDER BY rk) AS reasons
+FROM r JOIN s USING (applicant_id) GROUP BY applicant_id""")
+def q_st03_reasons(spark, sf):
+    """ST-03: scorecard points, band and reasons of each applicant inside a stream; the means are a one-row table."""
+    f = fx.applicant_features(table(spark, sf, "customer"), table(spark, sf, "lineitem"), table(spark, sf, "orders"))
+    src = st.scratch(spark, "st03-reasons-src")
+    f.select("applicant_id", "band", *FEATS).write.parquet(src)
+    means = spark.read.parquet(src).agg(*[F.avg(c).alias(c) for c in FEATS])
+    s = ex.contributions(st.file_stream(spark, src), SCORECARD, means)
+    score = F.aggregate("contribs", F.lit(0.0), lambda a, x: a + x["contrib"])
+    reasons = F.array_join(F.transform(ex.reason_list("contribs", 3, REASONS, SIGNS), lambda r: F.concat_ws(" ", r["code"], r["direction"])), "; ")
+    out = st.run_to_table(s.select("applicant_id", "band", score.alias("score"), reasons.alias("reasons")), "st03-reasons", mode="append")
+    return out.withColumn("score", F.round("score", 6))
+
+
 @register("txt08_adverse_action_draft", CONTRIB_SQL + """,
 codes AS (SELECT * FROM (VALUES """ + ", ".join(f"('{f}', '{c}', '{t}')" for f, c, t in REASONS) + """) t(feature, code, text)),
 r AS (SELECT *, row_number() OVER (PARTITION BY applicant_id ORDER BY abs(contrib) DESC, feature) - 1 AS reason_rank FROM u WHERE contrib > 0)

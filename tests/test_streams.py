@@ -83,3 +83,15 @@ def test_unmatched_decisions_come_out_of_the_stream(spark, tmp_path):
     assert len(out) == len(got)
     assert {i for i, k in got.items() if k is not None} == set(range(0, 60, 10))
     assert {i for i, k in got.items() if k is None} == {i for i in range(5, 60, 10) if i + 10 < mark}
+
+
+def test_model_scorer_in_a_stream_equals_the_batch(spark, sf, tmp_path):
+    from riskspark.plans import q_models as qm
+    d, score = qm.fitted_scorer(spark, sf)
+    d.repartition(4).write.parquet(str(tmp_path / "src"))
+    streamed = score(st.file_stream(spark, str(tmp_path / "src"), max_files=1)).select(*qm.SCORED_COLUMNS)
+    got = {r.id: r for r in st.run_to_table(streamed, "scorer-test").collect()}
+    want = {r.id: r for r in score(d).select(*qm.SCORED_COLUMNS).collect()}
+    assert got == want and len(want) == d.count()
+    assert any(r.reasons for r in want.values()) and all(len(r.reasons) <= 3 for r in want.values())
+    assert all("(+" in x for r in want.values() for x in r.reasons)

@@ -32,13 +32,15 @@ CORRUPT = "_corrupt_record"
 
 def read_csv_permissive(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """DQ-07 at the reader: every line becomes a row; a line that does not fit the schema keeps its
-    text in ``_corrupt_record``.  Pruning is off in the parser, so a line is judged by all its cells
-    whichever columns are read."""
-    return (
+    text in ``_corrupt_record``.  Spark converts only the cells that are read; that column asks for
+    all of them, so a line is judged whole whichever columns are taken beside it."""
+    read = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("escape", "\"").option("columnPruning", False).csv(path)
+        .option("escape", '"').option("columnPruning", False).csv(path)
     )
+    every_cell = F.length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in schema.names])) >= 0
+    return read.withColumn(CORRUPT, F.when(every_cell, F.col(CORRUPT)))
 
 
 def line_fault(n_columns: int, line: str = CORRUPT) -> Column:

@@ -57,17 +57,23 @@ def target_correlation(df: DataFrame, cols: list[str], label: str = "y", thresho
 def target_rate_gap(df: DataFrame, cols: list[str], label: str = "y", threshold: float = RATE_GAP,
                     max_unique: float = RATE_GAP_MAX_UNIQUE, min_support: int = 30) -> DataFrame:
     """LEAK-04: for low-cardinality columns, max − min target rate across values
-    with at least ``min_support`` rows (unpivot once, one groupBy)."""
+    with at least ``min_support`` rows (unpivot once, one groupBy).  ``detail`` tells how many
+    values are rarer, the rows they hold, and whether a rarer one has a rate beyond the threshold
+    from the others': then the check is WARN, not PASS."""
     u = df.select(label, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v")) for c in cols])).alias("u")) \
           .select(label, "u.feature", "u.v")
     g = u.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("rate"))
     f = g.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"),
         F.max(F.when(F.col("n") >= min_support, F.col("rate"))).alias("hi"),
-        F.min(F.when(F.col("n") >= min_support, F.col("rate"))).alias("lo"))
+        F.min(F.when(F.col("n") >= min_support, F.col("rate"))).alias("lo"),
+        F.count_if(F.col("n") < min_support).alias("rare"), F.coalesce(F.sum(F.when(F.col("n") < min_support, F.col("n"))), F.lit(0)).alias("rare_rows"),
+        (F.max("rate") - F.min("rate")).alias("gap_all"))
     f = f.where(F.col("n_values") / F.col("n_rows") <= max_unique)
     gap = F.coalesce(F.col("hi") - F.col("lo"), F.lit(0.0))
-    return f.select(*_finding("target_rate_gap", F.col("feature"), F.when(gap >= threshold, "FAIL").otherwise("PASS"), gap))
+    status = F.when(gap >= threshold, "FAIL").when(F.col("gap_all") >= threshold, "WARN").otherwise("PASS")
+    detail = F.when(F.col("rare") > 0, F.format_string(f"%d values under {min_support} rows hold %d rows", "rare", "rare_rows")).otherwise("")
+    return f.select(*_finding("target_rate_gap", F.col("feature"), status, gap, detail))
 
 
 def categorical_shift(df: DataFrame, cols: list[str], split_col: str, a: str, b: str, threshold: float = SHIFT) -> DataFrame:

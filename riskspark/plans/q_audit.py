@@ -80,9 +80,10 @@ def q_leak03(spark, sf):
 WITH {L}, u AS (SELECT 'grp' AS feature, CAST(grp AS VARCHAR) AS v, y FROM l UNION ALL SELECT 'o_orderpriority', CAST(o_orderpriority AS VARCHAR), y FROM l
   UNION ALL SELECT 'o_orderstatus', CAST(o_orderstatus AS VARCHAR), y FROM l UNION ALL SELECT 'nation', CAST(nation AS VARCHAR), y FROM l),
 g AS (SELECT feature, v, count(*) AS n, avg(y) AS rate FROM u GROUP BY feature, v),
-f AS (SELECT feature, count(*) AS n_values, sum(n) AS n_rows, max(CASE WHEN n >= 30 THEN rate END) AS hi, min(CASE WHEN n >= 30 THEN rate END) AS lo FROM g GROUP BY feature)
-SELECT 'target_rate_gap' AS check_name, feature, CASE WHEN coalesce(hi - lo, 0.0) >= 0.65 THEN 'FAIL' ELSE 'PASS' END AS status,
-  round(coalesce(hi - lo, 0.0), 6) AS value, '' AS detail FROM f WHERE n_values / n_rows <= 0.25""")
+f AS (SELECT feature, count(*) AS n_values, sum(n) AS n_rows, max(CASE WHEN n >= 30 THEN rate END) AS hi, min(CASE WHEN n >= 30 THEN rate END) AS lo,
+  count(*) FILTER (WHERE n < 30) AS rare, coalesce(sum(n) FILTER (WHERE n < 30), 0) AS rare_rows, max(rate) - min(rate) AS gap_all FROM g GROUP BY feature)
+SELECT 'target_rate_gap' AS check_name, feature, CASE WHEN coalesce(hi - lo, 0.0) >= 0.65 THEN 'FAIL' WHEN gap_all >= 0.65 THEN 'WARN' ELSE 'PASS' END AS status,
+  round(coalesce(hi - lo, 0.0), 6) AS value, CASE WHEN rare > 0 THEN rare || ' values under 30 rows hold ' || CAST(rare_rows AS BIGINT) || ' rows' ELSE '' END AS detail FROM f WHERE n_values / n_rows <= 0.25""")
 def q_leak04(spark, sf):
     return au.target_rate_gap(leak_frame(spark, sf), CAT)
 

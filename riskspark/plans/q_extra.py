@@ -213,15 +213,18 @@ def q_pol09(spark, sf):
 
 @register("drift17_model_based_drift")
 def q_drift17(spark, sf):
-    """DRIFT-17: AUC of a logistic classifier telling stressed batches (day >= 14) from the reference
-    (days 1-6), on a held-out half — 0.5 means no joint shift is detectable."""
-    m = q_drift.monitored(spark, sf)
-    d = m.where((F.col("batch_day") <= 6) | (F.col("batch_day") >= 14)).withColumn("side", (F.col("batch_day") >= 14).cast("int")) \
-         .withColumn("half", (X.stable_unit("event_id", ":half") < 0.5).cast("int"))
-    d = cut_lineage(d)
+    """DRIFT-17: AUC, on a held-out half, of a logistic classifier telling the reference (days 1-6) from all
+    later days, for the days after each shift: 0.5 means no joint shift is detectable."""
+    d = q_drift.monitored(spark, sf).withColumn("side", (F.col("batch_day") > q_drift.REF_LAST_DAY).cast("int")) \
+               .withColumn("half", (X.stable_unit("event_id", ":half") < 0.5).cast("int"))
+    d = cut_lineage(d.where(F.col("batch_day").isNotNull()))
     model = md.logistic(q_drift.FEATS, label="side", weight=None, C=1.0, n=d.count()).fit(d.where("half = 1"))
+    starts = [day for day, _ in q_drift.SHIFT]
+    period = F.aggregate(F.array(*[F.lit(s) for s in starts]), F.lit(starts[0]), lambda a, s: F.when(F.col("batch_day") >= s, s).otherwise(a))
     pr = md.prob1(model.transform(d.where("half = 0")))
-    return mx.ranking_metrics(pr, "p_model", "side").select("n", "auc")
+    # reference rows stand on the other side of every period
+    pr = pr.withColumn("from_day", F.explode(F.when(F.col("side") == 0, F.array(*[F.lit(s) for s in starts])).otherwise(F.array(period))))
+    return mx.ranking_metrics(pr, "p_model", "side", ["from_day"]).select("from_day", "n", "auc")
 
 
 @register("fn03_curve_calibration")

@@ -266,14 +266,17 @@ def q_agg11(spark, sf):
     return a.select("n", st).select("feature", "nulls", F.round(F.col("nulls") / F.col("n"), 6).alias("null_share"))
 
 
+PROFILED = ["grp", "nation", "o_orderstatus", "o_orderpriority"]
+
+
 @register("agg12_group_profile", f"""
-WITH {S}, u AS (SELECT 'grp' AS feature, grp AS level, y FROM s UNION ALL SELECT 'o_orderstatus', o_orderstatus, y FROM s)
+WITH {S}, u AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, y FROM s" for c in PROFILED)})
 SELECT feature, level, count(*) AS n, round(count(*) / (SELECT count(*) FROM s), 6) AS share, round(avg(y), 6) AS target_rate
 FROM u GROUP BY feature, level""")
 def q_agg12(spark, sf):
+    """AGG-12: rows, share and target rate of each level of every categorical."""
     s = scored(spark, sf)
-    u = s.select("y", F.explode(F.array(F.struct(F.lit("grp").alias("feature"), F.col("grp").alias("level")),
-                                        F.struct(F.lit("o_orderstatus").alias("feature"), F.col("o_orderstatus").alias("level")))).alias("u")).select("y", "u.*")
+    u = s.select("y", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in PROFILED])).alias("u")).select("y", "u.*")
     g = u.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("y"), 6).alias("target_rate"))
     tot = s.agg(F.count(F.lit(1)).alias("_t")).withColumn("_k", F.lit(1))
     return g.withColumn("_k", F.lit(1)).join(tot, "_k").select("feature", "level", "n", F.round(F.col("n") / F.col("_t"), 6).alias("share"), "target_rate")

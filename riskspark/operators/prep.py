@@ -65,6 +65,22 @@ def apply_scaler(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     return j.drop("_k", *[x for c in cols for x in (f"{c}__mean", f"{c}__std")])
 
 
+def fit_one_hot(train: DataFrame, cols: list[str]) -> DataFrame:
+    """FE-02: one row with the sorted levels of each column in train, an array each (nulls are no level).
+
+    The arrays are as long as a column has levels; no level comes to the driver."""
+    return train.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"{c}__levels") for c in cols])
+
+
+def apply_one_hot(df: DataFrame, levels: DataFrame, cols: list[str]) -> DataFrame:
+    """FE-02: per column an array of 0/1, one place a level; a null or a level that train lacks is all zeros."""
+    j = df.withColumn("_k", F.lit(1)).join(levels.withColumn("_k", F.lit(1)), "_k")
+    for c in cols:
+        value = F.col(c).cast("string")
+        j = j.withColumn(f"{c}_hot", F.transform(f"{c}__levels", lambda v: F.coalesce((value == v).cast("int"), F.lit(0))))
+    return j.drop("_k", *[f"{c}__levels" for c in cols])
+
+
 def fit_woe(train: DataFrame, cols: list[str], label: str = "y", n_bins: int = 10, smooth: float = 0.5) -> DataFrame:
     """FE-03: equal-frequency bins per feature (exact percentiles of train rows),
     per-bin good/bad counts, WOE = ln(dist_good / dist_bad) with ``smooth`` added

@@ -132,6 +132,8 @@ def q_cal(spark, sf):
     base = e.where(F.col("calibrator") == "none").select(F.lit(1).alias("_k"), F.col("ece").alias("ece_before"))
     e = e.withColumn("_k", F.lit(1)).join(base, "_k").drop("_k")
     e = e.withColumn("ece_reduction_pct", F.round(100 * (F.col("ece_before") - F.col("ece")) / F.col("ece_before"), 3))
+    e = e.withColumn("ece_delta", F.round(F.col("ece") - F.col("ece_before"), 6)) \
+         .withColumn("verdict", F.when(F.col("calibrator") != "none", F.when(F.col("ece") < F.col("ece_before"), "IMPROVED").otherwise("NO_IMPROVEMENT")))
     best = e.where(F.col("calibrator") != "none").agg(F.min_by("calibrator", F.struct("ece", "calibrator")).alias("chosen"))
     slope, icpt = md.calibration_slope(test, "p_raw")
     return e.withColumn("_k", F.lit(1)).join(best.withColumn("_k", F.lit(1)), "_k").drop("_k") \

@@ -58,6 +58,17 @@ def q_fe02(spark, sf):
     return z.select("id", F.round("p_raw_z", 6).alias("p_raw_z"), F.round("nation_z", 6).alias("nation_z"))
 
 
+@register("fe02_one_hot", f"""
+WITH {S}, x AS (SELECT id, o_orderstatus, nullif(o_orderpriority, '5-LOW') AS prio, {TRAIN_S} AS tr FROM s),
+lv AS (SELECT list_sort(list(DISTINCT o_orderstatus)) AS ls, list_sort(list(DISTINCT prio) FILTER (WHERE prio IS NOT NULL)) AS lp FROM x WHERE tr AND prio <> '1-URGENT')
+SELECT id, list_transform(ls, lambda v: CAST(coalesce(o_orderstatus = v, false) AS INTEGER)) AS status_hot, list_transform(lp, lambda v: CAST(coalesce(prio = v, false) AS INTEGER)) AS prio_hot FROM x, lv""")
+def q_fe02_hot(spark, sf):
+    """FE-02: one-hot arrays with the levels of train; here train lacks one priority and another is null, both all zeros."""
+    s = sp.row_split(scored(spark, sf), "id").withColumn("prio", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    levels = pr.fit_one_hot(s.where((F.col("split") == "train") & (F.col("prio") != "1-URGENT")), ["o_orderstatus", "prio"])
+    return pr.apply_one_hot(s, levels, ["o_orderstatus", "prio"]).select("id", F.col("o_orderstatus_hot").alias("status_hot"), "prio_hot")
+
+
 WOE_FEATS = ["p_raw", "nation", "noise"]
 WOE_SQL = f"""
 WITH {S}, tr AS (SELECT *, CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':noise'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS noise FROM s WHERE {TRAIN_S}),

@@ -15,8 +15,9 @@ is sent to the tasks as a map of fixed size, by key; of phrases that share a
 place the earliest counts, so a phrase may be counted sooner than it has to be,
 never later and never for less than a whole round.  What has completed its round
 without reaching ``min_count`` leaves the table.  The words of what did reach it
-are looked up at the end, each phrase at the first place where it is found.  Two
-given words, or two given phrases of a language, are one with probability 2^-61.
+are looked up at the end, each phrase in the first part of the shards that has
+it; a row of a shard names the words that its task met there first.  Two given
+words, or two given phrases of a language, are one with probability 2^-61.
 """
 
 from __future__ import annotations
@@ -38,8 +39,11 @@ TABLE = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90
 ROW = 1 << 15
 BUFFER = 1 << 18
 HELD_KEYS = 1 << 20
-#: Texts whose words are named at once.
+#: A shard's rows are in so many parts; most frequent phrases are in one part.
+PARTS = 16
+#: Rows whose new words are read at once, and partitions of the shards that one task reads new words of.
 NAMED_ROWS = 512
+NAMED_PARTITIONS = 8
 #: Words whose hashes a worker remembers at once.
 KNOWN_WORDS = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -56,16 +60,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """64-bit hashes of words, as far as the memory of a worker goes; ``MARK`` is 0."""
+    """64-bit hashes of words, as far as the memory of a worker goes; ``MARK`` is 0.  ``new`` has the words hashed since it was last emptied."""
 
     def __init__(self):
         self[MARK] = 0
+        self.new: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > KNOWN_WORDS:
             self.clear()
             self[MARK] = 0
         self[word] = code = code_of(word)
+        self.new.append(word)
         return code
 
 
@@ -113,12 +119,14 @@ def active(grams: Grams, n: int, places: np.ndarray, after: int) -> tuple[np.nda
 
 
 def coded(batches) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, codes) of many texts of one language each, kept apart by a piece end; a long text is cut where a piece ends, or stays one row."""
+    """Rows (lang, codes, new) of many texts of one language each, kept apart by a piece end; ``new`` are the words hashed since the row before."""
     words = Words()
     held: dict[str, list[int]] = {}
 
     def row(lang: str):
-        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([np.array(held.pop(lang), np.uint64).tobytes()], pa.binary())], names=["lang", "codes"])
+        codes, new = np.array(held.pop(lang), np.uint64).tobytes(), pa.array([words.new], pa.list_(pa.binary()))
+        words.new = []
+        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([codes], pa.binary()), new], names=["lang", "codes", "new"])
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
@@ -184,8 +192,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     spark = docs.sparkSession
     ready_workers(spark)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    dealt = texts.mapInArrow(coded, "lang string, codes binary")
-    dealt = written(dealt.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shard")
+    dealt = texts.mapInArrow(coded, "lang string, codes binary, new array<binary>").withColumn("id", F.monotonically_increasing_id())
+    dealt = written(dealt.select("lang", "codes", "new", F.expr(f"cast(id div {shards} % {PARTS} as int)").alias("part"),
+                                 F.expr(f"cast(id % {shards} as int)").alias("shard")), "shard")
 
     def counter(scan: int, maps: Sent | None):
         def count(batches):
@@ -243,11 +252,11 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         scan += 1
         taken = _taken(counts, max_words - 1, size_log2)
 
-    # the words of each phrase: from the first shard that has it
+    # the words of each phrase: from the first part that has it
     spelled, left = None, counts.where("since is not null").select("key", "c")
-    for shard in range(shards):
+    for rows in [(F.col("shard") == 0) & (F.col("part") == 0), (F.col("shard") == 0) & (F.col("part") > 0), *[F.col("shard") == s for s in range(1, shards)]]:
         sent = Sent(spark, _taken(left.withColumn("since", F.lit(1)), max_words, size_log2))
-        own = dealt.where(F.col("shard") == shard).select("lang", "codes").mapInArrow(_speller(sent, max_words, size_log2), "key long, lang string, codes array<long>")
+        own = dealt.where(rows).select("lang", "codes").mapInArrow(_speller(sent, max_words, size_log2), "key long, lang string, codes array<long>")
         own = written(left.join(own.groupBy("key").agg(F.min(F.struct("lang", "codes")).alias("p")), "key").select("key", "c", "p.lang", "p.codes"))
         sent.broadcast.destroy()
         spelled = own if spelled is None else spelled.unionByName(own)
@@ -257,7 +266,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     spelled = spelled.withColumn("words", F.size("codes"))
     codes = spelled.where("words = 1").select(F.col("codes")[0].alias("key"), F.lit(1).alias("since"))
     sent = Sent(spark, _taken(codes, 8, size_log2))
-    names = texts.select("text").mapInArrow(_namer(sent, size_log2), "code long, word binary").groupBy("code").agg(F.min("word").alias("word"))
+    new = dealt.select("new")
+    new = new.coalesce(-(-new.rdd.getNumPartitions() // NAMED_PARTITIONS) or 1)
+    names = new.mapInArrow(_namer(sent, size_log2), "code long, word binary").groupBy("code").agg(F.min("word").alias("word"))
     parts = spelled.select("key", "lang", "words", "c", F.posexplode("codes").alias("at", "code")).join(names, "code")
     phrases = parts.groupBy("key", "lang", "words", "c").agg(F.array_sort(F.collect_list(F.struct("at", F.col("word").cast("string").alias("word")))).alias("w"))
     phrases = phrases.select("lang", F.array_join(F.col("w.word"), " ").alias("phrase"), "words", F.col("c").alias("n"))
@@ -296,12 +307,7 @@ def _namer(sent: Sent, size_log2: int):
     def name(batches):
         places, done = sent.built(_places, size_log2), set()
         for b in (b.slice(at, NAMED_ROWS) for b in batches for at in range(0, b.num_rows, NAMED_ROWS)):
-            found = set()
-            for text in b.column(0):
-                found.update(tokens(text.as_buffer().to_pybytes()))
-            found -= done
-            found.discard(MARK)
-            found = list(found)
+            found = list(set(b.column(0).flatten().to_pylist()) - done)
             codes = np.array([code_of(w) for w in found], np.uint64)
             keep = np.flatnonzero(since(places, codes) > 0).tolist()
             done.update(found[i] for i in keep)

@@ -8,8 +8,9 @@ so far, and until it has seen every shard once.  Lengths are thus counted side
 by side, and the scans end when no phrase is waiting for a shard.
 
 Texts are cut into words once; the shards hold 64-bit hashes of the words.
-Between scans the counts are a table: (key, occurrences, first scan, the scan at
-whose end the phrase had reached ``min_count``).  A phrase's key is a 64-bit hash
+Between scans the counts are a table: (key, occurrences, mark).  The mark is the
+first scan, or ``REACHED`` plus the number of the scan by whose end the phrase had
+reached ``min_count``.  A phrase's key is a 64-bit hash
 of its language and words.  Which phrases have reached ``min_count``, and when,
 is sent to the tasks as a map of fixed size, by key; of phrases that share a
 place the earliest counts, so a phrase may be counted sooner than it has to be,
@@ -41,9 +42,12 @@ BUFFER = 1 << 18
 HELD_KEYS = 1 << 20
 #: A shard's rows are in so many parts; most frequent phrases are in one part.
 PARTS = 16
-#: Rows whose new words are read at once, and partitions of the shards that one task reads new words of.
+#: Rows whose new words are read at once, and partitions of the shards that one task reads new words of; one task in so many is read first.
 NAMED_ROWS = 512
 NAMED_PARTITIONS = 8
+NAMED_FIRST = 64
+#: Added to a scan's number in a mark; there are at most 100 scans.
+REACHED = 128
 #: Words whose hashes a worker remembers at once.
 KNOWN_WORDS = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -167,8 +171,8 @@ def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 def _taken(counts: DataFrame, max_words: int, size_log2: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, scans) of the phrases of at most ``max_words`` words that have reached the threshold: one of 2^size_log2 places each, the earliest scan of a place."""
-    rows = counts.where(F.col("since").isNotNull() & (F.col("key").bitwiseAND(F.lit(7)) <= F.lit(max_words)))
-    rows = rows.groupBy(F.col("key").bitwiseAND(F.lit((1 << size_log2) - 1)).cast("int").alias("place")).agg(F.min("since").cast("byte").alias("since")).toArrow()
+    rows = counts.where((F.col("mark") > REACHED) & (F.col("key").bitwiseAND(F.lit(7)) <= F.lit(max_words)))
+    rows = rows.groupBy(F.col("key").bitwiseAND(F.lit((1 << size_log2) - 1)).cast("int").alias("place")).agg((F.min("mark") - REACHED).cast("byte").alias("since")).toArrow()
     return rows.column("place").to_numpy(), rows.column("since").to_numpy().astype(np.uint8)
 
 
@@ -193,8 +197,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     ready_workers(spark)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     dealt = texts.mapInArrow(coded, "lang string, codes binary, new array<binary>").withColumn("id", F.monotonically_increasing_id())
-    dealt = written(dealt.select("lang", "codes", "new", F.expr(f"cast(id div {shards} % {PARTS} as int)").alias("part"),
-                                 F.expr(f"cast(id % {shards} as int)").alias("shard")), "shard")
+    dealt = written(dealt.select("lang", "codes", "new", F.shiftright("id", 33).alias("task"), F.expr(f"cast(id div {shards} % {PARTS} as int)").alias("part"),
+                                 F.expr(f"cast(id % {shards} as int)").alias("shard")), "shard", compression="zstd")
 
     def counter(scan: int, maps: Sent | None):
         def count(batches):
@@ -206,7 +210,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                 parts.clear()
                 for s in range(0, len(keys), 1 << 16):
                     e = s + (1 << 16)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[s:e].view(np.int64)), pa.array(n[s:e]), pa.array(began[s:e].astype(np.int8))], names=["key", "c", "began"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[s:e].view(np.int64)), pa.array(n[s:e]), pa.array(began[s:e].astype(np.int16))], names=["key", "c", "mark"])
 
             def add(keys: np.ndarray, began: np.ndarray) -> int:
                 keys, first, times = np.unique(keys, return_index=True, return_counts=True)
@@ -237,13 +241,13 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     counts, scan, taken = None, 0, None
     while scan < shards or (taken[1] > scan - shards).any():
         maps = Sent(spark, taken) if scan else None
-        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "codes").mapInArrow(counter(scan, maps), "key long, c long, began byte")
-        rows = rows.withColumn("since", F.lit(None).cast("byte"))
+        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "codes").mapInArrow(counter(scan, maps), "key long, c long, mark short")
         if counts is not None:
             rows = rows.unionByName(counts)
-        rows = rows.groupBy("key").agg(F.sum("c").alias("c"), F.max("began").alias("began"), F.max("since").alias("since"))
-        rows = rows.withColumn("since", F.coalesce("since", F.when(F.col("c") >= min_count, F.lit(scan + 1).cast("byte"))))
-        last, counts = counts, written(rows.where(F.col("since").isNotNull() | (F.col("began") + shards - 1 > scan)))
+        rows = rows.groupBy("key").agg(F.sum("c").alias("c"), F.max("mark").alias("mark"))
+        reached = F.when((F.col("mark") < REACHED) & (F.col("c") >= min_count), REACHED + scan + 1).otherwise(F.col("mark"))
+        rows = rows.withColumn("mark", reached.cast("short"))
+        last, counts = counts, written(rows.where((F.col("mark") > REACHED) | (F.col("mark") + shards - 1 > scan)))
         # nothing reads these again: what they led to is written
         if last is not None:
             discard(last)
@@ -253,9 +257,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         taken = _taken(counts, max_words - 1, size_log2)
 
     # the words of each phrase: from the first part that has it
-    spelled, left = None, counts.where("since is not null").select("key", "c")
+    spelled, left = None, counts.where(F.col("mark") > REACHED).select("key", "c")
     for rows in [(F.col("shard") == 0) & (F.col("part") == 0), (F.col("shard") == 0) & (F.col("part") > 0), *[F.col("shard") == s for s in range(1, shards)]]:
-        sent = Sent(spark, _taken(left.withColumn("since", F.lit(1)), max_words, size_log2))
+        sent = Sent(spark, _taken(left.withColumn("mark", F.lit(REACHED + 1)), max_words, size_log2))
         own = dealt.where(rows).select("lang", "codes").mapInArrow(_speller(sent, max_words, size_log2), "key long, lang string, codes array<long>")
         own = written(left.join(own.groupBy("key").agg(F.min(F.struct("lang", "codes")).alias("p")), "key").select("key", "c", "p.lang", "p.codes"))
         sent.broadcast.destroy()
@@ -264,11 +268,16 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         if left.isEmpty():
             break
     spelled = spelled.withColumn("words", F.size("codes"))
-    codes = spelled.where("words = 1").select(F.col("codes")[0].alias("key"), F.lit(1).alias("since"))
-    sent = Sent(spark, _taken(codes, 8, size_log2))
-    new = dealt.select("new")
-    new = new.coalesce(-(-new.rdd.getNumPartitions() // NAMED_PARTITIONS) or 1)
-    names = new.mapInArrow(_namer(sent, size_log2), "code long, word binary").groupBy("code").agg(F.min("word").alias("word"))
+    names, left = None, written(spelled.where("words = 1").select(F.col("codes")[0].alias("code")).distinct())
+    for rows in (F.col("task") % NAMED_FIRST == 0, F.col("task") % NAMED_FIRST > 0):
+        sent = Sent(spark, _taken(left.select(F.col("code").alias("key"), F.lit(REACHED + 1).alias("mark")), 8, size_log2))
+        new = dealt.where(rows).select("new")
+        new = new.coalesce(-(-new.rdd.getNumPartitions() // NAMED_PARTITIONS) or 1)
+        own = new.mapInArrow(_namer(sent, size_log2), "code long, word binary").groupBy("code").agg(F.min("word").alias("word"))
+        own = written(own.join(left, "code", "left_semi"))
+        sent.broadcast.destroy()
+        names = own if names is None else names.unionByName(own)
+        left = left.join(own, "code", "left_anti")
     parts = spelled.select("key", "lang", "words", "c", F.posexplode("codes").alias("at", "code")).join(names, "code")
     phrases = parts.groupBy("key", "lang", "words", "c").agg(F.array_sort(F.collect_list(F.struct("at", F.col("word").cast("string").alias("word")))).alias("w"))
     phrases = phrases.select("lang", F.array_join(F.col("w.word"), " ").alias("phrase"), "words", F.col("c").alias("n"))

@@ -49,17 +49,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, *partition_by: str) -> DataFrame:
+def written(df: DataFrame, *partition_by: str, compression: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read back.
 
     Cuts the lineage at a copy every executor can reach, so a lost executor
     costs only its own tasks.  The folder goes when the application ends.
-    ``partition_by`` columns become folders, which a filter on them selects.
+    ``partition_by`` columns become folders, which a filter on them selects;
+    ``compression`` is that of the session if none is given.
     """
     spark = df.sparkSession
     ready_workers(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path, compression=compression)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(conf).deleteOnExit(folder)

@@ -40,7 +40,7 @@ SELECT qid AS item_id, CAST(row_number() OVER (PARTITION BY qid ORDER BY score D
 FROM fu QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) <= {FUSED_K}""")
 def q_hybrid(spark, sf):
     """TXT-09: BM25 over documents and cosine over the vectors of the same ids, fused by reciprocal ranks, for every benchmark item."""
-    sparse = cut_lineage(scores(spark, sf, bench_queries(spark, sf))).groupBy("qid", "doc_id").agg(F.max(F.round("score", 9)).alias("score"))
+    sparse = cut_lineage(scores(spark, sf, bench_queries(spark, sf), best=DENSE_K, by=["doc_id"]))
     sparse = tx.top_k(sparse, "qid", ["doc_id"], DENSE_K).select("qid", F.col("doc_id").alias("id"), "rank")
     vectors = table(spark, sf, "embeddings")
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("vec_id"), F.lit(True).alias("asked")).distinct()

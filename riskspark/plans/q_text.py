@@ -40,28 +40,27 @@ BENCH_Q = "SELECT item_id AS qid, text FROM benchmark"
 
 
 def index(spark, sf):
-    """(postings, vocabulary) of the documents; the postings feed the vocabulary and the query joins, so
-    they are written once to the shared folder."""
-    post = cut_lineage(tx.postings(tx.word_windows(table(spark, sf, "documents")), KEYS))
-    return post, tx.vocabulary(post, KEYS)
+    """(postings, vocabulary) of the documents."""
+    post = tx.postings(table(spark, sf, "documents"))
+    return post, tx.vocabulary(post)
 
 
 def bench_queries(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
 
 
-def scores(spark, sf, queries):
+def scores(spark, sf, queries, best=None, by=None):
     post, terms = index(spark, sf)
-    return tx.bm25_scores(tx.query_tokens(queries, "qid"), post, terms, "qid", KEYS)
+    return tx.bm25_scores(tx.query_tokens(queries, "qid"), post, terms, "qid", KEYS, best, by)
 
 
 def ranked(spark, sf, queries):
-    # the exact top-k reads the scores twice (bound, then ranking): written once
-    return tx.top_k(cut_lineage(scores(spark, sf, queries)), "qid", KEYS, K)
+    # the exact top-k reads the blocks' best twice (bound, then ranking): written once
+    return tx.top_k(cut_lineage(scores(spark, sf, queries, best=K)), "qid", KEYS, K)
 
 
 def best_scores(spark, sf, queries):
-    return scores(spark, sf, queries).groupBy("qid").agg(F.max("score").alias("best"))
+    return scores(spark, sf, queries, best=1, by=[]).groupBy("qid").agg(F.max("score").alias("best"))
 
 
 def chunk_sql(sep: str) -> str:

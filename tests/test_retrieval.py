@@ -75,3 +75,50 @@ def test_isotonic_pools(spark):
             want[g] = plain([(x, t, w) for x, (t, w) in sorted(sums.items())])
         assert got == want
     assert isotonic_pools(df.limit(0), "g", "x", F.col("y"), F.lit(1.0)).collect() == []
+
+
+def test_bm25_blocks_against_plain_scores(spark, monkeypatch):
+    """Few rows come out of the blocks, every query's best among them; documents of one id share their windows."""
+    from riskspark.operators import text as tx
+    monkeypatch.setattr(tx, "LEAST_WINDOWS", 16)
+    monkeypatch.setattr(tx, "BLOCK_QUERIES", 4)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(rng.choice(words[: 20 + i % 40]) for _ in range(rng.randrange(0, 400)))) for i in range(120)]
+    docs += [(7, "w1 w2 w3"), (7, None), (None, "w1 w1 w9"), (None, "w1 w8 w9"), (9, docs[9][1])]
+    asked = [(q, " ".join(rng.choice(words) for _ in range(6))) for q in range(10)] + [(3, "w1 w1"), (None, "w2"), (98, "none of them"), (99, None)]
+    post = tx.postings(spark.createDataFrame(docs, "doc_id long, text string"))
+    terms = tx.vocabulary(post)
+    qt = tx.query_tokens(spark.createDataFrame(asked, "qid long, text string"), "qid")
+    # by hand: windows of (doc_id, start, length) hold counts, scores are summed by (doc_id, start)
+    tf, lengths = {}, {}
+    for d, text in docs:
+        t = (text or "").split()
+        for start in range(0, max(-(-(len(t) - 120) // 95), 0) * 95 + 1, 95):
+            w = t[start:start + 120]
+            lengths[d, start] = max(lengths.get((d, start), 0), len(w))
+            for x in w:
+                tf[d, start, len(w), x] = tf.get((d, start, len(w), x), 0) + 1
+    n, avgdl, df = len(lengths), sum(lengths.values()) / len(lengths), {}
+    for *_, x in tf:
+        df[x] = df.get(x, 0) + 1
+    raw = {x: float(np.log((n - c + 0.5) / (c + 0.5))) if n - c + 0.5 > 0 else None for x, c in df.items()}
+    known = [v for v in raw.values() if v is not None]
+    idf = {x: 0.25 * sum(known) / len(known) if v < 0 else v for x, v in raw.items() if v is not None}
+    assert {r.token: (r.df, round(r.idf, 9)) for r in terms.collect()} == {x: (df[x], round(v, 9)) for x, v in idf.items()}
+    want = {}
+    for q, text in asked:
+        for x in (text or "").split():
+            for (d, start, dl, y), c in tf.items():
+                if x == y:
+                    want[q, d, start] = want.get((q, d, start), 0.0) + idf[x] * c * 2.5 / (c + 1.5 * (0.25 + 0.75 * dl / avgdl))
+    every = {(r.qid, r.doc_id, r.start): r.score for r in tx.bm25_scores(qt, post, terms, "qid", ["doc_id", "start"]).collect()}
+    assert every.keys() == want.keys() and all(abs(every[k] - want[k]) < 1e-9 for k in want)
+    few = tx.bm25_scores(qt, post, terms, "qid", ["doc_id", "start"], best=3).cache()
+    blocks = -(-n // 16)
+    assert few.count() <= 12 * 3 * blocks < len(want)
+    top = {(r.qid, r.doc_id, r.start) for r in tx.top_k(few, "qid", ["doc_id", "start"], 3).collect()}
+    first = lambda v: (v[1] is not None, v[1] or 0, v[2])
+    assert top == {k for q in {a for a, _, _ in want} for k in sorted((k for k in want if k[0] == q), key=lambda k: (-round(want[k], 9), first(k)))[:3]}
+    best = {r.qid: r.score for r in tx.bm25_scores(qt, post, terms, "qid", ["doc_id", "start"], best=1, by=[]).groupBy("qid").agg(F.max("score").alias("score")).collect()}
+    assert all(abs(best[q] - max(v for k, v in want.items() if k[0] == q)) < 1e-9 for q in best) and best.keys() == {k[0] for k in want}

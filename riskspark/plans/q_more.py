@@ -75,9 +75,7 @@ r AS (SELECT b, feature, row_number() OVER (PARTITION BY b ORDER BY m DESC, feat
 SELECT feature, round(avg(CAST(rk <= 2 AS INTEGER)), 6) AS top2_presence FROM r GROUP BY feature""")
 def q_win16(spark, sf):
     """WIN-16: presence rate of each feature in the top 2 by mean |contribution| over 30 bootstrap replicates."""
-    e = scorecard_frame(spark, sf).select(mx.poisson_weights("applicant_id", 30).alias("w"), F.explode("contribs").alias("c")).select("w", "c.feature", F.abs("c.contrib").alias("a"))
-    means = F.array(*[F.sum(F.col("w")[b] * F.col("a")) / F.sum(F.col("w")[b]) for b in range(30)])
-    m = e.groupBy("feature").agg(means.alias("m")).select("feature", F.posexplode("m").alias("b", "m"))
+    m = mx.bootstrap_means(scorecard_frame(spark, sf), "applicant_id", F.transform("contribs", lambda c: F.struct(c["feature"].alias("feature"), F.abs(c["contrib"]).alias("v"))), 30)
     r = m.withColumn("rk", F.row_number().over(Window.partitionBy("b").orderBy(F.col("m").desc(), "feature")))  # features-sized per replicate
     return r.groupBy("feature").agg(F.round(F.avg((F.col("rk") <= 2).cast("int")), 6).alias("top2_presence"))
 

@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,9 +88,36 @@ def dense_top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec
     # k vectors and the query's own row
     reach = cut_lineage(reach.withColumn("first", before < k + 1))
 
+    kind = vectors.schema[id_col].dataType.simpleString()
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def nearest_of(found: pa.Table, asked: pa.Table) -> pa.Table:
+        """The k nearest of a block's vectors to each query that looks there; ties by id."""
+        at, hits, scores = [], [], []
+        if found.num_rows and asked.num_rows:
+            found = found.take(pc.sort_indices(found, sort_keys=[("id", "ascending")]))
+            ids = pc.unique(found["id"].combine_chunks())
+            own, asking = (pc.fill_null(pc.index_in(x.combine_chunks(), value_set=ids), -1).to_numpy(zero_copy_only=False) for x in (found["id"], asked["query_id"]))
+            u, q = (x.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1) for x in (found["u"], asked["q"]))
+            for lo in range(0, len(q), 256):
+                cosines = q[lo:lo + 256] @ u.T
+                cosines[asking[lo:lo + 256, None] == own[None, :]] = -np.inf
+                for i, c in enumerate(cosines, lo):
+                    r = np.round(c, 9)
+                    able = np.flatnonzero((r > -np.inf) & (r >= np.partition(r, max(len(r) - k, 0))[max(len(r) - k, 0)]))
+                    able = able[np.lexsort((able, -r[able]))[:k]]
+                    at.append(np.full(len(able), i))
+                    hits.append(able)
+                    scores.append(c[able])
+        at, hits, scores = (np.concatenate(x).astype(t) if x else np.zeros(0, t) for x, t in ((at, int), (hits, int), (scores, float)))
+        return pa.table([asked["query_id"].take(pa.array(at)), found["id"].take(pa.array(hits)), pa.array(scores)], names=["query_id", "id", "score"])
+
     def scored(pairs: DataFrame) -> DataFrame:
-        met = pairs.select("query_id", *key).join(asks.select("query_id", "q"), "query_id").join(v.select(*key, "id", "u"), key).where("id <> query_id")
-        return met.select("query_id", "id", F.round(_dot(F.col("q"), F.col("u")), 9).alias("score"))
+        """Of each (query, block) the k nearest vectors: a task multiplies a block by the queries that look there."""
+        looks = pairs.select("query_id", *key).join(asks.select("query_id", "q"), "query_id").repartition(tasks, *key)
+        members = v.where("id IS NOT NULL").select(*key, "id", "u").repartition(tasks, *key)
+        met = members.groupBy(*key).cogroup(looks.groupBy(*key)).applyInArrow(nearest_of, f"query_id {kind}, id {kind}, score double")
+        return met.select("query_id", "id", F.round("score", 9).alias("score"))
 
     order = [F.desc("score"), F.asc("id")]
     head = cut_lineage(top_n_per_key(scored(reach.where("first")), "query_id", order, k, tiebreak=["id"]))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.session import cut_lineage
 
 # Default costs (missed default, wrongly rejected good, manual review).
 C_BAD, C_REJECT, C_REVIEW = 10.0, 1.0, 0.3
@@ -158,17 +159,22 @@ def sha(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def chain(log: DataFrame, content: str, group: str, key: str, width: int = 65536) -> DataFrame:
-    """POL-15: ``chain_hash`` links each row to the content hash of its predecessor (by ``key``) in its group.
-
-    A group is split into ranges of ``width`` keys, ordered like the keys: inside a range the
-    predecessor comes from a window, for a range's first row from the range table (one row a range)."""
-    r = log.withColumn("_range", F.floor(F.col(key) / F.lit(width)))
-    ends = r.groupBy(group, "_range").agg(F.max_by(content, key).alias("_last"))
-    ends = ends.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.lag("_last").over(Window.partitionBy(group).orderBy("_range")).alias("_before"))
-    j = r.join(ends, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
-    prev = F.coalesce(F.lag(content).over(Window.partitionBy(group, "_range").orderBy(key)), F.col("_before"), F.lit(""))
-    return j.withColumn("chain_hash", F.sha2(F.concat(F.col(content), prev), 256)).drop("_range", "_g", "_r", "_before")
+def chain(log: DataFrame, contents: dict[str, str], group: str, key: str, width: int = 65536) -> DataFrame:
+    """POL-15: for each content hash (``contents``: its column, the new column's name) a column that links every
+    row to the hash of its predecessor (by ``key``) in its group.  Rows without a key are in no chain.
+
+    A group is split into ranges of ``width`` keys, ordered like the keys: inside a range the predecessor
+    comes from a window; only a range's first row is joined to the last of the range before.  All contents are
+    chained in one pass, and rows are shuffled and written once: give ``log`` with the columns that are wanted."""
+    w = Window.partitionBy(group, "_range").orderBy(key)
+    r = log.where(F.col(key).isNotNull()).withColumn("_range", F.floor(F.col(key) / F.lit(width)))
+    r = cut_lineage(r.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in contents} | {"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(1)).over(w).isNull()}))
+    ranges = Window.partitionBy(group).orderBy("_range")
+    ends = r.where("_last").select(F.col(group).alias("_g"), F.col("_range").alias("_r"), *[F.lag(c).over(ranges).alias(f"_before_{c}") for c in contents])
+    first = r.where("_first").drop(*[f"_prev_{c}" for c in contents]).join(ends, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+    first = first.withColumnsRenamed({f"_before_{c}": f"_prev_{c}" for c in contents}).drop("_g", "_r")
+    links = {name: F.sha2(F.concat(F.col(c), F.coalesce(f"_prev_{c}", F.lit(""))), 256) for c, name in contents.items()}
+    return r.where("not _first").unionByName(first).withColumns(links).drop("_range", "_first", "_last", *[f"_prev_{c}" for c in contents])
 
 
 def composite_score(weights: dict[str, float]) -> Column:

@@ -229,8 +229,7 @@ def hashes(d):
 def audit_log(spark, sf):
     d = decision_rows(spark, sf)
     inp, out, tamper = hashes(d)
-    d = d.withColumn("input_hash", inp).withColumn("output_hash", out).withColumn("tamper_check", tamper)
-    return po.chain(d, "tamper_check", "day", "id")
+    return d.withColumn("input_hash", inp).withColumn("output_hash", out).withColumn("tamper_check", tamper)
 
 
 @register("pol15_audit_hash_chain", AUDIT_SQL + """
@@ -238,7 +237,9 @@ SELECT id, strftime(day, '%Y-%m-%d') AS day, input_hash, output_hash, tamper_che
 def q_pol15(spark, sf):
     """POL-15: tamper-evident log: input, output and combined hash of each decision, and a chain hash that
     links it to its predecessor's combined hash inside its day."""
-    return audit_log(spark, sf).select("id", F.date_format("day", "yyyy-MM-dd").alias("day"), "input_hash", "output_hash", "tamper_check", "chain_hash")
+    log = audit_log(spark, sf).select("id", "day", "input_hash", "output_hash", "tamper_check")
+    log = po.chain(log, {"tamper_check": "chain_hash"}, "day", "id")
+    return log.select("id", F.date_format("day", "yyyy-MM-dd").alias("day"), "input_hash", "output_hash", "tamper_check", "chain_hash")
 
 
 @register("pol15_verify_log", AUDIT_SQL + """,
@@ -253,7 +254,8 @@ def q_pol15v(spark, sf):
     edit = (F.col("decision") == "REVIEW") & (F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(":edit"))), 1, 1) == "0")
     stored = log.withColumn("decision", F.when(edit, "APPROVE").otherwise(F.col("decision"))).withColumnRenamed("chain_hash", "stored_chain")
     _, _, tamper = hashes(stored)
-    v = po.chain(stored.withColumn("fresh", tamper), "fresh", "day", "id")
+    both = stored.select("id", "day", "tamper_check", tamper.alias("fresh"))
+    v = po.chain(both, {"tamper_check": "stored_chain", "fresh": "chain_hash"}, "day", "id")
     return v.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("fresh") != F.col("tamper_check")).alias("content_mismatches"),
         F.count_if(F.col("chain_hash") != F.col("stored_chain")).alias("chain_mismatches"))

@@ -227,6 +227,7 @@ def hashes(d):
 
 
 def audit_log(spark, sf):
+    """The decision rows with their hashes, not yet chained."""
     d = decision_rows(spark, sf)
     inp, out, tamper = hashes(d)
     return d.withColumn("input_hash", inp).withColumn("output_hash", out).withColumn("tamper_check", tamper)
@@ -252,7 +253,7 @@ def q_pol15v(spark, sf):
     the stored fields find each edited row, the chain finds it and its successor."""
     log = audit_log(spark, sf)
     edit = (F.col("decision") == "REVIEW") & (F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(":edit"))), 1, 1) == "0")
-    stored = log.withColumn("decision", F.when(edit, "APPROVE").otherwise(F.col("decision"))).withColumnRenamed("chain_hash", "stored_chain")
+    stored = log.withColumn("decision", F.when(edit, "APPROVE").otherwise(F.col("decision")))
     _, _, tamper = hashes(stored)
     both = stored.select("id", "day", "tamper_check", tamper.alias("fresh"))
     v = po.chain(both, {"tamper_check": "stored_chain", "fresh": "chain_hash"}, "day", "id")

@@ -162,7 +162,7 @@ def test_no_python_in_the_plan(spark, sf, name):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_oracle(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     df = Q.QUERIES[name](spark, sf)
     cols = sorted(df.columns)

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,20 +37,21 @@ from riskspark.llm.common import Sent, discard, ready_workers, written
 #: The contract's piece ends, and A-Z to a-z; a piece end becomes a token of its own, which no word can be.
 MARK = b"."
 TABLE = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: Tokens in a row of a shard, tokens whose phrases are counted at once, and keys a task holds before it passes them on.
-ROW = 1 << 15
+IN_WORD = np.array([c not in b" \t" + MARK for c in range(256)])
+#: Bytes of text in a row of a shard, tokens whose phrases are looked up at once, keys that are counted at once, and counted keys a task holds before it passes them on.
+ROW_BYTES = 1 << 18
 BUFFER = 1 << 18
+RAW_KEYS = 1 << 21
 HELD_KEYS = 1 << 20
 #: A shard's rows are in so many parts; most frequent phrases are in one part.
 PARTS = 16
-#: Rows whose new words are read at once, and partitions of the shards that one task reads new words of; one task in so many is read first.
-NAMED_ROWS = 512
+#: Partitions of the shards that one task reads new words of; one task in so many is read first.
 NAMED_PARTITIONS = 8
 NAMED_FIRST = 64
 #: Added to a scan's number in a mark; there are at most 100 scans.
 REACHED = 128
-#: Words whose hashes a worker remembers at once.
-KNOWN_WORDS = 1 << 17
+#: Words a task remembers having met, at most.
+KNOWN_WORDS = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,29 +61,59 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * MIX
-    return x ^ (x >> np.uint64(29))
+    y = x >> np.uint64(32)
+    y ^= x
+    y *= MIX
+    y ^= y >> np.uint64(29)
+    return y
 
 
-class Words(dict):
-    """64-bit hashes of words, as far as the memory of a worker goes; ``MARK`` is 0.  ``new`` has the words hashed since it was last emptied."""
+class Words:
+    """64-bit hashes of words; ``MARK`` is 0.  ``new`` has the words met since it was last emptied, as far as ``seen`` remembers those met before, ``low`` the lower halves of their hashes."""
 
     def __init__(self):
-        self[MARK] = 0
+        self.seen = np.zeros(KNOWN_WORDS, np.uint64)
         self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > KNOWN_WORDS:
-            self.clear()
-            self[MARK] = 0
-        self[word] = code = code_of(word)
-        self.new.append(word)
-        return code
-
-
-def code_of(word: bytes) -> int:
-    """64-bit hash of a word; 0 is a piece end."""
-    return xxhash.xxh64_intdigest(word) or 1
+        self.low: list[np.ndarray] = []
+
+    def __getitem__(self, word: bytes) -> int:
+        return 0 if word == MARK else int(self.codes([word])[0])
+
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """The hashes of different words."""
+        codes = codes_of(words)
+        # a word is remembered until another takes its place
+        place = (codes % np.uint64(KNOWN_WORDS)).view(np.int64)
+        new = np.flatnonzero(self.seen[place] != codes)
+        self.seen[place[new]] = codes[new]
+        self.new += [words[i] for i in new.tolist()]
+        self.low.append(codes[new].astype(np.uint32))
+        return codes
+
+
+def codes_of(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; 0 is a piece end."""
+    codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    codes[codes == 0] = 1
+    return codes
+
+
+def hashed(texts: list[bytes], words: Words) -> np.ndarray:
+    """The hashes of the ``tokens`` of several texts, with a piece end after each; a word is hashed once."""
+    text = np.frombuffer(MARK.join([*texts, b""]).translate(TABLE), np.uint8)
+    inside = IN_WORD[text]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    offsets = np.zeros(len(edges) // 2 + 1, np.int64)
+    np.cumsum(edges[1::2] - edges[::2], out=offsets[1:])
+    found = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])]).dictionary_encode()
+    # no word holds a space
+    own = pc.binary_join(pa.LargeListArray.from_arrays([0, len(found.dictionary)], found.dictionary.cast(pa.binary())), b" ")[0].as_py().split()
+    first = text == MARK[0]
+    first[edges[::2]] = True
+    first = text[first] != MARK[0]
+    codes = np.zeros(len(first), np.uint64)
+    codes[first] = words.codes(own)[found.indices.to_numpy()]
+    return codes
 
 
 class Grams:
@@ -93,12 +125,14 @@ class Grams:
         # an id of the language starts every key
         self.chain = [_mixed(codes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1)))]
 
-    def keys(self, n: int) -> np.ndarray:
+    def keys(self, n: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
         while len(self.chain) < n:
             last, k = self.chain[-1], len(self.chain)
             self.chain.append(_mixed(last[:len(last) - 1] * MIX + self.codes[k:]) if len(last) > 1 else last[:0])
         # the low three bits of a key are the phrase's length
-        return self.chain[n - 1] & ~np.uint64(7) | np.uint64(n)
+        out = self.chain[n - 1][at] & ~np.uint64(7)
+        out |= np.uint64(n)
+        return out
 
     def valid(self, n: int) -> np.ndarray:
         while len(self.fine) < n:
@@ -109,7 +143,7 @@ class Grams:
 
 def since(places: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """The scan after which each key's place was taken; 0 where it is free."""
-    return places[(keys & np.uint64(len(places) - 1)).astype(np.int64)]
+    return places[(keys & np.uint64(len(places) - 1)).view(np.int64)]
 
 
 def active(grams: Grams, n: int, places: np.ndarray, after: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,21 +157,29 @@ def active(grams: Grams, n: int, places: np.ndarray, after: int) -> tuple[np.nda
 
 
 def coded(batches) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, codes, new) of many texts of one language each, kept apart by a piece end; ``new`` are the words hashed since the row before."""
+    """Rows (lang, codes, size, new, low) of many texts of one language each, kept apart by a piece end.
+
+    ``size`` counts the words, ``new`` are the words hashed since the row before,
+    between spaces, and ``low`` the lower halves of their hashes.
+    """
     words = Words()
-    held: dict[str, list[int]] = {}
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
 
     def row(lang: str):
-        codes, new = np.array(held.pop(lang), np.uint64).tobytes(), pa.array([words.new], pa.list_(pa.binary()))
-        words.new = []
-        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([codes], pa.binary()), new], names=["lang", "codes", "new"])
+        codes = hashed(held.pop(lang), words)
+        new, low = b" ".join(words.new), np.concatenate(words.low)
+        words.new, words.low = [], []
+        del sizes[lang]
+        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([int(np.count_nonzero(codes))], pa.int64()),
+                                           pa.array([new], pa.binary()), pa.array([low.tobytes()], pa.binary())], names=["lang", "codes", "size", "new", "low"])
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-            run = held.setdefault(lang, [])
-            run += [words[w] for w in tokens(text.as_buffer().to_pybytes())]
-            run.append(0)
-            if len(run) > ROW:
+            own = text.as_buffer().to_pybytes()
+            held.setdefault(lang, []).append(own)
+            sizes[lang] = sizes.get(lang, 0) + len(own) + 1
+            if sizes[lang] > ROW_BYTES:
                 yield row(lang)
     for lang in list(held):
         yield row(lang)
@@ -158,15 +200,15 @@ def runs(batches) -> Iterator[tuple[str, np.ndarray]]:
         yield lang, np.concatenate(held.pop(lang))
 
 
-def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """(keys, occurrences, first scans) of several such triples as one."""
-    keys, times, began = (np.concatenate([p[c] for p in parts]) for c in range(3))
-    order = np.argsort(keys, kind="stable")
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, occurrences) of several such pairs as one."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, times = (np.concatenate([p[c] for p in parts]) for c in range(2))
+    order = np.argsort(keys)
     keys = keys[order]
-    if not len(keys):
-        return keys, times, began
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(times[order], first), began[order[first]]
+    return keys[first], np.add.reduceat(times[order], first)
 
 
 def _taken(counts: DataFrame, max_words: int, size_log2: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,6 +218,11 @@ def _taken(counts: DataFrame, max_words: int, size_log2: int) -> tuple[np.ndarra
     return rows.column("place").to_numpy(), rows.column("since").to_numpy().astype(np.uint8)
 
 
+def _lengths(places: np.ndarray) -> list[int]:
+    """The lengths of the phrases of some places, which are low bits of keys."""
+    return np.unique(places & 7).tolist()
+
+
 def _places(taken: tuple[np.ndarray, np.ndarray], size_log2: int) -> np.ndarray:
     out = np.zeros(1 << size_log2, np.uint8)
     out[taken[0]] = taken[1]
@@ -196,55 +243,66 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     spark = docs.sparkSession
     ready_workers(spark)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    dealt = texts.mapInArrow(coded, "lang string, codes binary, new array<binary>").withColumn("id", F.monotonically_increasing_id())
-    dealt = written(dealt.select("lang", "codes", "new", F.shiftright("id", 33).alias("task"), F.expr(f"cast(id div {shards} % {PARTS} as int)").alias("part"),
+    dealt = texts.mapInArrow(coded, "lang string, codes binary, size long, new binary, low binary").withColumn("id", F.monotonically_increasing_id())
+    dealt = written(dealt.select("lang", "codes", "size", "new", "low", F.shiftright("id", 33).alias("task"), F.expr(f"cast(id div {shards} % {PARTS} as int)").alias("part"),
                                  F.expr(f"cast(id % {shards} as int)").alias("shard")), "shard", compression="zstd")
 
-    def counter(scan: int, maps: Sent | None):
+    def counter(scan: int, maps: Sent | None, lengths: list[int]):
         def count(batches):
-            parts: list[tuple[np.ndarray, ...]] = []
-            size = 0
+            # keys, and (keys, occurrences), by the scan with which their round began: all occurrences of a phrase have the same
+            raw: dict[int, list[np.ndarray]] = {}
+            parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
-            def out():
-                keys, n, began = _summed(parts)
-                parts.clear()
-                for s in range(0, len(keys), 1 << 16):
-                    e = s + (1 << 16)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[s:e].view(np.int64)), pa.array(n[s:e]), pa.array(began[s:e].astype(np.int16))], names=["key", "c", "mark"])
+            def counted():
+                for began in list(raw):
+                    parts.setdefault(began, []).append(np.unique(np.concatenate(raw.pop(began)), return_counts=True))
 
-            def add(keys: np.ndarray, began: np.ndarray) -> int:
-                keys, first, times = np.unique(keys, return_index=True, return_counts=True)
-                parts.append((keys, times, began[first]))
-                return len(keys)
+            def size():
+                return sum(len(p[0]) for own in parts.values() for p in own)
 
+            def out():
+                for began in list(parts):
+                    keys, n = _summed(parts.pop(began))
+                    for s in range(0, len(keys), 1 << 16):
+                        own = keys[s:s + (1 << 16)].view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n[s:s + (1 << 16)]), pa.array(np.full(len(own), began, np.int16))], names=["key", "c", "mark"])
+
+            held = 0
             for lang, codes in runs(batches):
                 grams = Grams(codes, lang)
                 if scan < shards:
-                    own = grams.keys(1)[grams.valid(1)]
-                    size += add(own, np.zeros(len(own), np.uint8))
-                if maps is not None:
-                    places = maps.built(_places, size_log2)
-                    for n in range(2, max_words + 1):
-                        at, began = active(grams, n, places, scan - shards)
-                        size += add(grams.keys(n)[at], began)
-                if size > HELD_KEYS:
-                    if len(parts) > 1:
-                        parts[:] = [_summed(parts)]
-                        size = len(parts[0][0])
-                    if size > HELD_KEYS // 2:
-                        yield from out()
-                        size = 0
-            if parts:
-                yield from out()
+                    own = grams.keys(1, grams.valid(1))
+                    raw.setdefault(0, []).append(own)
+                    held += len(own)
+                for n in lengths:
+                    at, began = active(grams, n, maps.built(_places, size_log2), scan - shards)
+                    own = grams.keys(n, at)
+                    held += len(own)
+                    for k in np.unique(began).tolist():
+                        raw.setdefault(k, []).append(own[began == k])
+                if held > RAW_KEYS:
+                    counted()
+                    held = 0
+                    if size() > HELD_KEYS:
+                        for k in parts:
+                            parts[k] = [_summed(parts[k])]
+                        if size() > HELD_KEYS // 2:
+                            yield from out()
+            counted()
+            yield from out()
         return count
 
     counts, scan, taken = None, 0, None
     while scan < shards or (taken[1] > scan - shards).any():
-        maps = Sent(spark, taken) if scan else None
-        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "codes").mapInArrow(counter(scan, maps), "key long, c long, mark short")
+        maps, lengths = None, []
+        if scan:
+            # only phrases one word longer than some whose round led to the threshold lately are still counted
+            maps, lengths = Sent(spark, taken), [n + 1 for n in _lengths(taken[0][taken[1] > scan - shards])]
+        rows = dealt.where(F.col("shard") == scan % shards).select("lang", "codes").mapInArrow(counter(scan, maps, lengths), "key long, c long, mark short")
         if counts is not None:
             rows = rows.unionByName(counts)
-        rows = rows.groupBy("key").agg(F.sum("c").alias("c"), F.max("mark").alias("mark"))
+        # a task's keys are nearly all different: they are summed where they meet
+        rows = rows.repartition("key").groupBy("key").agg(F.sum("c").alias("c"), F.max("mark").alias("mark"))
         reached = F.when((F.col("mark") < REACHED) & (F.col("c") >= min_count), REACHED + scan + 1).otherwise(F.col("mark"))
         rows = rows.withColumn("mark", reached.cast("short"))
         last, counts = counts, written(rows.where((F.col("mark") > REACHED) | (F.col("mark") + shards - 1 > scan)))
@@ -259,8 +317,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     # the words of each phrase: from the first part that has it
     spelled, left = None, counts.where(F.col("mark") > REACHED).select("key", "c")
     for rows in [(F.col("shard") == 0) & (F.col("part") == 0), (F.col("shard") == 0) & (F.col("part") > 0), *[F.col("shard") == s for s in range(1, shards)]]:
-        sent = Sent(spark, _taken(left.withColumn("mark", F.lit(REACHED + 1)), max_words, size_log2))
-        own = dealt.where(rows).select("lang", "codes").mapInArrow(_speller(sent, max_words, size_log2), "key long, lang string, codes array<long>")
+        wanted = _taken(left.withColumn("mark", F.lit(REACHED + 1)), max_words, size_log2)
+        sent = Sent(spark, wanted)
+        own = dealt.where(rows).select("lang", "codes").mapInArrow(_speller(sent, _lengths(wanted[0]), size_log2), "key long, lang string, codes array<long>")
         own = written(left.join(own.groupBy("key").agg(F.min(F.struct("lang", "codes")).alias("p")), "key").select("key", "c", "p.lang", "p.codes"))
         sent.broadcast.destroy()
         spelled = own if spelled is None else spelled.unionByName(own)
@@ -271,7 +330,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     names, left = None, written(spelled.where("words = 1").select(F.col("codes")[0].alias("code")).distinct())
     for rows in (F.col("task") % NAMED_FIRST == 0, F.col("task") % NAMED_FIRST > 0):
         sent = Sent(spark, _taken(left.select(F.col("code").alias("key"), F.lit(REACHED + 1).alias("mark")), 8, size_log2))
-        new = dealt.where(rows).select("new")
+        new = dealt.where(rows).select("new", "low")
         new = new.coalesce(-(-new.rdd.getNumPartitions() // NAMED_PARTITIONS) or 1)
         own = new.mapInArrow(_namer(sent, size_log2), "code long, word binary").groupBy("code").agg(F.min("word").alias("word"))
         own = written(own.join(left, "code", "left_semi"))
@@ -282,21 +341,17 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     phrases = parts.groupBy("key", "lang", "words", "c").agg(F.array_sort(F.collect_list(F.struct("at", F.col("word").cast("string").alias("word")))).alias("w"))
     phrases = phrases.select("lang", F.array_join(F.col("w.word"), " ").alias("phrase"), "words", F.col("c").alias("n"))
 
-    def sizes(batches):
-        for lang, run in runs(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int((run > 0).sum())], pa.int64())], names=["lang", "n"])
-
-    total = dealt.select("lang", "codes").mapInArrow(sizes, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
+    total = dealt.groupBy("lang").agg(F.sum("size").alias("n")).where("n > 0")
     return written(phrases.unionByName(total.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), "n")))
 
 
-def _speller(sent: Sent, max_words: int, size_log2: int):
-    """The phrases of a task whose keys have a place, once each, as word hashes."""
+def _speller(sent: Sent, lengths: list[int], size_log2: int):
+    """The phrases of a task, of some lengths, whose keys have a place, once each, as word hashes."""
     def spell(batches):
         places, seen = sent.built(_places, size_log2), np.zeros(0, np.uint64)
         for lang, codes in runs(batches):
             grams = Grams(codes, lang)
-            for n in range(1, max_words + 1):
+            for n in lengths:
                 keys = grams.keys(n)
                 at = np.flatnonzero(grams.valid(n) & (since(places, keys) > 0))
                 own, first = np.unique(keys[at], return_index=True)
@@ -315,12 +370,14 @@ def _namer(sent: Sent, size_log2: int):
     """The words of a task whose hashes have a place, once each."""
     def name(batches):
         places, done = sent.built(_places, size_log2), set()
-        for b in (b.slice(at, NAMED_ROWS) for b in batches for at in range(0, b.num_rows, NAMED_ROWS)):
-            found = list(set(b.column(0).flatten().to_pylist()) - done)
-            codes = np.array([code_of(w) for w in found], np.uint64)
-            keep = np.flatnonzero(since(places, codes) > 0).tolist()
-            done.update(found[i] for i in keep)
-            yield pa.RecordBatch.from_arrays([pa.array(codes[keep].view(np.int64)), pa.array([found[i] for i in keep], pa.binary())], names=["code", "word"])
+        for b in batches:
+            for new, low in zip(b.column("new"), b.column("low")):
+                keep = np.flatnonzero(since(places, np.frombuffer(low.as_buffer(), np.uint32).astype(np.uint64)) > 0).tolist()
+                if keep:
+                    new = new.as_buffer().to_pybytes().split(b" ")
+                    found = list({new[i] for i in keep} - done)
+                    done.update(found)
+                    yield pa.RecordBatch.from_arrays([pa.array(codes_of(found).view(np.int64)), pa.array(found, pa.binary())], names=["code", "word"])
     return name
 
 

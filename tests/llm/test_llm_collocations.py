@@ -133,3 +133,37 @@ def test_keys_depend_on_words_only():
     assert g.valid(3).tolist() == [True, False, False, False, True]
     assert g.keys(3)[0] == g.keys(3)[4] and g.keys(2)[1] == g.keys(2)[5] and g.keys(2)[0] != g.keys(2)[1]
     assert Grams(codes, "de").keys(3)[0] != g.keys(3)[0]
+
+
+def test_runs_are_hashed_as_their_tokens(monkeypatch):
+    from riskspark.llm import collocations as module
+    asked, plain = [], module.codes_of
+    monkeypatch.setattr(module, "codes_of", lambda words: asked.extend(words) or plain(words))
+    rows = corpus(40, 4) + [(40, "", "en"), (41, " \t", "en"), (42, "..", "en"), (43, "x\u00a0y \x1c \x85", "en")]
+    texts = [t.encode() for _, t, _ in rows]
+    got = module.hashed(texts, Words())
+    # each word of the run once, not once an occurrence
+    assert len(asked) == len(set(asked)) < np.count_nonzero(got)
+    words = Words()
+    assert got.tolist() == [words[w] for t in texts for w in [*tokens(t), b"."]]
+    assert module.hashed([b""], Words()).tolist() == [0]
+
+
+def test_rows_of_a_shard_name_and_count_their_words(monkeypatch):
+    import pyarrow as pa
+
+    from riskspark.llm import collocations as module
+    # small rows, and a memory that forgets most words
+    monkeypatch.setattr(module, "ROW_BYTES", 64)
+    monkeypatch.setattr(module, "KNOWN_WORDS", 3)
+    rows = [(i, t, lang or "und") for i, t, lang in corpus(60, 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array([lang for *_, lang in rows]), pa.array([t.encode() for _, t, _ in rows], pa.binary())], names=["lang", "text"])
+    out = pa.Table.from_batches(module.coded([batch])).to_pylist()
+    found = counts(rows, 1)
+    sizes = Counter()
+    for r in out:
+        sizes[r["lang"]] += r["size"]
+        new = r["new"].split()
+        assert np.frombuffer(r["low"], np.uint32).tolist() == module.codes_of(new).astype(np.uint32).tolist()
+    assert sizes == {lang: sum(f.values()) for lang, f in found.items()}
+    assert {w for r in out for w in r["new"].split()} == {w.encode() for f in found.values() for w, in f}
